@@ -13,7 +13,7 @@ from tillwork.operators.clean import columns_of_type
 from tillwork.operators.eda import quantile_bin, woe_table
 from tillwork.operators.joins import join_dimension
 from tillwork.operators.ordered import quantile_row
-from tillwork.operators.quality import columns_missing_over
+from tillwork.operators.quality import missing_proportions
 from tillwork.operators.split import quantile_edges
 from tillwork.operators.timeseries import fill_backward, fill_forward, interpolate
 from tillwork.session import attach_row
@@ -159,9 +159,10 @@ def impute(
 
 
 def impute_with_threshold(df: DataFrame, threshold: float = 0.2, method: str = "mean") -> DataFrame:
-    """Drop columns with a larger missing share, impute the numeric rest."""
-    kept = df.drop(*columns_missing_over(df, threshold))
-    return impute(kept, columns_of_type(kept, "number"), method)
+    """Drop columns with a larger missing share, impute the numeric rest where it has holes."""
+    shares = {r["column"]: r["missing_share"] for r in missing_proportions(df).collect()}
+    kept = df.drop(*[c for c, share in shares.items() if share > threshold])
+    return impute(kept, [c for c in columns_of_type(kept, "number") if shares[c] > 0], method)
 
 
 # ---- scaling ---------------------------------------------------------------

@@ -190,14 +190,14 @@ def _train(rows):
 
 @query(
     "target_encode",
-    f"""WITH {SQL_ENCODED} SELECT {KEY}, round(coalesce(b.v, prior), 6) AS p_brand, round(price, 6) AS price
+    f"""WITH {SQL_ENCODED} SELECT {KEY}, round(coalesce(b.v, prior), 6) AS p_brand, price
     FROM br LEFT JOIN e_p_brand b ON br.p_brand = b.p_brand, pr""",
 )
 def target_encode(spark, d):
     """One brand is absent from the training rows and takes the prior."""
     rows = branded(spark, d).select(*LINE_KEY, "p_brand", "l_shipdate", "price")
     out = prep.TargetEncoder(["p_brand"], "price").fit(_train(rows)).transform(rows)
-    return rounded(out.drop("l_shipdate"), 6, "p_brand", "price")
+    return rounded(out.drop("l_shipdate"), 6, "p_brand")
 
 
 @query(
