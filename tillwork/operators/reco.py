@@ -1,12 +1,70 @@
-"""Recommendation: utility tables, neighbours, ratings, candidates, ranking metrics."""
+"""Recommendation: utility tables, neighbours, ratings, candidates, evaluation.
+
+Interactions stay in long form ``(user, item, value)``; wide tables are made
+only for a fixed list of items.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from collections.abc import Iterator, Sequence
+from functools import reduce
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.recommendation import ALS
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Items handled together in one array.
+from tillwork.functions.hashing import hash_order, hash_prefix
+from tillwork.functions.numeric import any_of, divide
+from tillwork.operators.joins import keep_missing
+from tillwork.operators.metrics import regression_metrics
+from tillwork.operators.ordered import dense_ids, top_per_key
+from tillwork.session import attach_row, materialise
+
+#: Items handled together in one array or matrix.
 ITEM_BLOCK = 10_000
+#: Largest catalog whose item-by-item table is held as one matrix per task.
+MATRIX_ITEMS = 3_000
+#: Members of a neighbour-search cell compared in one task.
+CELL_ROWS = 4_096
+
+
+# ---- utility tables --------------------------------------------------------
+
+def utility(df: DataFrame, user: str, item: str, value: str | None = None, agg: str = "count") -> DataFrame:
+    """Long user-by-item table: interaction counts, or an aggregate of a value."""
+    rows = df.filter(F.col(user).isNotNull() & F.col(item).isNotNull())
+    expr = F.count(F.lit(1)).cast("double") if value is None else F.expr(f"{agg}(`{value}`)").cast("double")
+    return rows.groupBy(user, item).agg(expr.alias("value"))
+
+
+def utility_matrix(
+    df: DataFrame, user: str, pivots: dict[str, Sequence], value: str | None = None, agg: str = "count"
+) -> DataFrame:
+    """Wide zero-filled table over fixed levels of one or several columns.
+
+    Column names are ``<column>_<level>``.  The aggregate applies to every
+    pivot column, also to a single one.  All columns come from one grouping.
+    """
+    def cell(column: str, level) -> Column:
+        hit = F.col(column) == F.lit(level)
+        if value is None:
+            return F.count(F.when(hit, 1)).cast("double")
+        fn = {"sum": F.sum, "mean": F.avg, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count}[agg]
+        return F.coalesce(fn(F.when(hit, F.col(value))).cast("double"), F.lit(0.0))
+
+    exprs = [cell(c, v).alias(f"{c}_{v}") for c, levels in pivots.items() for v in levels]
+    used = any_of([F.col(c).isNotNull() for c in pivots])
+    return df.filter(F.col(user).isNotNull() & used).groupBy(user).agg(*exprs)
+
+
+def aligned_utility(
+    train: DataFrame, test: DataFrame, user: str, item: str, levels: Sequence, value: str | None = None, agg: str = "count"
+) -> tuple[DataFrame, DataFrame]:
+    """Train and test matrices over the same columns, each from its own rows."""
+    return tuple(utility_matrix(df, user, {item: levels}, value, agg) for df in (train, test))
 
 
 def unseen_items(users: DataFrame, seen: DataFrame, items: DataFrame, user: str, item: str) -> DataFrame:
@@ -20,10 +78,583 @@ def unseen_items(users: DataFrame, seen: DataFrame, items: DataFrame, user: str,
     blocks = max(1, -(-catalog.count() // ITEM_BLOCK))
     block = F.pmod(F.xxhash64(item), F.lit(blocks))
     packed = catalog.withColumn("_block", block).groupBy("_block").agg(F.collect_list(item).alias("_items"))
-    asked = users.select(user).dropna().distinct().withColumn(
-        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))
+    asked = users.select(user).dropna().distinct().withColumn("_block", F.explode(numbers))
     had = seen.select(user, item).dropna().withColumn("_block", block).groupBy(user, "_block").agg(
         F.collect_set(item).alias("_seen"))
     pairs = asked.join(had, [user, "_block"], "left").join(packed, "_block")
     left = F.array_except("_items", F.coalesce("_seen", F.array().cast(packed.schema["_items"].dataType)))
     return pairs.select(user, F.explode(left).alias(item))
+
+
+def top_items(scores: DataFrame, user: str, item: str, score: str, n: int) -> DataFrame:
+    """The ``n`` best items per user with their rank, ties by item."""
+    return top_per_key(scores, [user], [F.desc(score), F.col(item)], n, rank="rank")
+
+
+def as_lists(ranked: DataFrame, user: str, item: str, score: str) -> DataFrame:
+    """One row per user with the ordered array of ``(item, score)``."""
+    packed = ranked.groupBy(user).agg(F.array_sort(F.collect_list(F.struct("rank", item, score))).alias("_r"))
+    return packed.select(user, F.transform(
+        "_r", lambda s: F.struct(s[item].alias("item"), s[score].alias("score"))).alias("recommendations"))
+
+
+# ---- nearest users ---------------------------------------------------------
+
+def _dense(rows, index: dict, width: int) -> np.ndarray:
+    out = np.zeros((len(rows), width))
+    for i, pairs in enumerate(rows):
+        for p in pairs:
+            at = index.get(p["item"])
+            if at is not None:
+                out[i, at] = p["x"]
+    return out
+
+
+def _similarities(left, right) -> np.ndarray:
+    """Cosines of two lists of sparse unit vectors, item columns in blocks."""
+    items = sorted({p["item"] for row in right for p in row})
+    out = np.zeros((len(left), len(right)))
+    for start in range(0, len(items), 2048):
+        index = {c: i for i, c in enumerate(items[start:start + 2048])}
+        out += _dense(left, index, len(index)) @ _dense(right, index, len(index)).T
+    return out
+
+
+def user_neighbours(
+    long: DataFrame, user: str, item: str, value: str = "value", k: int = 10, pivots: int = 64,
+    cell_rows: int = CELL_ROWS, digits: int = 9,
+) -> DataFrame:
+    """The ``k`` nearest users by cosine, the user included: ``(user, neighbour, similarity, rank)``.
+
+    Exact, without comparing all users.  Every user belongs to the cell of the
+    nearest of a few pivot users.  The sizes and radii of the cells bound how
+    far a user's k-th neighbour can be; only cells that reach within that
+    angle are searched.  Cells are cut into blocks of bounded size, so a cell
+    holding most users is spread over many tasks, and a task returns at most
+    ``k`` rows per user.  Ties go to the smaller id at ``digits`` decimals.
+    """
+    spark = long.sparkSession
+    rows = long.filter((F.col(value) != 0) & F.col(user).isNotNull())
+    norms = rows.groupBy(user).agg(
+        F.sqrt(F.sum(F.col(value) * F.col(value))).alias("_norm"), F.collect_list(F.struct(item, value)).alias("_p"))
+    vectors = materialise(norms.select(F.col(user).alias("u"), F.transform(
+        "_p", lambda p: F.struct(p[item].alias("item"), (p[value] / F.col("_norm")).alias("x"))).alias("v")))
+    chosen = vectors.orderBy(F.xxhash64("u"), "u").limit(pivots).collect()
+    centres = [r["v"] for r in chosen]
+    margin = 1e-4  # covers rounded ties
+
+    def angles(vs) -> np.ndarray:
+        return np.arccos(np.clip(_similarities(list(vs), centres), -1.0, 1.0))
+
+    user_type = long.schema[user].dataType.simpleString()
+    vector_type = vectors.schema["v"].dataType.simpleString()
+
+    def locate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            a = angles(pdf["v"])
+            nearest = a.argmin(axis=1)
+            yield pd.DataFrame({"u": pdf["u"], "v": pdf["v"], "cell": nearest, "angle": a[np.arange(len(a)), nearest]})
+
+    located = materialise(vectors.mapInPandas(locate, f"u {user_type}, v {vector_type}, cell int, angle double"))
+    cells = located.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius")).collect()
+    sizes = {r["cell"]: r["n"] for r in cells}
+    radius = {r["cell"]: r["radius"] for r in cells}
+    ids = np.array(sorted(sizes))
+    n_of = np.array([sizes[c] for c in ids])
+    r_of = np.array([radius[c] for c in ids])
+    blocks = {int(c): max(1, -(-int(n) // cell_rows)) for c, n in sizes.items()}
+
+    def targets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            a = angles(pdf["v"])[:, ids]
+            order = np.argsort(a + r_of, axis=1)
+            reach = np.take_along_axis(a + r_of, order, axis=1)
+            enough = np.cumsum(n_of[order], axis=1) >= k
+            at = np.where(enough.any(axis=1), enough.argmax(axis=1), len(ids) - 1)
+            limit = reach[np.arange(len(a)), at] + margin
+            search = a - r_of <= limit[:, None]
+            which = [[int(c) for c in ids[s]] for s in search]
+            yield pd.DataFrame({"u": pdf["u"], "v": pdf["v"], "cells": which})
+
+    n_blocks = F.element_at(F.create_map(*[F.lit(x) for kv in blocks.items() for x in kv]), F.col("cell"))
+    slot = F.xxhash64("u")
+    members = located.select(
+        "cell", F.pmod(slot, n_blocks.cast("bigint")).alias("block"), F.struct("u", "v").alias("p"))
+    members = members.groupBy("cell", "block").agg(F.collect_list("p").alias("members"))
+    asked = located.mapInPandas(targets, f"u {user_type}, v {vector_type}, cells array<int>")
+    asked = asked.select("u", "v", F.explode("cells").alias("cell")).withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("bigint"), n_blocks.cast("bigint") - 1)))
+    total = sum(sizes.values())
+    parts = max(1, -(-total // cell_rows))
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("u", F.lit("q")), F.lit(parts))).groupBy("cell", "block", "part").agg(
+        F.collect_list(F.struct("u", "v")).alias("asked"))
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for left, right in zip(pdf["asked"], pdf["members"]):
+                s = np.round(_similarities([p["v"] for p in left], [p["v"] for p in right]), digits)
+                names = np.array([p["u"] for p in right])
+                by_name = np.argsort(names, kind="stable")
+                s, names = s[:, by_name], names[by_name]
+                best = np.argsort(-s, axis=1, kind="stable")[:, :k]
+                yield pd.DataFrame({
+                    "u": np.repeat([p["u"] for p in left], best.shape[1]), "neighbour": names[best].ravel(),
+                    "similarity": np.take_along_axis(s, best, axis=1).ravel()})
+
+    found = asked.join(members, ["cell", "block"]).select("asked", "members").mapInPandas(
+        search, f"u {user_type}, neighbour {user_type}, similarity double")
+    ranked = top_per_key(found, ["u"], [F.desc("similarity"), F.col("neighbour")], k, rank="rank")
+    return ranked.withColumnRenamed("u", user)
+
+
+def neighbour_scores(
+    long: DataFrame, neighbours: DataFrame, user: str, item: str, value: str = "value", k: int = 10
+) -> DataFrame:
+    """Propensity of every user for the items of the neighbourhood: ``(user, item, score)``.
+
+    A user's own value stands where it is not 0; otherwise the mean over the
+    ``k`` neighbours, zeros included.  The exact value 1 becomes -1, which
+    marks an item as bought.
+    """
+    theirs = long.select(F.col(user).alias("neighbour"), item, value)
+    means = neighbours.select(user, "neighbour").join(theirs, "neighbour").groupBy(user, item).agg(
+        F.max(F.when(F.col("neighbour") == F.col(user), F.col(value))).alias("_own"),
+        (F.sum(value) / k).alias("_mean"))
+    own = F.coalesce("_own", F.lit(0.0))
+    score = F.when(own != 0, own).when(F.col("_mean") > 0, F.col("_mean")).otherwise(0.0)
+    return means.select(user, item, F.when(score == 1, -1.0).otherwise(score).alias("score"))
+
+
+def recommend_from_neighbours(
+    long: DataFrame, neighbours: DataFrame, user: str, item: str, n: int, value: str = "value", k: int = 10
+) -> DataFrame:
+    return top_items(neighbour_scores(long, neighbours, user, item, value, k), user, item, "score", n)
+
+
+# ---- ratings ---------------------------------------------------------------
+
+def rescale(df: DataFrame, column: str, low: float, high: float, name: str | None = None) -> DataFrame:
+    """Min-max rescale a rating column to a range; the bounds used are kept for the inverse."""
+    ends = df.agg(F.min(column).cast("double").alias("_from"), F.max(column).cast("double").alias("_to"))
+    share = divide(F.col(column) - F.col("_from"), F.col("_to") - F.col("_from"))
+    return attach_row(df, ends).withColumn(name or column, share * (high - low) + low)
+
+
+def rescale_inverse(df: DataFrame, column: str, low: float, high: float, name: str | None = None) -> DataFrame:
+    """Back from the range to the bounds kept by ``rescale``."""
+    share = (F.col(column) - low) / (high - low)
+    return df.withColumn(name or column, share * (F.col("_to") - F.col("_from")) + F.col("_from"))
+
+
+def clamp(c: Column, low: float, high: float) -> Column:
+    return F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), c))
+
+
+def baselines(
+    ratings: DataFrame, user: str, item: str, rating: str, epochs: int = 10, damp_user: float = 15.0, damp_item: float = 10.0
+) -> tuple[float, DataFrame, DataFrame]:
+    """Global mean, user biases and item biases by damped alternating means."""
+    mean = ratings.agg(F.avg(rating)).first()[0]
+    if mean is None:
+        raise ValueError("no ratings")
+    users = None
+    for epoch in range(epochs):
+        rows = ratings.join(users, user) if users is not None else ratings.withColumn("b_user", F.lit(0.0))
+        items = rows.groupBy(item).agg(
+            (F.sum(F.col(rating) - mean - F.col("b_user")) / (damp_item + F.count(F.lit(1)))).alias("b_item"))
+        users = ratings.join(items, item).groupBy(user).agg(
+            (F.sum(F.col(rating) - mean - F.col("b_item")) / (damp_user + F.count(F.lit(1)))).alias("b_user"))
+        if epoch % 3 == 2:
+            items, users = materialise(items), materialise(users)
+    return mean, users, items
+
+
+def predict_baseline(targets: DataFrame, model: tuple, user: str, item: str, name: str = "prediction") -> DataFrame:
+    """``mean + user bias + item bias``; an unknown user or item has no bias."""
+    mean, users, items = model
+    rows = targets.join(users, user, "left").join(items, item, "left")
+    value = F.lit(mean) + F.coalesce("b_user", F.lit(0.0)) + F.coalesce("b_item", F.lit(0.0))
+    return rows.withColumn(name, value).select(*targets.columns, name)
+
+
+def item_pairs(ratings: DataFrame, user: str, item: str, rating: str, block: int = 1024) -> DataFrame:
+    """Co-rating statistics ``(i, j, n, si, sj, sii, sjj, sij)`` of ordered item pairs, i and j different.
+
+    Each task multiplies the user-by-item matrix of a batch of users with
+    itself, so a batch ships one row per item pair, not one per user and pair.
+    """
+    packed = ratings.select(user, item, F.col(rating).cast("double").alias("_r")).dropna().groupBy(user).agg(
+        F.collect_list(F.struct(F.col(item).alias("i"), F.col("_r").alias("r"))).alias("rs"))
+    item_type = ratings.schema[item].dataType.simpleString()
+    columns = ("n", "si", "sj", "sii", "sjj", "sij")
+
+    def products(rows) -> Iterator[pd.DataFrame]:
+        names = np.array(sorted({p["i"] for r in rows for p in r}))
+        at = {v: i for i, v in enumerate(names.tolist())}
+        x, m = np.zeros((len(rows), len(names))), np.zeros((len(rows), len(names)))
+        for u, r in enumerate(rows):
+            for p in r:
+                x[u, at[p["i"]]], m[u, at[p["i"]]] = p["r"], 1.0
+        for a in range(0, len(names), block):
+            xa, ma = x[:, a:a + block], m[:, a:a + block]
+            for b in range(0, len(names), block):
+                xb, mb = x[:, b:b + block], m[:, b:b + block]
+                n = ma.T @ mb
+                i, j = np.nonzero(n)
+                keep = (i + a) != (j + b)
+                i, j = i[keep], j[keep]
+                parts = (n, xa.T @ mb, ma.T @ xb, (xa * xa).T @ mb, ma.T @ (xb * xb), xa.T @ xb)
+                yield pd.DataFrame({"i": names[i + a], "j": names[j + b], **{c: v[i, j] for c, v in zip(columns, parts)}})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows, size = [], 0
+            for r in pdf["rs"]:
+                rows.append(r)
+                size += len(r)
+                if size >= 50_000:
+                    yield from products(rows)
+                    rows, size = [], 0
+            if rows:
+                yield from products(rows)
+
+    cells = packed.select("rs").mapInPandas(
+        run, f"i {item_type}, j {item_type}, " + ", ".join(f"{c} double" for c in columns))
+    return cells.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in columns])
+
+
+def _lookup(spark, rows: DataFrame, names: list, columns: Sequence[str]) -> dict[str, np.ndarray]:
+    at = {v: i for i, v in enumerate(names)}
+    out = {c: np.full((len(names), len(names)), np.nan) for c in columns}
+    pdf = rows.toPandas()
+    i, j = pdf["i"].map(at).to_numpy(), pdf["j"].map(at).to_numpy()
+    for c in columns:
+        out[c][i, j] = pdf[c].to_numpy(dtype=float)
+    return out
+
+
+def _per_target(targets: DataFrame, ratings: DataFrame, pairs: DataFrame, user: str, item: str, rating: str, weight: str):
+    """Rows (user, item, j, r, w): each target with the user's rated items that have a pair entry."""
+    rated = ratings.select(F.col(user).alias("_u"), F.col(item).alias("j"), F.col(rating).cast("double").alias("r"))
+    rows = targets.select(user, item).distinct().join(rated, F.col(user) == F.col("_u")).drop("_u")
+    return rows.join(pairs.select(F.col("i").alias(item), "j", F.col(weight).alias("w")), [item, "j"])
+
+
+def _fold_targets(
+    targets: DataFrame, ratings: DataFrame, pairs: DataFrame, user: str, item: str, rating: str, weight: str, k: int | None,
+    matrix_items: int = MATRIX_ITEMS,
+) -> DataFrame:
+    """Per target: ``s0 = sum w``, ``s1 = sum w r`` and ``n`` over the user's rated items with an entry (i, j).
+
+    With ``k``, only the k entries of largest weight count and weights must be
+    positive.  A catalog within ``matrix_items`` (checked) uses a matrix per
+    task and one row per user; a larger one joins the entries.
+    """
+    catalog = pairs.select("i").union(pairs.select("j")).distinct().withColumnRenamed("i", item)
+    known = catalog.limit(matrix_items + 1).collect()
+    if len(known) > matrix_items:
+        rows = _per_target(targets, ratings, pairs, user, item, rating, weight)
+        if k is not None:
+            rows = top_per_key(rows.filter(F.col("w") > 0), [user, item], [F.desc("w"), F.col("j")], k)
+        return rows.groupBy(user, item).agg(
+            F.sum("w").alias("s0"), F.sum(F.col("w") * F.col("r")).alias("s1"), F.count(F.lit(1)).cast("double").alias("n"))
+    names = sorted(r[0] for r in known)
+    at = {v: i for i, v in enumerate(names)}
+    table = targets.sparkSession.sparkContext.broadcast(
+        _lookup(targets.sparkSession, pairs.select("i", "j", weight), names, [weight])[weight])
+    rated = ratings.groupBy(user).agg(
+        F.collect_list(F.struct(F.col(item).alias("i"), F.col(rating).cast("double").alias("r"))).alias("rs"))
+    asked = targets.groupBy(user).agg(F.collect_set(item).alias("ts")).join(rated, user)
+    user_type, item_type = (targets.schema[c].dataType.simpleString() for c in (user, item))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        w = table.value
+        for pdf in batches:
+            out = []
+            for u, ts, rs in zip(pdf[user], pdf["ts"], pdf["rs"]):
+                # id order, so that equal weights are taken in the same order as in the joined form
+                pairs_known = sorted((at[p["i"]], p["r"]) for p in rs if p["i"] in at)
+                if not pairs_known:
+                    continue
+                j = np.array([p[0] for p in pairs_known])
+                r = np.array([p[1] for p in pairs_known])
+                for t in ts:
+                    if t not in at:
+                        continue
+                    row = w[at[t], j]
+                    use = np.flatnonzero(~np.isnan(row) if k is None else row > 0)
+                    if k is not None and len(use) > k:
+                        use = use[np.argsort(-row[use], kind="stable")[:k]]
+                    if len(use):
+                        out.append((u, t, row[use].sum(), (row[use] * r[use]).sum(), float(len(use))))
+            yield pd.DataFrame(out, columns=[user, item, "s0", "s1", "n"])
+
+    return asked.select(user, "ts", "rs").mapInPandas(
+        run, f"`{user}` {user_type}, `{item}` {item_type}, s0 double, s1 double, n double")
+
+
+def slope_one(
+    ratings: DataFrame, targets: DataFrame, user: str, item: str, rating: str, name: str = "prediction",
+    matrix_items: int = MATRIX_ITEMS,
+) -> DataFrame:
+    """User mean plus the mean deviation between the item and the items the user rated.
+
+    Without a co-rated item the prediction is the user mean, for unknown users the global mean.
+    """
+    pairs = item_pairs(ratings, user, item, rating).withColumn("dev", (F.col("si") - F.col("sj")) / F.col("n"))
+    folded = _fold_targets(targets, ratings, pairs, user, item, rating, "dev", None, matrix_items)
+    folded = folded.select(user, item, (F.col("s0") / F.col("n")).alias("_dev"))
+    users = ratings.groupBy(user).agg(F.avg(rating).alias("_mu"))
+    overall = ratings.agg(F.avg(rating).alias("_all"))
+    rows = attach_row(targets.join(users, user, "left").join(folded, [user, item], "left"), overall)
+    value = F.coalesce("_mu", "_all") + F.coalesce("_dev", F.lit(0.0))
+    return rows.withColumn(name, value).select(*targets.columns, name)
+
+
+def item_similarities(ratings: DataFrame, user: str, item: str, rating: str, measure: str = "msd") -> DataFrame:
+    """Item similarities over co-rating users: mean squared difference, cosine or Pearson."""
+    p = item_pairs(ratings, user, item, rating)
+    n = F.col("n")
+    value = {
+        "msd": 1.0 / (1.0 + (F.col("sii") + F.col("sjj") - 2 * F.col("sij")) / n),
+        "cosine": divide("sij", F.sqrt(F.col("sii") * F.col("sjj"))),
+        "pearson": divide(n * F.col("sij") - F.col("si") * F.col("sj"),
+                          F.sqrt(n * F.col("sii") - F.col("si") * F.col("si")) * F.sqrt(n * F.col("sjj") - F.col("sj") * F.col("sj"))),
+    }[measure]
+    return p.select("i", "j", "n", value.alias("sim"))
+
+
+def item_knn(
+    ratings: DataFrame, targets: DataFrame, user: str, item: str, rating: str, variant: str = "means", k: int = 40,
+    measure: str = "msd", name: str = "prediction", matrix_items: int = MATRIX_ITEMS,
+) -> DataFrame:
+    """Item-based neighbour predictions: ``basic``, ``means``, ``zscore`` or ``baseline``.
+
+    Ratings are centred (and scaled) per variant, averaged over the ``k`` most
+    similar items the user rated, and brought back to the target item's level.
+    Without neighbours that level alone, for unknown items the global mean.
+    """
+    pairs = item_similarities(ratings, user, item, rating, measure)
+    overall = ratings.agg(F.avg(rating).alias("_all"))
+    if variant == "baseline":
+        model = baselines(ratings, user, item, rating)
+        centred = predict_baseline(ratings, model, user, item, "_level").withColumn("_scale", F.lit(1.0))
+        level = predict_baseline(targets, model, user, item, "_level").withColumn("_scale", F.lit(1.0))
+    else:
+        stats = ratings.groupBy(item).agg(F.avg(rating).alias("_m"), F.stddev_pop(rating).alias("_s"))
+        zero, one = F.lit(0.0), F.lit(1.0)
+        shift = zero if variant == "basic" else F.col("_m")
+        scale = F.when(F.col("_s") > 0, F.col("_s")).otherwise(one) if variant == "zscore" else one
+        if variant not in ("basic", "means", "zscore"):
+            raise ValueError("variant is 'basic', 'means', 'zscore' or 'baseline'")
+        centred = ratings.join(stats, item).withColumns({"_level": shift, "_scale": scale})
+        level = targets.join(stats, item, "left").withColumns({"_level": shift, "_scale": scale})
+    centred = centred.select(user, item, ((F.col(rating) - F.col("_level")) / F.col("_scale")).alias("_c"))
+    folded = _fold_targets(targets, centred, pairs, user, item, "_c", "sim", k, matrix_items)
+    folded = folded.select(user, item, (F.col("s1") / F.col("s0")).alias("_gain"))
+    rows = attach_row(level.join(folded, [user, item], "left"), overall)
+    base = F.when(F.col("_gain").isNull(), F.col("_all")).otherwise(F.lit(0.0)) if variant == "basic" else F.coalesce("_level", "_all")
+    value = base + F.coalesce(F.col("_scale"), F.lit(1.0)) * F.coalesce("_gain", F.lit(0.0))
+    return rows.withColumn(name, value).select(*targets.columns, name)
+
+
+def normal_predictor(
+    ratings: DataFrame, targets: DataFrame, user: str, item: str, rating: str, seed: int = 42, name: str = "prediction"
+) -> DataFrame:
+    """Draws from a normal distribution with the ratings' mean and sd, fixed by key and seed."""
+    def uniform(tag: str) -> Column:
+        return (hash_prefix(hash_order([user, item], f"{seed}{tag}"), 7) + 0.5) / F.lit(float(16**7))
+
+    z = F.sqrt(-2 * F.ln(uniform("a"))) * F.cos(2 * math.pi * uniform("b"))
+    stats = ratings.agg(F.avg(rating).alias("_m"), F.stddev_pop(rating).alias("_s"))
+    return attach_row(targets, stats).withColumn(name, F.col("_m") + F.col("_s") * z).select(*targets.columns, name)
+
+
+def co_clustering(
+    ratings: DataFrame, targets: DataFrame, user: str, item: str, rating: str, user_clusters: int = 3,
+    item_clusters: int = 3, epochs: int = 5, seed: int = 0, name: str = "prediction",
+) -> DataFrame:
+    """Co-clustering: averages of co-clusters, corrected by user and item offsets.
+
+    Each epoch is three aggregations over the ratings; cluster averages are a
+    handful of numbers, and assignments are checkpointed tables.
+    """
+    base = ratings.select(user, item, F.col(rating).cast("double").alias("_r")).dropna()
+    u_mean = base.groupBy(user).agg(F.avg("_r").alias("_um"))
+    i_mean = base.groupBy(item).agg(F.avg("_r").alias("_im"))
+    overall = base.agg(F.avg("_r")).first()[0]
+    start = lambda key, n: F.pmod(hash_prefix(hash_order([key], seed), 6), F.lit(n))
+    u = materialise(u_mean.withColumn("_uc", start(user, user_clusters)))
+    i = materialise(i_mean.withColumn("_ic", start(item, item_clusters)))
+
+    def averages(u: DataFrame, i: DataFrame):
+        cells = base.join(u.select(user, "_uc"), user).join(i.select(item, "_ic"), item).groupBy("_uc", "_ic").agg(
+            F.sum("_r").alias("s"), F.count(F.lit(1)).alias("n")).collect()
+        s, n = np.zeros((user_clusters, item_clusters)), np.zeros((user_clusters, item_clusters))
+        for r in cells:
+            s[r["_uc"], r["_ic"]], n[r["_uc"], r["_ic"]] = r["s"], r["n"]
+        mean = lambda a, b: np.where(b > 0, a / np.maximum(b, 1), overall)
+        return mean(s.sum(1), n.sum(1)), mean(s.sum(0), n.sum(0)), mean(s, n)
+
+    def pick(values, column: Column) -> Column:
+        return F.element_at(F.array(*[F.lit(float(v)) for v in values]), column + 1)
+
+    def cell(co: np.ndarray, row, col) -> Column:
+        if isinstance(row, int):
+            return pick(co[row], col)
+        return pick(co[:, col], row)
+
+    for _ in range(epochs):
+        ua, ia, co = averages(u, i)
+        rows = base.join(u, user).join(i, item)
+        item_part = F.col("_im") - pick(ia, F.col("_ic"))
+        cost = [F.sum(F.pow(F.col("_r") - (cell(co, c, F.col("_ic")) + F.col("_um") - float(ua[c]) + item_part), 2)).alias(f"_e{c}")
+                for c in range(user_clusters)]
+        best = rows.groupBy(user).agg(*cost)
+        least = F.array_min(F.array(*[F.struct(F.col(f"_e{c}").alias("e"), F.lit(c).alias("c")) for c in range(user_clusters)]))["c"]
+        u = materialise(u_mean.join(best.select(user, least.alias("_uc")), user))
+        ua, ia, co = averages(u, i)
+        rows = base.join(u, user).join(i, item)
+        user_part = F.col("_um") - pick(ua, F.col("_uc"))
+        cost = [F.sum(F.pow(F.col("_r") - (cell(co, F.col("_uc"), c) + F.col("_im") - float(ia[c]) + user_part), 2)).alias(f"_e{c}")
+                for c in range(item_clusters)]
+        best = rows.groupBy(item).agg(*cost)
+        least = F.array_min(F.array(*[F.struct(F.col(f"_e{c}").alias("e"), F.lit(c).alias("c")) for c in range(item_clusters)]))["c"]
+        i = materialise(i_mean.join(best.select(item, least.alias("_ic")), item))
+    ua, ia, co = averages(u, i)
+    rows = targets.join(u, user, "left").join(i, item, "left")
+    flat = pick(co.ravel(), F.col("_uc") * item_clusters + F.col("_ic"))
+    both = flat + F.col("_um") - pick(ua, F.col("_uc")) + F.col("_im") - pick(ia, F.col("_ic"))
+    value = F.coalesce(both, F.col("_um"), F.col("_im"), F.lit(overall))
+    return rows.withColumn(name, value).select(*targets.columns, name)
+
+
+# ---- factor models ---------------------------------------------------------
+
+def als_predict(
+    ratings: DataFrame, targets: DataFrame, user: str, item: str, rating: str, rank: int = 8, reg: float = 0.1,
+    max_iter: int = 8, nonnegative: bool = False, seed: int = 42, name: str = "prediction",
+) -> DataFrame:
+    """Explicit factor model by alternating least squares; unknown users or items get the global mean."""
+    users = materialise(dense_ids(ratings, [user], "_uid"))
+    items = materialise(dense_ids(ratings, [item], "_iid"))
+    coded = ratings.join(users, user).join(items, item).select("_uid", "_iid", F.col(rating).cast("float").alias("_r"))
+    model = ALS(userCol="_uid", itemCol="_iid", ratingCol="_r", rank=rank, regParam=reg, maxIter=max_iter,
+                nonnegative=nonnegative, seed=seed, coldStartStrategy="nan").fit(coded)
+    asked = targets.join(users, user, "left").join(items, item, "left")
+    scored = model.transform(asked.withColumns({"_uid": F.coalesce("_uid", F.lit(-1)), "_iid": F.coalesce("_iid", F.lit(-1))}))
+    rows = attach_row(scored, ratings.agg(F.avg(rating).alias("_all")))
+    value = F.when(F.isnan("prediction") | F.col("prediction").isNull(), F.col("_all")).otherwise(F.col("prediction").cast("double"))
+    return rows.withColumn("_value", value).select(*targets.columns, F.col("_value").alias(name))
+
+
+def als_implicit(
+    interactions: DataFrame, user: str, item: str, value: str, n: int, users: DataFrame | None = None, rank: int = 8,
+    reg: float = 0.1, alpha: float = 10.0, max_iter: int = 8, seed: int = 42, keep_seen: bool = False,
+) -> DataFrame:
+    """Top-n unseen items per user from an implicit factor model: ``(user, item, score, rank)``.
+
+    Spark scores a user's items in blocks and keeps the best; asking for as
+    many more as the user has seen makes sure n unseen ones remain.
+    """
+    user_ids = materialise(dense_ids(interactions, [user], "_uid"))
+    item_ids = materialise(dense_ids(interactions, [item], "_iid"))
+    coded = interactions.join(user_ids, user).join(item_ids, item).groupBy("_uid", "_iid").agg(
+        F.sum(value).cast("float").alias("_r"))
+    model = ALS(userCol="_uid", itemCol="_iid", ratingCol="_r", rank=rank, regParam=reg, alpha=alpha, maxIter=max_iter,
+                implicitPrefs=True, seed=seed).fit(coded)
+    wanted = user_ids if users is None else user_ids.join(users.select(user).distinct(), user, "left_semi")
+    if keep_seen:
+        long = model.recommendForUserSubset(wanted.select("_uid"), n).select("_uid", F.inline("recommendations"))
+    else:
+        # one request per power of two of seen items: a user with a long history does not widen the others' lists
+        seen = coded.groupBy("_uid").agg(F.ceil(F.log2(F.count(F.lit(1)).cast("double"))).cast("int").alias("_size"))
+        sized = materialise(wanted.select("_uid").join(seen, "_uid"))
+        sizes = sorted(r[0] for r in sized.select("_size").distinct().collect())
+        long = reduce(DataFrame.unionByName, [
+            model.recommendForUserSubset(sized.filter(F.col("_size") == s).select("_uid"), int(n + 2**s))
+            .select("_uid", F.inline("recommendations")) for s in sizes])
+    if not keep_seen:
+        long = long.join(coded.select("_uid", "_iid"), ["_uid", "_iid"], "left_anti")
+    named = long.join(user_ids, "_uid").join(item_ids, "_iid").select(user, item, F.col("rating").cast("double").alias("score"))
+    return top_items(named, user, item, "score", n)
+
+
+# ---- explicit models by name -----------------------------------------------
+
+MODELS = ("svd", "nmf", "slopeone", "baselineonly", "normalpredictor", "knnbasic", "knnwithmeans", "knnwithzscore",
+          "knnbaseline", "coclustering")
+
+
+def fit_predict(
+    model: str, ratings: DataFrame, targets: DataFrame, user: str, item: str, rating: str,
+    scale: tuple[float, float] | None = None, **params,
+) -> DataFrame:
+    """Train the named model on ``ratings`` and predict ``targets``, within the rating scale."""
+    args = (ratings, targets, user, item, rating)
+    if model == "baselineonly":
+        out = predict_baseline(targets, baselines(ratings, user, item, rating, **params), user, item)
+    elif model in ("svd", "nmf"):
+        out = als_predict(*args, nonnegative=model == "nmf", **params)
+    elif model == "slopeone":
+        out = slope_one(*args, **params)
+    elif model == "normalpredictor":
+        out = normal_predictor(*args, **params)
+    elif model == "coclustering":
+        out = co_clustering(*args, **params)
+    elif model in ("knnbasic", "knnwithmeans", "knnwithzscore", "knnbaseline"):
+        out = item_knn(*args, variant=model.removeprefix("knn").removeprefix("with"), **params)
+    else:
+        raise ValueError(f"unknown model {model!r}, choose from {MODELS}")
+    return out.withColumn("prediction", clamp(F.col("prediction"), *scale)) if scale else out
+
+
+def rank_items(
+    model: str, ratings: DataFrame, users: DataFrame, items: DataFrame, user: str, item: str, rating: str, n: int, **params
+) -> DataFrame:
+    """Rank the unseen ones of the given items for the given users."""
+    targets = unseen_items(users, ratings, items, user, item)
+    return top_items(fit_predict(model, ratings, targets, user, item, rating, **params), user, item, "prediction", n)
+
+
+def compare_models(
+    ratings: DataFrame, user: str, item: str, rating: str, models: Sequence[str] = MODELS, folds: int = 3, seed: int = 42,
+    scale: tuple[float, float] | None = None,
+) -> DataFrame:
+    """Cross-validated RMSE and MAE per model, best first; folds by hash of the pair."""
+    folded = ratings.withColumn("_fold", F.pmod(hash_prefix(hash_order([user, item], seed), 6), F.lit(folds))).persist()
+    results = []
+    for model in models:
+        for k in range(folds):
+            train = folded.filter(F.col("_fold") != k).drop("_fold")
+            test = folded.filter(F.col("_fold") == k).drop("_fold")
+            scored = fit_predict(model, train, test, user, item, rating, scale)
+            m = regression_metrics(scored, rating, "prediction").select("n", "rmse", "mae").first()
+            results.append((model, k, m["n"], m["rmse"], m["mae"]))
+    folded.unpersist()
+    table = ratings.sparkSession.createDataFrame(results, "model string, fold int, n bigint, rmse double, mae double")
+    return table.groupBy("model").agg(F.avg("rmse").alias("rmse"), F.avg("mae").alias("mae")).orderBy("rmse")
+
+
+# ---- graph features --------------------------------------------------------
+
+def neighbour_mean(
+    edges: DataFrame, source: str, target: str, features: DataFrame, key: str, columns: Sequence[str]
+) -> DataFrame:
+    """Mean of the sources' features per target of the distinct edges."""
+    links = edges.select(source, target).dropna().distinct()
+    joined = links.join(features.select(F.col(key).alias(source), *columns), source)
+    return joined.groupBy(target).agg(*[F.avg(c).alias(c) for c in columns])
+
+
+def two_hop_mean(
+    edges: DataFrame, user: str, item: str, features: DataFrame, columns: Sequence[str]
+) -> DataFrame:
+    """User features averaged to items and back to users: the aggregation of a two-layer graph model."""
+    per_item = neighbour_mean(edges, user, item, features, user, columns)
+    return neighbour_mean(edges, item, user, per_item, item, columns)
+
+
+def drop_seen(scores: DataFrame, seen: DataFrame, user: str, item: str) -> DataFrame:
+    return keep_missing(scores, seen, [user, item])
