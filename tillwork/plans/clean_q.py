@@ -137,8 +137,8 @@ def derive_date_part(spark, d):
 )
 def features_target(spark, d):
     line = table(spark, d, "lineitem").select(*LINE_KEY, "l_quantity", "l_discount", "l_tax", "l_extendedprice")
-    features, target = clean.features_and_target(line, LINE_KEY, "l_extendedprice")
-    return features.join(target.withColumnRenamed("l_extendedprice", "target"), LINE_KEY)
+    _, target = clean.features_and_target(line, [*LINE_KEY, "l_quantity", "l_discount", "l_tax"], "l_extendedprice")
+    return target.withColumnRenamed("l_extendedprice", "target")
 
 
 @query(

@@ -136,15 +136,15 @@ def flagged(spark, d):
     return table(spark, d, "lineitem").select(*LINE_KEY, "l_quantity", "l_extendedprice", flag.alias("flag"))
 
 
-def _scale_sql(expr):
+def _scale_sql(expr, digits=8):
     return f"""WITH {SQL_FLAGGED}, s AS (SELECT {', '.join(f'max({c}) AS hi_{c}, min({c}) AS lo_{c}, avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in ('l_quantity', 'l_extendedprice'))}
-      FROM fl WHERE flag = 'train') SELECT {KEY}, {', '.join(f"round({expr.format(c=c)}, 8) AS {c}" for c in ('l_quantity', 'l_extendedprice'))}, flag
+      FROM fl WHERE flag = 'train') SELECT {KEY}, {', '.join(f"round({expr.format(c=c)}, {digits}) AS {c}" for c in ('l_quantity', 'l_extendedprice'))}, flag
       FROM fl, s WHERE flag IN ('train', 'test')"""
 
 
-def _scaled(spark, d, strategy):
+def _scaled(spark, d, strategy, digits=8):
     out = prep.scale_columns(flagged(spark, d), ["l_quantity", "l_extendedprice"], strategy, "flag")
-    return rounded(out, 8, "l_quantity", "l_extendedprice")
+    return rounded(out, digits, "l_quantity", "l_extendedprice")
 
 
 @query("scale_max", _scale_sql("{c} / hi_{c}"))
@@ -157,9 +157,9 @@ def scale_minmax(spark, d):
     return _scaled(spark, d, "minmax")
 
 
-@query("scale_standard", _scale_sql("({c} - m_{c}) / s_{c}"))
+@query("scale_standard", _scale_sql("({c} - m_{c}) / s_{c}", 6))
 def scale_standard(spark, d):
-    return _scaled(spark, d, "standard")
+    return _scaled(spark, d, "standard", 6)
 
 
 SQL_BRANDED = """br AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, p_brand, p_type,

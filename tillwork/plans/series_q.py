@@ -152,11 +152,11 @@ def bfill(spark, d):
           first_value(CASE WHEN sales IS NOT NULL THEN pos END IGNORE NULLS) OVER f AS p1 FROM p
         WINDOW b AS (PARTITION BY seg ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
           f AS (PARTITION BY seg ORDER BY day ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-    SELECT seg, day, round(coalesce(sales, v0 + (v1 - v0) * (pos - p0) / nullif(p1 - p0, 0), v0, v1), 5) AS sales FROM k""",
+    SELECT seg, day, round(coalesce(sales, v0 + (v1 - v0) * (pos - p0) / nullif(p1 - p0, 0), v0, v1), 8) AS sales FROM k""",
 )
 def interpolate(spark, d):
     out = timeseries.interpolate(daily_gaps(spark, d).drop("n_orders"), ["sales"], "day", ["seg"])
-    return rounded(out, 5, "sales")
+    return rounded(out, 8, "sales")
 
 
 def _season_sql(part, name):
