@@ -192,7 +192,7 @@ def negate_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def sample_fraction(df: DataFrame, keys: Sequence[str], fraction: float, seed: int) -> DataFrame:
     """Exactly ``round(fraction * n)`` rows, chosen by seeded hash order of the key."""
-    taken = take_by_hash(df, keys, seed, F.bround(F.lit(fraction) * F.col("n")))
+    taken = take_by_hash(df, keys, seed, {"taken": F.bround(F.lit(fraction) * F.col("n"))})
     return taken.filter("taken").drop("taken")
 
 

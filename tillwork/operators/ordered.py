@@ -18,7 +18,7 @@ from pyspark.sql import Window
 
 from tillwork.functions.hashing import hash_order, hash_prefix
 from tillwork.functions.numeric import all_of
-from tillwork.session import fits_single_task, materialise
+from tillwork.session import attach_row, fits_single_task, materialise
 
 
 def _group_window(by: Sequence[str]):
@@ -86,7 +86,12 @@ def quantile_table(
     by: Sequence[str] = (),
     limit: int | None = None,
 ) -> DataFrame:
-    """Exact, linearly interpolated quantiles: ``(by..., column, q array<double>)``."""
+    """Exact, linearly interpolated quantiles: ``(by..., column, q array<double>)``.
+
+    Small inputs use the ``percentile`` aggregate.  For large ones whole-column
+    quantiles are narrowed down in two scans, and grouped quantiles come from
+    distributed ranks of the distinct values.
+    """
     by, columns, probs = list(by), list(columns), [float(p) for p in probs]
     if fits_single_task(df, limit):
         wide = df.groupBy(*by).agg(
@@ -96,9 +101,12 @@ def quantile_table(
         pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_q{i}").alias("q"))
                           for i, c in enumerate(columns)])
         return wide.select(*by, F.inline(pairs))
-    long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [F.col(b) for b in by], [F.col(c) for c in columns], "column", "value"
-    )
+    numbers = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    if not by:
+        found = _narrowed_quantiles(numbers, columns, probs, limit)
+        if found is not None:
+            return df.sparkSession.createDataFrame(list(found.items()), "column string, q array<double>")
+    long = numbers.unpivot([F.col(b) for b in by], [F.col(c) for c in columns], "column", "value")
     keys = [*by, "column"]
     ranked = running_before(value_counts(long, "value", keys), keys, ["value"], ["n"], limit)
     start, end = F.col("n_before"), F.col("n_before") + F.col("n")
@@ -116,6 +124,59 @@ def quantile_table(
     return table.select(*keys, F.array(*parts).alias("q"))
 
 
+#: Accuracy of the sketch that brackets a quantile: rank error at most n / ACCURACY.
+ACCURACY = 10_000
+
+
+def _narrowed_quantiles(
+    df: DataFrame, columns: list[str], probs: list[float], limit: int | None
+) -> dict[str, list[float] | None] | None:
+    """Exact quantiles of whole columns without shuffling the column.
+
+    One scan brackets every quantile by a sketch with a guaranteed rank error;
+    a second counts the rows below each bracket on the map side and groups
+    only the values inside it, a small share of the rows.  Returns None if a
+    rank should lie outside its bracket; the caller then ranks all values.
+    """
+    slack = 2.0 / ACCURACY
+    marks = [m for p in probs for m in (max(p - slack, 0.0), min(p + slack, 1.0))]
+    sketch = df.agg(*[e for i, c in enumerate(columns) for e in (
+        F.count(c).alias(f"n{i}"), F.min(c).alias(f"min{i}"), F.max(c).alias(f"max{i}"),
+        F.percentile_approx(c, [float(m) for m in marks], ACCURACY).alias(f"m{i}"))]).first()
+    cells = []
+    for i, c in enumerate(columns):
+        if not sketch[f"n{i}"]:
+            continue
+        for k, p in enumerate(probs):
+            low = sketch[f"min{i}"] if p - slack <= 0 else sketch[f"m{i}"][2 * k]
+            high = sketch[f"max{i}"] if p + slack >= 1 else sketch[f"m{i}"][2 * k + 1]
+            cells.append((i, k, c, low, high, p * (sketch[f"n{i}"] - 1)))
+    result: dict[str, list[float] | None] = {c: ([None] * len(probs) if sketch[f"n{i}"] else None)
+                                             for i, c in enumerate(columns)}
+    if not cells:
+        return result
+    below = df.agg(*[F.count(F.when(F.col(c) < low, 1)).alias(f"b{i}_{k}") for i, k, c, low, _, _ in cells]).first()
+    inside = F.filter(F.array(*[
+        F.when(F.col(c).between(low, high), F.struct(F.lit(i).alias("i"), F.lit(k).alias("k"), F.col(c).alias("v")))
+        for i, k, c, low, high, _ in cells]), lambda x: x.isNotNull())
+    counts = df.select(F.inline(inside)).groupBy("i", "k", "v").agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_before(counts, ["i", "k"], ["v"], ["n"], limit)
+    picks = []
+    for i, k, _, _, _, pos in cells:
+        start = F.col("n_before") + F.lit(below[f"b{i}_{k}"])
+        here = (F.col("i") == i) & (F.col("k") == k)
+        for tag, at in (("lo", int(pos)), ("hi", -int(-pos // 1))):
+            hit = here & (F.lit(at) >= start) & (F.lit(at) < start + F.col("n"))
+            picks.append(F.max(F.when(hit, F.col("v"))).alias(f"{tag}{i}_{k}"))
+    values = ranked.agg(*picks).first()
+    for i, k, c, _, _, pos in cells:
+        lo, hi = values[f"lo{i}_{k}"], values[f"hi{i}_{k}"]
+        if lo is None or hi is None:
+            return None
+        result[c][k] = lo + (hi - lo) * (pos - int(pos))
+    return result
+
+
 def quantile_row(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], limit: int | None = None
 ) -> DataFrame:
@@ -146,48 +207,63 @@ def top_per_key(
     return out if rank else out.drop(name)
 
 
+#: Strata whose cuts are kept as a driver-side table, so that joining them never shuffles the rows.
+LOCAL_STRATA = 100_000
+
+
 def take_by_hash(
     df: DataFrame,
     keys: Sequence[str],
     seed: int | str,
-    take: Column,
+    takes: dict[str, Column],
     strata: Sequence[str] = (),
-    flag: str = "taken",
     digits: int = 4,
 ) -> DataFrame:
-    """Flag exactly ``take`` rows per stratum, the lowest in seeded hash order.
+    """Flag exactly the requested number of rows per stratum, lowest in seeded hash order.
 
-    ``take`` is a column expression over the stratum size ``n``.  Rows are
-    counted per hash prefix; prefixes below the cut are taken whole, and only
-    the rows of the one prefix on the cut are ranked, so no stratum is ever
-    sorted as a whole.  NULL strata are dropped.
+    ``takes`` maps flag names to expressions over the stratum size ``n``; the
+    flags share one order, so a larger request includes a smaller one.  Rows
+    are counted per hash prefix; only the rows of the prefix that holds a cut
+    are ranked, which gives the exact position of the cut.  No stratum is ever
+    sorted as a whole, and flagging is a comparison per row.  NULL strata are
+    dropped.
     """
-    strata, keys = list(strata), list(keys)
-    rows = df.filter(all_of([F.col(s).isNotNull() for s in strata])).withColumn("_digest", hash_order(keys, seed))
-    rows = rows.withColumn("_prefix", hash_prefix(F.col("_digest"), digits))
-    sizes = rows.groupBy(*strata, "_prefix").agg(F.count(F.lit(1)).alias("_rows"))
+    strata, keys, flags = list(strata), list(keys), list(takes)
+    rows = df.filter(all_of([F.col(s).isNotNull() for s in strata])) if strata else df
+    digest = hash_order(keys, seed)
+    position = F.struct(digest.alias("_h"), *[F.col(k) for k in keys])
+    slim = rows.select(*strata, position.alias("_at"), hash_prefix(digest, digits).alias("_prefix"))
+    sizes = slim.groupBy(*strata, "_prefix").agg(F.count(F.lit(1)).alias("_rows"))
     group = _group_window(strata)
     sizes = sizes.select(
         *strata, "_prefix", "_rows",
         (F.sum("_rows").over(group.orderBy("_prefix")) - F.col("_rows")).alias("_before"),
         F.sum("_rows").over(group).alias("n"),
-    ).withColumn("_want", F.least(take.cast("bigint"), F.col("n")))
-    cut = sizes.filter((F.col("_before") < F.col("_want")) & (F.col("_want") <= F.col("_before") + F.col("_rows")))
-    cut = cut.select(
-        *[F.col(s).alias(f"_s_{s}") for s in strata],
-        F.col("_prefix").alias("_cut"), (F.col("_want") - F.col("_before")).alias("_need"),
     )
-    same = all_of([F.col(s) == F.col(f"_s_{s}") for s in strata])
-    joined = rows.join(F.broadcast(cut), F.lit(True), "left") if not strata else rows.join(cut, same, "left")
-    clear = joined.filter(F.col("_cut").isNull() | (F.col("_prefix") != F.col("_cut")))
-    clear = clear.withColumn(flag, F.coalesce(F.col("_prefix") < F.col("_cut"), F.lit(False)))
-    on_cut = joined.filter(F.col("_prefix") == F.col("_cut"))
-    rank = F.row_number().over(
-        Window.partitionBy(*strata, "_prefix").orderBy("_digest", *[F.col(k) for k in keys])
-    )
-    on_cut = on_cut.withColumn("_rank", rank).withColumn(flag, F.col("_rank") <= F.col("_need"))
-    columns = [*df.columns, flag]
-    return clear.select(*columns).unionByName(on_cut.select(*columns))
+    wants = F.array(*[F.struct(F.lit(i).alias("_flag"), F.least(t.cast("bigint"), F.col("n")).alias("_want"))
+                      for i, t in enumerate(takes.values())])
+    cut = sizes.select(*strata, "_prefix", "_rows", "_before", F.inline(wants))
+    cut = cut.filter((F.col("_before") < F.col("_want")) & (F.col("_want") <= F.col("_before") + F.col("_rows")))
+    cut = cut.select(*strata, "_prefix", "_flag", (F.col("_want") - F.col("_before")).alias("_need"))
+    on_cut = slim.join(_local_if_small(cut), [*strata, "_prefix"])
+    rank = F.row_number().over(Window.partitionBy(*strata, "_prefix", "_flag").orderBy("_at"))
+    last = on_cut.withColumn("_rank", rank).filter(F.col("_rank") == F.col("_need"))
+    last = last.groupBy(*[F.col(s).alias(f"_s_{s}") for s in strata]).agg(
+        *[F.max(F.when(F.col("_flag") == i, F.col("_at"))).alias(f"_cut{i}") for i in range(len(flags))])
+    if strata:
+        same = all_of([F.col(s) == F.col(f"_s_{s}") for s in strata])
+        marked = rows.join(_local_if_small(last), same, "left")
+    else:
+        marked = attach_row(rows, _local_if_small(last))
+    marked = marked.withColumns({
+        f: F.coalesce(position <= F.col(f"_cut{i}"), F.lit(False)) for i, f in enumerate(flags)})
+    return marked.select(*df.columns, *flags)
+
+
+def _local_if_small(df: DataFrame, rows: int = LOCAL_STRATA) -> DataFrame:
+    """Fetch a table of known small size, so that Spark knows its size when it joins; else keep it lazy."""
+    found = df.limit(rows + 1).collect()
+    return df.sparkSession.createDataFrame(found, df.schema) if len(found) <= rows else df
 
 
 def dense_ids(df: DataFrame, columns: Sequence[str], name: str = "id", limit: int | None = None) -> DataFrame:

@@ -101,23 +101,30 @@ def as_lists(ranked: DataFrame, user: str, item: str, score: str) -> DataFrame:
 
 # ---- nearest users ---------------------------------------------------------
 
-def _dense(rows, index: dict, width: int) -> np.ndarray:
-    out = np.zeros((len(rows), width))
-    for i, pairs in enumerate(rows):
-        for p in pairs:
-            at = index.get(p["item"])
-            if at is not None:
-                out[i, at] = p["x"]
-    return out
+def _flat(items, values) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers, items and values of a list of sparse vectors."""
+    sizes = [len(v) for v in items]
+    return np.repeat(np.arange(len(sizes)), sizes), np.concatenate(list(items)), np.concatenate(list(values))
 
 
 def _similarities(left, right) -> np.ndarray:
-    """Cosines of two lists of sparse unit vectors, item columns in blocks."""
-    items = sorted({p["item"] for row in right for p in row})
-    out = np.zeros((len(left), len(right)))
-    for start in range(0, len(items), 2048):
-        index = {c: i for i, c in enumerate(items[start:start + 2048])}
-        out += _dense(left, index, len(index)) @ _dense(right, index, len(index)).T
+    """Cosines of two lists of sparse unit vectors ``(items, values)``, item columns in blocks."""
+    (lr, li, lx), (rr, ri, rx) = _flat(*left), _flat(*right)
+    catalog = np.unique(ri)
+    la, ra = np.searchsorted(catalog, li), np.searchsorted(catalog, ri)
+    known = la < len(catalog)
+    known[known] = catalog[la[known]] == li[known]
+    lr, la, lx = lr[known], la[known], lx[known]
+    out = np.zeros((len(left[0]), len(right[0])))
+    for start in range(0, len(catalog), 2048):
+        width = min(2048, len(catalog) - start)
+        parts = []
+        for rows, at, x, size in ((lr, la, lx, len(left[0])), (rr, ra, rx, len(right[0]))):
+            use = (at >= start) & (at < start + width)
+            dense = np.zeros((size, width))
+            dense[rows[use], at[use] - start] = x[use]
+            parts.append(dense)
+        out += parts[0] @ parts[1].T
     return out
 
 
@@ -138,25 +145,27 @@ def user_neighbours(
     rows = long.filter((F.col(value) != 0) & F.col(user).isNotNull())
     norms = rows.groupBy(user).agg(
         F.sqrt(F.sum(F.col(value) * F.col(value))).alias("_norm"), F.collect_list(F.struct(item, value)).alias("_p"))
-    vectors = materialise(norms.select(F.col(user).alias("u"), F.transform(
-        "_p", lambda p: F.struct(p[item].alias("item"), (p[value] / F.col("_norm")).alias("x"))).alias("v")))
+    vectors = materialise(norms.select(
+        F.col(user).alias("u"), F.transform("_p", lambda p: p[item]).alias("i"),
+        F.transform("_p", lambda p: p[value] / F.col("_norm")).alias("x")))
     chosen = vectors.orderBy(F.xxhash64("u"), "u").limit(pivots).collect()
-    centres = [r["v"] for r in chosen]
+    centres = ([np.array(r["i"]) for r in chosen], [np.array(r["x"]) for r in chosen])
     margin = 1e-4  # covers rounded ties
 
-    def angles(vs) -> np.ndarray:
-        return np.arccos(np.clip(_similarities(list(vs), centres), -1.0, 1.0))
+    def angles(pdf: pd.DataFrame) -> np.ndarray:
+        return np.arccos(np.clip(_similarities((pdf["i"], pdf["x"]), centres), -1.0, 1.0))
 
     user_type = long.schema[user].dataType.simpleString()
-    vector_type = vectors.schema["v"].dataType.simpleString()
+    vector_type = f"u {user_type}, i {vectors.schema['i'].dataType.simpleString()}, x array<double>"
 
     def locate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            a = angles(pdf["v"])
-            nearest = a.argmin(axis=1)
-            yield pd.DataFrame({"u": pdf["u"], "v": pdf["v"], "cell": nearest, "angle": a[np.arange(len(a)), nearest]})
+            if len(pdf):
+                a = angles(pdf)
+                nearest = a.argmin(axis=1)
+                yield pdf.assign(cell=nearest, angle=a[np.arange(len(a)), nearest])
 
-    located = materialise(vectors.mapInPandas(locate, f"u {user_type}, v {vector_type}, cell int, angle double"))
+    located = materialise(vectors.mapInPandas(locate, f"{vector_type}, cell int, angle double"))
     cells = located.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius")).collect()
     sizes = {r["cell"]: r["n"] for r in cells}
     radius = {r["cell"]: r["radius"] for r in cells}
@@ -167,7 +176,9 @@ def user_neighbours(
 
     def targets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            a = angles(pdf["v"])[:, ids]
+            if not len(pdf):
+                continue
+            a = angles(pdf)[:, ids]
             order = np.argsort(a + r_of, axis=1)
             reach = np.take_along_axis(a + r_of, order, axis=1)
             enough = np.cumsum(n_of[order], axis=1) >= k
@@ -175,25 +186,26 @@ def user_neighbours(
             limit = reach[np.arange(len(a)), at] + margin
             search = a - r_of <= limit[:, None]
             which = [[int(c) for c in ids[s]] for s in search]
-            yield pd.DataFrame({"u": pdf["u"], "v": pdf["v"], "cells": which})
+            yield pdf[["u", "i", "x"]].assign(cells=which)
 
     n_blocks = F.element_at(F.create_map(*[F.lit(x) for kv in blocks.items() for x in kv]), F.col("cell"))
     slot = F.xxhash64("u")
     members = located.select(
-        "cell", F.pmod(slot, n_blocks.cast("bigint")).alias("block"), F.struct("u", "v").alias("p"))
+        "cell", F.pmod(slot, n_blocks.cast("bigint")).alias("block"), F.struct("u", "i", "x").alias("p"))
     members = members.groupBy("cell", "block").agg(F.collect_list("p").alias("members"))
-    asked = located.mapInPandas(targets, f"u {user_type}, v {vector_type}, cells array<int>")
-    asked = asked.select("u", "v", F.explode("cells").alias("cell")).withColumn(
+    asked = located.mapInPandas(targets, f"{vector_type}, cells array<int>")
+    asked = asked.select("u", "i", "x", F.explode("cells").alias("cell")).withColumn(
         "block", F.explode(F.sequence(F.lit(0).cast("bigint"), n_blocks.cast("bigint") - 1)))
     total = sum(sizes.values())
     parts = max(1, -(-total // cell_rows))
     asked = asked.withColumn("part", F.pmod(F.xxhash64("u", F.lit("q")), F.lit(parts))).groupBy("cell", "block", "part").agg(
-        F.collect_list(F.struct("u", "v")).alias("asked"))
+        F.collect_list(F.struct("u", "i", "x")).alias("asked"))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for left, right in zip(pdf["asked"], pdf["members"]):
-                s = np.round(_similarities([p["v"] for p in left], [p["v"] for p in right]), digits)
+                s = np.round(_similarities(
+                    ([p["i"] for p in left], [p["x"] for p in left]), ([p["i"] for p in right], [p["x"] for p in right])), digits)
                 names = np.array([p["u"] for p in right])
                 by_name = np.argsort(names, kind="stable")
                 s, names = s[:, by_name], names[by_name]
@@ -255,6 +267,7 @@ def baselines(
     ratings: DataFrame, user: str, item: str, rating: str, epochs: int = 10, damp_user: float = 15.0, damp_item: float = 10.0
 ) -> tuple[float, DataFrame, DataFrame]:
     """Global mean, user biases and item biases by damped alternating means."""
+    ratings = materialise(ratings.select(user, item, rating))
     mean = ratings.agg(F.avg(rating)).first()[0]
     if mean is None:
         raise ValueError("no ratings")
@@ -480,7 +493,7 @@ def co_clustering(
     Each epoch is three aggregations over the ratings; cluster averages are a
     handful of numbers, and assignments are checkpointed tables.
     """
-    base = ratings.select(user, item, F.col(rating).cast("double").alias("_r")).dropna()
+    base = materialise(ratings.select(user, item, F.col(rating).cast("double").alias("_r")).dropna())
     u_mean = base.groupBy(user).agg(F.avg("_r").alias("_um"))
     i_mean = base.groupBy(item).agg(F.avg("_r").alias("_im"))
     overall = base.agg(F.avg("_r")).first()[0]

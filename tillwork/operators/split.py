@@ -12,15 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.functions.hashing import hash_order
-from tillwork.operators.eda import quantile_bin, with_quantile_bins
+from tillwork.operators.eda import quantile_bin
 from tillwork.operators.ordered import quantile_table, take_by_hash, top_per_key
 
 
-def quantile_edges(df: DataFrame, column: str, bins: int) -> list[float]:
-    """Exact quantile edges of a column; repeated edges are an error."""
+def quantile_edges(df: DataFrame, column: str, bins: int, unique: bool = True) -> list[float]:
+    """Exact quantile edges of a column, a short list; repeated edges are an error unless allowed."""
     row = quantile_table(df, [column], [i / bins for i in range(bins + 1)]).first()
     edges = list(row["q"]) if row is not None and row["q"] is not None else []
-    if len(set(edges)) != len(edges):
+    if unique and len(set(edges)) != len(edges):
         raise ValueError(f"bin edges of {column!r} are not unique: {edges}")
     return edges
 
@@ -40,7 +40,7 @@ def stratified_split(
     belong to their own rows; in the surveyed code they slip after a sort.
     """
     rows = df.withColumn("_stratum", by(df) if callable(by) else F.col(by))
-    taken = take_by_hash(rows, keys, seed, F.bround(F.lit(test_size) * F.col("n")), ["_stratum"])
+    taken = take_by_hash(rows, keys, seed, {"taken": F.bround(F.lit(test_size) * F.col("n"))}, ["_stratum"])
     return taken.withColumn(name, F.when(F.col("taken"), "test").otherwise("train")).drop("_stratum", "taken")
 
 
@@ -48,8 +48,8 @@ def stratified_split_numeric(
     df: DataFrame, keys: Sequence[str], target: str, bins: int = 10, test_size: float = 0.2, seed: int = 42
 ) -> DataFrame:
     """Stratified split on quantile bins of a numeric target."""
-    binned = with_quantile_bins(df, [target], bins, "_bin_")
-    return stratified_split(binned, keys, f"_bin_{target}", test_size, seed).drop(f"_bin_{target}")
+    edges = [F.lit(e) for e in quantile_edges(df, target, bins, unique=False)]
+    return stratified_split(df, keys, lambda _: quantile_bin(target, edges), test_size, seed)
 
 
 def split_per_user(
@@ -90,7 +90,6 @@ def edge_split(
 ) -> DataFrame:
     """Exact shares of rows for test and validation, the rest for training."""
     n_test, n_val = F.floor(F.lit(test) * F.col("n")), F.floor(F.lit(validation) * F.col("n"))
-    held = take_by_hash(df, keys, seed, n_test + n_val, flag="_held")
-    both = take_by_hash(held, keys, seed, n_test, flag="_test")
+    both = take_by_hash(df, keys, seed, {"_test": n_test, "_held": n_test + n_val})
     side = F.when(F.col("_test"), "test").when(F.col("_held"), "validation").otherwise("train")
     return both.withColumn(name, side).drop("_test", "_held")

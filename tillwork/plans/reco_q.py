@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.hashing import hash_order
 from tillwork.operators import metrics, reco
+from tillwork.session import materialise
 
 from .eda_q import rounded
 from .registry import query, table
@@ -27,6 +28,7 @@ def bought(spark, d):
 def ratings(spark, d):
     """Train and test ratings of customers for brands, split by hash of the pair."""
     rows = bought(spark, d).groupBy("o_custkey", "p_brand").agg(F.avg(1 + F.col("l_quantity") % 5).alias("rating"))
+    rows = materialise(rows)  # the models read their ratings several times
     held = F.substring(hash_order(["o_custkey", "p_brand"], 7), 1, 1).isin("0", "1", "2")
     return rows.filter(~held), rows.filter(held)
 
