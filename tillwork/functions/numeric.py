@@ -38,6 +38,11 @@ def sum_or_zero(c: Column | str) -> Column:
     return F.coalesce(F.sum(as_col(c)), F.lit(0).cast("double"))
 
 
+def pearson(x: Column | str, y: Column | str) -> Column:
+    """Pearson correlation; NULL where a side is constant (the built-in fails there under ANSI rules)."""
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y)))
+
+
 def product(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a * b, cols, F.lit(1.0))
 

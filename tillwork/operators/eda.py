@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.functions.numeric import all_of, divide, half_even, total
+from tillwork.functions.numeric import all_of, divide, half_even, pearson, total
 from tillwork.operators.clean import columns_of_type
 from tillwork.operators.ordered import quantile_row, quantile_table, top_per_key
 from tillwork.session import attach_row
@@ -17,7 +17,7 @@ from tillwork.session import attach_row
 
 # ---- correlation -----------------------------------------------------------
 
-def pair_statistics(df: DataFrame, pairs: Sequence[tuple[str, str]], statistic=F.corr, name: str = "corr") -> DataFrame:
+def pair_statistics(df: DataFrame, pairs: Sequence[tuple[str, str]], statistic=pearson, name: str = "corr") -> DataFrame:
     """Long ``(x, y, <name>)`` for column pairs, pairwise complete, in one aggregate."""
     def one(x, y):
         both = F.col(x).isNotNull() & F.col(y).isNotNull()

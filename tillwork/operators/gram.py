@@ -142,6 +142,8 @@ class LinearFit:
 def solve_ols(g: Gram) -> LinearFit:
     """Least squares with intercept from the moments."""
     p = len(g.xs)
+    if g.n <= p + 1:
+        raise ValueError(f"{g.n} complete rows are too few for {p} features")
     inverse = np.linalg.inv(g.sxx)
     beta = inverse @ g.sxy
     explained = float(beta @ g.sxy)
