@@ -15,7 +15,7 @@ from tillwork.functions.dates import quarter_label
 from tillwork.functions.numeric import divide, product, sum_or_zero, total
 from tillwork.operators.prep import fill_values
 from tillwork.operators.reshape import config_rows
-from tillwork.session import attach_row
+from tillwork.session import attach_row, small_side
 
 
 # ---- marketing-mix attribution ---------------------------------------------
@@ -26,7 +26,7 @@ def _with_model(
     """Panel rows with their group's coefficients and their actual and predicted values."""
     group = coefficients.columns[0]
     rows = data.select(date_col, group, *[F.col(c).cast("double").alias(c) for c in variables])
-    rows = rows.join(coefficients, group, "left")
+    rows = rows.join(small_side(coefficients), group, "left")
     return rows.join(act_vs_preds.select(date_col, group, "actuals", "preds"), [date_col, group], "left"), group
 
 
@@ -80,21 +80,25 @@ def _period_sums(df: DataFrame, period: Column, columns: Sequence[str], prefix:
     rows = df.select(period.alias("period"), *columns)
     grouped = rows.rollup("period") if overall else rows.groupBy("period")
     label = F.when(F.grouping_id() == 1, "Overall").otherwise(F.col("period")) if overall else F.col("period")
-    sums = [sum_or_zero(c).alias(f"{prefix}{i}") for i, c in enumerate(columns)]
+    sums = [sum_or_zero(c).alias(f"{prefix}{i}") for i, c in enumerate(columns)] + [F.count(F.lit(1)).alias(f"{prefix}_rows")]
     if not overall:
         return grouped.agg(*sums)
     return grouped.agg(label.alias("_label"), *sums).select(
-        F.col("_label").alias("period"), *[f"{prefix}{i}" for i in range(len(columns))])
+        F.col("_label").alias("period"), f"{prefix}_rows", *[f"{prefix}{i}" for i in range(len(columns))])
 
 
 def _by_period(data, attribution, time_period, mapping, date_col, overall):
     rows = config_rows(mapping)
     period = _period(date_col, time_period)
-    if data.count() != attribution.count():
-        raise ValueError("data and attribution differ in their number of rows")
     spend = _period_sums(data, period, [r["variable_spend"] for r in rows], "s", overall)
     gain = _period_sums(attribution, period, [f"ac_{r['variable_name']}" for r in rows], "a", overall)
-    return spend.join(gain, "period"), [r["variable_description"] for r in rows]
+    # both sides hold one row per period of the calendar
+    joined = spend.join(gain, "period", "full_outer")
+    found = joined.collect()
+    if any(r["s_rows"] != r["a_rows"] for r in found):
+        raise ValueError("data and attribution differ in their number of rows")
+    table = data.sparkSession.createDataFrame(found, joined.schema)
+    return table, [r["variable_description"] for r in rows]
 
 
 def roas(
@@ -164,7 +168,7 @@ def linear_predictor(
     if random_intercepts is None:
         return df.withColumn(name, fixed)
     extra = random_intercepts.select(F.col("group_var").alias("_group"), F.col("beta").alias("_random"))
-    joined = df.join(extra, F.col(group) == F.col("_group"), "left")
+    joined = df.join(small_side(extra), F.col(group) == F.col("_group"), "left")
     return joined.withColumn(name, fixed + F.col("_random")).drop("_group", "_random")
 
 

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.functions import dates
+from tillwork.session import small_side
 
 
 def add_fiscal_calendar(df: DataFrame, date_col: str, calendar: DataFrame | None = None, calendar_date: str | None = None) -> DataFrame:
     """Calendar attributes ``Year``, ``Month``, ``Week``, ``Quarter``, or a left join to a given calendar."""
     if calendar is not None:
         right = calendar.withColumnRenamed(calendar_date or date_col, "_calendar_day")
-        return df.join(right, F.col(date_col) == F.col("_calendar_day"), "left").drop("_calendar_day")
+        return df.join(small_side(right), F.col(date_col) == F.col("_calendar_day"), "left").drop("_calendar_day")
     return df.withColumns({
         "Year": dates.year_label(date_col),
         "Month": dates.month_name(date_col),
@@ -44,5 +45,5 @@ def add_holidays(
     elif granularity == "Month":
         days = move_to_month_end(days, "_holiday")
     counts = days.filter(F.col("_holiday").isNotNull()).groupBy("_holiday").agg(F.count(F.lit(1)).alias("Is_Holiday"))
-    joined = df.join(counts, F.col(date_col) == F.col("_holiday"), "left").drop("_holiday")
+    joined = df.join(small_side(counts), F.col(date_col) == F.col("_holiday"), "left").drop("_holiday")
     return joined.withColumn("Is_Holiday", F.coalesce("Is_Holiday", F.lit(0).cast("bigint")))

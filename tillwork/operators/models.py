@@ -24,7 +24,7 @@ from tillwork.operators.eda import correlation_matrix
 from tillwork.operators.metrics import regression_metrics
 from tillwork.operators.ordered import take_by_hash
 from tillwork.operators.prep import trim_top
-from tillwork.session import SINGLE_TASK_BYTES, attach_row, materialise
+from tillwork.session import SINGLE_TASK_BYTES, attach_row, materialise, small_side
 
 COEFFICIENT_TABLE = "feature string, coefficient double, std_error double, t_value double, p_value double, vif double"
 
@@ -148,7 +148,7 @@ def score_by_group(df: DataFrame, coefficients: DataFrame, xs: Sequence[str], by
     """Score rows with their group's long coefficients; groups without a model give NULL."""
     wide = coefficients.groupBy(*by).agg(
         *[F.max(F.when(F.col("feature") == c, F.col("coefficient"))).alias(f"_b{i}") for i, c in enumerate(["intercept", *xs])])
-    joined = df.join(wide, list(by), "left")
+    joined = df.join(small_side(wide), list(by), "left")
     return joined.withColumn(name, total([F.col(f"_b{i + 1}") * F.col(c) for i, c in enumerate(xs)]) + F.col("_b0")).select(
         *df.columns, name)
 
@@ -194,7 +194,7 @@ def _expectation(pdf: pd.DataFrame, p: int, z: list[int], beta, d, sigma2) -> np
 
 def linear_mixed_effects(
     df: DataFrame, xs: Sequence[str], y: str, group: str, random: Sequence[str] = (), iterations: int = 100,
-    tol: float = 1e-8, box: dict[str, tuple[float, float]] | None = None, limit: int = SINGLE_TASK_BYTES // 8,
+    tol: float = 1e-8, box: dict[str, tuple[float, float]] | None = None, limit: int = SINGLE_TASK_BYTES,
 ) -> tuple[dict[str, float], DataFrame]:
     """Random intercept and slopes by group, fitted by expectation-maximisation.
 

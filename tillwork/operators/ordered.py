@@ -18,7 +18,7 @@ from pyspark.sql import Window
 
 from tillwork.functions.hashing import hash_order, hash_prefix
 from tillwork.functions.numeric import all_of
-from tillwork.session import attach_row, fits_single_task, materialise
+from tillwork.session import attach_row, fits_single_task, materialise, small_side
 
 
 def _group_window(by: Sequence[str]):
@@ -207,10 +207,6 @@ def top_per_key(
     return out if rank else out.drop(name)
 
 
-#: Strata whose cuts are kept as a driver-side table, so that joining them never shuffles the rows.
-LOCAL_STRATA = 100_000
-
-
 def take_by_hash(
     df: DataFrame,
     keys: Sequence[str],
@@ -245,27 +241,21 @@ def take_by_hash(
     cut = sizes.select(*strata, "_prefix", "_rows", "_before", F.inline(wants))
     cut = cut.filter((F.col("_before") < F.col("_want")) & (F.col("_want") <= F.col("_before") + F.col("_rows")))
     cut = cut.select(*strata, "_prefix", "_flag", (F.col("_want") - F.col("_before")).alias("_need"))
-    on_cut = slim.join(_local_if_small(cut), [*strata, "_prefix"])
+    on_cut = slim.join(small_side(cut), [*strata, "_prefix"])
     rank = F.row_number().over(Window.partitionBy(*strata, "_prefix", "_flag").orderBy("_at"))
     last = on_cut.withColumn("_rank", rank).filter(F.col("_rank") == F.col("_need"))
     last = last.groupBy(*[F.col(s).alias(f"_s_{s}") for s in strata]).agg(
         *[F.max(F.when(F.col("_flag") == i, F.col("_at"))).alias(f"_cut{i}") for i in range(len(flags))])
     if strata:
         same = all_of([F.col(s) == F.col(f"_s_{s}") for s in strata])
-        marked = rows.join(_local_if_small(last), same, "left")
+        marked = rows.join(small_side(last), same, "left")
     else:
-        marked = attach_row(rows, _local_if_small(last))
+        marked = attach_row(rows, small_side(last))
     marked = marked.withColumns({
         f: F.coalesce(position <= F.col(f"_cut{i}"), F.lit(False)) for i, f in enumerate(flags)})
     return marked.select(*df.columns, *flags)
 
 
-def _local_if_small(df: DataFrame, rows: int = LOCAL_STRATA) -> DataFrame:
-    """Fetch a table of known small size, so that Spark knows its size when it joins; else keep it lazy."""
-    found = df.limit(rows + 1).collect()
-    return df.sparkSession.createDataFrame(found, df.schema) if len(found) <= rows else df
-
-
 def dense_ids(df: DataFrame, columns: Sequence[str], name: str = "id", limit: int | None = None) -> DataFrame:
     """Distinct non-NULL key tuples with a dense 0-based id in key order."""
     columns = list(columns)

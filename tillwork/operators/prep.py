@@ -16,7 +16,7 @@ from tillwork.operators.ordered import quantile_row
 from tillwork.operators.quality import missing_proportions
 from tillwork.operators.split import quantile_edges
 from tillwork.operators.timeseries import fill_backward, fill_forward, interpolate
-from tillwork.session import attach_row
+from tillwork.session import attach_row, small_side
 
 # ---- outliers --------------------------------------------------------------
 
@@ -221,7 +221,7 @@ class TargetEncoder:
     prior: DataFrame | None = field(default=None, repr=False)
 
     def fit(self, df: DataFrame) -> "TargetEncoder":
-        self.tables = {c: target_means(df, c, self.target).drop("_prior") for c in self.columns}
+        self.tables = {c: small_side(target_means(df, c, self.target).drop("_prior")) for c in self.columns}
         self.prior = df.agg(F.avg(self.target).alias("_prior"))
         return self
 
@@ -277,7 +277,7 @@ class WoeEncoder:
     def fit(self, df: DataFrame) -> "WoeEncoder":
         for c in self.columns:
             self.edges[c] = quantile_edges(df, c, self.bins)
-            self.weights[c] = woe_table(self._binned(df, c), "_bin", self.target).select("_bin", "woe")
+            self.weights[c] = small_side(woe_table(self._binned(df, c), "_bin", self.target).select("_bin", "woe"))
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:

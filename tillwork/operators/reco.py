@@ -21,7 +21,7 @@ from tillwork.functions.numeric import any_of, divide
 from tillwork.operators.joins import keep_missing
 from tillwork.operators.metrics import regression_metrics
 from tillwork.operators.ordered import dense_ids, top_per_key
-from tillwork.session import attach_row, materialise
+from tillwork.session import LOCAL_ROWS, attach_row, materialise, small_side
 
 #: Items handled together in one array or matrix.
 ITEM_BLOCK = 10_000
@@ -75,9 +75,11 @@ def unseen_items(users: DataFrame, seen: DataFrame, items: DataFrame, user: str,
     only at the end and no pair is joined or deduplicated.
     """
     catalog = items.select(item).dropna().distinct()
-    blocks = max(1, -(-catalog.count() // ITEM_BLOCK))
+    size = catalog.count()
+    blocks = max(1, -(-size // ITEM_BLOCK))
     block = F.pmod(F.xxhash64(item), F.lit(blocks))
     packed = catalog.withColumn("_block", block).groupBy("_block").agg(F.collect_list(item).alias("_items"))
+    packed = F.broadcast(packed) if size <= LOCAL_ROWS else packed
     numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))
     asked = users.select(user).dropna().distinct().withColumn("_block", F.explode(numbers))
     had = seen.select(user, item).dropna().withColumn("_block", block).groupBy(user, "_block").agg(
@@ -276,29 +278,36 @@ def baselines(
         rows = ratings.join(users, user) if users is not None else ratings.withColumn("b_user", F.lit(0.0))
         items = rows.groupBy(item).agg(
             (F.sum(F.col(rating) - mean - F.col("b_user")) / (damp_item + F.count(F.lit(1)))).alias("b_item"))
+        items = small_side(items)  # a catalog; spares the ratings a shuffle on hot items
         users = ratings.join(items, item).groupBy(user).agg(
             (F.sum(F.col(rating) - mean - F.col("b_item")) / (damp_user + F.count(F.lit(1)))).alias("b_user"))
         if epoch % 3 == 2:
-            items, users = materialise(items), materialise(users)
+            users = materialise(users)
     return mean, users, items
 
 
 def predict_baseline(targets: DataFrame, model: tuple, user: str, item: str, name: str = "prediction") -> DataFrame:
     """``mean + user bias + item bias``; an unknown user or item has no bias."""
     mean, users, items = model
-    rows = targets.join(users, user, "left").join(items, item, "left")
+    rows = targets.join(items, item, "left").join(users, user, "left")
     value = F.lit(mean) + F.coalesce("b_user", F.lit(0.0)) + F.coalesce("b_item", F.lit(0.0))
     return rows.withColumn(name, value).select(*targets.columns, name)
 
 
+def one_rating_per_pair(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
+    """Mean rating of each (user, item): bounds a user's list by the catalog, however often they rated."""
+    return ratings.select(user, item, rating).dropna().groupBy(user, item).agg(
+        F.avg(F.col(rating).cast("double")).alias(rating))
+
+
 def item_pairs(ratings: DataFrame, user: str, item: str, rating: str, block: int = 1024) -> DataFrame:
     """Co-rating statistics ``(i, j, n, si, sj, sii, sjj, sij)`` of ordered item pairs, i and j different.
 
     Each task multiplies the user-by-item matrix of a batch of users with
     itself, so a batch ships one row per item pair, not one per user and pair.
     """
-    packed = ratings.select(user, item, F.col(rating).cast("double").alias("_r")).dropna().groupBy(user).agg(
-        F.collect_list(F.struct(F.col(item).alias("i"), F.col("_r").alias("r"))).alias("rs"))
+    packed = one_rating_per_pair(ratings, user, item, rating).groupBy(user).agg(
+        F.collect_list(F.struct(F.col(item).alias("i"), F.col(rating).alias("r"))).alias("rs"))
     item_type = ratings.schema[item].dataType.simpleString()
     columns = ("n", "si", "sj", "sii", "sjj", "sij")
 
@@ -349,7 +358,8 @@ def _lookup(spark, rows: DataFrame, names: list, columns: Sequence[str]) -> dict
 
 def _per_target(targets: DataFrame, ratings: DataFrame, pairs: DataFrame, user: str, item: str, rating: str, weight: str):
     """Rows (user, item, j, r, w): each target with the user's rated items that have a pair entry."""
-    rated = ratings.select(F.col(user).alias("_u"), F.col(item).alias("j"), F.col(rating).cast("double").alias("r"))
+    rated = one_rating_per_pair(ratings, user, item, rating).select(
+        F.col(user).alias("_u"), F.col(item).alias("j"), F.col(rating).alias("r"))
     rows = targets.select(user, item).distinct().join(rated, F.col(user) == F.col("_u")).drop("_u")
     return rows.join(pairs.select(F.col("i").alias(item), "j", F.col(weight).alias("w")), [item, "j"])
 
@@ -376,8 +386,8 @@ def _fold_targets(
     at = {v: i for i, v in enumerate(names)}
     table = targets.sparkSession.sparkContext.broadcast(
         _lookup(targets.sparkSession, pairs.select("i", "j", weight), names, [weight])[weight])
-    rated = ratings.groupBy(user).agg(
-        F.collect_list(F.struct(F.col(item).alias("i"), F.col(rating).cast("double").alias("r"))).alias("rs"))
+    rated = one_rating_per_pair(ratings, user, item, rating).groupBy(user).agg(
+        F.collect_list(F.struct(F.col(item).alias("i"), F.col(rating).alias("r"))).alias("rs"))
     asked = targets.groupBy(user).agg(F.collect_set(item).alias("ts")).join(rated, user)
     user_type, item_type = (targets.schema[c].dataType.simpleString() for c in (user, item))
 
@@ -455,7 +465,7 @@ def item_knn(
         centred = predict_baseline(ratings, model, user, item, "_level").withColumn("_scale", F.lit(1.0))
         level = predict_baseline(targets, model, user, item, "_level").withColumn("_scale", F.lit(1.0))
     else:
-        stats = ratings.groupBy(item).agg(F.avg(rating).alias("_m"), F.stddev_pop(rating).alias("_s"))
+        stats = small_side(ratings.groupBy(item).agg(F.avg(rating).alias("_m"), F.stddev_pop(rating).alias("_s")))
         zero, one = F.lit(0.0), F.lit(1.0)
         shift = zero if variant == "basic" else F.col("_m")
         scale = F.when(F.col("_s") > 0, F.col("_s")).otherwise(one) if variant == "zscore" else one
@@ -499,7 +509,7 @@ def co_clustering(
     overall = base.agg(F.avg("_r")).first()[0]
     start = lambda key, n: F.pmod(hash_prefix(hash_order([key], seed), 6), F.lit(n))
     u = materialise(u_mean.withColumn("_uc", start(user, user_clusters)))
-    i = materialise(i_mean.withColumn("_ic", start(item, item_clusters)))
+    i = small_side(i_mean.withColumn("_ic", start(item, item_clusters)))
 
     def averages(u: DataFrame, i: DataFrame):
         cells = base.join(u.select(user, "_uc"), user).join(i.select(item, "_ic"), item).groupBy("_uc", "_ic").agg(
@@ -534,7 +544,7 @@ def co_clustering(
                 for c in range(item_clusters)]
         best = rows.groupBy(item).agg(*cost)
         least = F.array_min(F.array(*[F.struct(F.col(f"_e{c}").alias("e"), F.lit(c).alias("c")) for c in range(item_clusters)]))["c"]
-        i = materialise(i_mean.join(best.select(item, least.alias("_ic")), item))
+        i = small_side(i_mean.join(best.select(item, least.alias("_ic")), item))
     ua, ia, co = averages(u, i)
     rows = targets.join(u, user, "left").join(i, item, "left")
     flat = pick(co.ravel(), F.col("_uc") * item_clusters + F.col("_ic"))
@@ -551,7 +561,7 @@ def als_predict(
 ) -> DataFrame:
     """Explicit factor model by alternating least squares; unknown users or items get the global mean."""
     users = materialise(dense_ids(ratings, [user], "_uid"))
-    items = materialise(dense_ids(ratings, [item], "_iid"))
+    items = small_side(dense_ids(ratings, [item], "_iid"))
     coded = ratings.join(users, user).join(items, item).select("_uid", "_iid", F.col(rating).cast("float").alias("_r"))
     model = ALS(userCol="_uid", itemCol="_iid", ratingCol="_r", rank=rank, regParam=reg, maxIter=max_iter,
                 nonnegative=nonnegative, seed=seed, coldStartStrategy="nan").fit(coded)
@@ -572,7 +582,7 @@ def als_implicit(
     many more as the user has seen makes sure n unseen ones remain.
     """
     user_ids = materialise(dense_ids(interactions, [user], "_uid"))
-    item_ids = materialise(dense_ids(interactions, [item], "_iid"))
+    item_ids = small_side(dense_ids(interactions, [item], "_iid"))
     coded = interactions.join(user_ids, user).join(item_ids, item).groupBy("_uid", "_iid").agg(
         F.sum(value).cast("float").alias("_r"))
     model = ALS(userCol="_uid", itemCol="_iid", ratingCol="_r", rank=rank, regParam=reg, alpha=alpha, maxIter=max_iter,

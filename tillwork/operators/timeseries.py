@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from tillwork.functions.dates import roll_to_weekday
 from tillwork.functions.numeric import all_of, divide, total
 from tillwork.operators.ordered import dense_ids
-from tillwork.session import attach_row
+from tillwork.session import attach_row, small_side
 
 
 def _window(date_col: str, group_cols: Sequence[str] = ()):
@@ -216,7 +216,7 @@ def seasonal_index(
     overall = sums.agg(divide(F.sum("_s"), F.sum("_n")).alias("_overall"))
     index = attach_row(sums, overall).select(
         F.col("_season").alias("_key"), divide(divide("_s", "_n"), "_overall").alias(name))
-    joined = rows.join(index, F.col("_season") == F.col("_key"), "left").drop("_season", "_key")
+    joined = rows.join(small_side(index), F.col("_season") == F.col("_key"), "left").drop("_season", "_key")
     if thresholds is not None:
         low, high = thresholds
         # a missing index compares false on both sides, hence class 0
@@ -304,7 +304,7 @@ def rolling_origin_folds(
 
 def group_ids(df: DataFrame, group_cols: Sequence[str], name: str = "id") -> DataFrame:
     """Add the dense 0-based number of each row's group in key order."""
-    return df.join(dense_ids(df, group_cols, name), list(group_cols))
+    return df.join(small_side(dense_ids(df, group_cols, name)), list(group_cols))
 
 
 # ---- exponential smoothing -------------------------------------------------

@@ -20,7 +20,7 @@ SQL_SETTINGS = {
 
 #: Above this estimated size a plan is treated as too large for operators that
 #: hold one group in a single task (see ``operators.ordered``).
-SINGLE_TASK_BYTES = 256 * 1024 * 1024
+SINGLE_TASK_BYTES = 64 * 1024 * 1024
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -88,6 +88,23 @@ def fits_single_task(df: DataFrame, limit: int | None = None) -> bool:
     return size is not None and size <= (SINGLE_TASK_BYTES if limit is None else limit)
 
 
+#: Row limit of tables that are fetched and broadcast.
+LOCAL_ROWS = 100_000
+
+
+def small_side(df: DataFrame, rows: int = LOCAL_ROWS) -> DataFrame:
+    """Broadcast a lookup table whose size has been checked; leave a larger one to Spark.
+
+    The table is computed once here and kept as rows, so joining it costs the
+    other side no shuffle.  A larger table is returned unchanged and joins as
+    Spark decides, with its hot keys split at run time.
+    """
+    found = df.limit(rows + 1).collect()
+    if len(found) > rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(found, df.schema))
+
+
 def attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
     """Add the columns of a one-row frame (a global aggregate) to every row.
 
