@@ -75,25 +75,42 @@ def linear_score(spark, d):
     return rounded(out.select("flag", *LINE_KEY, F.col("l_extendedprice").alias("actuals"), "preds"), 6, "preds")
 
 
+SQL_REVENUE = """rv AS (SELECT l_returnflag, CASE WHEN l_shipdate < TIMESTAMP '2000-01-01' THEN 'train' ELSE 'test' END AS flag,
+    l_extendedprice AS x1, l_discount AS x2, l_extendedprice * (1 - l_discount) AS y FROM lineitem),
+  st AS (SELECT count(*) AS n, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, var_pop(x1) AS s11, var_pop(x2) AS s22,
+    covar_pop(x1, x2) AS s12, covar_pop(x1, y) AS s1y, covar_pop(x2, y) AS s2y FROM rv WHERE flag = 'train')"""
+
+
+def _trained_sql(w1, admissible):
+    """Both models keep the discount at its bound of 0 where the optimality condition holds."""
+    return f"""WITH {SQL_REVENUE}, w AS (SELECT *, greatest({w1}, 0) AS w1 FROM st),
+      f AS (SELECT CASE WHEN {admissible} THEN w1 END AS w1, my - w1 * m1 AS w0 FROM w)
+      SELECT l_returnflag, flag, round(w1, 9) AS beta_l_extendedprice, 0.0::DOUBLE AS beta_l_discount, round(w0, 4) AS "Intercept",
+        count(*) AS n, round(sqrt(avg((y - w0 - w1 * x1) * (y - w0 - w1 * x1))), 5) AS rmse,
+        round(1 - sum((y - w0 - w1 * x1) * (y - w0 - w1 * x1)) / (var_pop(y) * count(*)), 8) AS r2 FROM rv, f GROUP BY ALL"""
+
+
 def _trained(spark, d, model_type, alpha):
     line = table(spark, d, "lineitem").withColumns({
         "revenue": F.col("l_extendedprice") * (1 - F.col("l_discount")),
         "day": F.to_date("l_shipdate"),
         "flag": F.when(F.col("l_shipdate") < F.lit("2000-01-01").cast("timestamp"), "train").otherwise("test")})
-    features, matrix, scored = models.train_linear_model(
-        line, ["l_extendedprice", "l_discount", "l_quantity"], "revenue", "flag", "day", "l_returnflag", model_type, alpha)
+    _, matrix, scored = models.train_linear_model(
+        line, ["l_extendedprice", "l_discount"], "revenue", "flag", "day", "l_returnflag", model_type, alpha)
     quality = metrics.regression_metrics(scored, "actuals", "preds", ["l_returnflag", "flag"])
-    return matrix.join(quality, "l_returnflag")
+    out = matrix.join(quality, "l_returnflag").select(
+        "l_returnflag", "flag", "beta_l_extendedprice", "beta_l_discount", "Intercept", "n", "rmse", "r2")
+    return rounded(rounded(rounded(rounded(out, 9, "beta_l_extendedprice"), 4, "Intercept"), 5, "rmse"), 8, "r2")
 
 
-@query("nn_ridge")
+@query("nn_ridge", _trained_sql("s1y / (s11 + 1000.0 / n)", "s2y - s12 * w1 <= 0"))
 def nn_ridge(spark, d):
-    return _trained(spark, d, "ridge", 1.0)
+    return _trained(spark, d, "ridge", 1000.0)
 
 
-@query("nn_lasso")
+@query("nn_lasso", _trained_sql("(s1y - 1000.0) / s11", "s2y - s12 * w1 - 1000.0 <= 0"))
 def nn_lasso(spark, d):
-    return _trained(spark, d, "lasso", 10.0)
+    return _trained(spark, d, "lasso", 1000.0)
 
 
 def _logs(spark, d):
@@ -102,13 +119,34 @@ def _logs(spark, d):
         "l_extendedprice", "l_quantity", F.month("l_shipdate").alias("month"))
 
 
-@query("enet_by_group")
+def _enet_sql(low, high):
+    """One feature: soft-thresholded covariance over penalised variance, kept within the bounds."""
+    return f"""WITH g AS (SELECT p_brand, count(*) AS n, avg(l_quantity) AS mx, avg(l_extendedprice) AS my, var_pop(l_quantity) AS sxx,
+        covar_pop(l_quantity, l_extendedprice) AS sxy FROM lineitem JOIN part ON l_partkey = p_partkey
+        WHERE l_orderkey % 7 <> 0 GROUP BY 1),
+      w AS (SELECT *, least(greatest(sign(sxy) * greatest(abs(sxy) - 40.0 * 0.5, 0) / (sxx + 40.0 * 0.5), {low}), {high}) AS w FROM g)
+    SELECT p_brand, n, 'l_quantity' AS feature, round(w, 6) AS coefficient FROM w
+    UNION ALL SELECT p_brand, n, 'intercept', round(my - w * mx, 4) FROM w"""
+
+
+def _enet(spark, d, box):
+    out = models.elastic_net_by_group(branded(spark, d), ["l_quantity"], "l_extendedprice", ["p_brand"], 0.5, 40.0, box)
+    value = F.when(F.col("feature") == "intercept", F.round("coefficient", 4)).otherwise(F.round("coefficient", 6))
+    return out.withColumn("coefficient", value)
+
+
+@query("enet_by_group", _enet_sql("-1e300", "1e300"))
 def enet_by_group(spark, d):
-    return models.elastic_net_by_group(_logs(spark, d), ["log_qty", "month"], "log_price", ["p_brand"], 0.5, 0.003)
+    return _enet(spark, d, None)
 
 
-@query("enet_box")
+@query("enet_box", _enet_sql("0", "25"))
 def enet_box(spark, d):
+    return _enet(spark, d, {"l_quantity": (0.0, 25.0)})
+
+
+@query("enet_wide")
+def enet_wide(spark, d):
     return models.elastic_net_by_group(
         _logs(spark, d), ["log_qty", "month"], "log_price", ["p_brand"], 0.5, 0.003, {"log_qty": (0.0, 0.9)})
 
@@ -144,8 +182,28 @@ def lme_box(spark, d):
         _logs(spark, d), ["log_qty"], "log_price", "p_brand", ["log_qty"], box={"log_qty": (0.4, 4.0)})[1]
 
 
-@query("bayes_shrink")
+@query(
+    "bayes_shrink",
+    """WITH b AS (SELECT p_brand, l_extendedprice / 1000 AS y, l_quantity / 10 AS x FROM lineitem
+        JOIN part ON l_partkey = p_partkey WHERE l_orderkey % 7 <> 0),
+      t AS (SELECT regr_intercept(y, x) AS m0, regr_slope(y, x) AS m1,
+        (var_pop(y) - covar_pop(x, y) * covar_pop(x, y) / var_pop(x)) * count(*) / (count(*) - 2) AS s2, 4.0 AS p FROM b),
+      g AS (SELECT p_brand, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy FROM b GROUP BY 1),
+      a AS (SELECT p_brand, n, n / s2 + p AS a11, sx / s2 AS a12, sxx / s2 + p AS a22, sy / s2 + p * m0 AS b1, sxy / s2 + p * m1 AS b2
+        FROM g, t),
+      k AS (SELECT *, a11 * a22 - a12 * a12 AS det FROM a)
+    SELECT p_brand, n, 'intercept' AS feature, round((a22 * b1 - a12 * b2) / det, 6) AS posterior_mean,
+      round(sqrt(a22 / det), 6) AS posterior_sd FROM k
+    UNION ALL SELECT p_brand, n, 'x', round((a11 * b2 - a12 * b1) / det, 6), round(sqrt(a11 / det), 6) FROM k""",
+)
 def bayes_shrink(spark, d):
+    rows = branded(spark, d).select(
+        "p_brand", (F.col("l_extendedprice") / 1000).alias("y"), (F.col("l_quantity") / 10).alias("x"))
+    return rounded(models.hierarchical_shrinkage(rows, ["x"], "y", "p_brand", 0.5), 6, "posterior_mean", "posterior_sd")
+
+
+@query("bayes_bounds")
+def bayes_bounds(spark, d):
     return models.hierarchical_shrinkage(
         _logs(spark, d), ["log_qty", "month"], "log_price", "p_brand", 0.1, bounds={"log_qty": (0.0, 3.0)})
 

@@ -192,10 +192,22 @@ def knn_basic(spark, d):
     return rounded(reco.fit_predict("knnbasic", train, test, *ARGS), 6, "prediction")
 
 
-@query("knn_baseline")
+@query(
+    "knn_baseline",
+    _scored_sql(
+        f"""{_baseline_sql(10)}, sm AS (SELECT a.p_brand AS i, b.p_brand AS j, 1 / (1 + avg((a.rating - b.rating) * (a.rating - b.rating))) AS sim
+          FROM tr a JOIN tr b ON a.o_custkey = b.o_custkey AND a.p_brand <> b.p_brand GROUP BY 1, 2),
+        c AS (SELECT tr.o_custkey, tr.p_brand, rating - m - bu - bi AS c FROM tr JOIN u10 ON u10.o_custkey = tr.o_custkey
+          JOIN i10 ON i10.p_brand = tr.p_brand, mn),
+        x AS (SELECT t.o_custkey, t.p_brand, sum(sim * c) / sum(sim) AS gain FROM te t JOIN c ON t.o_custkey = c.o_custkey
+          JOIN sm ON i = t.p_brand AND j = c.p_brand GROUP BY 1, 2)""",
+        "m + coalesce(bu, 0) + coalesce(bi, 0) + coalesce(gain, 0)")
+    + " LEFT JOIN u10 ON u10.o_custkey = te.o_custkey LEFT JOIN i10 ON i10.p_brand = te.p_brand"
+    + " LEFT JOIN x ON x.o_custkey = te.o_custkey AND x.p_brand = te.p_brand, mn",
+)
 def knn_baseline(spark, d):
     train, test = ratings(spark, d)
-    return reco.fit_predict("knnbaseline", train, test, *ARGS)
+    return rounded(reco.fit_predict("knnbaseline", train, test, *ARGS), 6, "prediction")
 
 
 @query("co_clustering")

@@ -271,6 +271,24 @@ def group_id(spark, d):
     return timeseries.group_ids(daily(spark, d).drop("n_orders"), ["seg"])
 
 
+@query(
+    "ses_simple",
+    f"""WITH {SQL_PANEL}, r AS (SELECT seg, sales, row_number() OVER (PARTITION BY seg ORDER BY day) AS pos,
+        count(*) OVER (PARTITION BY seg) AS n FROM panel),
+      f AS (SELECT *, CAST(unnest(range(0, 6)) AS INTEGER) AS fold FROM r),
+      c AS (SELECT *, n - fold * 4 AS last, n - fold * 4 - 24 AS cut FROM f),
+      l AS (SELECT seg, fold, sum(CASE WHEN pos = 1 THEN 0.7::DOUBLE ** (cut - 1) ELSE 0.3 * 0.7::DOUBLE ** (cut - pos) END * sales) AS level
+        FROM c WHERE pos <= cut GROUP BY ALL),
+      e AS (SELECT c.seg, c.fold, sales - level AS miss, sales FROM c JOIN l ON c.seg = l.seg AND c.fold = l.fold
+        WHERE pos > cut AND pos <= last)
+    SELECT seg, 'simple' AS model, fold, round(sqrt(avg(miss * miss)), 3) AS rmse,
+      round(avg(abs(miss / sales)) FILTER (WHERE sales <> 0), 7) AS mape, round(avg(abs(miss)), 3) AS mae FROM e GROUP BY ALL""",
+)
+def ses_simple(spark, d):
+    out = timeseries.smoothing_backtest(daily(spark, d), "day", "sales", ["seg"], ("simple",))
+    return rounded(rounded(out, 3, "rmse", "mae"), 7, "mape")
+
+
 @query("ses_backtest")
 def ses_backtest(spark, d):
     return timeseries.smoothing_backtest(daily(spark, d), "day", "sales", ["seg"])
