@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,8 +78,8 @@ def materialise(df: DataFrame) -> DataFrame:
 def plan_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate for ``df`` (no job is run); None if unknown."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except (AttributeError, Py4JError):
         return None
 
 
