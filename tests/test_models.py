@@ -178,6 +178,22 @@ def test_stepwise_signs(spark):
     assert models.stepwise(df, "y", ["bad", "noise"], ["good"]).names == ["intercept", "good"]
 
 
+def test_logit_matches_newton_steps(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(500, 2))
+    y = (rng.random(500) < 1 / (1 + np.exp(-(0.3 + x @ [1.0, -0.5])))).astype(int)
+    df = spark.createDataFrame([(float(a), float(b), "yes" if c else "no") for (a, b), c in zip(x, y)], "a double, b double, t string")
+    z, beta = np.column_stack([x, np.ones(500)]), np.zeros(3)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-z @ beta))
+        info = z.T @ (z * (p * (1 - p))[:, None])
+        beta = beta + np.linalg.solve(info, z.T @ (y - p))
+    got = {r["feature"]: (r["coefficient"], r["std_error"]) for r in models.logit(df, ["a", "b"], "t").collect()}
+    want = dict(zip(("a", "b", "intercept"), zip(beta, np.sqrt(np.diag(np.linalg.inv(info))))))
+    for k in want:
+        assert got[k] == pytest.approx(want[k], abs=1e-4)
+
+
 def test_logit_threshold(spark):
     df = spark.createDataFrame([(0.0,), (1.0,)], "x double")
     assert [r["predicted"] for r in models.score_logit(df, {"x": 1.0}, 0.0).collect()] == [0, 1]  # 0.5 is not above

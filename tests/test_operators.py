@@ -271,6 +271,15 @@ def test_fills(spark):
     assert column(timeseries.interpolate(series(spark, [None, None]), ["x"], "d", ["g"])) == [None, None]
 
 
+def test_fills_across_chunks(spark):
+    rng = np.random.default_rng(4)
+    rows = [("ab"[i % 3 == 0], i, float(i) if rng.random() < 0.2 else None) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, d int, x double").repartition(5)
+    for fill in (timeseries.fill_forward, timeseries.fill_backward, timeseries.interpolate):
+        for by in ([], ["g"]):
+            assert values(fill(df, ["x"], "d", by)) == values(fill(df, ["x"], "d", by, limit=0))
+
+
 @pytest.mark.parametrize("period", [3, 4])
 def test_decomposition_is_centred(spark, period):
     rng = np.random.default_rng(1)

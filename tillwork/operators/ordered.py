@@ -74,6 +74,47 @@ def running_before(
     return joined.withColumns(before).select(*keep)
 
 
+def known_around(
+    df: DataFrame, values: dict[str, Column], by: Sequence[str], order: Sequence[str], limit: int | None = None
+) -> DataFrame:
+    """Add ``<name>_back`` and ``<name>_ahead``: the last known value at or before a row, the first at or after it.
+
+    For large inputs the rows are cut into ordered chunks; each chunk fills
+    itself, and one small row per (group, chunk) carries the value across.
+    """
+    by, order, names = list(by), list(order), list(values)
+    rows = df.withColumns({f"_v_{n}": v for n, v in values.items()})
+    small = fits_single_task(df, limit)
+    if not small:
+        rows = range_chunks(rows, by + order)
+    keys = by if small else [*by, "_chunk"]
+    inner = _group_window(keys).orderBy(*order)
+    back = inner.rowsBetween(Window.unboundedPreceding, 0)
+    ahead = inner.rowsBetween(0, Window.unboundedFollowing)
+    found = rows.withColumns({
+        **{f"{n}_back": F.last(f"_v_{n}", ignorenulls=True).over(back) for n in names},
+        **{f"{n}_ahead": F.first(f"_v_{n}", ignorenulls=True).over(ahead) for n in names},
+    })
+    columns = [*df.columns, *[f"{n}_{side}" for n in names for side in ("back", "ahead")]]
+    if small:
+        return found.select(*columns)
+    at = F.struct(*[F.col(c) for c in order])
+    ends = rows.groupBy(*by, "_chunk").agg(*[e for n in names for e in (
+        F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), at)).alias(f"_last_{n}"),
+        F.min_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), at)).alias(f"_first_{n}"))])
+    chunks = _group_window(by).orderBy("_chunk")
+    before = chunks.rowsBetween(Window.unboundedPreceding, -1)
+    after = chunks.rowsBetween(1, Window.unboundedFollowing)
+    carried = ends.select(
+        *[F.col(b).alias(f"_k_{b}") for b in by], F.col("_chunk").alias("_k_chunk"),
+        *[F.last(f"_last_{n}", ignorenulls=True).over(before).alias(f"_in_{n}_back") for n in names],
+        *[F.first(f"_first_{n}", ignorenulls=True).over(after).alias(f"_in_{n}_ahead") for n in names])
+    same = all_of([F.col(b).eqNullSafe(F.col(f"_k_{b}")) for b in by] + [F.col("_chunk") == F.col("_k_chunk")])
+    joined = found.join(small_side(carried), same)
+    return joined.withColumns({
+        c: F.coalesce(F.col(c), F.col(f"_in_{c}")) for c in columns[len(df.columns):]}).select(*columns)
+
+
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Distinct non-NULL values per group with their counts ``n`` (partial aggregation)."""
     return df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tillwork.functions.dates import roll_to_weekday
 from tillwork.functions.numeric import all_of, divide, total
-from tillwork.operators.ordered import dense_ids
+from tillwork.operators.ordered import dense_ids, known_around, running_before
 from tillwork.session import attach_row, small_side
 
 
@@ -56,18 +56,18 @@ def customer_history(df: DataFrame, customer: str, date_col: str, key: str) -> D
 
     The flag is 1 on all rows at the customer's first date.  The days are
     counted from the previous row of the customer in (date, key) order, 0 for
-    the first.  Rows are first reduced to (customer, day), so the ordered step
+    the first; dates count by day.  Rows are first reduced to (customer, day), so the ordered step
     sees at most one row per calendar day even for a customer with most rows.
     """
     days = df.filter(F.col(customer).isNotNull() & F.col(date_col).isNotNull()).groupBy(
-        F.col(customer).alias("_c"), F.col(date_col).alias("_d")).agg(F.min(key).alias("_first_key"))
+        F.col(customer).alias("_c"), F.to_date(date_col).alias("_d")).agg(F.min(key).alias("_first_key"))
     order = Window.partitionBy("_c").orderBy("_d")
     days = days.select(
         "_c", "_d", "_first_key",
         F.row_number().over(order).alias("_nth"),
         F.coalesce(F.date_diff("_d", F.lag("_d").over(order)), F.lit(0)).alias("_gap"),
     )
-    joined = df.join(days, (F.col(customer) == F.col("_c")) & (F.col(date_col) == F.col("_d")), "left")
+    joined = df.join(days, (F.col(customer) == F.col("_c")) & (F.to_date(date_col) == F.col("_d")), "left")
     return joined.withColumns({
         "first_time_customer": F.coalesce((F.col("_nth") == 1).cast("int"), F.lit(0)),
         "days_since_last_purchase": F.when(F.col(key) == F.col("_first_key"), F.col("_gap")).otherwise(0),
@@ -170,29 +170,39 @@ def rolling_mean(
 
 # ---- filling ---------------------------------------------------------------
 
-def fill_forward(df: DataFrame, columns: Sequence[str], date_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    w = _window(date_col, group_cols).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
+def _filled(df, columns, date_col, group_cols, side, limit):
+    rows = known_around(df, {c: F.col(c) for c in columns}, group_cols, [date_col], limit)
+    return rows.select(*[F.col(f"{c}_{side}").alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
-def fill_backward(df: DataFrame, columns: Sequence[str], date_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    w = _window(date_col, group_cols).rowsBetween(0, Window.unboundedFollowing)
-    return df.withColumns({c: F.first(c, ignorenulls=True).over(w) for c in columns})
+def fill_forward(
+    df: DataFrame, columns: Sequence[str], date_col: str, group_cols: Sequence[str] = (), limit: int | None = None
+) -> DataFrame:
+    """The last known value in date order; also for tables that are no panel, of any group size."""
+    return _filled(df, columns, date_col, group_cols, "back", limit)
+
+
+def fill_backward(
+    df: DataFrame, columns: Sequence[str], date_col: str, group_cols: Sequence[str] = (), limit: int | None = None
+) -> DataFrame:
+    """The next known value in date order."""
+    return _filled(df, columns, date_col, group_cols, "ahead", limit)
 
 
-def interpolate(df: DataFrame, columns: Sequence[str], date_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
+def interpolate(
+    df: DataFrame, columns: Sequence[str], date_col: str, group_cols: Sequence[str] = (), limit: int | None = None
+) -> DataFrame:
     """Linear by row position between known values; the ends take the nearest known value."""
-    order = _window(date_col, group_cols)
-    back = order.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = order.rowsBetween(0, Window.unboundedFollowing)
-    rows = df.withColumn("_pos", F.row_number().over(order).cast("double"))
+    rows = running_before(df.withColumn("_row", F.lit(1).cast("bigint")), group_cols, [date_col], ["_row"], limit)
+    pos = F.col("_row_before").cast("double")
+    known = {f"_{c}": F.when(F.col(c).isNotNull(), F.struct(pos.alias("p"), F.col(c).cast("double").alias("v"))) for c in columns}
+    rows = known_around(rows, known, group_cols, [date_col], limit)
     out = {}
     for c in columns:
-        known = F.when(F.col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(c).cast("double").alias("v")))
-        lo, hi = F.last(known, ignorenulls=True).over(back), F.first(known, ignorenulls=True).over(ahead)
-        slope = (hi["v"] - lo["v"]) * divide(F.col("_pos") - lo["p"], hi["p"] - lo["p"])
+        lo, hi = F.col(f"_{c}_back"), F.col(f"_{c}_ahead")
+        slope = (hi["v"] - lo["v"]) * divide(pos - lo["p"], hi["p"] - lo["p"])
         out[c] = F.coalesce(F.col(c).cast("double"), lo["v"] + slope, lo["v"], hi["v"])
-    return rows.withColumns(out).drop("_pos")
+    return rows.select(*[out[c].alias(c) if c in out else F.col(c) for c in df.columns])
 
 
 # ---- seasonality and trend -------------------------------------------------

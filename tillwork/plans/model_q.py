@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from tillwork.operators import metrics, models, prep
 
+from tillwork.session import attach_row
+
 from .clean_q import LINE_KEY
 from .eda_q import SQL_DOCS, SQL_SCORED, docs, rounded, scored_docs
 from .prep_q import KEY, SQL_ENCODED, SQL_FLAGGED, _train, branded, flagged
@@ -311,7 +313,7 @@ def gbt_grid(spark, d):
     _, scores, importance = models.boosted_grid(
         _wide_line(spark, d), ["l_extendedprice", "l_quantity", "l_discount", "month"], "revenue", (2, 3), trees=5)
     best = scores.agg(F.min("rmse").alias("best_rmse"))
-    return importance.crossJoin(best)
+    return attach_row(importance, best)
 
 
 @query("rf_importance")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.hashing import hash_order
 from tillwork.operators import metrics, reco
-from tillwork.session import materialise
+from tillwork.session import attach_row, materialise
 
 from .eda_q import rounded
 from .registry import query, table
@@ -303,7 +303,7 @@ def _popular(spark, d):
         F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "p_brand"))), lambda s: s["p_brand"]).alias("brands"))
     test = rows.filter(F.col("day") >= cut).select("o_custkey", "p_brand")
     users = test.select("o_custkey").distinct()
-    shown = users.crossJoin(F.broadcast(listed)).select("o_custkey", F.posexplode("brands").alias("rank", "p_brand"))
+    shown = attach_row(users, listed).select("o_custkey", F.posexplode("brands").alias("rank", "p_brand"))
     return shown.withColumn("rank", F.col("rank") + 1), test
 
 
