@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, contamination, token_counts
+from . import bpe, contamination, minhash, token_counts
 from .registry import query, table
 
 COUNTING = "word_bpe_49k.json"
@@ -42,3 +42,9 @@ def op6_bpe(spark, d):
     decoded = bpe.decode(bpe.with_tokens(docs, *where), *where)
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op5_minhash")
+def op5_minhash(spark, d):
+    """Groups of near-duplicate documents."""
+    return minhash.near_duplicates(table(spark, d, "documents"))
