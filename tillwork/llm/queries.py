@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, contamination, minhash, token_counts
+from . import bpe, contamination, embeddings, minhash, token_counts
 from .registry import query, table
 
 COUNTING = "word_bpe_49k.json"
@@ -48,3 +48,9 @@ def op6_bpe(spark, d):
 def op5_minhash(spark, d):
     """Groups of near-duplicate documents."""
     return minhash.near_duplicates(table(spark, d, "documents"))
+
+
+@query("op10_embedding_dedup")
+def op10_embedding_dedup(spark, d):
+    """Groups of near-duplicate vectors with equal labels."""
+    return embeddings.vector_links(table(spark, d, "embeddings"))
