@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, contamination, embeddings, minhash, token_counts
+from . import bpe, contamination, embeddings, language_model, minhash, token_counts
 from .registry import query, table
 
 COUNTING = "word_bpe_49k.json"
@@ -54,3 +54,9 @@ def op5_minhash(spark, d):
 def op10_embedding_dedup(spark, d):
     """Groups of near-duplicate vectors with equal labels."""
     return embeddings.vector_links(table(spark, d, "embeddings"))
+
+
+@query("op7_lm_score")
+def op7_lm_score(spark, d):
+    """Scores of every document under the base and the interpolated model."""
+    return language_model.scores(table(spark, d, "documents"))
