@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, contamination, embeddings, language_model, minhash, token_counts
+from . import bpe, contamination, embeddings, language_model, minhash, suffixes, token_counts
 from .registry import query, table
 
 COUNTING = "word_bpe_49k.json"
@@ -60,3 +60,9 @@ def op10_embedding_dedup(spark, d):
 def op7_lm_score(spark, d):
     """Scores of every document under the base and the interpolated model."""
     return language_model.scores(table(spark, d, "documents"))
+
+
+@query("op8_suffix_dedup")
+def op8_suffix_dedup(spark, d):
+    """Passages of 50 words or more that stand in several places."""
+    return suffixes.repeated_passages(table(spark, d, "documents"))
