@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, contamination, embeddings, language_model, minhash, suffixes, token_counts
+from . import bpe, contamination, embeddings, language_model, lines, minhash, suffixes, token_counts
 from .registry import query, table
 
 COUNTING = "word_bpe_49k.json"
@@ -66,3 +66,9 @@ def op7_lm_score(spark, d):
 def op8_suffix_dedup(spark, d):
     """Passages of 50 words or more that stand in several places."""
     return suffixes.repeated_passages(table(spark, d, "documents"))
+
+
+@query("op1_line_dedup")
+def op1_line_dedup(spark, d):
+    """Lines of documents that repeat an earlier line, or nearly."""
+    return lines.repeated_lines(table(spark, d, "documents"))
