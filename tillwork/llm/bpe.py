@@ -151,7 +151,8 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids
         _, splitter, pieces = load(ranks_path, pattern)
         return pa.array([pack(t.as_py() or "", splitter, pieces) for t in texts], pa.binary())
 
-    return df.withColumn(ids, encoded(F.col(f"`{text}`")))
+    # not to be worked out again where a later Python function reads it
+    return df.withColumn(ids, encoded.asNondeterministic()(F.col(f"`{text}`")))
 
 
 def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
