@@ -14,8 +14,11 @@ and all tables grow with the texts and are spread over all ranges.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +32,8 @@ FOLDS, HELD_OUT, DELETED = 5, 1, 0
 BUCKETS = 33
 #: Cells of the held-out histogram: quarter powers of two of each estimate.
 CELLS, STEPS = 160, 4
+#: Bytes of text whose keys a worker holds at once.
+PORTION = 6 << 20
 ROUNDS, TOLERANCE = 500, 1e-10
 
 
@@ -64,31 +69,39 @@ def _ranges(n: int) -> np.ndarray:
     return (np.arange(n, dtype=U64) * U64((2**64 - 1) // n)).astype(U64)
 
 
+def portions(docs: pa.Table):
+    """Parts of a block with some ``PORTION`` bytes of text each, the same ones in whatever order its rows come."""
+    count = -(-(pc.sum(pc.binary_length(docs.column("text"))).as_py() + 1) // PORTION)
+    portion = docs.column("spread").to_numpy() % count
+    for p in range(count):
+        yield p, docs.filter(pa.array(portion == p))
+
+
 def _requests(ranges: int):
-    """A block's distinct keys with its own training counts, in key ranges."""
-
-    def send(docs: pa.Table) -> pa.Table:
-        block, fold = docs.column("block")[0].as_py(), docs.column("fold").to_numpy()
-        words, bigrams, begins = tokens(docs.column("text"))
-        fold = np.repeat(fold, np.diff(begins))
-        rows = []
-        for kind, values in enumerate((words, bigrams)):
-            keys, place = np.unique(values, return_inverse=True)
-            train = np.bincount(place[fold != HELD_OUT], minlength=len(keys)).astype(np.uint32)
-            deleted = np.bincount(place[fold == DELETED], minlength=len(keys)).astype(np.uint32)
-            cuts = np.r_[np.searchsorted(keys, _ranges(ranges)), len(keys)]
-            for r in range(ranges):
-                part = slice(cuts[r], cuts[r + 1])
-                rows.append((r, block, kind, planes(keys[part]), planes(train[part]), planes(deleted[part])))
-        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-        return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                        ["range", "block", "kind", "keys", "train", "deleted"])
+    """The distinct keys of a block's portions with their own training counts, in key ranges."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs = pa.Table.from_batches(list(batches))
+        block = docs.column("block")[0].as_py()
+        for portion, part in portions(docs):
+            words, bigrams, begins = tokens(part.column("text"))
+            fold = np.repeat(part.column("fold").to_numpy(), np.diff(begins))
+            for kind, values in enumerate((words, bigrams)):
+                keys, place = np.unique(values, return_inverse=True)
+                train = np.bincount(place[fold != HELD_OUT], minlength=len(keys)).astype(np.uint32)
+                deleted = np.bincount(place[fold == DELETED], minlength=len(keys)).astype(np.uint32)
+                cuts = np.r_[np.searchsorted(keys, _ranges(ranges)), len(keys)]
+                own = [slice(cuts[r], cuts[r + 1]) for r in range(ranges)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(ranges, dtype=np.int32)), *(pa.array(np.full(ranges, x, np.int32)) for x in (block, portion, kind)),
+                     *(pa.array([planes(x[o]) for o in own], pa.binary()) for x in (keys, train, deleted))], REQUESTED)
 
     return send
 
 
-REQUEST = "range int, block int, kind int, keys binary, train binary, deleted binary"
-ANSWER = ("block int, range int, kind int, check long, train binary, deleted binary, "
+REQUEST = "range int, block int, portion int, kind int, keys binary, train binary, deleted binary"
+REQUESTED = [part.split()[0] for part in REQUEST.split(", ")]
+ANSWER = ("block int, portion int, range int, kind int, check long, train binary, deleted binary, "
           "n_train long, n_deleted long, n_types long")
 
 
@@ -105,11 +118,15 @@ def answer(requests: pa.Table) -> pa.Table:
         figures = int(totals[0].sum()), int(totals[1].sum()), int((totals[0] > 0).sum())
         for k, row in enumerate(part):
             own = place[at[k] : at[k + 1]]
-            rows.append((row["block"], row["range"], kind, int(np.add.reduce(keys[k]).view(np.int64)) if len(keys[k]) else 0,
+            rows.append((row["block"], row["portion"], row["range"], kind, int(np.add.reduce(keys[k]).view(np.int64)) if len(keys[k]) else 0,
                          *(planes(t[own]) for t in totals), *figures))
-    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
-    names = [part.split()[0] for part in ANSWER.split(", ")]
-    return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+    return _table(rows, ANSWER)
+
+
+def _table(rows: list[tuple], columns: str) -> pa.Table:
+    names, kinds = zip(*(part.split() for part in columns.split(", ")))
+    arrow = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    return pa.table([pa.array([r[i] for r in rows], arrow[kind]) for i, kind in enumerate(kinds)], list(names))
 
 
 COUNTED = ("row long, fold int, n_tokens long, words binary, bigrams binary, deleted_words binary, deleted_bigrams binary, "
@@ -118,8 +135,16 @@ COUNTED = ("row long, fold int, n_tokens long, words binary, bigrams binary, del
 
 def counted(docs: pa.Table, answers: pa.Table) -> pa.Table:
     """For each text the training counts of its words and bigrams, in order."""
+    answers = answers.sort_by([("portion", "ascending"), ("kind", "ascending"), ("range", "ascending")])
+    out = []
+    for portion, part in portions(docs):
+        if part.num_rows:
+            out.extend(_counted(part, answers.filter(pc.equal(answers.column("portion"), portion)).to_pylist()))
+    return _table(out, COUNTED)
+
+
+def _counted(docs: pa.Table, answers: list[dict]):
     words, bigrams, begins = tokens(docs.column("text"))
-    answers = answers.sort_by([("kind", "ascending"), ("range", "ascending")]).to_pylist()
     totals = []
     for kind, values in enumerate((words, bigrams)):
         keys, place = np.unique(values, return_inverse=True)
@@ -134,14 +159,22 @@ def counted(docs: pa.Table, answers: pa.Table) -> pa.Table:
             end = int(np.searchsorted(keys, END))
             starts = [int(np.concatenate(s)[end]) for s in sums]
     figures = [sum(r[c] for r in answers if r["kind"] == 0) for c in ("n_train", "n_deleted", "n_types")]
-    fold, row, out = docs.column("fold").to_pylist(), docs.column("row").to_pylist(), []
+    fold, row = docs.column("fold").to_pylist(), docs.column("row").to_pylist()
     for k, (first, last) in enumerate(zip(begins[:-1].tolist(), begins[1:].tolist())):
-        full = [t[0][first:last] for t in totals]
-        less = [planes(t[0][first:last] - t[1][first:last]) for t in totals] if fold[k] == DELETED else (None, None)
-        out.append((row[k], fold[k], last - first, *map(planes, full), *less, *figures, *starts))
-    names = [part.split()[0] for part in COUNTED.split(", ")]
-    kinds = [{"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[part.split()[1]] for part in COUNTED.split(", ")]
-    return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+        full = [packed(t[0][first:last]) for t in totals]
+        less = [packed(t[0][first:last] - t[1][first:last]) for t in totals] if fold[k] == DELETED else (None, None)
+        yield row[k], fold[k], last - first, *full, *less, *figures, *starts
+
+
+def packed(values: np.ndarray) -> bytes:
+    """The counts of one text, compressed."""
+    return len(values).to_bytes(8, "little") + pa.compress(planes(values), "zstd", asbytes=True)
+
+
+def unpacked(data: pa.Scalar) -> np.ndarray:
+    data = data.as_py()
+    size = int.from_bytes(data[:8], "little")
+    return unplanes(pa.decompress(data[8:], 4 * size, "zstd", asbytes=True), np.uint32).astype(np.int64)
 
 
 def estimates(words: np.ndarray, bigrams: np.ndarray, starts: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,7 +194,7 @@ def held_out_cells(starts: int, n: int):
         for batch in batches:
             codes, logs = [], []
             for words, bigrams in zip(batch.column(0), batch.column(1)):
-                bucket, two, one = estimates(*(unplanes(x.as_py(), np.uint32).astype(np.int64) for x in (words, bigrams)), starts, n)
+                bucket, two, one = estimates(unpacked(words), unpacked(bigrams), starts, n)
                 log = [np.log(np.where(f > 0, f, 1.0)) for f in (two, one)]
                 cell = [np.where(f > 0, np.minimum(CELLS - 1, 1 + (-v / np.log(2) * STEPS).astype(int)), 0)
                         for f, v in zip((two, one), log)]
@@ -219,7 +252,7 @@ def _scorer(weights: np.ndarray, n: int, types: int, starts: int):
     def score(words: pa.Array, bigrams: pa.Array) -> pa.Array:
         out = []
         for w, b in zip(words, bigrams):
-            w, b = (unplanes(x.as_py(), np.uint32).astype(np.int64) for x in (w, b))
+            w, b = unpacked(w), unpacked(b)
             bucket, two, one = estimates(w, b, starts, n)
             mixed = weights[bucket]
             model = mixed[:, 0] * two + mixed[:, 1] * one + mixed[:, 2] / (types + 1)
@@ -242,15 +275,16 @@ def scores(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     interpolated model.  Repeated rows are texts of their own.  Without training
     texts every count is zero and only the uniform share scores.
 
-    Blocks and key ranges are as many as ``spark.sql.shuffle.partitions``: a task
-    holds one block of texts or one range of keys.
+    Blocks and key ranges are as many as ``spark.sql.shuffle.partitions``.  A task
+    holds the texts of one block, whose keys are worked out in portions, or the
+    keys of one range.
     """
     spark = df.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.coalesce(F.pmod(F.crc32(F.col(f"`{doc_id}`").cast("string").cast("binary")), F.lit(FOLDS)), F.lit(DELETED))
     docs = df.select(
         F.pmod(F.xxhash64(F.col(f"`{doc_id}`")), F.lit(ranges)).cast("int").alias("block"), key.cast("int").alias("fold"),
-        F.col(f"`{doc_id}`").cast("long").alias("row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+        F.col(f"`{doc_id}`").cast("long").alias("row"), F.abs(F.xxhash64(F.lit(1), F.col(f"`{doc_id}`"))).alias("spread"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     requests = docs.groupBy("block").applyInArrow(_requests(ranges), REQUEST)
     answers = requests.groupBy("range").applyInArrow(answer, ANSWER)
     known = spill(docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(counted, COUNTED), "counts")
