@@ -33,7 +33,7 @@ BUCKETS = 33
 #: Cells of the held-out histogram: quarter powers of two of each estimate.
 CELLS, STEPS = 160, 4
 #: Bytes of text whose keys a worker holds at once.
-PORTION = 6 << 20
+PORTION = 10 << 20
 ROUNDS, TOLERANCE = 500, 1e-10
 
 
@@ -47,6 +47,25 @@ def unplanes(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
 
 
+def rising(keys: np.ndarray) -> bytes:
+    """Sorted numbers as their differences."""
+    return planes(np.diff(keys, prepend=U64(0)))
+
+
+def risen(data: bytes) -> np.ndarray:
+    return np.cumsum(unplanes(data, U64), dtype=U64)
+
+
+def packed(values: np.ndarray) -> bytes:
+    """32-bit counts, compressed."""
+    return len(values).to_bytes(8, "little") + pa.compress(planes(values), "zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    return unplanes(pa.decompress(data[8:], 4 * size, "zstd", asbytes=True), np.uint32)
+
+
 def tokens(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words and bigrams of the texts, each text closed by the end token, and where texts begin."""
     words, bigrams, sizes = [], [], []
@@ -94,7 +113,8 @@ def _requests(ranges: int):
                 own = [slice(cuts[r], cuts[r + 1]) for r in range(ranges)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(ranges, dtype=np.int32)), *(pa.array(np.full(ranges, x, np.int32)) for x in (block, portion, kind)),
-                     *(pa.array([planes(x[o]) for o in own], pa.binary()) for x in (keys, train, deleted))], REQUESTED)
+                     *(pa.array([pack(x[o]) for o in own], pa.binary()) for pack, x in
+                       ((rising, keys), (packed, train), (packed, deleted)))], REQUESTED)
 
     return send
 
@@ -110,16 +130,16 @@ def answer(requests: pa.Table) -> pa.Table:
     rows = []
     for kind in (0, 1):
         part = [r for r in requests.to_pylist() if r["kind"] == kind]
-        keys = [unplanes(r["keys"], U64) for r in part]
+        keys = [risen(r["keys"]) for r in part]
         _, place = np.unique(np.concatenate(keys), return_inverse=True)
-        totals = [np.bincount(place, np.concatenate([unplanes(r[c], np.uint32) for r in part])).astype(np.uint32)
+        totals = [np.bincount(place, np.concatenate([unpacked(r[c]) for r in part])).astype(np.uint32)
                   for c in ("train", "deleted")]
         at = np.cumsum([0, *map(len, keys)])
         figures = int(totals[0].sum()), int(totals[1].sum()), int((totals[0] > 0).sum())
         for k, row in enumerate(part):
             own = place[at[k] : at[k + 1]]
             rows.append((row["block"], row["portion"], row["range"], kind, int(np.add.reduce(keys[k]).view(np.int64)) if len(keys[k]) else 0,
-                         *(planes(t[own]) for t in totals), *figures))
+                         *(packed(t[own]) for t in totals), *figures))
     return _table(rows, ANSWER)
 
 
@@ -149,7 +169,7 @@ def _counted(docs: pa.Table, answers: list[dict]):
     for kind, values in enumerate((words, bigrams)):
         keys, place = np.unique(values, return_inverse=True)
         part = [r for r in answers if r["kind"] == kind]
-        sums = [[unplanes(r[c], np.uint32) for r in part] for c in ("train", "deleted")]
+        sums = [[unpacked(r[c]) for r in part] for c in ("train", "deleted")]
         at = np.cumsum([0, *map(len, sums[0])])
         if at[-1] != len(keys) or any(
                 len(k) and int(np.add.reduce(k).view(np.int64)) != r["check"] for k, r in zip(np.split(keys, at[1:-1]), part)):
@@ -166,17 +186,6 @@ def _counted(docs: pa.Table, answers: list[dict]):
         yield row[k], fold[k], last - first, *full, *less, *figures, *starts
 
 
-def packed(values: np.ndarray) -> bytes:
-    """The counts of one text, compressed."""
-    return len(values).to_bytes(8, "little") + pa.compress(planes(values), "zstd", asbytes=True)
-
-
-def unpacked(data: pa.Scalar) -> np.ndarray:
-    data = data.as_py()
-    size = int.from_bytes(data[:8], "little")
-    return unplanes(pa.decompress(data[8:], 4 * size, "zstd", asbytes=True), np.uint32).astype(np.int64)
-
-
 def estimates(words: np.ndarray, bigrams: np.ndarray, starts: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Context bucket, bigram estimate and word estimate of each token of a text."""
     context = np.empty(len(words), np.int64)
@@ -194,7 +203,7 @@ def held_out_cells(starts: int, n: int):
         for batch in batches:
             codes, logs = [], []
             for words, bigrams in zip(batch.column(0), batch.column(1)):
-                bucket, two, one = estimates(unpacked(words), unpacked(bigrams), starts, n)
+                bucket, two, one = estimates(*(unpacked(x.as_py()).astype(np.int64) for x in (words, bigrams)), starts, n)
                 log = [np.log(np.where(f > 0, f, 1.0)) for f in (two, one)]
                 cell = [np.where(f > 0, np.minimum(CELLS - 1, 1 + (-v / np.log(2) * STEPS).astype(int)), 0)
                         for f, v in zip((two, one), log)]
@@ -252,7 +261,7 @@ def _scorer(weights: np.ndarray, n: int, types: int, starts: int):
     def score(words: pa.Array, bigrams: pa.Array) -> pa.Array:
         out = []
         for w, b in zip(words, bigrams):
-            w, b = unpacked(w), unpacked(b)
+            w, b = (unpacked(x.as_py()).astype(np.int64) for x in (w, b))
             bucket, two, one = estimates(w, b, starts, n)
             mixed = weights[bucket]
             model = mixed[:, 0] * two + mixed[:, 1] * one + mixed[:, 2] / (types + 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, contamination, embeddings, language_model, lines, minhash, suffixes, token_counts
+from . import bpe, chat, contamination, embeddings, language_id, language_model, lines, minhash, suffixes, token_counts
 from .registry import query, table
 
 COUNTING = "word_bpe_49k.json"
@@ -72,3 +72,21 @@ def op8_suffix_dedup(spark, d):
 def op1_line_dedup(spark, d):
     """Lines of documents that repeat an earlier line, or nearly."""
     return lines.repeated_lines(table(spark, d, "documents"))
+
+
+@query("op3_chat_format")
+def op3_chat_format(spark, d):
+    """Messages of every conversation without quotes, in reply order."""
+    return chat.reply_order(table(spark, d, "conversations"))
+
+
+@query("op9_language_id")
+def op9_language_id(spark, d):
+    """Language of every page and every document; the other id is null."""
+    docs = table(spark, d, "documents")
+    model = language_id.fit(docs)
+    pages = language_id.identify_pages(table(spark, d, "pages"), model)
+    texts = language_id.identify_documents(docs, model)
+    none = F.lit(None).cast("long")
+    return pages.withColumns({"doc_id": none, "page_id": F.col("id")}).unionByName(
+        texts.withColumns({"doc_id": F.col("id"), "page_id": none})).drop("id")
