@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .graph import components
 from .store import spill
@@ -41,7 +42,7 @@ def unit_rows(flat: np.ndarray, size: int) -> np.ndarray:
     return rows / np.maximum(np.sqrt((rows * rows).sum(axis=1, keepdims=True)), 1e-300)
 
 
-@F.arrow_udf("array<long>")
+@F.arrow_udf(T.ArrayType(T.LongType()))
 def bucket_keys(vectors: pa.Array) -> pa.Array:
     """The bucket number in every table, for usable vectors of one batch."""
     out: list[np.ndarray | None] = [None] * len(vectors)

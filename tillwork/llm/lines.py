@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .language_model import planes, unplanes
 from .minhash import shared
@@ -226,7 +227,7 @@ def _found(exact: bool, doc, line, size, match_doc, match_line, more=None) -> pa
                      pa.array(np.zeros(len(doc), bool) if more is None else more)], [p.split()[0] for p in FOUND.split(", ")])
 
 
-@F.arrow_udf("array<struct<line int, members binary>>")
+@F.arrow_udf(T.ArrayType(T.StructType([T.StructField("line", T.IntegerType()), T.StructField("members", T.BinaryType())])))
 def line_sets(texts: pa.Array, wanted: pa.Array) -> pa.Array:
     """Sorted distinct word numbers of the wanted lines of each text."""
     out = []

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .graph import components
 from .store import spill
@@ -92,7 +93,8 @@ def _matrix(lists: pa.Array) -> np.ndarray:
     return np.ascontiguousarray(lists.flatten().to_numpy(zero_copy_only=False)).reshape(len(lists), BANDS)
 
 
-@F.arrow_udf("n_shingles long, low long, high long, registers array<long>")
+@F.arrow_udf(T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField("low", T.LongType()),
+                           T.StructField("high", T.LongType()), T.StructField("registers", T.ArrayType(T.LongType()))]))
 def signature(texts: pa.Array) -> pa.Array:
     rows = []
     for values in shingle_sets(texts):
@@ -106,19 +108,19 @@ def signature(texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays(parts, ["n_shingles", "low", "high", "registers"])
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def full_set(texts: pa.Array) -> pa.Array:
     return pa.array([s.tobytes() for s in shingle_sets(texts)], pa.binary())
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(T.DoubleType())
 def estimated(a: pa.Array, b: pa.Array, n: pa.Array, m: pa.Array) -> pa.Array:
     if not len(a):
         return pa.array([], pa.float64())
     return pa.array(estimate(_matrix(a), _matrix(b), n.to_numpy(), m.to_numpy()))
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def shared(a: pa.Array, b: pa.Array) -> pa.Array:
     """Common members of two packed sets."""
     out = []

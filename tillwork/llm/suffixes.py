@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .store import spill
 from .words import U64, grams, slices, words_of
@@ -52,7 +53,7 @@ def minimisers(runs: np.ndarray) -> np.ndarray:
     return at[fresh | np.r_[True, step[1:] != step[:-1]]]
 
 
-@F.arrow_udf("array<struct<at int, run long>>")
+@F.arrow_udf(T.ArrayType(T.StructType([T.StructField("at", T.IntegerType()), T.StructField("run", T.LongType())])))
 def suffixes(texts: pa.Array) -> pa.Array:
     """Minimiser positions of each text and their run numbers."""
     kept, numbers, sizes = [], [], []
@@ -72,7 +73,9 @@ def suffixes(texts: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]).astype(np.int32)), both)
 
 
-@F.arrow_udf("array<struct<at int, run long, before binary, n_before int, after binary, n_after int>>")
+@F.arrow_udf(T.ArrayType(T.StructType([
+    T.StructField("at", T.IntegerType()), T.StructField("run", T.LongType()), T.StructField("before", T.BinaryType()),
+    T.StructField("n_before", T.IntegerType()), T.StructField("after", T.BinaryType()), T.StructField("n_after", T.IntegerType())])))
 def surroundings(texts: pa.Array, places: pa.Array) -> pa.Array:
     """What stands before (nearest word first) and after the run at each place of each text."""
     out = []
