@@ -33,7 +33,7 @@ BUCKETS = 33
 #: Cells of the held-out histogram: quarter powers of two of each estimate.
 CELLS, STEPS = 160, 4
 #: Bytes of text whose keys a worker holds at once.
-PORTION = 10 << 20
+PORTION = 24 << 20
 ROUNDS, TOLERANCE = 500, 1e-10
 
 
