@@ -42,13 +42,17 @@ def own_text(text: Column) -> Column:
 
 
 def _carried(rows: DataFrame, value: str, how, name: str) -> DataFrame:
-    """Add the maximum or last of ``value`` over all earlier rows of the conversation, chunk by chunk."""
+    """Add the maximum (of a value that grows with the turn) or the sum of ``value`` over all earlier rows of the conversation.
+
+    Rows of a chunk are ordered together; what earlier chunks hold is one number each.
+    """
     inside = Window.partitionBy("conv", "chunk").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
     total = rows.groupBy("conv", "chunk").agg(how(value).alias("_v"))
     before = Window.partitionBy("conv").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     total = total.withColumn("_before", how("_v").over(before)).select("conv", "chunk", "_before")
     out = rows.withColumn(name, how(value).over(inside)).join(spill(total, "chunks"), ["conv", "chunk"])
-    return out.withColumn(name, F.coalesce(name, "_before")).drop("_before")
+    both = F.coalesce(name, F.lit(0)) + F.coalesce("_before", F.lit(0)) if how is F.sum else F.coalesce(name, "_before")
+    return out.withColumn(name, both).drop("_before")
 
 
 def _units(lines: DataFrame) -> DataFrame:
@@ -130,7 +134,7 @@ def reply_order(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", rol
 
     line = messages.select("conv", "turn").withColumn("chunk", F.floor(F.col("turn") / CHUNK)).withColumn("one", F.lit(1).cast("long"))
     line = _carried(line.withColumn("at", F.col("turn")), "at", F.max, "previous")
-    line = _carried(line, "one", F.sum, "place").withColumn("place", F.coalesce("place", F.lit(0).cast("long")))
+    line = _carried(line, "one", F.sum, "place")
     line = line.join(first, ["conv", "turn"], "left").withColumn("reply_to", F.coalesce("answered", "previous"))
     opens = F.col("reply_to").isNull() | (F.col("reply_to") != F.col("previous"))
     line = line.withColumn("head", F.when(opens, F.col("turn")))

@@ -194,6 +194,17 @@ class Patterns:
                                           ["n_words", "starts", "ends", "items"])
 
 
+def _searcher(tables):
+    """Search with broadcast tables, in texts or in texts and what was found in them before."""
+
+    @F.arrow_udf(RESULT)
+    def search(*columns: pa.Array) -> pa.Array:
+        got = [tables.value.search(part, *(c.slice(at, len(part)) for c in columns[1:])) for at, part in slices(columns[0], 8 << 20)]
+        return pa.concat_arrays(got) if got else tables.value.search(*columns)
+
+    return search
+
+
 def find_items(df: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
                window: int = WINDOW, found: str = "found", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Add ``found``: the words of each whole text that lie in an occurrence of a window of an item.
@@ -221,15 +232,8 @@ def find_items(df: DataFrame, items: DataFrame, text: str = "text", item_id: str
         rows = part.collect()
         tables = spark.sparkContext.broadcast(Patterns([r.item for r in rows], [r.words for r in rows], window))
 
-        def search(texts: pa.Array, earlier: pa.StructArray | None, tables=tables) -> pa.StructArray:
-            got = [tables.value.search(part, None if earlier is None else earlier.slice(at, len(part)))
-                   for at, part in slices(texts, 8 << 20)]
-            return pa.concat_arrays(got) if got else tables.value.search(texts, earlier)
-
-        if block == 0:
-            out = out.withColumn(found, F.arrow_udf(lambda t: search(t, None), RESULT)(F.col(f"`{text}`")))
-        else:
-            out = out.withColumn(found, F.arrow_udf(search, RESULT)(F.col(f"`{text}`"), F.col(f"`{found}`")))
+        columns = [F.col(f"`{text}`")] + ([F.col(f"`{found}`")] if block else [])
+        out = out.withColumn(found, _searcher(tables)(*columns))
         if blocks > 1:
             path = scratch_path(spark, "contamination")
             out.write.parquet(path)

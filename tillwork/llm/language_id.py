@@ -195,7 +195,7 @@ def identify(rows: DataFrame, model: Model, confidence: float = CONFIDENCE) -> D
     named = F.when(F.col("vote").isNull(), F.lit(UNKNOWN)).otherwise(best)
     return out.withColumn("lang", named).select(
         "id", "lang", F.when(F.col("vote").isNull(), F.lit(0.0)).otherwise(F.col("_share")).alias("confidence"),
-        F.element_at(F.array(*map(F.lit, names)), F.col("vote") + 1).alias("text_lang"), "declared",
+        F.when(F.col("vote").isNotNull(), F.element_at(F.array(*map(F.lit, names)), F.col("vote") + 1)).alias("text_lang"), "declared",
         ((F.col("lang") != UNKNOWN) & (F.col("vote").isNotNull()) & (F.col("_share") >= confidence)).alias("accepted"))
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from . import bpe, chat, contamination, embeddings, language_id, language_model, lines, minhash, suffixes, token_counts
-from .registry import query, table
+from .registry import QUERIES, query, table  # noqa: F401
 
 COUNTING = "word_bpe_49k.json"
 RANKS = "byte_bpe_multi_50k.tiktoken"
