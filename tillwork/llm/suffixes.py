@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .store import spill
-from .words import U64, grams, slices, words_of
+from .words import U64, grams, slices, text_buffer, words_of
 
 #: Words of the shortest passage that counts.
 PASSAGE = 50
@@ -31,6 +31,8 @@ SIDE = PASSAGE - RUN
 BYTES = 3
 #: Neighbours in suffix order that a suffix is compared with.
 NEAR = 16
+#: Sorted suffixes that are compared at once.
+PART = 20_000
 
 
 def _sliding(values: np.ndarray, width: int, lowest: bool) -> np.ndarray:
@@ -78,26 +80,36 @@ def suffixes(texts: pa.Array) -> pa.Array:
     T.StructField("n_before", T.IntegerType()), T.StructField("after", T.BinaryType()), T.StructField("n_after", T.IntegerType())])))
 def surroundings(texts: pa.Array, places: pa.Array) -> pa.Array:
     """What stands before (nearest word first) and after the run at each place of each text."""
-    out = []
+    parts, sizes = [], []
     reach = np.arange(SIDE)
-    for start, part in slices(texts):
+    for start, part in slices(texts, 2 << 20):
         words = words_of(part)
         runs = grams(words.hash, RUN)
         short = np.ascontiguousarray(words.hash.view(np.uint8).reshape(-1, 8)[:, :BYTES])
-        for k in range(len(part)):
-            first, last = int(words.first[k]), int(words.first[k + 1])
-            at = first + np.sort(places[start + k].values.to_numpy())
-            n_before, n_after = np.minimum(SIDE, at - first), np.minimum(SIDE, last - at - RUN)
-            before = short[np.clip(at[:, None] - 1 - reach, 0, len(short) - 1)]
-            after = short[np.clip(at[:, None] + RUN + reach, 0, len(short) - 1)]
-            before[reach[None, :] >= n_before[:, None]] = 0
-            after[reach[None, :] >= n_after[:, None]] = 0
-            out.append([
-                {"at": a - first, "run": r, "before": b.tobytes(), "n_before": nb, "after": f.tobytes(), "n_after": nf}
-                for a, r, b, nb, f, nf in zip(at.tolist(), runs[at].view(np.int64).tolist(), before, n_before.tolist(), after, n_after.tolist())])
-    kind = pa.list_(pa.struct([("at", pa.int32()), ("run", pa.int64()), ("before", pa.binary()), ("n_before", pa.int32()),
-                               ("after", pa.binary()), ("n_after", pa.int32())]))
-    return pa.array(out, kind)
+        own = places.slice(start, len(part))
+        size = np.array([len(p) for p in own])
+        sizes.append(size)
+        first, last = np.repeat(words.first[:-1], size), np.repeat(words.first[1:], size)
+        at = first + own.flatten().to_numpy()
+        sides = []
+        for step, room in ((-1 - reach, at - first), (RUN + reach, last - at - RUN)):
+            room = np.minimum(SIDE, room)
+            near = short[np.clip(at[:, None] + step, 0, max(0, len(short) - 1))]
+            near[reach[None, :] >= room[:, None]] = 0
+            sides += [_rows(near.reshape(len(at), -1)), pa.array(room.astype(np.int32))]
+        parts.append(pa.StructArray.from_arrays(
+            [pa.array((at - first).astype(np.int32)), pa.array(runs[at].view(np.int64)), *sides],
+            ["at", "run", "before", "n_before", "after", "n_after"]))
+    kind = pa.struct([("at", pa.int32()), ("run", pa.int64()), ("before", pa.binary()), ("n_before", pa.int32()),
+                      ("after", pa.binary()), ("n_after", pa.int32())])
+    ends = np.cumsum(np.r_[0, *sizes]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays(parts) if parts else pa.array([], kind))
+
+
+def _rows(table: np.ndarray) -> pa.Array:
+    """Each row of a byte table as a binary value."""
+    ends = np.arange(len(table) + 1, dtype=np.int32) * np.int32(table.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(table), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(table))])
 
 
 CARRIED = ("doc", "text_hash", "at", "run", "before", "n_before", "after", "n_after")
@@ -112,11 +124,16 @@ def _common(x: np.ndarray, y: np.ndarray, limit: np.ndarray) -> np.ndarray:
     return np.minimum(n, limit)
 
 
+def _table(column: pa.ChunkedArray) -> np.ndarray:
+    """The binary values of a column, all of the same size, as words of ``BYTES``."""
+    return np.concatenate([text_buffer(c)[0] for c in column.chunks]).reshape(len(column), SIDE, BYTES)
+
+
 def matches(rows: pa.Table) -> pa.Table:
     """The best match of each suffix of sorted rows among its neighbours."""
     n = rows.num_rows
     doc, text, at, run, n_before, n_after = (rows.column(c).to_numpy() for c in ("doc", "text_hash", "at", "run", "n_before", "n_after"))
-    before, after = (np.frombuffer(b"".join(rows.column(c).to_pylist()), np.uint8).reshape(n, SIDE, BYTES) for c in ("before", "after"))
+    before, after = (_table(rows.column(c)) for c in ("before", "after"))
     best, first, last, partner = np.zeros(n, np.int64), at.copy(), at.copy(), np.full(n, -1)
     for d in range(1, min(NEAR, n - 1) + 1):
         i = np.flatnonzero(run[:-d] == run[d:])
@@ -148,8 +165,8 @@ def _sorted_part(batches):
         if not batch.num_rows:
             continue
         fresh = pa.Table.from_batches([batch])
-        for start in range(0, fresh.num_rows, 50_000):
-            rows = fresh.slice(start, 50_000)
+        for start in range(0, fresh.num_rows, PART):
+            rows = fresh.slice(start, PART)
             if head is None:
                 head = True
                 yield from _wide(ends(rows.slice(0, NEAR), part - 1))
