@@ -82,12 +82,12 @@ def test_roas_rejects_bad_input(spark, mix):
 
 # ---- linear models ---------------------------------------------------------
 
-def test_ols_sample(spark):
-    df = spark.createDataFrame([(1.0, 1.0, 6.0), (1.0, 2.0, 8.0), (2.0, 2.0, 9.0), (2.0, 3.0, 11.0)], "a double, b double, y double")
-    fit = models.ols(df, ["a", "b"], "y")
-    assert np.allclose(fit.coefficients, [3, 1, 2])
-    one = models.score_linear(spark.createDataFrame([(3.0, 5.0)], "a double, b double"), fit.as_dict(), fit.intercept)
-    assert one.first()["yhat"] == pytest.approx(16)
+def test_ols_recovers_an_exact_plane(spark):
+    rows = [(p, q, 7.5 - 1.25 * p + 0.5 * q) for p in (0.0, 4.0, 9.0) for q in (-2.0, 1.0, 6.0)]
+    fit = models.ols(spark.createDataFrame(rows, "p double, q double, y double"), ["p", "q"], "y")
+    assert np.allclose(fit.coefficients, [7.5, -1.25, 0.5])
+    one = models.score_linear(spark.createDataFrame([(8.0, 12.0)], "p double, q double"), fit.as_dict(), fit.intercept)
+    assert one.first()["yhat"] == pytest.approx(3.5)
 
 
 @pytest.fixture(scope="module")
@@ -142,13 +142,39 @@ def test_penalised_solutions_are_optimal(regression):
     assert boxed[0] == 0.5 and boxed[1] == -1.5 and boxed[2] >= 0.2
 
 
-def test_mixed_effects_paths_agree(regression):
-    df, _ = regression
-    common, groups = models.linear_mixed_effects(df, ["a", "b"], "y", "g", ["a"], iterations=15)
-    other, spread = models.linear_mixed_effects(df, ["a", "b"], "y", "g", ["a"], iterations=15, limit=0)
-    assert common == pytest.approx(other) and groups.count() == 16
-    assert np.allclose([r[3] for r in sorted(groups.collect())], [r[3] for r in sorted(spread.collect())])
-    assert common["a"] == pytest.approx(1.0, abs=0.15) and common["b"] == pytest.approx(-2.0, abs=0.15)
+def test_mixed_effects_match_a_plain_fit(regression):
+    df, pdf = regression
+    common, groups = models.linear_mixed_effects(df, ["a", "b"], "y", "g", ["a"])
+    parts = [(np.column_stack([np.ones(len(g)), g["a"], g["b"]]), g["y"].to_numpy()) for _, g in pdf.groupby("g")]
+    x, y = np.vstack([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    beta, d, s2 = np.linalg.lstsq(x, y, rcond=None)[0], np.eye(2), 1.0
+    for _ in range(6000):
+        u, m = [], []
+        for xs, ys in parts:
+            zs = xs[:, :2]
+            cov = np.linalg.inv(zs.T @ zs / s2 + np.linalg.inv(d))
+            m.append(cov)
+            u.append(cov @ zs.T @ (ys - xs @ beta) / s2)
+        rest = np.concatenate([ys - xs[:, :2] @ e for (xs, ys), e in zip(parts, u)])
+        beta = np.linalg.lstsq(x, rest, rcond=None)[0]
+        s2 = (((rest - x @ beta) ** 2).sum() + sum(np.trace(xs[:, :2].T @ xs[:, :2] @ c) for (xs, _), c in zip(parts, m))) / len(y)
+        d = sum(np.outer(e, e) + c for e, c in zip(u, m)) / len(parts)
+    assert np.allclose([common[c] for c in ("intercept", "a", "b")], beta, atol=1e-4)
+    effects = {(r["g"], r["feature"]): r["effect"] for r in groups.collect()}
+    assert len(effects) == 16
+    assert all(abs(effects[g, c] - u[g][i]) < 1e-2 for g in range(8) for i, c in enumerate(("intercept", "a")))
+    with pytest.raises(RuntimeError, match="did not settle"):
+        models.linear_mixed_effects(df, ["a", "b"], "y", "g", ["a"], rounds=1)
+
+
+def test_small_groups_are_fitted(spark):
+    rows = [("big", float(i), 3.0 * i + 1) for i in range(20)] + [("two", 1.0, 5.0), ("two", 2.0, 9.0), ("one", 4.0, 7.0)]
+    got = models.elastic_net_by_group(spark.createDataFrame(rows, "g string, x double, y double"), ["x"], "y", ["g"], 0.5, 0.1)
+    fits = {(r["g"], r["feature"]): r["coefficient"] for r in got.collect()}
+    assert {g for g, _ in fits} == {"big", "two", "one"}
+    # half of the strength 0.1 is the absolute penalty, half the square one
+    assert fits["two", "x"] == pytest.approx((4 * 0.25 - 0.05) / (0.25 + 0.05))
+    assert fits["one", "x"] == 0 and fits["one", "intercept"] == 7
 
 
 def test_shrinkage_lies_between_group_and_pool(regression):

@@ -1,10 +1,14 @@
-from tillwork.session import fits_single_task, plan_bytes, shared_folder, small_side
+from pyspark.sql import functions as F
 
+from tillwork.session import fits_single_task, shared_folder, small_side
 
-def test_plan_size_is_known(spark, folder):
+
+def test_size_is_counted_not_estimated(spark, folder):
     df = spark.read.parquet(f"{folder}/lineitem.parquet")
-    assert 0 < plan_bytes(df.select("l_orderkey")) <= plan_bytes(df)
     assert fits_single_task(df) and not fits_single_task(df, 0)
+    exploded = df.limit(1000).select(F.explode(F.sequence(F.lit(1), F.lit(1000))))
+    assert not fits_single_task(exploded)
+    assert fits_single_task(df.alias("a").join(df.alias("b"), ["l_orderkey", "l_linenumber"], "left_semi"))
 
 
 def test_small_side_is_broadcast_without_a_shuffle(spark, folder):

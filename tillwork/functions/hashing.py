@@ -18,12 +18,18 @@ def hash_prefix(digest: Column, digits: int) -> Column:
     return F.conv(F.substring(digest, 1, digits), 16, 10).cast("int")
 
 
-def row_digest(cols: list[Column | str], null_marker: str = "∅") -> Column:
-    """Digest of a whole row, with a marker so that NULL differs from ''."""
-    parts = [F.coalesce(as_col(c).cast("string"), F.lit(null_marker)) for c in cols]
-    return F.md5(F.concat_ws("|", *parts))
+def row_digest(cols: list[Column | str]) -> Column:
+    """Digest of a whole row: each value with its length in bytes, NULL as ``n``, so that no two rows read alike."""
+    values = [as_col(c).cast("string") for c in cols]
+    parts = [F.coalesce(F.concat(F.octet_length(v).cast("string"), F.lit(":"), v), F.lit("n")) for v in values]
+    return F.md5(F.concat(*parts, F.lit("")))
 
 
-def digest_number(digest: Column) -> Column:
-    """First 32 bits of a digest as a bigint, safe to sum."""
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+def digest_numbers(digest: Column) -> list[Column]:
+    """A digest as four numbers of 32 bits, safe to sum."""
+    return [F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("bigint") for i in range(4)]
+
+
+def digest_sum(digest: Column) -> Column:
+    """Sums of the four parts of all digests, in any order of rows."""
+    return F.concat_ws("-", *[F.coalesce(F.sum(n), F.lit(0)).cast("string") for n in digest_numbers(digest)])

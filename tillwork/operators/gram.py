@@ -184,8 +184,8 @@ def solve_penalised(
             shift = max(shift, abs(new - w[j]) * math.sqrt(scale[j]))
             w[j] = new
         if shift < tol * max(1.0, math.sqrt(abs(float(sxy @ w)) + 1e-30)):
-            break
-    return w
+            return w
+    raise RuntimeError(f"coordinate descent did not settle in {max_iter} rounds")
 
 
 def solve_ridge(g: Gram, alpha: float, positive: bool = False) -> np.ndarray:
@@ -207,7 +207,8 @@ def solve_each_group(table: DataFrame, xs: Sequence[str], y: str, by: Sequence[s
     """Apply ``solve(Gram) -> coefficients`` to every row of a statistics table.
 
     Python sees one row of p x p statistics per group, never the data rows.
-    Groups with fewer rows than coefficients are left out.
+    Every group gets a row for each coefficient; one that its rows do not
+    determine is what the penalty makes it, or 0.
     """
     names = [*xs, y]
     keys = ", ".join(f"`{b}` {table.schema[b].dataType.simpleString()}" for b in by)
@@ -218,8 +219,6 @@ def solve_each_group(table: DataFrame, xs: Sequence[str], y: str, by: Sequence[s
             rows = []
             for record in pdf.to_dict("records"):
                 g = Gram.from_row(names, record["n"], record["mean"], record["cov"])
-                if g.n <= len(xs) + 1:
-                    continue
                 w = solve(g)
                 key = [record[b] for b in by]
                 rows.append([*key, g.n, "intercept", g.intercept(w)])

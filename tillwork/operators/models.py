@@ -24,7 +24,7 @@ from tillwork.operators.eda import correlation_matrix
 from tillwork.operators.metrics import regression_metrics
 from tillwork.operators.ordered import take_by_hash
 from tillwork.operators.prep import trim_top
-from tillwork.session import SINGLE_TASK_BYTES, attach_row, materialise, small_side
+from tillwork.session import attach_row, materialise, small_side
 
 COEFFICIENT_TABLE = "feature string, coefficient double, std_error double, t_value double, p_value double, vif double"
 
@@ -68,6 +68,19 @@ def logit(df: DataFrame, xs: Sequence[str], target: str, max_iter: int = 25) ->
         "feature string, coefficient double, std_error double, t_value double, p_value double")
 
 
+def logit_accuracy(
+    df: DataFrame, coefficients: dict[str, float], intercept: float, target: str, threshold: float = 0.5
+) -> DataFrame:
+    """One row ``(n, accuracy)``: share of rows whose class the logit model calls right.
+
+    The classes are mapped to 0 and 1 in sort order; rows with a missing value do not count.
+    """
+    known = df.dropna(subset=[*coefficients, target])
+    scored = score_logit(attach_row(known, known.agg(F.max(target).alias("_one"))), coefficients, intercept, threshold, "_p", "_called")
+    right = ((F.col(target) == F.col("_one")).cast("int") == F.col("_called")).cast("int")
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.avg(right).alias("accuracy"))
+
+
 def score_logit(
     df: DataFrame, coefficients: dict[str, float], intercept: float, threshold: float = 0.5,
     probability: str = "probability", label: str = "predicted",
@@ -117,12 +130,15 @@ def coefficient_matrix(
     """
     wanted = [*features, intercept]
     name, value = F.col("feature names"), F.col("feature coefficients")
-    pattern = r"^(.*)\|.*\[(.*)\]$"
+    # what stands before the last bar is the effect, what stands in the last brackets behind it the group
+    parts = F.split(name, r"\|")
+    grouped = F.element_at(parts, -1)
+    of_group = (F.size(parts) > 1) & grouped.contains("[") & grouped.endswith("]")
     fixed = long.agg(*[F.coalesce(F.sum(F.when(name == c, value)), F.lit(0.0)).alias(f"_f{i}") for i, c in enumerate(wanted)])
-    effect = F.regexp_extract(name, pattern, 1)
-    random = long.filter(name.rlike(pattern)).select(
+    effect = F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "|")
+    random = long.filter(of_group).select(
         F.when(effect == "1", intercept).otherwise(effect).alias("_effect"),
-        F.regexp_extract(name, pattern, 2).alias("_group"), value.alias("_value"))
+        F.substring_index(F.element_at(F.split(grouped, r"\["), -1), "]", 1).alias("_group"), value.alias("_value"))
     random = random.groupBy("_group").agg(*[
         F.sum(F.when(F.col("_effect") == c, F.col("_value"))).alias(f"_r{i}") for i, c in enumerate(wanted)])
     rows = attach_row(groups.select(group_col).distinct(), fixed)
@@ -193,60 +209,64 @@ def _expectation(pdf: pd.DataFrame, p: int, z: list[int], beta, d, sigma2) -> np
 
 
 def linear_mixed_effects(
-    df: DataFrame, xs: Sequence[str], y: str, group: str, random: Sequence[str] = (), iterations: int = 100,
-    tol: float = 1e-8, box: dict[str, tuple[float, float]] | None = None, limit: int = SINGLE_TASK_BYTES,
+    df: DataFrame, xs: Sequence[str], y: str, group: str, random: Sequence[str] = (), rounds: int = 500,
+    tol: float = 1e-8, box: dict[str, tuple[float, float]] | None = None,
 ) -> tuple[dict[str, float], DataFrame]:
     """Random intercept and slopes by group, fitted by expectation-maximisation.
 
-    The data are read once, into p x p statistics per group.  Each iteration
-    sums over these statistics: on the driver where the table is small, as a
-    Spark job over the checkpointed table otherwise.  Returns the common
-    coefficients and a table of group effects and total coefficients; ``box``
-    bounds the totals of the named coefficients.
+    The data are read once, into p x p statistics per group, which stay
+    distributed: each step of the fit sums over them in one Spark job, whose
+    tasks return one vector each.  Steps are extrapolated (SQUAREM, Varadhan and
+    Roland 2008), which takes a few dozen of them; a fit that does not settle in
+    ``rounds`` extrapolations is an error.  Returns the common coefficients and a
+    table of group effects and total coefficients; ``box`` bounds the totals of
+    the named coefficients.
     """
     names = ["intercept", *xs]
     effects = ["intercept", *random]
     z = [names.index(c) for c in effects]
     p, q = len(xs) + 1, len(z)
-    table = gram.gram_table(df, xs, y, [group])
-    stats = materialise(table)
-    small = stats.count() * (p + 1) ** 2 * 8 <= limit
-    local = stats.toPandas() if small else None
+    stats = materialise(gram.gram_table(df, xs, y, [group]))
     g = gram.collect_gram(df, xs, y)
     w = np.linalg.pinv(g.sxx) @ g.sxy
-    beta = np.concatenate([[g.intercept(w)], w])
     sigma2 = max(float(g.cov[-1, -1] - w @ g.sxy), 1e-12)
-    d = np.eye(q) * sigma2 * 0.1
 
-    def sums() -> np.ndarray:
-        if small:
-            return _expectation(local, p, z, beta, d, sigma2)
-        args = (p, z, beta.copy(), d.copy(), sigma2)
+    def split(theta: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        d = theta[p:-1].reshape(q, q)
+        return theta[:p], (d + d.T) / 2, float(np.exp(theta[-1]))
+
+    def step(theta: np.ndarray) -> np.ndarray:
+        args = (p, z, *split(theta))
 
         def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            acc = None
-            for pdf in batches:
-                if len(pdf):
-                    s = _expectation(pdf, *args)
-                    acc = s if acc is None else acc + s
-            if acc is not None:
-                yield pd.DataFrame({"at": np.arange(len(acc)), "s": acc})
-
-        rows = stats.mapInPandas(part, "at bigint, s double").groupBy("at").agg(F.sum("s").alias("s")).collect()
-        return np.array([r["s"] for r in sorted(rows, key=lambda r: r["at"])])
-
-    for _ in range(iterations):
-        s = sums()
+            sums = [_expectation(pdf, *args) for pdf in batches if len(pdf)]
+            if sums:
+                yield pd.DataFrame({"s": [np.sum(sums, axis=0)]})
+
+        s = np.sum([r["s"] for r in stats.mapInPandas(part, "s array<double>").collect()], axis=0)
         xtx, rest = s[: p * p].reshape(p, p), s[p * p:]
         right, second = rest[:p], rest[p: p + q * q].reshape(q, q)
         rss, n, groups = rest[p + q * q:]
-        new = np.linalg.solve(xtx, right)
-        sigma2 = max((rss - 2 * new @ right + new @ xtx @ new) / n, 1e-12)
-        d = second / groups + np.eye(q) * 1e-12
-        moved = np.max(np.abs(new - beta) / (1 + np.abs(beta)))
-        beta = new
-        if moved < tol:
+        beta = np.linalg.solve(xtx, right)
+        noise = max((rss - 2 * beta @ right + beta @ xtx @ beta) / n, 1e-12)
+        return np.concatenate([beta, (second / groups + np.eye(q) * 1e-12).ravel(), [np.log(noise)]])
+
+    theta = np.concatenate([[g.intercept(w)], w, (np.eye(q) * sigma2 * 0.1).ravel(), [np.log(sigma2)]])
+    for _ in range(rounds):
+        once = step(theta)
+        first = once - theta
+        if np.max(np.abs(first[:p]) / (1 + np.abs(once[:p]))) < tol:
+            theta = once
             break
+        twice = step(once)
+        bend = twice - once - first
+        length = -max(1.0, float(np.linalg.norm(first) / max(np.linalg.norm(bend), 1e-300)))
+        ahead = theta - 2 * length * first + length**2 * bend
+        usable = np.isfinite(ahead).all() and np.linalg.eigvalsh(split(ahead)[1]).min() > 0 and abs(ahead[-1] - twice[-1]) < 2
+        theta = ahead if usable else twice
+    else:
+        raise RuntimeError(f"the mixed model did not settle in {rounds} rounds")
+    beta, d, sigma2 = split(theta)
 
     bounds = box or {}
     final = (beta.copy(), d.copy(), sigma2)

@@ -1,9 +1,8 @@
 """Order-dependent primitives that never put a whole group into one task.
 
 Ranks, exact quantiles, dense ids and exact seeded samples need a global or
-per-group order.  Each has two equal paths: where Catalyst's size estimate shows
-the input is small, one window or one ``percentile`` aggregate; otherwise the
-rows are range-partitioned on (group, value), so that even a group holding most
+per-group order.  Each has two equal paths: where the input was counted and is
+small, one window or one ``percentile`` aggregate; otherwise the rows are range-partitioned on (group, value), so that even a group holding most
 of the data is spread over many chunks, and only the per-chunk totals (a few
 rows per group) are accumulated in order.
 """
@@ -120,8 +119,8 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     return df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-#: Below this size the ``percentile`` aggregate beats the two extra scans (measured).
-PERCENTILE_BYTES = 1024 * 1024
+#: Up to so many rows the ``percentile`` aggregate beats the two extra scans (measured).
+PERCENTILE_ROWS = 50_000
 
 
 def quantile_table(
@@ -138,7 +137,7 @@ def quantile_table(
     distributed ranks of the distinct values.
     """
     by, columns, probs = list(by), list(columns), [float(p) for p in probs]
-    if fits_single_task(df, PERCENTILE_BYTES if limit is None else limit):
+    if fits_single_task(df, PERCENTILE_ROWS if limit is None else limit):
         wide = df.groupBy(*by).agg(
             *[F.percentile(F.col(c).cast("double"), F.array(*map(F.lit, probs))).alias(f"_q{i}")
               for i, c in enumerate(columns)]
@@ -271,7 +270,7 @@ def take_by_hash(
     dropped.
     """
     strata, keys, flags = list(strata), list(keys), list(takes)
-    digits = digits or (2 if fits_single_task(df) else 4)  # any number of digits gives the same rows
+    digits = digits or 4  # any number of digits gives the same rows
     rows = df.filter(all_of([F.col(s).isNotNull() for s in strata])) if strata else df
     digest = hash_order(keys, seed)
     position = F.struct(digest.alias("_h"), *[F.col(k) for k in keys])

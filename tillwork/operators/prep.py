@@ -158,6 +158,22 @@ def impute(
     return fill_from_row(df, fill_values(df, names, method, value))
 
 
+def impute_by_method(
+    df: DataFrame, methods: dict[str, Sequence[str]], values: dict | None = None, date_col: str | None = None,
+    group_cols: Sequence[str] = (),
+) -> DataFrame:
+    """Fill several sets of columns in one call: ``{method: columns}``, with ``values`` for the constant method.
+
+    Every method sees the columns as they came; a column named twice is an error.
+    """
+    named = [c for columns in methods.values() for c in columns]
+    if len(named) != len(set(named)):
+        raise ValueError("a column is given to more than one method")
+    for method, columns in methods.items():
+        df = impute(df, list(columns), method, values, date_col, group_cols)
+    return df
+
+
 def impute_with_threshold(df: DataFrame, threshold: float = 0.2, method: str = "mean") -> DataFrame:
     """Drop columns with a larger missing share, impute the numeric rest where it has holes."""
     shares = {r["column"]: r["missing_share"] for r in missing_proportions(df).collect()}

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.functions.hashing import digest_number, row_digest
+from tillwork.functions.hashing import digest_sum, row_digest
 from tillwork.functions.numeric import divide, finite
 from tillwork.operators.clean import columns_of_type
 from tillwork.operators.ordered import quantile_row, top_per_key
@@ -124,7 +124,7 @@ def duplicate_columns(df: DataFrame, key: Sequence[str]) -> DataFrame:
     digests; only pairs with equal sums are compared value by value.
     """
     names = [c for c in df.columns if c not in key]
-    sums = df.agg(*[F.sum(digest_number(row_digest([*key, c]))).alias(f"_{i}") for i, c in enumerate(names)]).first()
+    sums = df.agg(*[digest_sum(row_digest([*key, c])).alias(f"_{i}") for i, c in enumerate(names)]).first()
     pairs = [(names[i], names[j]) for i in range(len(names)) for j in range(i + 1, len(names))
              if sums[i] is not None and sums[i] == sums[j]
              and df.schema[names[i]].dataType == df.schema[names[j]].dataType]

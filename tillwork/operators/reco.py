@@ -13,7 +13,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark.ml.recommendation import ALS
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwork.functions.hashing import hash_order, hash_prefix
@@ -634,11 +634,21 @@ def fit_predict(
 
 
 def rank_items(
-    model: str, ratings: DataFrame, users: DataFrame, items: DataFrame, user: str, item: str, rating: str, n: int, **params
+    model: str, ratings: DataFrame, users: DataFrame, items: DataFrame, user: str, item: str, rating: str, n: int = 0,
+    unseen_only: bool = False, **params,
 ) -> DataFrame:
-    """Rank the unseen ones of the given items for the given users."""
-    targets = unseen_items(users, ratings, items, user, item)
-    return top_items(fit_predict(model, ratings, targets, user, item, rating, **params), user, item, "prediction", n)
+    """Rank the given items for the given users; ``n`` of 0 or less ranks all of them.
+
+    Every given item is ranked, rated ones too, as the surveyed flow does;
+    ``unseen_only`` leaves out what a user has rated.  One row is made for each
+    pair of a user and an item that is asked for.
+    """
+    targets = unseen_items(users, ratings if unseen_only else ratings.limit(0), items, user, item)
+    scored = fit_predict(model, ratings, targets, user, item, rating, **params)
+    if n > 0:
+        return top_items(scored, user, item, "prediction", n)
+    order = Window.partitionBy(user).orderBy(F.desc("prediction"), item)
+    return scored.withColumn("rank", F.row_number().over(order))
 
 
 def compare_models(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tillwork.functions.numeric import divide, total
+from tillwork.session import materialise
 
 
 def contribution(df: DataFrame, target: str, coefficients: dict[str, float]) -> DataFrame:
@@ -35,20 +36,49 @@ def optimal_visits(
     coefficient: str = "coefficient",
     margin: str = "margin",
     cost: str = "cost",
-    max_visits: int = 100,
+    each_step: int = 4096,
 ) -> DataFrame:
     """First step whose incremental return falls below 1, for each segment.
 
     ``step`` is the 0-based step index the surveyed code returns and ``visits``
-    the number of visits before that step.  Both are NULL when no step within
-    ``max_visits`` qualifies; the surveyed search never ends in that case.
+    the number of visits before that step.  The first ``each_step`` steps are
+    tried one by one.  Segments that are open after them are searched by nested
+    intervals, which finds the first step if returns diminish from there on.
+    Both columns are NULL where the return is unknown (a NULL or zero cost); a
+    return that is 1 or more even after 2**50 visits is an error.
     """
     n = F.col("n").cast("double")
-    steps = segments.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(max_visits))))
     gain = (response(n + 1) - response(n)) * F.col(coefficient)
-    steps = steps.withColumn("_inc", divide(gain * F.col(margin), cost)).filter(F.col("n") < max_visits)
-    first = steps.groupBy(key).agg(F.min(F.when(F.col("_inc") < 1, F.col("n"))).alias("visits"))
-    return first.select(key, (F.col("visits") - 1).alias("step"), "visits")
+    inc = divide(gain * F.col(margin), cost)
+
+    def first_below(rows: DataFrame, tried: Column) -> DataFrame:
+        steps = rows.withColumn("n", F.explode(tried)).withColumn("_inc", inc)
+        return steps.groupBy(key).agg(
+            F.min(F.when(F.col("_inc") < 1, F.col("n"))).alias("visits"), F.count("_inc").alias("_known"))
+
+    def segments_of(rows: DataFrame) -> DataFrame:
+        named = rows.select(F.col(key).alias("_key"), *[c for c in rows.columns if c in ("visits", "_low")])
+        return segments.join(named, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+
+    near = materialise(first_below(segments, F.sequence(F.lit(1).cast("bigint"), F.lit(each_step).cast("bigint"))))
+    found = near.filter("visits IS NOT NULL OR _known = 0").select(key, "visits")
+    far = near.filter("visits IS NULL AND _known > 0").select(key)
+    if far.limit(1).count():
+        doubled = F.array(*[F.lit(each_step * 2**k).cast("bigint") for k in range(60) if each_step * 2**k <= 2**50])
+        held = materialise(first_below(segments_of(far), doubled).select(
+            key, "visits", F.greatest(F.floor(F.col("visits") / 2), F.lit(each_step)).alias("_low")))
+        if held.filter("visits IS NULL").limit(1).count():
+            raise ValueError("the incremental return of a segment never falls below 1")
+        while held.filter("visits > _low + 1").limit(1).count():
+            width = F.greatest(F.lit(1).cast("bigint"), F.floor((F.col("visits") - F.col("_low")) / 64))
+            inner = segments_of(held).withColumn("_high", F.col("visits"))
+            steps = inner.withColumn("n", F.explode(F.sequence(F.col("_low") + width, F.col("_high"), width))).withColumn("_inc", inc)
+            cut = steps.groupBy(key, "_low", "_high").agg(F.min(F.when(F.col("_inc") < 1, F.col("n"))).alias("_first"))
+            high, step = F.coalesce("_first", "_high"), F.greatest(
+                F.lit(1).cast("bigint"), F.floor((F.col("_high") - F.col("_low")) / 64))
+            held = materialise(cut.select(key, high.alias("visits"), F.greatest(F.col("_low"), high - step).alias("_low")))
+        found = found.union(held.select(key, "visits"))
+    return found.select(key, (F.col("visits") - 1).alias("step"), "visits")
 
 
 def visit_curve(

@@ -375,10 +375,9 @@ def _segments(spark, d):
 
 @query(
     "optimal_visits",
-    f"""WITH {SQL_SEGMENTS}, s AS (SELECT seg.*, unnest(range(1, 100)) AS n FROM seg),
+    f"""WITH {SQL_SEGMENTS}, s AS (SELECT seg.*, unnest(range(1, 20000)) AS n FROM seg),
       i AS (SELECT l_suppkey, n, (ln(1.0 + n + 1) - ln(1.0 + n)) * coefficient * margin / cost AS inc FROM s)
-    SELECT l_suppkey, CAST(min(n) FILTER (WHERE inc < 1) - 1 AS INTEGER) AS step,
-      CAST(min(n) FILTER (WHERE inc < 1) AS INTEGER) AS visits FROM i GROUP BY 1""",
+    SELECT l_suppkey, min(n) FILTER (WHERE inc < 1) - 1 AS step, min(n) FILTER (WHERE inc < 1) AS visits FROM i GROUP BY 1""",
 )
 def optimal_visits(spark, d):
     return roi.optimal_visits(_segments(spark, d), "l_suppkey", lambda n: F.ln(1.0 + n))

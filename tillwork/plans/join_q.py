@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from tillwork.operators import joins, quality, reco
 
 from .registry import query, table
-from .clean_q import LINE_KEY
 
 
 @query(
@@ -35,28 +34,28 @@ def left_join_nulls(spark, d):
 
 @query(
     "orphan_keys",
-    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
-    WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10)""",
+    "SELECT doc_id, lang, source, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
 )
 def orphan_keys(spark, d):
-    line = table(spark, d, "lineitem").select(*LINE_KEY)
-    return joins.keep_missing(line, table(spark, d, "part").filter("p_size > 10"), [("l_partkey", "p_partkey")])
+    """Documents without a label."""
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    return joins.keep_missing(docs, table(spark, d, "labels"), [("doc_id", "doc_id")])
 
 
 @query(
     "matching_keys",
-    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
-    WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 10)""",
+    "SELECT doc_id, lang, source, n_chars FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)",
 )
 def matching_keys(spark, d):
-    line = table(spark, d, "lineitem").select(*LINE_KEY)
-    return joins.keep_matching(line, table(spark, d, "part").filter("p_size > 10"), [("l_partkey", "p_partkey")])
+    """Documents with a label."""
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    return joins.keep_matching(docs, table(spark, d, "labels"), [("doc_id", "doc_id")])
 
 
 @query(
     "set_analyse",
     """WITH a AS (SELECT DISTINCT c_custkey AS k FROM customer),
-      b AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT')
+      b AS (SELECT DISTINCT o_custkey AS k FROM orders)
     SELECT 'A-B' AS region, count(*) AS n FROM (SELECT k FROM a EXCEPT SELECT k FROM b)
     UNION ALL SELECT 'B-A', count(*) FROM (SELECT k FROM b EXCEPT SELECT k FROM a)
     UNION ALL SELECT 'A^B', count(*) FROM (SELECT k FROM a INTERSECT SELECT k FROM b)
@@ -64,7 +63,7 @@ def matching_keys(spark, d):
 )
 def set_analyse(spark, d):
     a = table(spark, d, "customer").select(F.col("c_custkey").alias("k"))
-    b = table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("k"))
+    b = table(spark, d, "orders").select(F.col("o_custkey").alias("k"))
     return joins.set_analyse(a, b)
 
 
@@ -89,22 +88,19 @@ def set_analyse_df(spark, d):
 @query(
     "set_members",
     """SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'A-B' ELSE 'B-A' END AS region
-    FROM (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT') a
-    FULL OUTER JOIN (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderpriority = '5-LOW') b ON a.k = b.k
+    FROM (SELECT DISTINCT doc_id AS k FROM documents) a FULL OUTER JOIN (SELECT DISTINCT doc_id AS k FROM labels) b ON a.k = b.k
     WHERE a.k IS NULL OR b.k IS NULL""",
 )
 def set_members(spark, d):
-    orders = table(spark, d, "orders").select(F.col("o_custkey").alias("k"), "o_orderpriority")
-    a = orders.filter("o_orderpriority = '1-URGENT'").select("k")
-    b = orders.filter("o_orderpriority = '5-LOW'").select("k")
+    """Ids of documents that are not labelled, and of labels without a document."""
+    a, b = (table(spark, d, name).select(F.col("doc_id").alias("k")) for name in ("documents", "labels"))
     return joins.set_analyse(a, b, simplify=False, exceptions_only=True)
 
 
 @query(
     "merge_expectations",
     """WITH a AS (SELECT c_custkey AS k FROM customer),
-      b AS (SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS k FROM orders
-            WHERE o_orderpriority = '1-URGENT'),
+      b AS (SELECT o_custkey AS k FROM orders),
       f AS (SELECT a.k AS ak, b.k AS bk FROM (SELECT DISTINCT k FROM a WHERE k IS NOT NULL) a
             FULL OUTER JOIN (SELECT DISTINCT k FROM b WHERE k IS NOT NULL) b ON a.k = b.k)
     SELECT count(*) FILTER (WHERE bk IS NULL) AS a_minus_b, count(*) FILTER (WHERE ak IS NULL) AS b_minus_a,
@@ -116,10 +112,9 @@ def set_members(spark, d):
       count(*) FILTER (WHERE bk IS NULL) <> 0 AS warn_a_minus_b FROM f""",
 )
 def merge_expectations(spark, d):
-    b = table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'").select(
-        F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("o_custkey"))
     return joins.merge_expectations(
-        table(spark, d, "customer").select(F.col("c_custkey").alias("k")), b, [("k", "o_custkey")])
+        table(spark, d, "customer").select(F.col("c_custkey").alias("k")), table(spark, d, "orders").select("o_custkey"),
+        [("k", "o_custkey")])
 
 
 @query(
@@ -136,15 +131,14 @@ def merge_info(spark, d):
 
 @query(
     "orphan_impact",
-    """WITH k AS (SELECT p_partkey FROM part WHERE p_type <> 'PROMO')
-    SELECT count(DISTINCT l_partkey) FILTER (WHERE p_partkey IS NULL) AS orphan_keys,
-      count(*) FILTER (WHERE p_partkey IS NULL) AS orphan_rows, count(*) AS total_rows,
-      round_even(100.0 * count(*) FILTER (WHERE p_partkey IS NULL) / count(*), 2) AS orphan_pct
-    FROM lineitem LEFT JOIN k ON l_partkey = p_partkey""",
+    """SELECT count(DISTINCT d.doc_id) FILTER (WHERE l.doc_id IS NULL) AS orphan_keys,
+      count(*) FILTER (WHERE l.doc_id IS NULL) AS orphan_rows, count(*) AS total_rows,
+      round_even(100.0 * count(*) FILTER (WHERE l.doc_id IS NULL) / count(*), 2) AS orphan_pct
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
 )
 def orphan_impact(spark, d):
-    dim = table(spark, d, "part").filter("p_type <> 'PROMO'")
-    return joins.orphan_impact(table(spark, d, "lineitem"), dim, [("l_partkey", "p_partkey")])
+    """Documents that have no label."""
+    return joins.orphan_impact(table(spark, d, "documents"), table(spark, d, "labels"), [("doc_id", "doc_id")])
 
 
 @query(
@@ -200,43 +194,40 @@ def common_groups(spark, d):
 
 @query(
     "missing_prop",
-    """WITH u AS (SELECT o_custkey, round(sum(o_totalprice), 2) AS urgent, max(o_orderstatus) AS st FROM orders
-        WHERE o_orderpriority = '1-URGENT' GROUP BY 1),
-      j AS (SELECT c_custkey, c_acctbal, urgent, st FROM customer LEFT JOIN u ON o_custkey = c_custkey)
+    """WITH u AS (SELECT o_custkey, round(sum(o_totalprice), 2) AS bought, max(o_orderstatus) AS st FROM orders GROUP BY 1),
+      j AS (SELECT c_custkey, c_acctbal, bought, st FROM customer LEFT JOIN u ON o_custkey = c_custkey)
     SELECT 'c_custkey' AS "column", count(*) AS n_rows, count(*) - count(c_custkey) AS n_missing,
       round((count(*) - count(c_custkey)) / count(*), 9) AS missing_share FROM j
     UNION ALL SELECT 'c_acctbal', count(*), count(*) - count(c_acctbal),
       round((count(*) - count(c_acctbal)) / count(*), 9) FROM j
-    UNION ALL SELECT 'urgent', count(*), count(*) - count(urgent),
-      round((count(*) - count(urgent)) / count(*), 9) FROM j
+    UNION ALL SELECT 'bought', count(*), count(*) - count(bought),
+      round((count(*) - count(bought)) / count(*), 9) FROM j
     UNION ALL SELECT 'st', count(*), count(*) - count(st), round((count(*) - count(st)) / count(*), 9) FROM j""",
 )
 def missing_prop(spark, d):
-    joined = with_urgent(spark, d)
+    joined = with_orders(spark, d)
     return quality.missing_proportions(joined).withColumn("missing_share", F.round("missing_share", 9))
 
 
-def with_urgent(spark, d):
-    """Customers with the total and status of their urgent orders, missing for some."""
-    urgent = table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'").groupBy("o_custkey").agg(
-        F.round(F.sum("o_totalprice"), 2).alias("urgent"), F.max("o_orderstatus").alias("st"))
+def with_orders(spark, d):
+    """Customers with the total and status of their orders, missing for those without."""
+    bought = table(spark, d, "orders").groupBy("o_custkey").agg(
+        F.round(F.sum("o_totalprice"), 2).alias("bought"), F.max("o_orderstatus").alias("st"))
     cust = table(spark, d, "customer").select("c_custkey", "c_acctbal")
-    return joins.join_dimension(cust, urgent, [("c_custkey", "o_custkey")], "left")
+    return joins.join_dimension(cust, bought, [("c_custkey", "o_custkey")], "left")
 
 
 @query(
     "missing_summary",
-    """WITH u AS (SELECT o_custkey, max(o_orderstatus) AS st FROM orders
-        WHERE o_orderpriority = '1-URGENT' GROUP BY 1)
+    """WITH u AS (SELECT o_custkey, max(o_orderstatus) AS st FROM orders GROUP BY 1)
     SELECT c_mktsegment, 'st' AS "column", count(*) AS n_rows, count(*) - count(st) AS n_missing
     FROM customer LEFT JOIN u ON o_custkey = c_custkey GROUP BY 1""",
 )
 def missing_summary(spark, d):
     """Missing counts per segment."""
-    urgent = table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'").groupBy("o_custkey").agg(
-        F.max("o_orderstatus").alias("st"))
+    bought = table(spark, d, "orders").groupBy("o_custkey").agg(F.max("o_orderstatus").alias("st"))
     cust = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    joined = joins.join_dimension(cust, urgent, [("c_custkey", "o_custkey")], "left")
+    joined = joins.join_dimension(cust, bought, [("c_custkey", "o_custkey")], "left")
     return quality.missing_proportions(joined, ["st"], by=["c_mktsegment"]).drop("missing_share")
 
 
@@ -252,26 +243,27 @@ def _summary_sql(columns):
 
 
 @query("variable_summary", _summary_sql([
-    ("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_orderpriority", "string")]))
+    ("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
+    ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]))
 def variable_summary(spark, d):
-    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-    return quality.variable_summary(table(spark, d, "orders").select(*cols))
+    return quality.variable_summary(table(spark, d, "orders"))
 
 
 @query(
     "data_health",
-    """WITH p AS (SELECT p_name, p_brand, p_type, nullif(p_size, 7) AS p_size FROM part),
+    """WITH p AS (SELECT text, lang, source, n_chars, quality, toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
       t AS (SELECT count(*) AS n, (SELECT count(*) FROM (SELECT DISTINCT * FROM p)) AS u,
-            sum(CASE WHEN p_size IS NULL THEN 1 ELSE 0 END) AS m FROM p)
-    SELECT 'rows' AS metric, CAST(n AS DOUBLE) AS value FROM t UNION ALL SELECT 'columns', 4 FROM t
-    UNION ALL SELECT 'numeric_columns', 1 FROM t UNION ALL SELECT 'other_columns', 3 FROM t
+            sum(CASE WHEN quality IS NULL THEN 1 ELSE 0 END + CASE WHEN toxic IS NULL THEN 1 ELSE 0 END) AS m FROM p)
+    SELECT 'rows' AS metric, CAST(n AS DOUBLE) AS value FROM t UNION ALL SELECT 'columns', 6 FROM t
+    UNION ALL SELECT 'numeric_columns', 3 FROM t UNION ALL SELECT 'other_columns', 3 FROM t
     UNION ALL SELECT 'text_columns', 3 FROM t
-    UNION ALL SELECT 'missing_pct', round_even(100.0 * m / (4 * n), 4) FROM t
+    UNION ALL SELECT 'missing_pct', round_even(100.0 * m / (6 * n), 4) FROM t
     UNION ALL SELECT 'duplicate_rows_pct', round_even(100.0 * (n - u) / n, 4) FROM t""",
 )
 def data_health(spark, d):
-    part = table(spark, d, "part").select("p_name", "p_brand", "p_type", F.nullif("p_size", F.lit(7)).alias("p_size"))
-    return quality.data_health(part)
+    """Documents with their labels, many of which are missing; copies are duplicate rows."""
+    labelled = joins.join_dimension(table(spark, d, "documents"), table(spark, d, "labels"), [("doc_id", "doc_id")], "left")
+    return quality.data_health(labelled.drop("doc_id"))
 
 
 @query(

@@ -55,6 +55,17 @@ def logit_fit(spark, d):
     return models.logit(rows, ["size", "toxic"], "quality")
 
 
+@query(
+    "logit_accuracy",
+    f"""WITH {SQL_DOCS} SELECT count(*) AS n,
+      round(avg(CAST(quality = CAST(1 / (1 + exp(-(0.8 * n_chars / 1000 - 0.5 * toxic - 0.4))) > 0.5 AS INTEGER) AS INTEGER)), 9) AS accuracy
+    FROM docs WHERE n_chars IS NOT NULL AND toxic IS NOT NULL AND quality IS NOT NULL""",
+)
+def logit_accuracy(spark, d):
+    rows = docs(spark, d).withColumn("size", F.col("n_chars") / 1000)
+    return rounded(models.logit_accuracy(rows, {"size": 0.8, "toxic": -0.5}, -0.4, "quality"), 9, "accuracy")
+
+
 @query(
     "logit_score",
     f"""WITH {SQL_DOCS}, p AS (SELECT doc_id, 1 / (1 + exp(-(0.8 * n_chars / 1000 - 0.5 * toxic - 0.4))) AS probability FROM docs)
@@ -125,7 +136,7 @@ def _enet_sql(low, high):
     """One feature: soft-thresholded covariance over penalised variance, kept within the bounds."""
     return f"""WITH g AS (SELECT p_brand, count(*) AS n, avg(l_quantity) AS mx, avg(l_extendedprice) AS my, var_pop(l_quantity) AS sxx,
         covar_pop(l_quantity, l_extendedprice) AS sxy FROM lineitem JOIN part ON l_partkey = p_partkey
-        WHERE l_orderkey % 7 <> 0 GROUP BY 1),
+        GROUP BY 1),
       w AS (SELECT *, least(greatest(sign(sxy) * greatest(abs(sxy) - 40.0 * 0.5, 0) / (sxx + 40.0 * 0.5), {low}), {high}) AS w FROM g)
     SELECT p_brand, n, 'l_quantity' AS feature, round(w, 6) AS coefficient FROM w
     UNION ALL SELECT p_brand, n, 'intercept', round(my - w * mx, 4) FROM w"""
@@ -157,7 +168,7 @@ def enet_wide(spark, d):
     "group_slopes",
     """SELECT p_brand, round(regr_slope(l_extendedprice, l_quantity), 5) AS coefficient,
       round(regr_intercept(l_extendedprice, l_quantity), 5) AS intercept, count(*) AS n
-    FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_orderkey % 7 <> 0 GROUP BY 1""",
+    FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""",
 )
 def group_slopes(spark, d):
     """Least squares per brand: the unpenalised limit of the per-group fit."""
@@ -187,7 +198,7 @@ def lme_box(spark, d):
 @query(
     "bayes_shrink",
     """WITH b AS (SELECT p_brand, l_extendedprice / 1000 AS y, l_quantity / 10 AS x FROM lineitem
-        JOIN part ON l_partkey = p_partkey WHERE l_orderkey % 7 <> 0),
+        JOIN part ON l_partkey = p_partkey),
       t AS (SELECT regr_intercept(y, x) AS m0, regr_slope(y, x) AS m1,
         (var_pop(y) - covar_pop(x, y) * covar_pop(x, y) / var_pop(x)) * count(*) / (count(*) - 2) AS s2, 4.0 AS p FROM b),
       g AS (SELECT p_brand, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy FROM b GROUP BY 1),

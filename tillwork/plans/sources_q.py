@@ -48,7 +48,7 @@ def catalog_load(spark, d):
         "orders": {"format": "parquet", "uri": base + "/orders_{pattern}.parquet"},
     }}
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    for status in ("F", "O", "P"):
+    for status in sorted(r[0] for r in orders.select("o_orderstatus").distinct().collect()):
         catalog.save_dataset(orders.filter(F.col("o_orderstatus") == status), conf, "raw/orders_part", status=status)
     return catalog.load_dataset(spark, conf, "raw/orders", pattern="*")
 
@@ -69,16 +69,15 @@ def save_table(spark, d):
 
 @query(
     "table_fingerprint",
-    """SELECT count(*) AS n_rows,
-      CAST(sum(('0x' || substr(md5(concat_ws('|', coalesce(CAST(l_orderkey AS VARCHAR), '∅'),
-        coalesce(CAST(l_partkey AS VARCHAR), '∅'), coalesce(CAST(l_suppkey AS VARCHAR), '∅'),
-        coalesce(CAST(l_linenumber AS VARCHAR), '∅'), coalesce(l_returnflag, '∅'),
-        coalesce(l_linestatus, '∅'))), 1, 8))::BIGINT) AS BIGINT) AS fingerprint
-    FROM lineitem""",
+    f"""WITH r AS (SELECT md5(concat({', '.join(
+        f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, 'n')" for c in ("doc_id", "text", "lang", "source", "n_chars"))})) AS h
+      FROM documents)
+    SELECT count(*) AS n_rows, concat_ws('-', {', '.join(
+        f"CAST(sum(('0x' || substr(h, {1 + 8 * i}, 8))::BIGINT) AS VARCHAR)" for i in range(4))}) AS fingerprint FROM r""",
 )
 def table_fingerprint(spark, d):
-    cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"]
-    return files.table_fingerprint(table(spark, d, "lineitem").select(*cols))
+    """Free text, which holds any separator."""
+    return files.table_fingerprint(table(spark, d, "documents"))
 
 
 @query(

@@ -78,16 +78,13 @@ def edge_split(spark, d):
 
 @query(
     "dense_ids",
-    """SELECT o_custkey, dense_rank() OVER (ORDER BY o_custkey) - 1 AS id FROM
-      (SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'
-       UNION SELECT DISTINCT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
+    """SELECT k, dense_rank() OVER (ORDER BY k) - 1 AS id FROM
+      (SELECT o_custkey AS k FROM orders UNION SELECT c_custkey FROM customer)""",
 )
 def dense_ids(spark, d):
-    """Customer ids over the union of a train and a test part."""
-    orders = table(spark, d, "orders")
-    train = orders.filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp")).select("o_custkey")
-    test = orders.filter("o_orderpriority = '1-URGENT'").select("o_custkey")
-    return ordered.dense_ids(train.unionByName(test), ["o_custkey"])
+    """Customer ids over the union of two tables."""
+    orders, customers = table(spark, d, "orders").select("o_custkey"), table(spark, d, "customer").select("c_custkey")
+    return ordered.dense_ids(orders.union(customers).toDF("k"), ["k"])
 
 
 @query(

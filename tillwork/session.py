@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +18,9 @@ SQL_SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-#: Above this estimated size a plan is treated as too large for operators that
-#: hold one group in a single task (see ``operators.ordered``).
-SINGLE_TASK_BYTES = 64 * 1024 * 1024
+#: Inputs of more rows are too large for operators that hold one group in a
+#: single task (see ``operators.ordered``).
+SINGLE_TASK_ROWS = 500_000
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -75,18 +74,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate for ``df`` (no job is run); None if unknown."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except (AttributeError, Py4JError):
-        return None
-
-
 def fits_single_task(df: DataFrame, limit: int | None = None) -> bool:
-    """True only where the plan's estimated size is known and within ``limit``."""
-    size = plan_bytes(df)
-    return size is not None and size <= (SINGLE_TASK_BYTES if limit is None else limit)
+    """True only where ``df`` was counted to hold at most ``limit`` rows.
+
+    The rows are counted, not estimated: estimates are far off in both
+    directions after an explode or a join.  Only the count reaches the driver.
+    """
+    return df.count() <= (SINGLE_TASK_ROWS if limit is None else limit)
 
 
 #: Row limit of tables that are fetched and broadcast.
