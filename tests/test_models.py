@@ -338,23 +338,48 @@ def test_item_pairs_match_brute_force(tastes):
     assert np.allclose(got[["i", "j", "n", "si", "sj", "sij"]], want[["i_x", "i_y", "n", "si", "sj", "sij"]])
 
 
-@pytest.mark.parametrize("variant", ["basic", "means", "zscore", "baseline"])
-def test_item_knn_paths_agree(tastes, variant):
-    df = tastes[0]
-    train = df.filter("(u + i) % 5 <> 0")
+@pytest.mark.parametrize("user_based", [False, True])
+@pytest.mark.parametrize("variant", ["basic", "means", "zscore"])
+def test_knn_matches_a_plain_loop(tastes, variant, user_based):
+    df, pdf = tastes
+    train = pdf[(pdf.u + pdf.i) % 5 != 0]
     test = df.filter("(u + i) % 5 = 0").select("u", "i")
-    a = reco.item_knn(train, test, "u", "i", "value", variant, k=3)
-    b = reco.item_knn(train, test, "u", "i", "value", variant, k=3, matrix_items=2)
-    pa, pb = (x.toPandas().sort_values(["u", "i"])["prediction"].to_numpy() for x in (a, b))
-    assert np.allclose(pa, pb) and not np.isnan(pa).any()
-
-
-def test_slope_one_paths_agree(tastes):
-    df = tastes[0]
-    train, test = df.filter("(u + i) % 4 <> 0"), df.filter("(u + i) % 4 = 0").select("u", "i")
-    a = reco.slope_one(train, test, "u", "i", "value").toPandas().sort_values(["u", "i"])
-    b = reco.slope_one(train, test, "u", "i", "value", matrix_items=2).toPandas().sort_values(["u", "i"])
-    assert np.allclose(a["prediction"], b["prediction"])
+    got = reco.item_knn(df.filter("(u + i) % 5 <> 0"), test, "u", "i", "value", variant, k=3, user_based=user_based).toPandas()
+    own, other = ("u", "i") if user_based else ("i", "u")
+    table = train.pivot_table(index=own, columns=other, values="r")
+    mean, spread = table.mean(axis=1), table.std(axis=1, ddof=0).replace(0, 1)
+    for row in got.itertuples():
+        a, b = (row.u, row.i) if user_based else (row.i, row.u)
+        sims = []
+        if a in table.index and b in table.columns:
+            for n in table.index[table[b].notna()]:
+                both = table.loc[[a, n]].dropna(axis=1)
+                if n != a and both.shape[1]:
+                    sims.append((1 / (1 + ((both.loc[a] - both.loc[n]) ** 2).mean()), n))
+        sims = sorted(sims, key=lambda s: (-round(s[0], 12), s[1]))[:3]
+        shift = {"basic": lambda n: 0.0}.get(variant, lambda n: mean[n])
+        scale = (lambda n: spread[n]) if variant == "zscore" else (lambda n: 1.0)
+        gain = sum(s * (table.loc[n, b] - shift(n)) / scale(n) for s, n in sims) / sum(s for s, _ in sims) if sims else None
+        if variant == "basic":
+            want = train.r.mean() if gain is None else gain
+        else:
+            want = (mean[a] if a in mean.index else train.r.mean()) + (0 if gain is None else gain * (scale(a) if a in mean.index else 1))
+        assert row.prediction == pytest.approx(want), (row, sims)
+
+
+def test_slope_one_matches_a_plain_loop(tastes):
+    df, pdf = tastes
+    rows = pdf[(pdf.u + pdf.i) % 4 != 0]
+    train = rows.groupby(["u", "i"]).r.mean().unstack()
+    got = reco.slope_one(df.filter("(u + i) % 4 <> 0"), df.filter("(u + i) % 4 = 0").select("u", "i"), "u", "i", "value").toPandas()
+    for row in got.itertuples():
+        if row.u not in train.index:
+            assert row.prediction == pytest.approx(rows.r.mean())
+            continue
+        mine = train.loc[row.u].dropna()
+        devs = [] if row.i not in train.columns else [
+            d for j in mine.index if j != row.i and not np.isnan(d := (train[row.i] - train[j]).mean())]
+        assert row.prediction == pytest.approx(mine.mean() + (np.mean(devs) if devs else 0))
 
 
 def test_every_named_model_predicts(tastes):

@@ -25,8 +25,6 @@ from tillwork.session import LOCAL_ROWS, attach_row, materialise, small_side
 
 #: Items handled together in one array or matrix.
 ITEM_BLOCK = 10_000
-#: Largest catalog whose item-by-item table is held as one matrix per task.
-MATRIX_ITEMS = 3_000
 #: Members of a neighbour-search cell compared in one task.
 CELL_ROWS = 4_096
 
@@ -300,60 +298,41 @@ def one_rating_per_pair(ratings: DataFrame, user: str, item: str, rating: str) -
         F.avg(F.col(rating).cast("double")).alias(rating))
 
 
-def item_pairs(ratings: DataFrame, user: str, item: str, rating: str, block: int = 1024) -> DataFrame:
+#: Items of a user that are paired in one row; longer lists are paired block by block.
+PAIR_BLOCK = 1024
+
+
+def item_pairs(ratings: DataFrame, user: str, item: str, rating: str, block: int = PAIR_BLOCK) -> DataFrame:
     """Co-rating statistics ``(i, j, n, si, sj, sii, sjj, sij)`` of ordered item pairs, i and j different.
 
-    Each task multiplies the user-by-item matrix of a batch of users with
-    itself, so a batch ships one row per item pair, not one per user and pair.
+    A user's items are packed by blocks of the catalog, and blocks meet in
+    pairs, so no row is larger than a block and a user with very many items is
+    spread over many rows.  The pairs are made and summed up on the map side;
+    a task ships one row per item pair.
     """
-    packed = one_rating_per_pair(ratings, user, item, rating).groupBy(user).agg(
-        F.collect_list(F.struct(F.col(item).alias("i"), F.col(rating).alias("r"))).alias("rs"))
-    item_type = ratings.schema[item].dataType.simpleString()
-    columns = ("n", "si", "sj", "sii", "sjj", "sij")
-
-    def products(rows) -> Iterator[pd.DataFrame]:
-        names = np.array(sorted({p["i"] for r in rows for p in r}))
-        at = {v: i for i, v in enumerate(names.tolist())}
-        x, m = np.zeros((len(rows), len(names))), np.zeros((len(rows), len(names)))
-        for u, r in enumerate(rows):
-            for p in r:
-                x[u, at[p["i"]]], m[u, at[p["i"]]] = p["r"], 1.0
-        for a in range(0, len(names), block):
-            xa, ma = x[:, a:a + block], m[:, a:a + block]
-            for b in range(0, len(names), block):
-                xb, mb = x[:, b:b + block], m[:, b:b + block]
-                n = ma.T @ mb
-                i, j = np.nonzero(n)
-                keep = (i + a) != (j + b)
-                i, j = i[keep], j[keep]
-                parts = (n, xa.T @ mb, ma.T @ xb, (xa * xa).T @ mb, ma.T @ (xb * xb), xa.T @ xb)
-                yield pd.DataFrame({"i": names[i + a], "j": names[j + b], **{c: v[i, j] for c, v in zip(columns, parts)}})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows, size = [], 0
-            for r in pdf["rs"]:
-                rows.append(r)
-                size += len(r)
-                if size >= 50_000:
-                    yield from products(rows)
-                    rows, size = [], 0
-            if rows:
-                yield from products(rows)
-
-    cells = packed.select("rs").mapInPandas(
-        run, f"i {item_type}, j {item_type}, " + ", ".join(f"{c} double" for c in columns))
-    return cells.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in columns])
-
-
-def _lookup(spark, rows: DataFrame, names: list, columns: Sequence[str]) -> dict[str, np.ndarray]:
-    at = {v: i for i, v in enumerate(names)}
-    out = {c: np.full((len(names), len(names)), np.nan) for c in columns}
-    pdf = rows.toPandas()
-    i, j = pdf["i"].map(at).to_numpy(), pdf["j"].map(at).to_numpy()
-    for c in columns:
-        out[c][i, j] = pdf[c].to_numpy(dtype=float)
-    return out
+    one = one_rating_per_pair(ratings, user, item, rating)
+    blocks = max(1, -(-one.select(item).distinct().count() // block))
+    packed = one.withColumn("_block", F.pmod(F.xxhash64(item), F.lit(blocks))).groupBy(user, "_block").agg(
+        F.collect_list(F.struct(F.col(item).alias("i"), F.col(rating).alias("r"))).alias("_left"))
+    if blocks == 1:
+        both = packed.withColumn("_right", F.col("_left"))
+    else:
+        packed = materialise(packed)
+        other = packed.select(F.col(user).alias("_u"), F.col("_block").alias("_other"), F.col("_left").alias("_right"))
+        both = packed.join(other, (F.col(user) == F.col("_u")) & (F.col("_block") <= F.col("_other")))
+    # within a block each pair is met from both sides and taken once, across blocks it is met once
+    pairs = both.select(F.explode("_left").alias("a"), "_right", *(["_block", "_other"] if blocks > 1 else []))
+    pairs = pairs.select("a", F.explode("_right").alias("b"), *(["_block", "_other"] if blocks > 1 else []))
+    once = F.col("a.i") < F.col("b.i")
+    pairs = pairs.filter(once if blocks == 1 else once | (F.col("_block") < F.col("_other")))
+    x, y = F.col("a.r"), F.col("b.r")
+    sums = pairs.groupBy(F.col("a.i").alias("i"), F.col("b.i").alias("j")).agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.sum(x).alias("si"), F.sum(y).alias("sj"),
+        F.sum(x * x).alias("sii"), F.sum(y * y).alias("sjj"), F.sum(x * y).alias("sij"))
+    sums = materialise(sums)
+    mirrored = sums.select(F.col("j").alias("i"), F.col("i").alias("j"), "n", F.col("sj").alias("si"), F.col("si").alias("sj"),
+                           F.col("sjj").alias("sii"), F.col("sii").alias("sjj"), "sij")
+    return sums.unionByName(mirrored)
 
 
 def _per_target(targets: DataFrame, ratings: DataFrame, pairs: DataFrame, user: str, item: str, rating: str, weight: str):
@@ -366,67 +345,27 @@ def _per_target(targets: DataFrame, ratings: DataFrame, pairs: DataFrame, user:
 
 def _fold_targets(
     targets: DataFrame, ratings: DataFrame, pairs: DataFrame, user: str, item: str, rating: str, weight: str, k: int | None,
-    matrix_items: int = MATRIX_ITEMS,
 ) -> DataFrame:
     """Per target: ``s0 = sum w``, ``s1 = sum w r`` and ``n`` over the user's rated items with an entry (i, j).
 
-    With ``k``, only the k entries of largest weight count and weights must be
-    positive.  A catalog within ``matrix_items`` (checked) uses a matrix per
-    task and one row per user; a larger one joins the entries.
+    With ``k``, only the k entries of largest weight count and weights must be positive.
     """
-    catalog = pairs.select("i").union(pairs.select("j")).distinct().withColumnRenamed("i", item)
-    known = catalog.limit(matrix_items + 1).collect()
-    if len(known) > matrix_items:
-        rows = _per_target(targets, ratings, pairs, user, item, rating, weight)
-        if k is not None:
-            rows = top_per_key(rows.filter(F.col("w") > 0), [user, item], [F.desc("w"), F.col("j")], k)
-        return rows.groupBy(user, item).agg(
-            F.sum("w").alias("s0"), F.sum(F.col("w") * F.col("r")).alias("s1"), F.count(F.lit(1)).cast("double").alias("n"))
-    names = sorted(r[0] for r in known)
-    at = {v: i for i, v in enumerate(names)}
-    table = targets.sparkSession.sparkContext.broadcast(
-        _lookup(targets.sparkSession, pairs.select("i", "j", weight), names, [weight])[weight])
-    rated = one_rating_per_pair(ratings, user, item, rating).groupBy(user).agg(
-        F.collect_list(F.struct(F.col(item).alias("i"), F.col(rating).alias("r"))).alias("rs"))
-    asked = targets.groupBy(user).agg(F.collect_set(item).alias("ts")).join(rated, user)
-    user_type, item_type = (targets.schema[c].dataType.simpleString() for c in (user, item))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w = table.value
-        for pdf in batches:
-            out = []
-            for u, ts, rs in zip(pdf[user], pdf["ts"], pdf["rs"]):
-                # id order, so that equal weights are taken in the same order as in the joined form
-                pairs_known = sorted((at[p["i"]], p["r"]) for p in rs if p["i"] in at)
-                if not pairs_known:
-                    continue
-                j = np.array([p[0] for p in pairs_known])
-                r = np.array([p[1] for p in pairs_known])
-                for t in ts:
-                    if t not in at:
-                        continue
-                    row = w[at[t], j]
-                    use = np.flatnonzero(~np.isnan(row) if k is None else row > 0)
-                    if k is not None and len(use) > k:
-                        use = use[np.argsort(-row[use], kind="stable")[:k]]
-                    if len(use):
-                        out.append((u, t, row[use].sum(), (row[use] * r[use]).sum(), float(len(use))))
-            yield pd.DataFrame(out, columns=[user, item, "s0", "s1", "n"])
-
-    return asked.select(user, "ts", "rs").mapInPandas(
-        run, f"`{user}` {user_type}, `{item}` {item_type}, s0 double, s1 double, n double")
+    rows = _per_target(targets, ratings, pairs, user, item, rating, weight)
+    if k is not None:
+        rows = top_per_key(rows.filter(F.col("w") > 0), [user, item], [F.desc("w"), F.col("j")], k)
+    return rows.groupBy(user, item).agg(
+        F.sum("w").alias("s0"), F.sum(F.col("w") * F.col("r")).alias("s1"), F.count(F.lit(1)).cast("double").alias("n"))
 
 
 def slope_one(
-    ratings: DataFrame, targets: DataFrame, user: str, item: str, rating: str, name: str = "prediction",
-    matrix_items: int = MATRIX_ITEMS,
+    ratings: DataFrame, targets: DataFrame, user: str, item: str, rating: str, name: str = "prediction"
 ) -> DataFrame:
     """User mean plus the mean deviation between the item and the items the user rated.
 
     Without a co-rated item the prediction is the user mean, for unknown users the global mean.
     """
     pairs = item_pairs(ratings, user, item, rating).withColumn("dev", (F.col("si") - F.col("sj")) / F.col("n"))
-    folded = _fold_targets(targets, ratings, pairs, user, item, rating, "dev", None, matrix_items)
+    folded = _fold_targets(targets, ratings, pairs, user, item, rating, "dev", None)
     folded = folded.select(user, item, (F.col("s0") / F.col("n")).alias("_dev"))
     users = ratings.groupBy(user).agg(F.avg(rating).alias("_mu"))
     overall = ratings.agg(F.avg(rating).alias("_all"))
@@ -450,14 +389,18 @@ def item_similarities(ratings: DataFrame, user: str, item: str, rating: str, mea
 
 def item_knn(
     ratings: DataFrame, targets: DataFrame, user: str, item: str, rating: str, variant: str = "means", k: int = 40,
-    measure: str = "msd", name: str = "prediction", matrix_items: int = MATRIX_ITEMS,
+    measure: str = "msd", name: str = "prediction", user_based: bool = False,
 ) -> DataFrame:
-    """Item-based neighbour predictions: ``basic``, ``means``, ``zscore`` or ``baseline``.
+    """Neighbour predictions: ``basic``, ``means``, ``zscore`` or ``baseline``.
 
     Ratings are centred (and scaled) per variant, averaged over the ``k`` most
     similar items the user rated, and brought back to the target item's level.
     Without neighbours that level alone, for unknown items the global mean.
+    ``user_based`` swaps the roles: the ``k`` most similar users who rated the
+    item, and the level of the target's user; it pairs the users of each item.
     """
+    if user_based:
+        return item_knn(ratings, targets, item, user, rating, variant, k, measure, name)
     pairs = item_similarities(ratings, user, item, rating, measure)
     overall = ratings.agg(F.avg(rating).alias("_all"))
     if variant == "baseline":
@@ -474,7 +417,7 @@ def item_knn(
         centred = ratings.join(stats, item).withColumns({"_level": shift, "_scale": scale})
         level = targets.join(stats, item, "left").withColumns({"_level": shift, "_scale": scale})
     centred = centred.select(user, item, ((F.col(rating) - F.col("_level")) / F.col("_scale")).alias("_c"))
-    folded = _fold_targets(targets, centred, pairs, user, item, "_c", "sim", k, matrix_items)
+    folded = _fold_targets(targets, centred, pairs, user, item, "_c", "sim", k)
     folded = folded.select(user, item, (F.col("s1") / F.col("s0")).alias("_gain"))
     rows = attach_row(level.join(folded, [user, item], "left"), overall)
     base = F.when(F.col("_gain").isNull(), F.col("_all")).otherwise(F.lit(0.0)) if variant == "basic" else F.coalesce("_level", "_all")
