@@ -1,5 +1,10 @@
 """Every registered query runs; those with SQL return the same rows as DuckDB."""
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry
@@ -42,3 +47,11 @@ def test_filters_and_columns_reach_the_scan(spark, folder):
 def test_top_k_is_limited_before_the_shuffle(spark, folder):
     plan = QUERIES["dedup_first"](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_entry_works_without_the_training_data_part(tmp_path):
+    root = Path(__file__).resolve().parent.parent
+    shutil.copytree(root / "tillwork", tmp_path / "tillwork", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 200 and set(e.oracle_sql()) <= set(q); assert 'pipeline' not in q"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": "/usr/bin:/bin"})

@@ -58,7 +58,7 @@ def load_dataset(spark: SparkSession, catalog: dict, key: str, skip: bool = Fals
 
     A dataset whose columns differ from the first one's is an error, or is left
     out with a warning when ``skip`` is set.  Only schemas are inspected here:
-    every accepted dataset is read lazily as part of one union.
+    accepted datasets of one schema are read lazily by one reader.
     """
     spec = entry(catalog, key)
     paths = expand(spark, resolve(spec["uri"], args))
@@ -66,16 +66,18 @@ def load_dataset(spark: SparkSession, catalog: dict, key: str, skip: bool = Fals
         raise FileNotFoundError(f"nothing matches {spec['uri']!r}")
     reader = {"csv": files.load_csv, "parquet": files.load_parquet}[spec["format"]]
     options = spec.get("driver_params", {})
-    frames: list[DataFrame] = []
+    wanted: list[str] | None = None
+    groups: dict[str, list[str]] = {}
     for path in paths:
         df = reader(spark, path, **options)
-        if frames and set(df.columns) != set(frames[0].columns):
+        wanted = wanted or df.columns
+        if set(df.columns) != set(wanted):
             if not skip:
                 raise ValueError(f"columns of {path} differ from those of {paths[0]}")
             warnings.warn(f"left out {path}: its columns differ", stacklevel=2)
             continue
-        frames.append(df)
-    return reduce(DataFrame.unionByName, frames)
+        groups.setdefault(df.schema.json(), []).append(path)
+    return reduce(DataFrame.unionByName, [reader(spark, group, **options) for group in groups.values()])
 
 
 def save_dataset(df: DataFrame, catalog: dict, key: str, **args) -> None:
