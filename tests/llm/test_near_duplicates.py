@@ -38,7 +38,7 @@ def plain_components(rows, percent):
     return groups([i for i, _ in sets], links), links
 
 
-@pytest.mark.parametrize("block", [1024, 4])
+@pytest.mark.parametrize("block", [512, 4])
 def test_near_duplicates_equal_brute_force(spark, odd_texts, monkeypatch, block):
     monkeypatch.setattr(minhash, "BLOCK", block)
     rng = random.Random(8)

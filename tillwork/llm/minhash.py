@@ -35,7 +35,7 @@ MANTISSA = 10
 #: Pairs whose estimate is so far below the limit (five standard deviations) are not verified.
 SLACK = 0.2
 #: Classes in a block of the second round.
-BLOCK = 256
+BLOCK = 512
 
 _FLIP, _FACTOR = numbers(REGISTERS, 3), numbers(REGISTERS, 5) | U64(1)
 
@@ -123,15 +123,16 @@ def estimated(a: pa.Array, b: pa.Array, n: pa.Array, m: pa.Array) -> pa.Array:
 @F.arrow_udf(T.LongType())
 def shared(a: pa.Array, b: pa.Array) -> pa.Array:
     """Common members of two packed sets."""
-    out = []
-    for x, y in zip(a, b):
-        x, y = np.frombuffer(x.as_py(), U64), np.frombuffer(y.as_py(), U64)
-        if len(x) > len(y):
-            x, y = y, x
-        at = np.searchsorted(y, x)
-        at[at == len(y)] = 0
-        out.append(int((y[at] == x).sum()))
-    return pa.array(out, pa.int64())
+    return pa.array([_common(np.frombuffer(x.as_py(), U64), np.frombuffer(y.as_py(), U64)) for x, y in zip(a, b)], pa.int64())
+
+
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """Common members of two sorted sets, neither of them empty."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    return int((y[at] == x).sum())
 
 
 def _similar(df: DataFrame, percent: int) -> DataFrame:
@@ -150,35 +151,84 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         100 * F.col("common") >= percent * (sizes - F.col("common"))).select("a", "b")
 
 
+UNIT = ["band", "key", "i", "j"]
+MEMBERS = "band int, key long, i long, j long, class long, component long, pairs binary"
+
+
 def _block_pairs(percent: int):
-    """Pairs of one block of classes that are apart and one block of all classes of the bucket."""
+    """Candidates between one block of classes that are apart and one block of all classes of a bucket.
+
+    Gives the classes that have candidates, a row each, and all pairs in one packed row.
+    """
 
     def compare(rows: pa.Table) -> pa.Table:
-        band = rows.column("band")[0].as_py()
+        unit = [rows.column(c)[0].as_py() for c in UNIT]
         side = rows.column("other").to_numpy().astype(bool)
         ids, comp, n = (rows.column(c).to_numpy() for c in ("class", "component", "n"))
         regs = _matrix(rows.column("registers"))
         left, right = np.flatnonzero(side), np.flatnonzero(~side)
-        found_a, found_b = [], []
+        found = []
         for i in left.tolist():
             js = right[(comp[right] != comp[i]) & (100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i]))]
             if len(js):
                 equal = regs[js] == regs[i]
-                js = js[equal.argmax(axis=1) == band]  # the first band that they share speaks for the pair
+                js = js[equal.argmax(axis=1) == unit[0]]  # the first band that they share speaks for the pair
             if len(js):
                 guess = estimate(regs[js], np.repeat(regs[i : i + 1], len(js), 0), n[js], np.repeat(n[i], len(js)))
-                js = js[guess >= percent / 100 - SLACK]
-                found_a.append(np.full(len(js), ids[i]))
-                found_b.append(ids[js])
-        a = np.concatenate(found_a) if found_a else np.zeros(0, np.int64)
-        b = np.concatenate(found_b) if found_b else np.zeros(0, np.int64)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+                likely = guess >= percent / 100 - SLACK
+                found.append((np.full(likely.sum(), ids[i]), ids[js[likely]], guess[likely]))
+        if not found:
+            return _members(unit, np.zeros(0, np.int64), np.zeros(0, np.int64), [])
+        x, y, guess = map(np.concatenate, zip(*found))
+        order = np.argsort(-guess, kind="stable")  # the likeliest first
+        used, first = np.unique(ids, return_index=True)
+        some = np.isin(used, np.r_[x, y])
+        return _members(unit, used[some], comp[first[some]], [np.stack([x[order], y[order]]).tobytes()])
 
     return compare
 
 
-def _apart(members: DataFrame, comp: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of classes that share a bucket, lie in different components and have not been compared."""
+def _members(unit: list[int], ids: np.ndarray, comp: np.ndarray, pairs: list[bytes]) -> pa.Table:
+    n = len(ids) + len(pairs)
+    columns = [pa.array([u] * n, pa.int32() if k == 0 else pa.int64()) for k, u in enumerate(unit)]
+    empty = [None] * len(pairs)
+    return pa.table([*columns, pa.array([*ids.tolist(), *empty], pa.int64()), pa.array([*comp.tolist(), *empty], pa.int64()),
+                     pa.array([None] * len(ids) + pairs, pa.binary())], [*UNIT, "class", "component", "pairs"])
+
+
+def _verify_block(percent: int):
+    """Links of one block pair that join components, verified on full sets; a pair that is joined already is passed over."""
+
+    def verify(members: pa.Table, pairs: pa.Table) -> pa.Table:
+        sets = {c: np.frombuffer(s.as_py(), U64) for c, s in zip(members.column("class").to_pylist(), members.column("members"))}
+        place = dict(zip(members.column("class").to_pylist(), members.column("component").to_pylist()))
+        parent = {c: c for c in place.values()}
+        links = []
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        for packed in pairs.column("pairs"):
+            for a, b in np.frombuffer(packed.as_py(), np.int64).reshape(2, -1).T.tolist():
+                x, y = root(place[a]), root(place[b])
+                if x != y:
+                    common = _common(sets[a], sets[b])
+                    if 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+                        parent[x] = y
+                        links.append((a, b))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return verify
+
+
+def _apart(members: DataFrame, comp: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Verified links between classes that share a bucket, lie in different components and have not been compared.
+
+    Blocks of a bucket are compared by registers first, then the classes with
+    candidates bring their sets; only links that join components come out.
+    """
     placed = members.join(comp.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class"))
     bucket = placed.groupBy("band", "key").agg(
@@ -199,7 +249,11 @@ def _apart(members: DataFrame, comp: DataFrame, classes: DataFrame, percent: int
     right = open_.select(
         *columns, F.lit(False).alias("other"), F.explode(F.sequence(F.lit(0).cast("long"), many[0] - 1)).alias("i"),
         F.pmod(spread, many[1]).alias("j"))
-    return left.unionByName(right).groupBy("band", "key", "i", "j").applyInArrow(_block_pairs(percent), "a long, b long").distinct()
+    found = spill(left.unionByName(right).groupBy(*UNIT).applyInArrow(_block_pairs(percent), MEMBERS), "block-pairs")
+    holding = found.filter("pairs IS NULL").drop("pairs").join(sets, "class")
+    unit = [f"of_{c}" for c in UNIT]
+    pairs = found.filter("pairs IS NOT NULL").select(*(F.col(c).alias(u) for c, u in zip(UNIT, unit)), "pairs")
+    return holding.groupBy(*UNIT).cogroup(pairs.groupBy(*unit)).applyInArrow(_verify_block(percent), "a long, b long")
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -234,13 +288,14 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     links = spill(_verified(pairs, sets, percent), "links")
     comp = spill(components(links), "components")
 
-    more = _verified(_apart(placed.drop("b"), comp, classes, percent), sets, percent)
+    more = _apart(placed.drop("b"), comp, classes, sets, percent)
     links = comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
     comp = components(links).withColumnRenamed("node", "class")
 
     named = classes.join(comp, "class", "left").select(
         "low", "high", F.col("n").alias("n_shingles"), F.coalesce("component", "class").alias("component"))
-    return marks.join(named, ["low", "high", "n_shingles"], "left").select(
+    own = marks.withColumn("low", F.when(F.col("doc_id").isNotNull(), F.col("low")))
+    return own.join(named, ["low", "high", "n_shingles"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("component", "doc_id"), F.lit(True)).alias("kept"))
 
