@@ -20,12 +20,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .language_model import planes, unplanes
 from .minhash import shared
 from .store import spill
-from .words import U64, mix, slices, text_buffer, words_of
+from .words import U64, mix, slices, words_of
 
 PERCENT = 80
 #: Word counts are kept for this many hash classes of words, a fixed size whatever the corpus.
@@ -35,10 +34,12 @@ RARITY_BITS, HASH_BITS = 6, 38
 TOKEN_BITS = U64(RARITY_BITS + HASH_BITS)
 #: Candidates that a line takes from a token before the first verification.
 FIRST_TRY = 4
+#: Bits of the map that names the lines to verify.
+MAP_BITS = 24
 
-POSTING = "kind int, range int, key binary, doc binary, line binary, size binary, place binary, bits binary"
+POSTING = "kind int, range int, key binary, doc binary, line binary, size binary, place binary, bits binary, more_bits binary"
 POSTED = [p.split()[0] for p in POSTING.split(", ")]
-KINDS = dict(key=np.uint64, doc=np.int64, line=np.int32, size=np.int32, place=np.int32, bits=np.uint64)
+KINDS = dict(key=np.uint64, doc=np.int64, line=np.int32, size=np.int32, place=np.int32, bits=np.uint64, more_bits=np.uint64)
 FOUND = "exact boolean, doc long, line int, size int, match_doc long, match_line int, more boolean"
 
 
@@ -73,16 +74,24 @@ def rarity(docs: DataFrame) -> np.ndarray:
     return np.minimum(63, 2 * np.log2(counts.reshape(-1) + 1.0)).astype(np.uint8)
 
 
+def lines_of(texts: pa.Array):
+    """The words of some texts, the line of each word, and where lines start."""
+    words = words_of(texts)
+    starts = np.union1d(words.offsets[:-1], np.flatnonzero(words.data == 10) + 1)
+    return words, np.searchsorted(starts, words.starts, "right") - 1, starts
+
+
+def line_numbers(words, of_word: np.ndarray, starts: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Text, and line within the text, of the lines whose first words are given."""
+    text = np.searchsorted(words.first, begins, "right") - 1
+    return text, of_word[begins] - np.searchsorted(starts, words.offsets[text])
+
+
 class Lines:
     """The lines with words of some texts: token sets, rarest first, and where they stand."""
 
     def __init__(self, texts: pa.Array, steps: np.ndarray):
-        data, offsets = text_buffer(texts)
-        words = words_of(texts)
-        breaks = np.flatnonzero(data == 10) + 1
-        starts = np.union1d(offsets[:-1], breaks)
-        # an empty text begins where the next one does
-        of_word = np.searchsorted(starts, words.starts, "right") - 1
+        words, of_word, starts = lines_of(texts)
         token = steps[word_classes(words.hash)].astype(U64) << U64(HASH_BITS) | words.hash >> U64(64 - HASH_BITS)
         begins = np.flatnonzero(np.r_[True, of_word[1:] != of_word[:-1]]) if len(of_word) else np.zeros(0, np.int64)
         own = np.repeat(np.arange(len(begins)), np.diff(np.r_[begins, len(of_word)]))
@@ -92,10 +101,8 @@ class Lines:
         owner = (both >> TOKEN_BITS).astype(np.int64)
         self.begin = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, np.int64)
         self.size = np.diff(np.r_[self.begin, len(owner)]).astype(np.int32)
-        self.text = np.searchsorted(words.first, begins, "right") - 1
-        line = of_word[begins] if len(begins) else begins
-        self.line = (line - np.searchsorted(starts, offsets[self.text])).astype(np.int32)
-        self.owner = owner
+        self.text, line = line_numbers(words, of_word, starts, begins)
+        self.line = line.astype(np.int32)
 
 
 #: Lines of a slice of texts are numbered in the bits above the token.
@@ -119,15 +126,18 @@ def _postings(steps, ranges: int, percent: int):
                     continue
                 spread = mix(lines.token)
                 low, high = (np.add.reduceat(x, lines.begin) for x in (spread, mix(spread ^ U64(0xA0761D6478BD642F))))
-                bits = np.bitwise_or.reduceat(U64(1) << (spread & U64(63)), lines.begin)
+                # which of 128 classes hold an odd number of tokens: sets differ in more tokens than they differ in classes
+                bit = U64(1) << (spread & U64(63))
+                upper = (spread >> U64(6) & U64(1)).astype(bool)
+                bits, more = (np.bitwise_xor.reduceat(np.where(side, bit, U64(0)), lines.begin) for side in (upper, ~upper))
                 place = np.arange(len(lines.token)) - np.repeat(lines.begin, lines.size)
                 first = lines.size - -(-percent * lines.size // 100) + 1
                 lead = place < np.repeat(first, lines.size)
-                parts.append((low, high, bits, ids[at + lines.text], lines.line, lines.size,
+                parts.append((low, high, bits, more, ids[at + lines.text], lines.line, lines.size,
                               lines.token[lead], place[lead].astype(np.int32), first))
             if not parts:
                 continue
-            low, high, bits, doc, line, size, token, place, first = map(np.concatenate, zip(*parts))
+            low, high, bits, more, doc, line, size, token, place, first = map(np.concatenate, zip(*parts))
             order = np.lexsort((line, doc, high, low))
             fresh = np.r_[True, (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])]
             head = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
@@ -136,14 +146,15 @@ def _postings(steps, ranges: int, percent: int):
             again = order[~fresh]
             yield from _packed(2, np.zeros(len(again), int), 1, dict(
                 key=doc[head[~fresh]].view(U64), doc=doc[again], line=line[again], size=size[again], place=line[head[~fresh]],
-                bits=np.zeros(len(again), U64)))
+                bits=np.zeros(len(again), U64), more_bits=np.zeros(len(again), U64)))
             yield from _packed(0, _range(low[kept], ranges), ranges, dict(
-                key=low[kept], doc=doc[kept], line=line[kept], size=size[kept], place=np.zeros(kept.sum(), np.int32), bits=high[kept]))
+                key=low[kept], doc=doc[kept], line=line[kept], size=size[kept], place=np.zeros(kept.sum(), np.int32), bits=high[kept],
+                more_bits=np.zeros(kept.sum(), U64)))
             own = np.repeat(np.arange(len(size)), first)
             use = kept[own]
             own, token, place = own[use], token[use], place[use]
             yield from _packed(1, _range(mix(token), ranges), ranges, dict(
-                key=token, doc=doc[own], line=line[own], size=size[own], place=place, bits=bits[own]))
+                key=token, doc=doc[own], line=line[own], size=size[own], place=place, bits=bits[own], more_bits=more[own]))
 
     return send
 
@@ -187,7 +198,7 @@ def _candidates(percent: int, tries: int | None):
             j = np.flatnonzero(~fresh)
             return _found(True, rows["doc"][j], rows["line"][j], rows["size"][j], rows["doc"][head[j]], rows["line"][head[j]])
         order = np.lexsort((rows["line"], rows["doc"], rows["key"]))
-        key, doc, line, size, place, bits = (rows[c][order] for c in POSTED[2:])
+        key, doc, line, size, place, bits, more_bits = (rows[c][order] for c in POSTED[2:])
         start = np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], np.arange(len(key)), 0))
         later = np.arange(len(key)) if asked is None else np.flatnonzero(asked[order])
         found, taken, step = [], np.zeros(len(key), np.int16), 0
@@ -201,7 +212,8 @@ def _candidates(percent: int, tries: int | None):
             share = needed(size[i], size[j], percent)
             fits = np.minimum(rest[i], rest[j]) >= share
             i, j, share = i[fits], j[fits], share[fits]
-            fits = np.bitwise_count(bits[i] ^ bits[j]) <= size[i] + size[j] - 2 * share
+            apart = np.bitwise_count(bits[i] ^ bits[j]).astype(np.int64) + np.bitwise_count(more_bits[i] ^ more_bits[j])
+            fits = apart <= size[i] + size[j] - 2 * share
             i, j = i[fits], j[fits]
             fits = (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])) & (
                 (doc[i] != doc[j]) | (line[i] != line[j]))
@@ -227,28 +239,61 @@ def _found(exact: bool, doc, line, size, match_doc, match_line, more=None) -> pa
                      pa.array(np.zeros(len(doc), bool) if more is None else more)], [p.split()[0] for p in FOUND.split(", ")])
 
 
-@F.arrow_udf(T.ArrayType(T.StructType([T.StructField("line", T.IntegerType()), T.StructField("members", T.BinaryType())])))
-def line_sets(texts: pa.Array, wanted: pa.Array) -> pa.Array:
-    """Sorted distinct word numbers of the wanted lines of each text."""
-    out = []
-    for at, part in slices(texts):
-        for k in range(len(part)):
-            text, rows = part[k].as_py().encode(), []
-            lines = text.split(b"\n")
-            numbers = wanted[at + k].as_py()
-            words = words_of(pa.array([lines[n] for n in numbers], pa.binary()))
-            for n, first, last in zip(numbers, words.first[:-1], words.first[1:]):
-                rows.append({"line": n, "members": np.unique(words.hash[first:last]).tobytes()})
-            out.append(rows)
-    return pa.array(out, pa.list_(pa.struct([("line", pa.int32()), ("members", pa.binary())])))
+def line_marks(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Place of a line in the map of wanted lines."""
+    return (mix(doc.astype(np.int64).view(U64) * U64(0x9E3779B97F4A7C15) + line.astype(U64)) >> U64(64 - MAP_BITS)).astype(np.int64)
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    marks = np.zeros(1 << MAP_BITS, bool)
+    for batch in batches:
+        marks[line_marks(batch.column(0).to_numpy(), batch.column(1).to_numpy())] = True
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(SEGMENTS, dtype=np.int32)),
+                                      pa.array([m.tobytes() for m in np.packbits(marks).reshape(SEGMENTS, -1)], pa.binary())], ["segment", "marks"])
+
+
+def _either(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total, segment = np.zeros((1 << MAP_BITS) // 8 // SEGMENTS, np.uint8), None
+    for batch in batches:
+        for segment, marks in zip(batch.column(0), batch.column(1)):
+            total |= np.frombuffer(marks.as_py(), np.uint8)
+    yield pa.RecordBatch.from_arrays([pa.array([segment.as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["segment", "marks"])
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _sets(wanted):
+    """The word sets of lines that the map of wanted lines names, as sorted numbers."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = np.unpackbits(wanted.value).astype(bool)
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for at, texts in slices(batch.column(1), SLICE):
+                words, of_word, starts = lines_of(texts)
+                begins = np.flatnonzero(np.r_[True, of_word[1:] != of_word[:-1]]) if len(of_word) else np.zeros(0, np.int64)
+                text, line = line_numbers(words, of_word, starts, begins)
+                ends = np.r_[begins[1:], len(of_word)]
+                use = np.flatnonzero(marks[line_marks(ids[at + text], line)])
+                sets = [np.unique(words.hash[a:b]).tobytes() for a, b in zip(begins[use].tolist(), ends[use].tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[at + text[use]], pa.int64()), pa.array(line[use].astype(np.int32)),
+                                                  pa.array(sets, pa.binary())], ["doc", "line", "members"])
+
+    return gather
+
+
+def _line_sets(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc, line, members) of all lines in ``pairs`` (and a few more): a map of fixed size picks them in a scan of the texts."""
+    spark = pairs.sparkSession
+    ends = pairs.select("doc", "line").union(pairs.select("match_doc", "match_line"))
+    rows = ends.mapInArrow(_mark, "segment int, marks binary").groupBy("segment").applyInArrow(_either, "segment int, marks binary").collect()
+    wanted = np.zeros((SEGMENTS, (1 << MAP_BITS) // 8 // SEGMENTS), np.uint8)
+    for row in rows:
+        wanted[row.segment] = np.frombuffer(row.marks, np.uint8)
+    wanted = spark.sparkContext.broadcast(wanted.reshape(-1))
+    return spill(docs.mapInArrow(_sets(wanted), "doc long, line int, members binary"), "line-sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of lines with ``ok``: whether their whole sets are similar."""
-    ends = pairs.select("doc", "line").union(pairs.select(F.col("match_doc"), F.col("match_line"))).distinct()
-    wanted = ends.groupBy("doc").agg(F.collect_list("line").alias("wanted"))
-    sets = docs.join(wanted, "doc").select("doc", F.explode(line_sets("text", "wanted")).alias("s")).select("doc", "s.*")
-    sets = spill(sets.dropDuplicates(["doc", "line"]), "line-sets")
     first = sets.withColumnRenamed("members", "s")
     second = sets.select(F.col("doc").alias("match_doc"), F.col("line").alias("match_line"), F.col("members").alias("t"))
     both = pairs.join(first, ["doc", "line"]).join(second, ["match_doc", "match_line"])
@@ -268,7 +313,7 @@ def repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     without id or text take no part; rows that share an id are meant to be equal,
     count as one document and do not match each other.  No input gives no row.
 
-    A line first tries ``FIRST_TRY`` partners a token; lines whose tries all fail
+    A line first takes ``FIRST_TRY`` partners a token; lines whose tries all fail
     though more partners wait are compared with all of them in a second pass.
     """
     spark = df.sparkSession
@@ -279,23 +324,34 @@ def repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     found = spill(posted.groupBy("kind", "range").applyInArrow(_candidates(percent, FIRST_TRY), FOUND), "line-pairs")
 
     place = F.struct("match_doc", "match_line")
-    exact = found.filter("exact").groupBy("doc", "line").agg(F.max("size").alias("size"), F.min(place).alias("match"))
-    pairs = found.filter("NOT exact").drop("exact").groupBy("doc", "line", "size", "match_doc", "match_line").agg(F.max("more").alias("more"))
-    pairs = pairs.join(exact.select("doc", "line"), ["doc", "line"], "left_anti")
-    tried = spill(_verified(spill(pairs, "line-candidates"), docs, percent), "line-tries")
-    near = tried.filter("ok")
-
-    open_ = tried.groupBy("doc", "line").agg(F.max("ok").alias("ok"), F.max("more").alias("more")).filter("more AND NOT ok")
-    open_ = spill(open_.select("doc", "line"), "open-lines")
+    key = ["doc", "line"]
+    exact = found.filter("exact").groupBy(*key).agg(F.max("size").alias("size"), F.min(place).alias("match"))
+    exact = spill(exact, "equal-lines")
+    pairs = found.filter("NOT exact").groupBy(*key, "size", "match_doc", "match_line").agg(
+        F.count("*").alias("votes"), F.max("more").alias("more")).join(exact.select(*key), key, "left_anti")
+    pairs = spill(pairs, "line-candidates")
+    sets = _line_sets(pairs, docs)
+
+    # the partner that most tokens name first, then all others of lines that are still open, then those not yet taken
+    likely = pairs.groupBy(*key, "size").agg(F.max(F.struct("votes", F.struct("match_doc", "match_line"))).alias("best"))
+    likely = likely.select(*key, "size", "best.col2.*")
+    tried = spill(_verified(likely, sets, percent), "line-tries")
+    open_ = pairs.join(tried.filter("ok").select(*key), key, "left_anti").join(
+        tried.select(*key, "match_doc", "match_line"), [*key, "match_doc", "match_line"], "left_anti")
+    again = spill(_verified(open_.select(*tried.columns[:-1]), sets, percent), "line-tries")
+    near = tried.filter("ok").union(again.filter("ok"))
+
+    open_ = pairs.filter("more").select(*key).distinct().join(near.select(*key), key, "left_anti")
+    open_ = spill(open_, "open-lines")
     if open_.limit(1).count():
         asked = docs.join(open_.groupBy("doc").agg(F.collect_list("line").alias("lines")), "doc")
         alone = F.transform(F.split("text", "\n", -1), lambda x, i: F.when(F.array_contains("lines", i), x).otherwise(""))
         asked = asked.select("doc", F.array_join(alone, "\n").alias("text")).mapInArrow(_postings(steps, ranges, percent), POSTING)
         both = posted.withColumn("asked", F.lit(False)).union(asked.withColumn("asked", F.lit(True))).filter("kind = 1")
         rest = both.groupBy("kind", "range").applyInArrow(_candidates(percent, None), FOUND)
-        rest = spill(rest.select("doc", "line", "size", "match_doc", "match_line", "more").distinct(), "line-candidates")
-        near = near.union(_verified(rest, docs, percent).filter("ok"))
-    near = near.groupBy("doc", "line").agg(F.max("size").alias("size"), F.min(place).alias("match"))
+        rest = spill(rest.select(*tried.columns[:-1]).distinct(), "line-candidates")
+        near = near.union(_verified(rest, _line_sets(rest, docs), percent).filter("ok"))
+    near = near.groupBy(*key).agg(F.max("size").alias("size"), F.min(place).alias("match"))
     return exact.withColumn("exact", F.lit(True)).union(near.withColumn("exact", F.lit(False))).select(
         F.col("doc").alias("doc_id"), F.col("line").alias("line_no"), F.col("size").alias("n_words"),
         F.col("match.match_doc").alias("match_doc_id"), F.col("match.match_line").alias("match_line_no"), "exact")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillwork.session import tune
 
 #: Bytes of a batch that a Python worker gets at once, so that very long texts come in few rows.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
