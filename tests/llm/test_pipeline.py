@@ -57,8 +57,8 @@ def test_stages_on_odd_rows(spark, folder, odd_texts, tmp_path):
     some = spark.read.parquet(f"{folder}/documents.parquet").orderBy("doc_id").limit(60).collect()
     rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in some]
     rows += [(10_000 + i, t, "en", None, len(t or "")) for i, t in enumerate(odd_texts)]
-    rows += [(None, "the thing with the tion and ing", None, "x", None), (20_000, some[0].text, some[0].lang, "y", 1), (20_001, "日本語" * 30, "en", "x", 90)]
-    df = clashing(frame(spark, rows, SCHEMA), "ids", "_lines", "_found", "_gone", "host")
+    rows += [(None, "the thing with the tion and ing", None, "x", None), (20_000, some[0].text, some[0].lang, "y", 1), (20_001, "日本語" * 30, None, "x", 90)]
+    df = clashing(frame(spark, rows, SCHEMA), "ids", "lines", "found", "gone", "_gone", "doc", "host")
     df.write.parquet(str(tmp_path / "documents.parquet"))
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
     model = language_id.fit(docs)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tillwork.session import scratch_path
 
+from .store import unused
 from .words import ALNUM, U64, Words, grams, slices, words_of
 
 #: Words of a window.
@@ -250,5 +251,6 @@ def hit_words(found: str = "found"):
 
 def without_items(df: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of ``df`` without any hit word, with the columns they had."""
-    marked = find_items(df, items, text, found="_found", **options)
-    return marked.filter(F.size("_found.starts") == 0).drop("_found")
+    name = unused(df, "found")
+    marked = find_items(df, items, text, found=name, **options)
+    return marked.filter(F.size(f"{name}.starts") == 0).drop(name)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import spill
+from .store import spill, unused
 from .words import ALNUM, U64, slices, text_buffer
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -213,5 +213,6 @@ def identify_documents(docs: DataFrame, model: Model) -> DataFrame:
 
 def in_known_language(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` whose language is accepted, with the columns they had; rows without id stay."""
-    gone = identify_documents(docs, model).filter("NOT accepted AND id IS NOT NULL").select(F.col("id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = unused(docs, "gone")
+    gone = identify_documents(docs, model).filter("NOT accepted AND id IS NOT NULL").select(F.col("id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")

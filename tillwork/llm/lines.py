@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .language_model import planes, unplanes
 from .minhash import shared
-from .store import spill
+from .store import spill, unused
 from .words import U64, mix, slices, words_of
 
 PERCENT = 80
@@ -363,11 +363,9 @@ def without_repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "t
     A document that loses lines and keeps no word goes as a whole; every other
     row stays, also one without id, text or words.
     """
-    gone = repeated_lines(df, doc_id, text, percent).groupBy("doc_id").agg(F.collect_set("line_no").alias("_lines"))
-    gone = gone.withColumnRenamed("doc_id", "_doc")
-    column = F.col(f"`{text}`")
-    left = F.array_join(F.filter(F.split(column, "\n", -1), lambda x, i: ~F.array_contains("_lines", i)), "\n")
-    out = df.join(gone, F.col(f"`{doc_id}`") == F.col("_doc"), "left").withColumn(
-        text, F.when(F.col("_lines").isNull(), column).otherwise(left))
-    blank = "[\\x20\\x09-\\x0D]*"
-    return out.filter(F.col("_lines").isNull() | ~column.rlike(f"^{blank}$")).drop("_doc", "_lines").select(df.columns)
+    doc, numbers = unused(df, "doc"), unused(df, "lines")
+    gone = repeated_lines(df, doc_id, text, percent).groupBy(F.col("doc_id").alias(doc)).agg(F.collect_set("line_no").alias(numbers))
+    column, lines = F.col(f"`{text}`"), F.col(numbers)
+    left = F.array_join(F.filter(F.split(column, "\n", -1), lambda x, i: ~F.array_contains(lines, i)), "\n")
+    out = df.join(gone, F.col(f"`{doc_id}`") == F.col(doc), "left").withColumn(text, F.when(lines.isNull(), column).otherwise(left))
+    return out.filter(lines.isNull() | column.rlike("[^\\x20\\x09-\\x0D]")).select(*[F.col(f"`{c}`") for c in df.columns])

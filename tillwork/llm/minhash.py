@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .graph import components
-from .store import spill
+from .store import spill, unused
 from .words import U64, grams, mix, numbers, slices, words_of
 
 #: Words of a shingle.
@@ -302,5 +302,6 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", p
 
 def without_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``df`` that stay: one of each group of near duplicates, with the columns they had."""
-    gone = near_duplicates(df, doc_id, text, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return df.join(gone, F.col(f"`{doc_id}`") == F.col("_gone"), "left_anti")
+    name = unused(df, "gone")
+    gone = near_duplicates(df, doc_id, text, percent).filter(~F.col("kept")).select(F.col("doc_id").alias(name))
+    return df.join(gone, F.col(f"`{doc_id}`") == F.col(name), "left_anti")

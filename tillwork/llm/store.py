@@ -7,6 +7,14 @@ from pyspark.sql import DataFrame
 from tillwork.session import scratch_path
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def spill(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: computed once, and not lost with an executor."""
     path = scratch_path(df.sparkSession, name)
