@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, contamination, embeddings, language_id, language_model, lines, minhash, suffixes, token_counts
+from . import bpe, chat, contamination, embeddings, language_id, language_model, lines, minhash, sql, suffixes, token_counts
 from .registry import QUERIES, query, table  # noqa: F401
 
 COUNTING = "word_bpe_49k.json"
@@ -22,7 +22,7 @@ def op2_token_counts(spark, d):
         (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
-@query("op4_decontaminate")
+@query("op4_decontaminate", sql.DECONTAMINATE)
 def op4_decontaminate(spark, d):
     """Benchmark windows in every document."""
     docs = table(spark, d, "documents").select("doc_id", "text")
@@ -44,13 +44,13 @@ def op6_bpe(spark, d):
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-@query("op5_minhash")
+@query("op5_minhash", sql.MINHASH)
 def op5_minhash(spark, d):
     """Groups of near-duplicate documents."""
     return minhash.near_duplicates(table(spark, d, "documents"))
 
 
-@query("op10_embedding_dedup")
+@query("op10_embedding_dedup", sql.EMBEDDINGS)
 def op10_embedding_dedup(spark, d):
     """Groups of near-duplicate vectors with equal labels."""
     return embeddings.vector_links(table(spark, d, "embeddings"))
@@ -68,10 +68,10 @@ def op8_suffix_dedup(spark, d):
     return suffixes.repeated_passages(table(spark, d, "documents"))
 
 
-@query("op1_line_dedup")
+@query("op1_line_dedup", sql.LINE_DEDUP)
 def op1_line_dedup(spark, d):
     """Lines of documents that repeat an earlier line, or nearly."""
-    return lines.repeated_lines(table(spark, d, "documents"))
+    return lines.repeated_lines(table(spark, d, "documents")).select("doc_id", "line_no", "n_words", "exact")
 
 
 @query("op3_chat_format")
