@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Encoded pieces that a worker keeps; the store is emptied when full, which costs time only.
-KEPT_PIECES = 1_000_000
+#: Encoded pieces that a worker keeps, at least the last half of them.
+KEPT_PIECES = 800_000
 #: Longer texts are split piece by piece, so that not all pieces are held at once.
 LONG_TEXT = 1 << 21
 
@@ -28,7 +28,7 @@ LONG_TEXT = 1 << 21
 class RankQueue:
     """Positions by rank; the lowest rank comes out first, its leftmost position before others."""
 
-    BITS = 8
+    __slots__ = ("buckets", "high", "low")
 
     def __init__(self):
         self.buckets: dict[int, list[int]] = {}
@@ -41,56 +41,71 @@ class RankQueue:
             heappush(bucket, at)
             return
         self.buckets[rank] = [at]
-        block = rank >> self.BITS
-        self.low[block] = self.low.get(block, 0) | 1 << (rank & 255)
-        self.high |= 1 << block
-
-    def pop(self) -> tuple[int, int]:
-        block = (self.high & -self.high).bit_length() - 1
+        block = rank >> 8
+        bits = self.low.get(block)
+        if bits:
+            self.low[block] = bits | 1 << (rank & 255)
+        else:
+            self.low[block] = 1 << (rank & 255)
+            self.high |= 1 << block
+
+    def pop(self) -> tuple[int, list[int]]:
+        """The lowest rank and its positions, in order."""
+        high = self.high
+        block = (high & -high).bit_length() - 1
         bits = self.low[block]
-        rank = block << self.BITS | ((bits & -bits).bit_length() - 1)
-        bucket = self.buckets[rank]
-        at = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[block] = bits = bits & (bits - 1)
-            if not bits:
-                self.high &= self.high - 1
-        return rank, at
-
+        last = bits & -bits
+        rank = block << 8 | (last.bit_length() - 1)
+        if bits != last:
+            self.low[block] = bits ^ last
+        else:
+            self.low[block] = 0
+            self.high = high & (high - 1)
+        return rank, self.buckets.pop(rank)
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Token ids of one piece."""
-    whole = ranks.get(piece)
+    rank_of = ranks.get
+    whole = rank_of(piece)
     if whole is not None:
         return [whole]
     n = len(piece)
     after = list(range(1, n + 1))
     before = list(range(-1, n - 1))
-    pair: list[int | None] = [ranks.get(piece[i : i + 2]) for i in range(n - 1)] + [None]
+    pair: list[int | None] = [rank_of(piece[i : i + 2]) for i in range(n - 1)]
+    pair.append(None)
     queue = RankQueue()
+    push, pop = queue.push, queue.pop
     for i, rank in enumerate(pair):
         if rank is not None:
-            queue.push(rank, i)
+            push(rank, i)
     while queue.high:
-        rank, i = queue.pop()
-        if pair[i] != rank:
-            continue
-        gone = after[i]
-        end = after[i] = after[gone]
-        pair[gone] = None
-        new = None
-        if end < n:
-            before[end] = i
-            new = ranks.get(piece[i : after[end]])
-            if new is not None:
-                queue.push(new, i)
-        pair[i] = new
-        left = before[i]
-        if left >= 0:
-            new = pair[left] = ranks.get(piece[left:end])
-            if new is not None:
-                queue.push(new, left)
+        rank, bucket = pop()
+        while bucket:
+            i = heappop(bucket)
+            if pair[i] != rank:
+                continue
+            gone = after[i]
+            end = after[i] = after[gone]
+            pair[gone] = new = None
+            lower = False
+            if end < n:
+                before[end] = i
+                new = rank_of(piece[i : after[end]])
+                if new is not None:
+                    push(new, i)
+                    lower = new < rank
+            pair[i] = new
+            left = before[i]
+            if left >= 0:
+                new = pair[left] = rank_of(piece[left:end])
+                if new is not None:
+                    push(new, left)
+                    lower = lower or new < rank
+            if lower and bucket:  # what waits below comes first, the rest of the bucket again later
+                for i in bucket:
+                    push(rank, i)
+                break
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i : after[i]]])
@@ -99,17 +114,25 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Pieces(dict):
-    """Piece to its ids as little-endian 32-bit numbers, worked out when first asked for."""
+    """Piece to its ids as little-endian 32-bit numbers, worked out when first asked for.
+
+    When half of the room is used, what is held becomes the older half; a piece
+    that is asked for again moves to the newer one.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.ranks = ranks
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= KEPT_PIECES:
-            self.clear()
-        out = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
+        out = self.older.get(piece)
+        if out is None:
+            out = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
         if len(piece) < 64:
+            if 2 * len(self) >= KEPT_PIECES:
+                self.older = dict(self)
+                self.clear()
             self[piece] = out
         return out
 
