@@ -101,3 +101,34 @@ def test_split_sizes_are_exact(spark, groups, share):
 def test_first_per_key_keeps_one_row(spark):
     df = spark.createDataFrame([(1, 2), (1, 1), (2, 5)], "k int, o int")
     assert values(ordered.first_per_key(df, ["k"], [F.col("o")])) == [(1, 1), (2, 5)]
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_series_in_blocks_equal_whole_series(spark, monkeypatch, by):
+    from tillwork.operators import timeseries
+
+    rng = np.random.default_rng(9)
+    rows = [(g, int(t), float(rng.integers(0, 9)), None if rng.random() < 0.2 else float(rng.random())) for g in ("ab" if by else "a") for t in range(230)]
+    df = spark.createDataFrame(rows, "g string, t int, x double, y double")
+    df = df if by else df.drop("g")
+    monkeypatch.setattr(ordered.series_blocks, "__defaults__", (0, 0, None, 25))
+    runs = [
+        lambda limit: timeseries.create_lag(df, "t", [1, 3, 7], by, limit=limit),
+        lambda limit: timeseries.create_adstock(df, "t", [2.0, 30.0], by, columns=["x"], max_memory=5, limit=limit),
+        lambda limit: timeseries.create_adstock(df, "t", [2.0, 30.0], by, columns=["x"], limit=limit),
+        lambda limit: timeseries.rolling_mean(df, ["x"], "t", 6, "append", by, limit=limit),
+        lambda limit: timeseries.decompose(df, "x", "t", "additive", 8, by, limit=limit),
+        lambda limit: timeseries.rolling_origin_folds(df, "t", by, 3, 1, 5, 4, limit=limit)]
+    for run in runs:
+        whole, cut = (run(limit).toPandas() for limit in (True, False))
+        keys = [*by, "t", *(["fold"] if "fold" in whole.columns else [])]
+        whole, cut = (x.sort_values(keys).reset_index(drop=True) for x in (whole, cut))
+        assert list(whole.columns) == list(cut.columns) and len(whole) == len(cut)
+        pd.testing.assert_frame_equal(whole, cut, check_exact=False, rtol=1e-9)
+    x = rng.random(200)
+    last, want = 0.0, []
+    for v in x:
+        last = v + 0.7 * last
+        want.append(last)
+    assert np.allclose(timeseries.decayed_sums(x, 0.7), want)
+    assert np.isnan(timeseries.decayed_sums(np.array([1.0, np.nan, 2.0]), 0.5)).tolist() == [False, True, True]

@@ -40,7 +40,7 @@ def running_before(
     by: Sequence[str],
     order: Sequence[str],
     weights: Sequence[str],
-    limit: int | None = None,
+    limit: int | bool | None = None,
 ) -> DataFrame:
     """Add ``<w>_before`` (sum over rows earlier in the group) and ``<w>_total``.
 
@@ -73,8 +73,41 @@ def running_before(
     return joined.withColumns(before).select(*keep)
 
 
+#: Rows of a long series that one task orders.
+SERIES_BLOCK = 100_000
+
+
+def series_blocks(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], back: int = 0, ahead: int = 0, limit: int | bool | None = None,
+    size: int = SERIES_BLOCK,
+) -> DataFrame:
+    """Cut every group into ordered blocks for windows that reach ``back`` and ``ahead`` rows.
+
+    Adds ``_pos`` (0-based place in the group), ``_block`` and ``_own``.  A row
+    near the border of its block also appears in the next one, with ``_own``
+    false: windows go over (group, block), and only own rows are kept after
+    them.  A small input is one block a group.  ``order`` must be unique within
+    the group.
+    """
+    by, order = list(by), list(order)
+    if fits_single_task(df, limit):
+        place = F.row_number().over(_group_window(by).orderBy(*order)).cast("bigint") - 1
+        return df.withColumns({"_pos": place, "_block": F.lit(0).cast("bigint"), "_own": F.lit(True)})
+    size = max(size, back, ahead)
+    placed = running_before(df.withColumn("_row", F.lit(1).cast("bigint")), by, order, ["_row"], False)
+    block, inside = F.floor(F.col("_row_before") / size), F.col("_row_before") % size
+
+    def copy(number: Column, own: bool) -> Column:
+        return F.struct(number.alias("_block"), F.lit(own).alias("_own"))
+
+    copies = F.filter(F.array(
+        copy(block, True), F.when(inside >= size - back, copy(block + 1, False)),
+        F.when((inside < ahead) & (block > 0), copy(block - 1, False))), lambda c: c.isNotNull())
+    return placed.select(*df.columns, F.col("_row_before").alias("_pos"), F.inline(copies))
+
+
 def known_around(
-    df: DataFrame, values: dict[str, Column], by: Sequence[str], order: Sequence[str], limit: int | None = None
+    df: DataFrame, values: dict[str, Column], by: Sequence[str], order: Sequence[str], limit: int | bool | None = None
 ) -> DataFrame:
     """Add ``<name>_back`` and ``<name>_ahead``: the last known value at or before a row, the first at or after it.
 

@@ -1,9 +1,9 @@
 """Time-series features over panels.
 
-A panel holds one row per (group, date): its groups are as long as the
-calendar, whatever the number of raw rows, so ordered windows within a group
-stay small while groups spread over the cluster.  Build it with ``panel``,
-which combines raw rows before the shuffle.  Operators on raw rows
+A panel holds one row per (group, date); ``panel`` builds it and combines raw
+rows before the shuffle.  Windows over a series go over blocks of it: a short
+series is one block, a long one is cut into overlapping blocks, so that also a
+single series spreads over the cluster.  Operators on raw rows
 (``customer_history``) never open a window over a customer's rows.
 """
 
@@ -20,13 +20,13 @@ from pyspark.sql import types as T
 
 from tillwork.functions.dates import roll_to_weekday
 from tillwork.functions.numeric import all_of, divide, total
-from tillwork.operators.ordered import dense_ids, known_around, running_before
-from tillwork.session import attach_row, small_side
+from tillwork.operators.ordered import dense_ids, known_around, running_before, series_blocks
+from tillwork.session import attach_row, fits_single_task, materialise, small_side
 
 
 def _window(date_col: str, group_cols: Sequence[str] = ()):
-    keys = [F.col(c) for c in group_cols] or [F.lit(0)]
-    return Window.partitionBy(*keys).orderBy(date_col)
+    """Order within the blocks that ``series_blocks`` has made."""
+    return Window.partitionBy(*[F.col(c) for c in group_cols], F.col("_block")).orderBy(date_col)
 
 
 def _value_columns(df: DataFrame, date_col: str, group_cols: Sequence[str], columns) -> list[str]:
@@ -78,7 +78,7 @@ def customer_history(df: DataFrame, customer: str, date_col: str, key: str) -> D
 
 def create_lag(
     df: DataFrame, date_col: str, lags: Sequence[int], group_cols: Sequence[str] = (), suffix: str = "",
-    columns: Sequence[str] | None = None,
+    columns: Sequence[str] | None = None, limit: int | bool | None = None,
 ) -> DataFrame:
     """``{col}_{n}{suffix}``: values n rows back, gaps filled from the next known lagged value.
 
@@ -86,12 +86,14 @@ def create_lag(
     (the surveyed code tests for substrings of the date column's name).
     """
     names = _value_columns(df, date_col, group_cols, columns)
+    small = fits_single_task(df, limit)
     order = _window(date_col, group_cols)
-    shifted = df.select(*group_cols, date_col, *[
-        F.lag(c, n).over(order).alias(f"{c}_{n}{suffix}") for n in lags for c in names])
-    ahead = order.rowsBetween(0, Window.unboundedFollowing)
-    return shifted.select(*group_cols, date_col, *[
-        F.first(f"{c}_{n}{suffix}", ignorenulls=True).over(ahead).alias(f"{c}_{n}{suffix}") for n in lags for c in names])
+    rows = series_blocks(df.select(*group_cols, date_col, *names), group_cols, [date_col], max(0, *lags), max(0, *[-n for n in lags]), small)
+    made = [f"{c}_{n}{suffix}" for n in lags for c in names]
+    shifted = rows.select(*group_cols, date_col, "_own", *[
+        F.lag(c, n).over(order).alias(f"{c}_{n}{suffix}") for n in lags for c in names]).filter("_own").drop("_own")
+    known = known_around(shifted, {c: F.col(c) for c in made}, group_cols, [date_col], small)
+    return known.select(*group_cols, date_col, *[F.col(f"{c}_ahead").alias(c) for c in made])
 
 
 def decay_rate(half_life: float) -> float:
@@ -100,16 +102,17 @@ def decay_rate(half_life: float) -> float:
 
 def create_adstock(
     df: DataFrame, date_col: str, half_lives: Sequence[float], group_cols: Sequence[str] = (), suffix: str = "",
-    columns: Sequence[str] | None = None, max_memory: int = 0,
+    columns: Sequence[str] | None = None, max_memory: int = 0, limit: int | bool | None = None,
 ) -> DataFrame:
     """``{col}_{n}{suffix}``: carry-over of past values with the given half-lives.
 
     With ``max_memory`` = L the last L rows count, as window expressions over a
-    single sort.  With 0 the memory is unlimited: the recursion
-    ``a[t] = x[t] + d * a[t-1]`` runs once along each panel group, which is as
-    long as the calendar.
+    single sort.  With 0 the memory is unlimited: ``a[t] = x[t] + d * a[t-1]`` is
+    summed within blocks of a series, and what a block ends with is carried into
+    the next one by the power of the decay.
     """
     names = _value_columns(df, date_col, group_cols, columns)
+    small = fits_single_task(df, limit)
     if max_memory:
         order = _window(date_col, group_cols)
 
@@ -117,33 +120,69 @@ def create_adstock(
             d = decay_rate(n)
             return total([F.lag(F.col(c).cast("double"), j, 0.0).over(order) * F.lit(d**j) for j in range(max_memory)])
 
-        return df.select(*group_cols, date_col, *[
-            finite_memory(c, n).alias(f"{c}_{n}{suffix}") for n in half_lives for c in names])
-    results = [(c, n, f"{c}_{n}{suffix}") for n in half_lives for c in names]
+        rows = series_blocks(df.select(*group_cols, date_col, *names), group_cols, [date_col], max_memory - 1, 0, small)
+        return rows.select(*group_cols, date_col, "_own", *[
+            finite_memory(c, n).alias(f"{c}_{n}{suffix}") for n in half_lives for c in names]).filter("_own").drop("_own")
+    named = {f"_a{k}": f"{c}_{n}{suffix}" for k, (n, c) in enumerate((n, c) for n in half_lives for c in names)}
+    results = [(c, n, r) for r, (n, c) in zip(named, ((n, c) for n in half_lives for c in names))]
     keys = [*group_cols, date_col]
-    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField(r, T.DoubleType()) for _, _, r in results])
+    rows = series_blocks(df.select(*keys, *[F.col(c).cast("double").alias(c) for c in names]), group_cols, [date_col], limit=small)
+    schema = T.StructType([rows.schema[k] for k in (*keys, "_block", "_pos")] + [T.StructField(r, T.DoubleType()) for _, _, r in results])
 
     def carry(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(date_col, kind="stable")
-        out = pdf[keys].copy()
+        out = pdf[[*keys, "_block", "_pos"]].copy()
         for c, n, name in results:
-            x, d = pdf[c].to_numpy(dtype="float64"), decay_rate(n)
-            a = np.empty_like(x)
-            last = 0.0
-            for i, v in enumerate(x):
-                last = v + d * last
-                a[i] = last
-            out[name] = a
+            out[name] = decayed_sums(pdf[c].to_numpy(dtype="float64"), decay_rate(n))
         return out
 
-    rows = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in names])
-    grouped = rows.groupBy(*group_cols) if group_cols else rows.groupBy(F.lit(0))
-    return grouped.applyInPandas(carry, schema)
+    made = rows.groupBy(*group_cols, "_block").applyInPandas(carry, schema)
+    if small:
+        return made.select(*keys, *[F.col(r).alias(name) for r, name in named.items()])
+    # blocks are as long as the first position of the next one says
+    made = materialise(made)
+    ends = made.groupBy(*group_cols, "_block").agg(F.min("_pos").alias("_start"), *[
+        F.max_by(r, "_pos").alias(f"_end_{r}") for _, _, r in results])
+    before = Window.partitionBy(*[F.col(c) for c in group_cols] or [F.lit(0)]).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    past = F.collect_list(F.struct(F.col("_start").alias("s"), *[F.col(f"_end_{r}").alias(r) for _, _, r in results])).over(before)
+    ends = ends.withColumn("_past", past)
+
+    def carried_in(r: str, n: float) -> Column:
+        """What earlier blocks leave at the last row before a block: their ends, each decayed by the rows between."""
+        ends_with, until = F.transform("_past", lambda e: e[r]), F.transform("_past", lambda e: e["s"])
+        pairs = F.arrays_zip(ends_with.alias("end"), F.concat(F.slice(until, 2, F.size(until)), F.array("_start")).alias("next"))
+        total_ = F.aggregate(pairs, F.lit(0.0), lambda sum_, p: sum_ + p["end"] * F.pow(
+            F.lit(decay_rate(n)), (F.col("_start") - p["next"]).cast("double")))
+        return F.when(F.size("_past") == 0, F.lit(0.0)).otherwise(total_)
+
+    carried = [carried_in(r, n).alias(f"_in_{r}") for _, n, r in results]
+    ends = ends.select(*[F.col(c).alias(f"_k_{c}") for c in group_cols], F.col("_block").alias("_k_block"), F.col("_start"), *carried)
+    same = all_of([F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in group_cols] + [F.col("_block") == F.col("_k_block")])
+    joined = made.join(small_side(ends), same)
+    return joined.select(*keys, *[
+        (F.col(r) + F.col(f"_in_{r}") * F.pow(F.lit(decay_rate(n)), (F.col("_pos") - F.col("_start") + 1).cast("double"))).alias(named[r])
+        for _, n, r in results])
+
+
+def decayed_sums(x: np.ndarray, d: float, width: int = 64) -> np.ndarray:
+    """``a[t] = x[t] + d * a[t-1]``, a stretch of ``width`` values at a time; a missing value makes all later ones missing."""
+    known = int(np.argmax(np.isnan(x))) if np.isnan(x).any() else len(x)
+    out = np.full(len(x), np.nan)
+    padded = np.zeros(-(-known // width) * width)
+    padded[:known] = x[:known]
+    steps = np.arange(width)
+    powers = np.where(steps[:, None] >= steps, d ** np.maximum(steps[:, None] - steps, 0.0), 0.0)
+    sums, last, ahead = padded.reshape(-1, width) @ powers.T, 0.0, d ** (steps + 1.0)
+    for row in sums:
+        row += last * ahead
+        last = row[-1]
+    out[:known] = sums.reshape(-1)[:known]
+    return out
 
 
 def rolling_mean(
     df: DataFrame, columns: Sequence[str], date_col: str, window: int, remove_rows: str = "keep",
-    group_cols: Sequence[str] = (),
+    group_cols: Sequence[str] = (), limit: int | bool | None = None,
 ) -> DataFrame:
     """Mean of the last ``window`` rows, NULL unless all of them are present.
 
@@ -156,9 +195,10 @@ def rolling_mean(
     order = _window(date_col, group_cols)
     last = order.rowsBetween(-(window - 1), 0)
     means = {f"_m_{c}": F.when(F.count(c).over(last) == window, F.avg(c).over(last)) for c in columns}
-    rows = df.select(*group_cols, date_col, *columns).withColumns({**means, "_pos": F.row_number().over(order)})
+    rows = series_blocks(df.select(*group_cols, date_col, *columns), group_cols, [date_col], window - 1, 0, limit)
+    rows = rows.withColumns(means).filter("_own")
     complete = all_of([F.col(f"_m_{c}").isNotNull() for c in columns])
-    early = F.col("_pos") < window
+    early = F.col("_pos") < window - 1
     if remove_rows == "drop":
         rows = rows.filter(complete)
     elif remove_rows == "append":
@@ -236,7 +276,7 @@ def seasonal_index(
 
 def decompose(
     df: DataFrame, value: str, date_col: str, method: str = "additive", period: int = 52,
-    group_cols: Sequence[str] = (),
+    group_cols: Sequence[str] = (), limit: int | bool | None = None,
 ) -> DataFrame:
     """Add the ``seasonal`` component of a classical decomposition.
 
@@ -254,8 +294,8 @@ def decompose(
         inner = F.sum(x).over(order.rowsBetween(-(half - 1), half - 1))
         trend = (inner + 0.5 * (F.lag(x, half).over(order) + F.lead(x, half).over(order))) / period
     full = F.count(x).over(order.rowsBetween(-half, half)) == 2 * half + 1
-    rows = df.withColumn("_trend", F.when(full, trend)).withColumn(
-        "_phase", F.pmod(F.row_number().over(order) - 1, F.lit(period)))
+    rows = series_blocks(df, group_cols, [date_col], half, half, limit).withColumn("_trend", F.when(full, trend)).filter("_own")
+    rows = rows.withColumn("_phase", F.pmod("_pos", F.lit(period)))
     additive = method == "additive"
     detrended = x - F.col("_trend") if additive else divide(x, "_trend")
     phases = rows.groupBy(*group_cols, "_phase").agg(F.avg(detrended).alias("_p"))
@@ -297,16 +337,16 @@ def linear_trend(
 
 def rolling_origin_folds(
     df: DataFrame, date_col: str, group_cols: Sequence[str] = (), n_splits: int = 6, gap: int = 0,
-    n_test: int = 24, stride: int = 4,
+    n_test: int = 24, stride: int = 4, limit: int | bool | None = None,
 ) -> DataFrame:
     """Cross-validation folds: ``fold`` and ``role`` (train or test), newest fold first.
 
     Fold k tests on ``n_test`` points ending ``k * stride`` points before the
     end and trains on everything earlier than ``gap`` points before them.
     """
-    keys = [F.col(c) for c in group_cols] or [F.lit(0)]
-    back = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(date_col)))
-    folds = df.withColumn("_back", back).withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
+    placed = running_before(df.withColumn("_row", F.lit(1).cast("bigint")), group_cols, [date_col], ["_row"], limit)
+    rows = placed.select(*df.columns, (F.col("_row_total") - F.col("_row_before")).alias("_back"))
+    folds = rows.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
     at = F.col("_back") - F.col("fold") * stride
     role = F.when((at >= 1) & (at <= n_test), "test").when(at > n_test + gap, "train")
     return folds.withColumn("role", role).filter(F.col("role").isNotNull()).drop("_back")

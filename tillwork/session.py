@@ -74,12 +74,14 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fits_single_task(df: DataFrame, limit: int | None = None) -> bool:
-    """True only where ``df`` was counted to hold at most ``limit`` rows.
+def fits_single_task(df: DataFrame, limit: int | bool | None = None) -> bool:
+    """True only where ``df`` was counted to hold at most ``limit`` rows; a truth value is an answer known before.
 
     The rows are counted, not estimated: estimates are far off in both
     directions after an explode or a join.  Only the count reaches the driver.
     """
+    if isinstance(limit, bool) or limit == 0:
+        return bool(limit)
     return df.count() <= (SINGLE_TASK_ROWS if limit is None else limit)
 
 
