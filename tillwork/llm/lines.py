@@ -7,9 +7,9 @@ enough tokens to share (length and positional filters); a 64-bit map of the
 sets excludes most of the rest.  What passes is verified on the whole sets.  Of
 similar lines the later ones go, by document and line number.
 
-Postings travel as packed arrays: a batch of documents sends its tokens cut
+Postings travel as packed arrays: a group of documents sends its tokens cut
 into ranges, and each range compares what it gets.  Lines with equal sets count
-once in a batch, so that a line that is everywhere is a few postings.
+once in a group, so that a line that is everywhere is a few postings.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ CLASSES, SEGMENTS = 1 << 20, 256
 RARITY_BITS, HASH_BITS = 6, 38
 TOKEN_BITS = U64(RARITY_BITS + HASH_BITS)
 #: Candidates that a line takes from a token before the first verification.
-FIRST_TRY = 4
+FIRST_TRY = 16
 #: Bits of the map that names the lines to verify.
 MAP_BITS = 24
 
@@ -103,8 +103,24 @@ class Lines:
         self.size = np.diff(np.r_[self.begin, len(owner)]).astype(np.int32)
         self.text, line = line_numbers(words, of_word, starts, begins)
         self.line = line.astype(np.int32)
+        self.words, self.word_begin, self.word_end = words.hash, begins, np.r_[begins[1:], len(of_word)]
 
 
+    def parity(self, spread: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of 128 classes hold an odd number of tokens: sets differ in at least as many tokens as in classes."""
+        bit = U64(1) << (spread & U64(63))
+        upper = (spread >> U64(6) & U64(1)).astype(bool)
+        return tuple(np.bitwise_xor.reduceat(np.where(side, bit, U64(0)), self.begin) for side in (upper, ~upper))
+
+    def prefix(self, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place of each token in its line, length of each line's prefix, and which tokens are in it."""
+        place = np.arange(len(self.token)) - np.repeat(self.begin, self.size)
+        first = self.size - -(-percent * self.size // 100) + 1
+        return place.astype(np.int32), first, place < np.repeat(first, self.size)
+
+
+#: Bytes of documents whose equal lines count once.
+GROUP = 16 << 20
 #: Lines of a slice of texts are numbered in the bits above the token.
 SLICE = 1 << 20
 
@@ -114,27 +130,35 @@ def needed(size_a, size_b, percent: int):
     return -(-percent * (size_a + size_b) // (100 + percent))
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in groups of some ``GROUP`` bytes: the larger a group, the more equal lines meet in it."""
+    group, size = [], 0
+    for batch in batches:
+        group.append(batch)
+        size += batch.nbytes
+        if size >= GROUP:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def _postings(steps, ranges: int, percent: int):
-    """Tokens of the first places, and set digests, of a batch's lines, cut into ranges; lines met before in the batch are found."""
+    """Tokens of the first places, and set digests, of a group's lines, cut into ranges; lines met before in the group are found."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, parts = batch.column(0).to_numpy(), []
-            for at, texts in slices(batch.column(1), SLICE):
+        for group in gathered(batches):
+            parts = []
+            for ids, texts in ((b.column(0).to_numpy()[at : at + len(t)], t) for b in group for at, t in slices(b.column(1), SLICE)):
                 lines = Lines(texts, steps.value)
                 if not len(lines.size):
                     continue
                 spread = mix(lines.token)
                 low, high = (np.add.reduceat(x, lines.begin) for x in (spread, mix(spread ^ U64(0xA0761D6478BD642F))))
-                # which of 128 classes hold an odd number of tokens: sets differ in more tokens than they differ in classes
-                bit = U64(1) << (spread & U64(63))
-                upper = (spread >> U64(6) & U64(1)).astype(bool)
-                bits, more = (np.bitwise_xor.reduceat(np.where(side, bit, U64(0)), lines.begin) for side in (upper, ~upper))
-                place = np.arange(len(lines.token)) - np.repeat(lines.begin, lines.size)
-                first = lines.size - -(-percent * lines.size // 100) + 1
-                lead = place < np.repeat(first, lines.size)
-                parts.append((low, high, bits, more, ids[at + lines.text], lines.line, lines.size,
-                              lines.token[lead], place[lead].astype(np.int32), first))
+                bits, more = lines.parity(spread)
+                place, first, lead = lines.prefix(percent)
+                parts.append((low, high, bits, more, ids[lines.text], lines.line, lines.size,
+                              lines.token[lead], place[lead], first))
             if not parts:
                 continue
             low, high, bits, more, doc, line, size, token, place, first = map(np.concatenate, zip(*parts))
@@ -178,16 +202,12 @@ def _unpacked(table: pa.Table) -> dict[str, np.ndarray]:
     return {c: np.concatenate([unplanes(x.as_py(), KINDS[c]) for x in table.column(c)]) for c in POSTED[2:]}
 
 
-def _candidates(percent: int, tries: int | None):
-    """Equal lines, or lines that pass all filters, of one range; ``tries`` None takes all partners of the lines asked for."""
+def _candidates(percent: int, tries: int):
+    """Equal lines, or lines that pass all filters, of one range; a line takes ``tries`` partners from a token."""
 
     def compare(table: pa.Table) -> pa.Table:
         kind = table.column("kind")[0].as_py()
         rows = _unpacked(table)
-        asked = None
-        if tries is None:
-            asked = np.concatenate([np.full(len(unplanes(x.as_py(), np.int32)), q) for x, q in
-                                    zip(table.column("line"), table.column("asked").to_pylist())])
         if kind == 2:
             return _found(True, rows["doc"], rows["line"], rows["size"], rows["key"].view(np.int64), rows["place"])
         if kind == 0:
@@ -200,7 +220,7 @@ def _candidates(percent: int, tries: int | None):
         order = np.lexsort((rows["line"], rows["doc"], rows["key"]))
         key, doc, line, size, place, bits, more_bits = (rows[c][order] for c in POSTED[2:])
         start = np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], np.arange(len(key)), 0))
-        later = np.arange(len(key)) if asked is None else np.flatnonzero(asked[order])
+        later = np.arange(len(key))
         found, taken, step = [], np.zeros(len(key), np.int16), 0
         rest = size - place
         while True:
@@ -220,15 +240,14 @@ def _candidates(percent: int, tries: int | None):
             i, j = i[fits], j[fits]
             if len(j):
                 found.append((i, j))
-                if tries is not None:
-                    taken[j] += 1
-                    later = later[taken[later] < tries]
+                alike = (bits[i] == bits[j]) & (more_bits[i] == more_bits[j]) & (size[i] == size[j])
+                taken[j] += np.where(alike, max(1, tries // 4), 1).astype(np.int16)  # an equal set most likely settles the line
+                later = later[taken[later] < tries]
         if not found:
             none = np.zeros(0, np.int64)
             return _found(False, none, none, none, none, none)
         i, j = map(np.concatenate, zip(*found))
-        more = np.zeros(len(j), bool) if tries is None else (taken[j] >= tries) & (j - start[j] > tries)
-        return _found(False, doc[j], line[j], size[j], doc[i], line[i], more)
+        return _found(False, doc[j], line[j], size[j], doc[i], line[i], (taken[j] >= tries) & (j - 1 > start[j]))
 
     return compare
 
@@ -240,10 +259,57 @@ def _found(exact: bool, doc, line, size, match_doc, match_line, more=None) -> pa
 
 
 def line_marks(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
-    """Place of a line in the map of wanted lines."""
+    """Place of a pair of integers in a map."""
     return (mix(doc.astype(np.int64).view(U64) * U64(0x9E3779B97F4A7C15) + line.astype(U64)) >> U64(64 - MAP_BITS)).astype(np.int64)
 
 
+#: What one row of a line says about one of its first tokens.
+LOOSE = "token long, doc long, line int, size int, place int, bits long, more_bits long, members binary"
+
+
+def _loose_postings(steps, percent: int, wanted=None):
+    """A row with the whole set for each first token of each line, of the tokens that a map of wanted tokens names."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = None if wanted is None else np.unpackbits(wanted.value).astype(bool)
+        for batch in batches:
+            for ids, texts in ((batch.column(0).to_numpy()[at : at + len(t)], t) for at, t in slices(batch.column(1), SLICE)):
+                lines = Lines(texts, steps.value)
+                if not len(lines.size):
+                    continue
+                place, _, use = lines.prefix(percent)
+                if marks is not None:
+                    use &= marks[line_marks(lines.token, np.zeros(len(lines.token), np.int64))]
+                own, bits = np.repeat(np.arange(len(lines.size)), lines.size)[use], lines.parity(mix(lines.token))
+                sets = [np.unique(lines.words[a:b]).tobytes() for a, b in zip(lines.word_begin[own].tolist(), lines.word_end[own].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(lines.token[use].view(np.int64)), pa.array(ids[lines.text[own]], pa.int64()), pa.array(lines.line[own]),
+                     pa.array(lines.size[own]), pa.array(place[use]), *(pa.array(b[own].view(np.int64)) for b in bits), pa.array(sets, pa.binary())],
+                    [c.split()[0] for c in LOOSE.split(", ")])
+
+    return send
+
+
+def _all_partners(open_: DataFrame, docs: DataFrame, steps, percent: int) -> DataFrame:
+    """Earlier similar lines of the lines (doc, line) in ``open_``, by a join on their first tokens."""
+    asked = docs.join(open_.groupBy("doc").agg(F.collect_list("line").alias("lines")), "doc")
+    alone = F.transform(F.split("text", "\n", -1), lambda x, i: F.when(F.array_contains("lines", i), x).otherwise(""))
+    asked = asked.select("doc", F.array_join(alone, "\n").alias("text")).mapInArrow(_loose_postings(steps, percent), LOOSE)
+    asked = spill(asked, "open-postings")
+    wanted = _map_of(asked.select("token", F.lit(0)))
+    others = docs.mapInArrow(_loose_postings(steps, percent, wanted), LOOSE).select(
+        "token", *[F.col(c).alias(f"m_{c}") for c in ("doc", "line", "size", "place", "bits", "more_bits", "members")])
+    share = F.ceil(percent * (F.col("size") + F.col("m_size")) / (100 + percent))
+    fits = ((F.struct("m_doc", "m_line") < F.struct("doc", "line"))
+            & (F.least(F.col("size") - F.col("place"), F.col("m_size") - F.col("m_place")) >= share)
+            & (F.bit_count(F.col("bits").bitwiseXOR(F.col("m_bits"))) + F.bit_count(F.col("more_bits").bitwiseXOR(F.col("m_more_bits")))
+               <= F.col("size") + F.col("m_size") - 2 * share))
+    pairs = asked.join(others, "token").filter(fits).withColumn("common", shared("members", "m_members"))
+    total = (F.octet_length("members") + F.octet_length("m_members")) / 8
+    return pairs.filter(100 * F.col("common") >= percent * (total - F.col("common"))).select(
+        "doc", "line", "size", F.col("m_doc").alias("match_doc"), F.col("m_line").alias("match_line"))
+
+
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     marks = np.zeros(1 << MAP_BITS, bool)
     for batch in batches:
@@ -282,14 +348,17 @@ def _sets(wanted):
 
 def _line_sets(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc, line, members) of all lines in ``pairs`` (and a few more): a map of fixed size picks them in a scan of the texts."""
-    spark = pairs.sparkSession
-    ends = pairs.select("doc", "line").union(pairs.select("match_doc", "match_line"))
-    rows = ends.mapInArrow(_mark, "segment int, marks binary").groupBy("segment").applyInArrow(_either, "segment int, marks binary").collect()
+    wanted = _map_of(pairs.select("doc", "line").union(pairs.select("match_doc", "match_line")))
+    return spill(docs.mapInArrow(_sets(wanted), "doc long, line int, members binary"), "line-sets")
+
+
+def _map_of(keys: DataFrame):
+    """A broadcast map of fixed size of pairs of integers."""
+    rows = keys.mapInArrow(_mark, "segment int, marks binary").groupBy("segment").applyInArrow(_either, "segment int, marks binary").collect()
     wanted = np.zeros((SEGMENTS, (1 << MAP_BITS) // 8 // SEGMENTS), np.uint8)
     for row in rows:
         wanted[row.segment] = np.frombuffer(row.marks, np.uint8)
-    wanted = spark.sparkContext.broadcast(wanted.reshape(-1))
-    return spill(docs.mapInArrow(_sets(wanted), "doc long, line int, members binary"), "line-sets")
+    return keys.sparkSession.sparkContext.broadcast(wanted.reshape(-1))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -344,13 +413,7 @@ def repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     open_ = pairs.filter("more").select(*key).distinct().join(near.select(*key), key, "left_anti")
     open_ = spill(open_, "open-lines")
     if open_.limit(1).count():
-        asked = docs.join(open_.groupBy("doc").agg(F.collect_list("line").alias("lines")), "doc")
-        alone = F.transform(F.split("text", "\n", -1), lambda x, i: F.when(F.array_contains("lines", i), x).otherwise(""))
-        asked = asked.select("doc", F.array_join(alone, "\n").alias("text")).mapInArrow(_postings(steps, ranges, percent), POSTING)
-        both = posted.withColumn("asked", F.lit(False)).union(asked.withColumn("asked", F.lit(True))).filter("kind = 1")
-        rest = both.groupBy("kind", "range").applyInArrow(_candidates(percent, None), FOUND)
-        rest = spill(rest.select(*tried.columns[:-1]).distinct(), "line-candidates")
-        near = near.union(_verified(rest, _line_sets(rest, docs), percent).filter("ok"))
+        near = near.drop("ok").union(_all_partners(open_, docs, steps, percent).select(*tried.columns[:-1]))
     near = near.groupBy(*key).agg(F.max("size").alias("size"), F.min(place).alias("match"))
     return exact.withColumn("exact", F.lit(True)).union(near.withColumn("exact", F.lit(False))).select(
         F.col("doc").alias("doc_id"), F.col("line").alias("line_no"), F.col("size").alias("n_words"),
