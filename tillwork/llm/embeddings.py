@@ -4,12 +4,14 @@ The normalised vectors are projected on random Gaussian directions, and the
 projections are cut into steps of equal width.  ``PROJECTIONS`` steps together
 with the label name the bucket of a table; ``TABLES`` tables are used.  Equal
 vectors are one class.  Classes of a bucket are compared block by block with
-exact cosines; a pair counts in the first table where it meets, so each block
-gives link counts and a spanning forest instead of all its pairs.
+exact cosines; a pair counts in the first table where it meets, so the blocks
+of a task give link counts and a spanning forest instead of all pairs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -61,48 +63,85 @@ def bucket_keys(vectors: pa.Array) -> pa.Array:
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest row that links reach, of each of n rows."""
-    parent = list(range(n))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    for x, y in zip(a.tolist(), b.tolist()):
-        x, y = root(x), root(y)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-    return np.array([root(x) for x in range(n)])
-
-
-def _block_links(cosine: float):
-    """Link counts and spanning links of one block pair (i <= j) of a bucket."""
-
-    def compare(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("class").combine_chunks()
-        table, same = rows.column("table")[0].as_py(), rows.column("i")[0].as_py() == rows.column("j")[0].as_py()
-        ids, copies = rows.column("class").to_numpy(), rows.column("copies").to_numpy()
+    """The smallest number that links reach, of each of n numbers."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
+UNIT = ["label", "table", "key", "i", "j"]
+
+
+def _unit_starts(rows: pa.Table) -> np.ndarray:
+    """Where a new block pair of a bucket begins, in rows sorted by it."""
+    fresh = np.zeros(rows.num_rows, bool)
+    fresh[0] = True
+    for name in UNIT:
+        column = rows.column(name).to_numpy()
+        fresh[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(fresh)
+
+
+def _sorted_links(cosine: float):
+    """Link counts and spanning links of whole block pairs, which come one after another."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            if rows.num_rows:
+                last = int(_unit_starts(rows)[-1])
+                held = rows.slice(last)
+                yield from links(rows.slice(0, last).combine_chunks())
+        if held is not None:
+            yield from links(held.combine_chunks())
+
+    def links(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        if not rows.num_rows:
+            return
         vectors = rows.column("embedding").combine_chunks()
-        unit = unit_rows(vectors.flatten().to_numpy(zero_copy_only=False), len(vectors[0]))
-        keys = rows.column("keys").combine_chunks().flatten().to_numpy().reshape(len(ids), TABLES)
-        second = rows.column("second").to_numpy(zero_copy_only=False).astype(bool)
-        left, right = (np.arange(len(ids)),) * 2 if same else (np.flatnonzero(~second), np.flatnonzero(second))
-        a, b = np.nonzero(unit[left] @ unit[right].T >= cosine)
-        a, b = left[a], right[b]
-        if same:
-            a, b = a[a < b], b[a < b]
-        if table and len(a):
-            met = np.concatenate([(keys[a[k : k + 20_000], :table] == keys[b[k : k + 20_000], :table]).any(axis=1)
-                                  for k in range(0, len(a), 20_000)])
-            fresh_a, fresh_b = a[~met], b[~met]
-        else:
-            fresh_a, fresh_b = a, b
-        links = np.zeros(len(ids), np.int64)
-        np.add.at(links, fresh_a, copies[fresh_b])
-        np.add.at(links, fresh_b, copies[fresh_a])
-        some = np.flatnonzero(links)
-        return pa.table({"class": ids[some], "links": links[some], "root": ids[_roots(len(ids), fresh_a, fresh_b)[some]]})
+        sizes = np.diff(vectors.offsets.to_numpy())
+        ids, place = np.unique(rows.column("class").to_numpy(), return_inverse=True)
+        copies = rows.column("copies").to_numpy()
+        unit = np.zeros(rows.num_rows, np.int64)
+        unit[_unit_starts(rows)] = 1
+        unit = np.cumsum(unit)
+        table, second = rows.column("table").to_numpy(), rows.column("second").to_numpy(zero_copy_only=False)
+        alone = rows.column("i").to_numpy() == rows.column("j").to_numpy()
+        keys = rows.column("keys").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, TABLES)
+        flat, found = vectors.flatten().to_numpy(zero_copy_only=False), []
+        for size in np.unique(sizes):  # a bucket holds vectors of one length
+            own = np.flatnonzero(sizes == size)
+            unit_vectors = unit_rows(flat[np.repeat(sizes == size, sizes)], int(size))
+            step = 0
+            while True:
+                step += 1
+                b = np.flatnonzero(unit[own[step:]] == unit[own[:-step]]) + step
+                if not len(b):
+                    break
+                a = b - step
+                pair = alone[own[b]] | (second[own[a]] != second[own[b]])
+                a, b = a[pair], b[pair]
+                near = np.einsum("ij,ij->i", unit_vectors[a], unit_vectors[b]) >= cosine
+                a, b = own[a[near]], own[b[near]]
+                met = ((keys[a] == keys[b]) & (np.arange(TABLES) < table[a][:, None])).any(axis=1)
+                found.append((a[~met], b[~met]))
+        if not found:
+            return
+        a, b = map(np.concatenate, zip(*found))
+        n = len(ids)
+        counts = np.bincount(place[a], copies[b], n) + np.bincount(place[b], copies[a], n)
+        some, roots = np.flatnonzero(counts), _roots(n, place[a], place[b])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids[some]), pa.array(counts[some].astype(np.int64)), pa.array(ids[roots[some]])], ["class", "links", "root"])
 
     return compare
 
@@ -145,8 +184,8 @@ def vector_links(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedd
     dealt = placed.withColumn("other", other).select(
         "label", "table", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         (F.col("own") > F.col("other")).alias("second"), "class", "copies", "embedding", "keys")
-    found = spill(dealt.groupBy("label", "table", "key", "i", "j").applyInArrow(
-        _block_links(cosine), "class long, links long, root long"), "links")
+    dealt = dealt.repartition(*UNIT).sortWithinPartitions(*UNIT)
+    found = spill(dealt.mapInArrow(_sorted_links(cosine), "class long, links long, root long"), "links")
     counts = found.groupBy("class").agg(F.sum("links").alias("links"))
     comp = components(found.select(F.col("class").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "class")
     named = classes.select("digest", "class", "copies").join(counts, "class", "left").join(comp, "class", "left").select(
