@@ -200,7 +200,7 @@ def _searcher(tables):
 
     @F.arrow_udf(RESULT)
     def search(*columns: pa.Array) -> pa.Array:
-        got = [tables.value.search(part, *(c.slice(at, len(part)) for c in columns[1:])) for at, part in slices(columns[0], 8 << 20)]
+        got = [tables.value.search(part, *(c.slice(at, len(part)) for c in columns[1:])) for at, part in slices(columns[0], 2 << 20)]
         return pa.concat_arrays(got) if got else tables.value.search(*columns)
 
     return search

@@ -25,6 +25,8 @@ UNKNOWN = "und"
 SAMPLE = 2000
 #: Trigrams are counted in so many hash classes.
 CLASS_BITS = 15
+#: Bytes of text whose trigrams are held at once.
+SLICE = 1 << 20
 #: Overlapping trigrams tell the same more than once.
 TEMPER = 1 / 3
 #: Rows that the next wider level of the address counts for.
@@ -59,7 +61,7 @@ class Model:
     def score(self, texts: pa.Array) -> np.ndarray:
         """Log-likelihood of each whole text under each row; all zero for a text without letters."""
         out = np.zeros((len(texts), len(self.table)))
-        for at, part in slices(texts):
+        for at, part in slices(texts, SLICE):
             code, text = trigrams(part)
             if len(code):
                 first = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
@@ -89,7 +91,7 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
         total = np.zeros((len(languages), size), np.int64)
         for batch in batches:
             lang = np.array([languages.index(x) for x in batch.column(0).to_pylist()], np.int64)
-            for at, part in slices(batch.column(1)):
+            for at, part in slices(batch.column(1), SLICE):
                 code, of = trigrams(part)
                 total += np.bincount(lang[at + of] * size + code, minlength=total.size).reshape(total.shape)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(languages), dtype=np.int32)), pa.array([t.tobytes() for t in total], pa.binary())],

@@ -23,7 +23,7 @@ from .words import slices
 
 NONE = np.int32(2**31 - 1)
 #: Pre-tokens whose counts a worker keeps; the store is emptied when full, which costs time only.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 400_000
 LONG_TEXT = 1 << 21
 
 

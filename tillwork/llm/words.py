@@ -131,7 +131,7 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     return mix(total)
 
 
-def slices(texts: pa.Array, limit: int = 4 << 20):
+def slices(texts: pa.Array, limit: int = 1 << 20):
     """Consecutive parts of a string column with some ``limit`` bytes each; a longer text is a part of its own."""
     offsets = text_buffer(texts)[1]
     at = 0
