@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Encoded pieces that a worker keeps, at least the last half of them.
-KEPT_PIECES = 600_000
+KEPT_PIECES = 500_000
 #: Longer texts are split piece by piece, so that not all pieces are held at once.
 LONG_TEXT = 1 << 21
 

@@ -217,4 +217,5 @@ def in_known_language(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` whose language is accepted, with the columns they had; rows without id stay."""
     name = unused(docs, "gone")
     gone = identify_documents(docs, model).filter("NOT accepted AND id IS NOT NULL").select(F.col("id").alias(name)).distinct()
+    gone = spill(gone, "rejected")  # its size is known then, so that few ids are not joined by moving all texts
     return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")

@@ -304,4 +304,5 @@ def without_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     """The rows of ``df`` that stay: one of each group of near duplicates, with the columns they had."""
     name = unused(df, "gone")
     gone = near_duplicates(df, doc_id, text, percent).filter(~F.col("kept")).select(F.col("doc_id").alias(name))
+    gone = spill(gone, "copies")  # its size is known then, so that few ids are not joined by moving all texts
     return df.join(gone, F.col(f"`{doc_id}`") == F.col(name), "left_anti")
