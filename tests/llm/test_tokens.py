@@ -113,10 +113,11 @@ def test_edges_in_spark(spark, odd_texts, byte_level):
     rows = [(i, t) for i, t in enumerate(odd_texts)] + [(None, "x y"), (None, "x y")]
     df = clashing(frame(spark, rows), "ids", "n_tokens", "decoded", "pythonUDF0")
     where = P.path(RANKS), P.PATTERN
-    out = bpe.decode(bpe.with_tokens(df, *where), *where).collect()
-    assert len(out) == len(rows)
-    assert sorted((bytes(r.decoded).decode(), r.n_tokens, r.pythonUDF0) for r in out) == sorted(
-        (t or "", len(byte_level.encode_ordinary(t or "")), "extra") for _, t in rows)
+    for out in (bpe.decode(bpe.with_tokens(df, *where), *where).collect(), bpe.transcode(df, *where).collect()):
+        assert len(out) == len(rows)
+        assert sorted((bytes(r.decoded).decode(), r.n_tokens, r.pythonUDF0) for r in out) == sorted(
+            (t or "", len(byte_level.encode_ordinary(t or "")), "extra") for _, t in rows)
+        assert all(np.frombuffer(r["ids"], "<u4").tolist() == byte_level.encode_ordinary(r.text or "") for r in out)
     counts = token_counts.token_counts(df, P.path(COUNTING)).collect()
     assert len(counts) == len(rows) and all(r.n_tokens == 0 for r in counts if not r.text)
     empty = frame(spark, [])

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import unused
+
 #: Encoded pieces that a worker keeps, at least the last half of them.
 KEPT_PIECES = 500_000
 #: Longer texts are split piece by piece, so that not all pieces are held at once.
@@ -191,6 +193,25 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", decod
     return df.withColumn(decoded, joined(F.col(f"`{ids}`")))
 
 
+def transcode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` of its ids in one pass over the texts, with ``n_tokens``; a null text gives empty values."""
+    kind = pa.struct([("ids", pa.binary()), ("decoded", pa.binary())])
+
+    @F.arrow_udf("ids binary, decoded binary")
+    def both(texts: pa.Array) -> pa.Array:
+        vocabulary, splitter, pieces = load(ranks_path, pattern)
+        token, out = vocabulary.__getitem__, []
+        for t in texts:
+            packed = pack(t.as_py() or "", splitter, pieces)
+            out.append({"ids": packed, "decoded": b"".join(map(token, np.frombuffer(packed, "<u4").tolist()))})
+        return pa.array(out, kind)
+
+    name = unused(df, "transcoded")
+    out = df.withColumn(name, both(F.col(f"`{text}`")))
+    return out.withColumns({ids: F.col(f"{name}.ids"), decoded: F.col(f"{name}.decoded"),
+                            "n_tokens": (F.octet_length(f"{name}.ids") / 4).cast("long")}).drop(name)
+
+
 def with_tokens(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
     """``encode`` and ``n_tokens``, the number of ids."""
     return encode(df, ranks_path, pattern, text).withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))

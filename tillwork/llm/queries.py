@@ -39,8 +39,7 @@ def op6_bpe(spark, d):
     """Ids of every document, and the bytes that they decode to."""
     docs = table(spark, d, "documents").select("doc_id", "text")
     where = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    decoded = bpe.decode(bpe.with_tokens(docs, *where), *where)
-    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+    return bpe.transcode(docs, *where).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
