@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import spill
-from .words import U64, mix, slices, words_of
+from .words import U64, mix, release, slices, words_of
 
 START, END = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 #: Folds by crc32 of the id: one is held out of training, one of the others teaches the weights.
@@ -127,6 +127,7 @@ ANSWER = ("block int, portion int, range int, kind int, check long, train binary
 
 def answer(requests: pa.Table) -> pa.Table:
     """The totals of a key range, for each block in the order of its keys."""
+    release()
     rows = []
     for kind in (0, 1):
         part = [r for r in requests.to_pylist() if r["kind"] == kind]

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .language_model import planes, unplanes
 from .minhash import shared
 from .store import spill, unused
-from .words import U64, mix, slices, words_of
+from .words import U64, mix, release, slices, words_of
 
 PERCENT = 80
 #: Word counts are kept for this many hash classes of words, a fixed size whatever the corpus.
@@ -206,6 +206,7 @@ def _candidates(percent: int, tries: int):
     """Equal lines, or lines that pass all filters, of one range; a line takes ``tries`` partners from a token."""
 
     def compare(table: pa.Table) -> pa.Table:
+        release()
         kind = table.column("kind")[0].as_py()
         rows = _unpacked(table)
         if kind == 2:
@@ -386,7 +387,7 @@ def repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     though more partners wait are compared with all of them in a second pass.
     """
     spark = df.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text")).dropna()
     steps = spark.sparkContext.broadcast(rarity(docs))
     posted = docs.mapInArrow(_postings(steps, ranges, percent), POSTING)

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from .graph import components
 from .store import spill, unused
-from .words import U64, grams, mix, numbers, slices, words_of
+from .words import U64, grams, mix, numbers, release, slices, words_of
 
 #: Words of a shingle.
 SHINGLE = 5
@@ -200,6 +200,7 @@ def _verify_block(percent: int):
     """Links of one block pair that join components, verified on full sets; a pair that is joined already is passed over."""
 
     def verify(members: pa.Table, pairs: pa.Table) -> pa.Table:
+        release()
         sets = {c: np.frombuffer(s.as_py(), U64) for c, s in zip(members.column("class").to_pylist(), members.column("members"))}
         place = dict(zip(members.column("class").to_pylist(), members.column("component").to_pylist()))
         parent = {c: c for c in place.values()}

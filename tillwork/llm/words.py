@@ -9,6 +9,9 @@ are made, and memory follows the text at some 20 bytes a byte of one chunk.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -131,8 +134,16 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     return mix(total)
 
 
+def release() -> None:
+    """Hand freed memory back to the system: a Python worker lives on after its task and would keep it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # not on every system
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(texts: pa.Array, limit: int = 1 << 20):
     """Consecutive parts of a string column with some ``limit`` bytes each; a longer text is a part of its own."""
+    release()
     offsets = text_buffer(texts)[1]
     at = 0
     while at < len(texts):
