@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import unused
+from .words import release
 
 #: Encoded pieces that a worker keeps, at least the last half of them.
 KEPT_PIECES = 500_000
@@ -204,7 +205,10 @@ def transcode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text",
         for t in texts:
             packed = pack(t.as_py() or "", splitter, pieces)
             out.append({"ids": packed, "decoded": b"".join(map(token, np.frombuffer(packed, "<u4").tolist()))})
-        return pa.array(out, kind)
+        done = pa.array(out, kind)
+        del out
+        release()
+        return done
 
     name = unused(df, "transcoded")
     out = df.withColumn(name, both(F.col(f"`{text}`")))

@@ -141,6 +141,7 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]
             group, size = [], 0
     if group:
         yield group
+    release()
 
 
 def _postings(steps, ranges: int, percent: int):

@@ -123,6 +123,7 @@ def estimated(a: pa.Array, b: pa.Array, n: pa.Array, m: pa.Array) -> pa.Array:
 @F.arrow_udf(T.LongType())
 def shared(a: pa.Array, b: pa.Array) -> pa.Array:
     """Common members of two packed sets."""
+    release()
     return pa.array([_common(np.frombuffer(x.as_py(), U64), np.frombuffer(y.as_py(), U64)) for x, y in zip(a, b)], pa.int64())
 
 
@@ -162,6 +163,7 @@ def _block_pairs(percent: int):
     """
 
     def compare(rows: pa.Table) -> pa.Table:
+        release()
         unit = [rows.column(c)[0].as_py() for c in UNIT]
         side = rows.column("other").to_numpy().astype(bool)
         ids, comp, n = (rows.column(c).to_numpy() for c in ("class", "component", "n"))

@@ -150,3 +150,4 @@ def slices(texts: pa.Array, limit: int = 1 << 20):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
         yield at, texts.slice(at, to - at)
         at = to
+    release()
