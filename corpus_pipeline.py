@@ -47,7 +47,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the ids of their texts, and whether decoding gives the text back."""
     tuned(spark)
     where = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    out = bpe.transcode(docs, *where)
+    out = bpe.transcode(docs, *where, kept=100_000)  # the workers of the other stages need the memory
     same = F.coalesce(F.col("decoded").cast("string"), F.lit("")) == F.coalesce("text", F.lit(""))
     return out.withColumn("round_trip", same).drop("decoded")
 

@@ -123,9 +123,10 @@ class Pieces(dict):
     that is asked for again moves to the newer one.
     """
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], kept: int | None = None):
         super().__init__()
         self.ranks = ranks
+        self.kept = kept
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
@@ -133,7 +134,7 @@ class Pieces(dict):
         if out is None:
             out = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
         if len(piece) < 64:
-            if 2 * len(self) >= KEPT_PIECES:
+            if 2 * len(self) >= (self.kept or KEPT_PIECES):
                 self.older = dict(self)
                 self.clear()
             self[piece] = out
@@ -141,7 +142,7 @@ class Pieces(dict):
 
 
 @lru_cache(2)
-def load(ranks_path: str, pattern: str):
+def load(ranks_path: str, pattern: str, kept: int | None = None):
     """Ranks, vocabulary by id, compiled pattern and piece store of a worker."""
     import regex
 
@@ -150,7 +151,7 @@ def load(ranks_path: str, pattern: str):
     vocabulary: list[bytes | None] = [None] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         vocabulary[rank] = token
-    return vocabulary, regex.compile(pattern), Pieces(ranks)
+    return vocabulary, regex.compile(pattern), Pieces(ranks, kept)
 
 
 def pack(text: str, splitter, pieces: Pieces) -> bytes:
@@ -194,13 +195,17 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", decod
     return df.withColumn(decoded, joined(F.col(f"`{ids}`")))
 
 
-def transcode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """``encode`` and ``decode`` of its ids in one pass over the texts, with ``n_tokens``; a null text gives empty values."""
+def transcode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded",
+              kept: int | None = None) -> DataFrame:
+    """``encode`` and ``decode`` of its ids in one pass over the texts, with ``n_tokens``; a null text gives empty values.
+
+    ``kept`` pieces are remembered by a worker, ``KEPT_PIECES`` by default.
+    """
     kind = pa.struct([("ids", pa.binary()), ("decoded", pa.binary())])
 
     @F.arrow_udf("ids binary, decoded binary")
     def both(texts: pa.Array) -> pa.Array:
-        vocabulary, splitter, pieces = load(ranks_path, pattern)
+        vocabulary, splitter, pieces = load(ranks_path, pattern, kept)
         token, out = vocabulary.__getitem__, []
         for t in texts:
             packed = pack(t.as_py() or "", splitter, pieces)
