@@ -430,7 +430,6 @@ def without_repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "t
     """
     doc, numbers = unused(df, "doc"), unused(df, "lines")
     gone = repeated_lines(df, doc_id, text, percent).groupBy(F.col("doc_id").alias(doc)).agg(F.collect_set("line_no").alias(numbers))
-    gone = spill(gone, "gone-lines")
     column, lines = F.col(f"`{text}`"), F.col(numbers)
     left = F.array_join(F.filter(F.split(column, "\n", -1), lambda x, i: ~F.array_contains(lines, i)), "\n")
     out = df.join(gone, F.col(f"`{doc_id}`") == F.col(doc), "left").withColumn(text, F.when(lines.isNull(), column).otherwise(left))
