@@ -134,6 +134,16 @@ def test_lines_are_taken_out(spark):
     assert lines.repeated_lines(frame(spark, [(1, None), (2, " \n ")])).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 8])
+def test_lines_of_a_repeated_row_do_not_match_themselves(spark, parts):
+    rows = [(1, "one two three\nfour five six\none two three"), (2, "seven eight"), (3, "four five six\nnine ten")]
+    df = frame(spark, rows + rows).coalesce(parts)
+    got = {(r.doc_id, r.line_no, r.match_doc_id, r.match_line_no, r.exact) for r in lines.repeated_lines(df).collect()}
+    assert got == {(1, 2, 1, 0, True), (3, 0, 1, 1, True)}
+    wanted = [(1, "one two three\nfour five six"), (2, "seven eight"), (3, "nine ten")]
+    assert sorted(tuple(r) for r in lines.without_repeated_lines(df).collect()) == sorted(wanted + wanted)
+
+
 def test_op1_equals_brute_force_on_whole_documents(spark, folder):
     got = QUERIES["op1_line_dedup"](spark, folder).collect()
     assert {(r.doc_id, r.line_no): r.exact for r in got} == plain_repeats(document_rows(spark, folder))

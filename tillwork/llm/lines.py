@@ -168,9 +168,10 @@ def _postings(steps, ranges: int, percent: int):
             head = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
             kept = np.zeros(len(order), bool)
             kept[order[fresh]] = True
-            again = order[~fresh]
+            repeat = ~fresh & ((doc[order] != doc[head]) | (line[order] != line[head]))  # a repeated row does not match itself
+            again, head = order[repeat], head[repeat]
             yield from _packed(2, np.zeros(len(again), int), 1, dict(
-                key=doc[head[~fresh]].view(U64), doc=doc[again], line=line[again], size=size[again], place=line[head[~fresh]],
+                key=doc[head].view(U64), doc=doc[again], line=line[again], size=size[again], place=line[head],
                 bits=np.zeros(len(again), U64), more_bits=np.zeros(len(again), U64)))
             yield from _packed(0, _range(low[kept], ranges), ranges, dict(
                 key=low[kept], doc=doc[kept], line=line[kept], size=size[kept], place=np.zeros(kept.sum(), np.int32), bits=high[kept],
@@ -217,7 +218,7 @@ def _candidates(percent: int, tries: int):
             rows = {c: v[order] for c, v in rows.items()}
             fresh = np.r_[True, (rows["key"][1:] != rows["key"][:-1]) | (rows["bits"][1:] != rows["bits"][:-1])]
             head = np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))
-            j = np.flatnonzero(~fresh)
+            j = np.flatnonzero(~fresh & ((rows["doc"] != rows["doc"][head]) | (rows["line"] != rows["line"][head])))
             return _found(True, rows["doc"][j], rows["line"][j], rows["size"][j], rows["doc"][head[j]], rows["line"][head[j]])
         order = np.lexsort((rows["line"], rows["doc"], rows["key"]))
         key, doc, line, size, place, bits, more_bits = (rows[c][order] for c in POSTED[2:])
