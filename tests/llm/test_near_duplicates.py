@@ -144,6 +144,49 @@ def test_lines_of_a_repeated_row_do_not_match_themselves(spark, parts):
     assert sorted(tuple(r) for r in lines.without_repeated_lines(df).collect()) == sorted(wanted + wanted)
 
 
+class Sent:
+    def __init__(self, value):
+        self.value = value
+
+
+@pytest.mark.parametrize("blocks", [1, 5])
+def test_equal_lines_and_hot_tokens_are_spread_over_ranges(blocks):
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    rows = [(i, "hot " + " ".join(f"w{rng.randrange(9)}" for _ in range(4))) for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([t for _, t in rows])], ["doc", "text"])
+    steps, crowd = Sent(np.zeros(lines.CLASSES, np.uint8)), Sent(np.full(lines.CLASSES, blocks, np.uint16))
+    groups_ = {}
+    for out in lines._postings(steps, 16, 80, crowd)(iter([batch])):
+        for row in out.to_pylist():
+            groups_.setdefault((row["kind"], row["range"]), []).append(row)
+    assert len([1 for kind, _ in groups_ if kind == 2]) == 16
+    units = [lines._unpacked(pa.Table.from_pylist(g))["key"] for (kind, _), g in groups_.items() if kind not in (0, 2)]
+    largest = max(np.unique(k, return_counts=True)[1].max() for k in units)
+    got, exact = set(), set()
+    for g in groups_.values():
+        for r in lines._candidates(80, 10_000)(pa.Table.from_pylist(g, pa.schema([("kind", pa.int32()), ("range", pa.int32()), *((c, pa.binary()) for c in lines.POSTED[2:])]))).to_pylist():
+            (exact if r["exact"] else got).add(((r["doc"], 0), (r["match_doc"], 0)))
+    sets = {(i, 0): frozenset(t.split()) for i, t in rows}
+    kept = sorted(set(sets) - {a for a, _ in exact})
+    wanted = {(a, b) for k, a in enumerate(kept) for b in kept[:k] if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert {a: sets[b] for a, b in exact} == {a: sets[a] for a, _ in exact} and len(kept) == len(set(sets.values()))
+    assert wanted and wanted <= got and (largest < len(kept) * 0.7 or blocks == 1)
+
+
+@pytest.mark.parametrize("tries", [4, 1])
+def test_lines_of_hot_tokens_equal_brute_force(spark, monkeypatch, tries):
+    monkeypatch.setattr(lines, "FIRST_TRY", tries)
+    monkeypatch.setattr(lines, "HOT", 20)
+    monkeypatch.setattr(lines, "SAMPLE", 1)
+    rng = random.Random(5)
+    rows = [(i, "\n".join(" ".join(f"w{rng.randrange(14)}" for _ in range(rng.randrange(3, 9))) for _ in range(3))) for i in range(60)]
+    docs = frame(spark, rows).toDF("doc", "text")
+    assert lines.crowds(docs, spark.sparkContext.broadcast(lines.rarity(docs)), 80).value.max() > 2
+    assert {(r.doc_id, r.line_no): r.exact for r in lines.repeated_lines(frame(spark, rows)).collect()} == plain_repeats(rows)
+
+
 def test_op1_equals_brute_force_on_whole_documents(spark, folder):
     got = QUERIES["op1_line_dedup"](spark, folder).collect()
     assert {(r.doc_id, r.line_no): r.exact for r in got} == plain_repeats(document_rows(spark, folder))

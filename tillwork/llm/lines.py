@@ -34,6 +34,10 @@ RARITY_BITS, HASH_BITS = 6, 38
 TOKEN_BITS = U64(RARITY_BITS + HASH_BITS)
 #: Candidates that a line takes from a token before the first verification.
 FIRST_TRY = 16
+#: Postings of a token that are compared in one task; a token with more is cut into blocks.
+HOT = 1 << 15
+#: One document in so many is looked at to tell which tokens have that many; it decides on blocks, not on results.
+SAMPLE = 16
 #: Bits of the map that names the lines to verify.
 MAP_BITS = 24
 
@@ -52,8 +56,12 @@ def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for _, part in slices(batch.column(0)):
             counts += np.bincount(word_classes(words_of(part).hash), minlength=CLASSES)
-    yield pa.RecordBatch.from_arrays([pa.array(np.arange(SEGMENTS, dtype=np.int32)),
-                                      pa.array([planes(c) for c in counts.reshape(SEGMENTS, -1)], pa.binary())], ["segment", "counts"])
+    yield _by_segment(counts)
+
+
+def _by_segment(counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.arange(SEGMENTS, dtype=np.int32)),
+                                       pa.array([planes(c) for c in counts.reshape(SEGMENTS, -1)], pa.binary())], ["segment", "counts"])
 
 
 def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,12 +74,17 @@ def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def rarity(docs: DataFrame) -> np.ndarray:
     """Frequency step of every word class over all texts; ``CLASSES`` bytes."""
-    sums = docs.select("text").mapInArrow(_class_counts, "segment int, counts binary").groupBy("segment").applyInArrow(
+    return np.minimum(63, 2 * np.log2(_summed(docs.select("text"), _class_counts) + 1.0)).astype(np.uint8)
+
+
+def _summed(texts: DataFrame, count) -> np.ndarray:
+    """``CLASSES`` counts, added over all tasks."""
+    sums = texts.mapInArrow(count, "segment int, counts binary").groupBy("segment").applyInArrow(
         _add_counts, "segment int, counts binary").collect()
     counts = np.zeros((SEGMENTS, CLASSES // SEGMENTS), np.int64)
     for row in sums:
         counts[row.segment] = np.maximum(counts[row.segment], np.frombuffer(row.counts, np.int64))
-    return np.minimum(63, 2 * np.log2(counts.reshape(-1) + 1.0)).astype(np.uint8)
+    return counts.reshape(-1)
 
 
 def lines_of(texts: pa.Array):
@@ -144,7 +157,51 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]
     release()
 
 
-def _postings(steps, ranges: int, percent: int):
+def _posting_counts(steps, percent: int):
+    """Postings of each class of tokens; equal lines of a group count once."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(CLASSES, np.int64)
+        for group in gathered(batches):
+            met = np.zeros(0, U64)
+            for texts in (t for b in group for _, t in slices(b.column(0), SLICE)):
+                lines = Lines(texts, steps.value)
+                if not len(lines.size):
+                    continue
+                digest = np.add.reduceat(mix(lines.token), lines.begin)
+                fresh = np.zeros(len(digest), bool)
+                fresh[np.unique(digest, return_index=True)[1]] = True
+                fresh &= ~np.isin(digest, met)
+                met = np.r_[met, digest[fresh]]
+                use = lines.prefix(percent)[2] & np.repeat(fresh, lines.size)
+                counts += np.bincount(word_classes(mix(lines.token[use])), minlength=CLASSES)
+        yield _by_segment(counts)
+
+    return count
+
+
+def crowds(docs: DataFrame, steps, percent: int):
+    """A broadcast of the blocks that each class of tokens is cut into, after the counts of a sample; None where one does for all."""
+    some = docs.filter(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE)) == 0).select("text")
+    blocks = np.minimum(2**16 - 1, -(-SAMPLE * _summed(some, _posting_counts(steps, percent)) // HOT))
+    return docs.sparkSession.sparkContext.broadcast(np.maximum(1, blocks).astype(np.uint16)) if (blocks > 1).any() else None
+
+
+def _spread(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """A well spread number for each line."""
+    return mix(doc.astype(np.int64).view(U64) * U64(0x9E3779B97F4A7C15) + line.astype(U64))
+
+
+def _units(token: np.ndarray, block: np.ndarray, many: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The pairs of blocks that a posting takes part in: which postings, the key of the pair, and whether theirs is its second block."""
+    for step in range(int(many.max(initial=0))):
+        at = np.flatnonzero(many > step)
+        mine, other = block[at], (block[at] + step) % many[at]
+        pair = (np.minimum(mine, other) << 32 | np.maximum(mine, other)).astype(U64)
+        yield at, mix(token[at] ^ mix(pair + U64(1))), mine > other
+
+
+def _postings(steps, ranges: int, percent: int, crowd=None):
     """Tokens of the first places, and set digests, of a group's lines, cut into ranges; lines met before in the group are found."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +227,7 @@ def _postings(steps, ranges: int, percent: int):
             kept[order[fresh]] = True
             repeat = ~fresh & ((doc[order] != doc[head]) | (line[order] != line[head]))  # a repeated row does not match itself
             again, head = order[repeat], head[repeat]
-            yield from _packed(2, np.zeros(len(again), int), 1, dict(
+            yield from _packed(2, _range(_spread(doc[again], line[again]), ranges), ranges, dict(
                 key=doc[head].view(U64), doc=doc[again], line=line[again], size=size[again], place=line[head],
                 bits=np.zeros(len(again), U64), more_bits=np.zeros(len(again), U64)))
             yield from _packed(0, _range(low[kept], ranges), ranges, dict(
@@ -179,6 +236,15 @@ def _postings(steps, ranges: int, percent: int):
             own = np.repeat(np.arange(len(size)), first)
             use = kept[own]
             own, token, place = own[use], token[use], place[use]
+            if crowd is not None:
+                many = crowd.value[word_classes(mix(token))].astype(np.int64)
+                hot = np.flatnonzero(many > 1)
+                block = (_spread(doc[own[hot]], line[own[hot]]) >> U64(16)).astype(np.int64) % many[hot]
+                for step, (at, key, second) in enumerate(_units(token[hot], block, many[hot])):
+                    i, stand = own[hot[at]], place[hot[at]]
+                    yield from _packed(3 if step == 0 else 4, _range(key, ranges), ranges, dict(
+                        key=key, doc=doc[i], line=line[i], size=size[i], place=np.where(second, -1 - stand, stand), bits=bits[i], more_bits=more[i]))
+                own, token, place = own[many == 1], token[many == 1], place[many == 1]
             yield from _packed(1, _range(mix(token), ranges), ranges, dict(
                 key=token, doc=doc[own], line=line[own], size=size[own], place=place, bits=bits[own], more_bits=more[own]))
 
@@ -223,6 +289,9 @@ def _candidates(percent: int, tries: int):
         order = np.lexsort((rows["line"], rows["doc"], rows["key"]))
         key, doc, line, size, place, bits, more_bits = (rows[c][order] for c in POSTED[2:])
         start = np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], np.arange(len(key)), 0))
+        # kind 3 is a block of a hot token, kind 4 two blocks of it, of which only lines of different ones meet
+        second, place = place < 0, np.where(place < 0, -1 - place, place)
+        limit = tries if kind == 1 else max(1, tries // 8)
         later = np.arange(len(key))
         found, taken, step = [], np.zeros(len(key), np.int16), 0
         rest = size - place
@@ -233,7 +302,7 @@ def _candidates(percent: int, tries: int):
                 break
             i, j = later - step, later
             share = needed(size[i], size[j], percent)
-            fits = np.minimum(rest[i], rest[j]) >= share
+            fits = (np.minimum(rest[i], rest[j]) >= share) & ((second[i] != second[j]) if kind == 4 else True)
             i, j, share = i[fits], j[fits], share[fits]
             apart = np.bitwise_count(bits[i] ^ bits[j]).astype(np.int64) + np.bitwise_count(more_bits[i] ^ more_bits[j])
             fits = apart <= size[i] + size[j] - 2 * share
@@ -244,13 +313,13 @@ def _candidates(percent: int, tries: int):
             if len(j):
                 found.append((i, j))
                 alike = (bits[i] == bits[j]) & (more_bits[i] == more_bits[j]) & (size[i] == size[j])
-                taken[j] += np.where(alike, max(1, tries // 4), 1).astype(np.int16)  # an equal set most likely settles the line
-                later = later[taken[later] < tries]
+                taken[j] += np.where(alike, max(1, limit // 4), 1).astype(np.int16)  # an equal set most likely settles the line
+                later = later[taken[later] < limit]
         if not found:
             none = np.zeros(0, np.int64)
             return _found(False, none, none, none, none, none)
         i, j = map(np.concatenate, zip(*found))
-        return _found(False, doc[j], line[j], size[j], doc[i], line[i], (taken[j] >= tries) & (j - 1 > start[j]))
+        return _found(False, doc[j], line[j], size[j], doc[i], line[i], (taken[j] >= limit) & (j - 1 > start[j]))
 
     return compare
 
@@ -263,7 +332,7 @@ def _found(exact: bool, doc, line, size, match_doc, match_line, more=None) -> pa
 
 def line_marks(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
     """Place of a pair of integers in a map."""
-    return (mix(doc.astype(np.int64).view(U64) * U64(0x9E3779B97F4A7C15) + line.astype(U64)) >> U64(64 - MAP_BITS)).astype(np.int64)
+    return (_spread(doc, line) >> U64(64 - MAP_BITS)).astype(np.int64)
 
 
 #: What one row of a line says about one of its first tokens.
@@ -392,7 +461,7 @@ def repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     ranges = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text")).dropna()
     steps = spark.sparkContext.broadcast(rarity(docs))
-    posted = docs.mapInArrow(_postings(steps, ranges, percent), POSTING)
+    posted = docs.mapInArrow(_postings(steps, ranges, percent, crowds(docs, steps, percent)), POSTING)
     found = spill(posted.groupBy("kind", "range").applyInArrow(_candidates(percent, FIRST_TRY), FOUND), "line-pairs")
 
     place = F.struct("match_doc", "match_line")
