@@ -187,6 +187,15 @@ def test_lines_of_hot_tokens_equal_brute_force(spark, monkeypatch, tries):
     assert {(r.doc_id, r.line_no): r.exact for r in lines.repeated_lines(frame(spark, rows)).collect()} == plain_repeats(rows)
 
 
+def test_a_text_of_more_than_a_million_lines():
+    import pyarrow as pa
+
+    n = (1 << 20) + 5
+    got = lines.Lines(pa.array(["a\n" * (n - 1) + "b c b"]), np.zeros(lines.CLASSES, np.uint8))
+    assert len(got.size) == len(got.line) == len(got.begin) == n and len(got.token) == n + 1
+    assert got.size[-1] == 2 and (got.size[:-1] == 1).all() and got.line[-1] == n - 1
+
+
 def test_op1_equals_brute_force_on_whole_documents(spark, folder):
     got = QUERIES["op1_line_dedup"](spark, folder).collect()
     assert {(r.doc_id, r.line_no): r.exact for r in got} == plain_repeats(document_rows(spark, folder))

@@ -108,10 +108,14 @@ class Lines:
         token = steps[word_classes(words.hash)].astype(U64) << U64(HASH_BITS) | words.hash >> U64(64 - HASH_BITS)
         begins = np.flatnonzero(np.r_[True, of_word[1:] != of_word[:-1]]) if len(of_word) else np.zeros(0, np.int64)
         own = np.repeat(np.arange(len(begins)), np.diff(np.r_[begins, len(of_word)]))
-        both = np.sort(own.astype(U64) << TOKEN_BITS | token)
-        both = both[np.r_[True, both[1:] != both[:-1]]] if len(both) else both
-        self.token = both & U64(2 ** int(TOKEN_BITS) - 1)
-        owner = (both >> TOKEN_BITS).astype(np.int64)
+        room, tokens, owners = 1 << 64 - int(TOKEN_BITS), [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+        cuts = np.r_[begins[::room], len(own)]  # a very long text has more lines than there is room for above the token
+        for base, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+            both = np.sort((own[a:b] - base * room).astype(U64) << TOKEN_BITS | token[a:b])
+            both = both[np.r_[True, both[1:] != both[:-1]]]
+            tokens.append(both & U64(2 ** int(TOKEN_BITS) - 1))
+            owners.append((both >> TOKEN_BITS).astype(np.int64) + base * room)
+        self.token, owner = np.concatenate(tokens), np.concatenate(owners)
         self.begin = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, np.int64)
         self.size = np.diff(np.r_[self.begin, len(owner)]).astype(np.int32)
         self.text, line = line_numbers(words, of_word, starts, begins)
