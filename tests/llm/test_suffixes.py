@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from tillwork.llm import suffixes
 from tillwork.llm.queries import QUERIES
@@ -86,3 +87,23 @@ def test_op8_covers_repeated_windows_of_whole_documents(spark, folder):
     assert set(cover) == set(wanted) and wanted
     both = sum(len(cover[i] & wanted[i]) for i in wanted)
     assert both >= 0.98 * sum(map(len, wanted.values())) and both >= 0.99 * sum(map(len, cover.values()))
+
+
+@pytest.mark.parametrize("partitions", [3])
+def test_a_frequent_run_with_passages_on_either_side(spark, partitions):
+    rng = random.Random(11)
+    run = words(rng, 24)
+    lefts, rights = ([words(rng, 40) for _ in range(12)] for _ in range(2))
+    rows = []
+    for i in range(240):  # equal words before with others behind, equal words behind with others before, and both
+        before = lefts[i % 12] if i % 3 != 1 else words(rng, 40)
+        after = rights[i // 12 % 12] if i % 3 != 0 else words(rng, 40)
+        rows.append((i, " ".join(words(rng, 10) + before + run + after + words(rng, 10))))
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = suffixes.repeated_passages(frame(spark, rows)).collect()
+        cover, wanted = found_cover(got), plain_cover(rows)
+        assert wanted and cover == wanted
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
