@@ -89,7 +89,7 @@ def test_op8_covers_repeated_windows_of_whole_documents(spark, folder):
     assert both >= 0.98 * sum(map(len, wanted.values())) and both >= 0.99 * sum(map(len, cover.values()))
 
 
-@pytest.mark.parametrize("partitions", [3])
+@pytest.mark.parametrize("partitions", [3, 200])
 def test_a_frequent_run_with_passages_on_either_side(spark, partitions):
     rng = random.Random(11)
     run = words(rng, 24)
@@ -105,5 +105,7 @@ def test_a_frequent_run_with_passages_on_either_side(spark, partitions):
         got = suffixes.repeated_passages(frame(spark, rows)).collect()
         cover, wanted = found_cover(got), plain_cover(rows)
         assert wanted and cover == wanted
+        few = rows[:6] + [(1000 + i, t) for i, t in rows[:6]]
+        assert found_cover(suffixes.repeated_passages(frame(spark, few)).collect()) == plain_cover(few)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", usual)
