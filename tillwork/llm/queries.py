@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, contamination, embeddings, language_id, language_model, lines, minhash, sql, suffixes, token_counts
+from . import audit, bpe, chat, contamination, embeddings, language_id, language_model, lines, minhash, quality_rules, sql, suffixes, token_counts
 from .registry import QUERIES, query, table  # noqa: F401
 
 COUNTING = "word_bpe_49k.json"
@@ -89,3 +89,16 @@ def op9_language_id(spark, d):
     none = F.lit(None).cast("long")
     return pages.withColumns({"doc_id": none, "page_id": F.col("id")}).unionByName(
         texts.withColumns({"doc_id": F.col("id"), "page_id": none})).drop("id")
+
+
+@query("op12_filter_audit", sql.FILTER_AUDIT)
+def op12_filter_audit(spark, d):
+    """What five filters remove in all their orders, for each source."""
+    return audit.audited(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query("op13_quality_rules", sql.QUALITY_RULES)
+def op13_quality_rules(spark, d):
+    """Documents that pass fixed base rules and the bounds of their language and source."""
+    judged = quality_rules.judged(table(spark, d, "documents"))
+    return judged.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")

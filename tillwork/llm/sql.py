@@ -59,3 +59,62 @@ EMBEDDINGS = rf"""WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS D
   {REACH}
 SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component, vec_id) AS component_id, coalesce(component, vec_id) = vec_id AS kept
 FROM embeddings LEFT JOIN many ON many.a = vec_id LEFT JOIN low ON low.a = vec_id"""
+
+FILTER_AUDIT = r"""WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  first_ AS (SELECT text, min(doc_id) AS first_id FROM t GROUP BY 1),
+  lab AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY 1),
+  d AS (SELECT t.doc_id, part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: CASE x
+      WHEN 'A' THEN len(w) < 200
+      WHEN 'B' THEN 100 * len(list_distinct(w)) < 50 * len(w)
+      WHEN 'C' THEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text)
+      WHEN 'D' THEN regexp_matches(text, '[#$%&*|]')
+      ELSE coalesce(first_id < t.doc_id, false) END) AS fails
+    FROM t JOIN first_ USING (text) LEFT JOIN lab ON lab.doc_id = t.doc_id),
+  l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+  orders AS (SELECT a.x || b.x || c.x || e.x || f.x AS filter_order FROM l a, l b, l c, l e, l f
+    WHERE len(list_distinct([a.x, b.x, c.x, e.x, f.x])) = 5),
+  steps AS (SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS one,
+    string_split(filter_order[1:step - 1], '') AS before FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+  masks AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x FROM d GROUP BY ALL),
+  now AS (SELECT part, filter_order, step, one,
+    sum(n) FILTER (NOT list_has_any(fails, before) AND NOT list_contains(fails, one)) AS kept,
+    sum(n) FILTER (NOT list_has_any(fails, before) AND list_contains(fails, one)) AS removed,
+    sum(n) FILTER (list_has_any(fails, before) AND list_contains(fails, one)) AS redundant,
+    sum(n) FILTER (fails = [one]) AS unique_fails,
+    sum(g) FILTER (NOT list_has_any(fails, before) AND list_contains(fails, one)) AS good_lost,
+    sum(x) FILTER (NOT list_has_any(fails, before) AND list_contains(fails, one)) AS toxic_lost
+    FROM masks, steps GROUP BY ALL)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(removed) OVER (PARTITION BY part, one), 0) AS BIGINT) AS shapley FROM now"""
+
+QUALITY_RULES = r"""WITH t AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM documents),
+  g AS (SELECT r, unnest(list_transform(range(1, len(w) - 1), lambda i: {'i': i, 'g': w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]}), recursive := true) FROM t),
+  rep AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS q
+    FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM g) WHERE c > 1) GROUP BY 1),
+  m AS (SELECT r, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words FROM t LEFT JOIN rep USING (r)),
+  v AS (SELECT r, lang, source, rule, CASE rule WHEN 'word_length' THEN 1000 * word_chars // n_words WHEN 'symbols' THEN 10000 * n_symbols // n_words
+      WHEN 'repeated_lines' THEN 10000 * n_dup_lines // n_words ELSE 10000 * n_repeat_words // n_words END AS v
+    FROM m, (SELECT unnest(['word_length', 'symbols', 'repeated_lines', 'repeated_words']) AS rule) WHERE n_words > 0),
+  e AS (SELECT *, greatest(length(bin(v)) - 7, 0) AS e FROM v),
+  b AS (SELECT lang, source, rule, 64 * e + (v >> e) AS b, CASE WHEN e = 0 THEN v ELSE (((v >> e) + 1) << e) - 1 END AS top FROM e),
+  levels AS (SELECT 0 AS wide, lang, source, rule, b, top FROM b UNION ALL SELECT 1, lang, NULL, rule, b, top FROM b UNION ALL SELECT 2, NULL, NULL, rule, b, top FROM b),
+  ranked AS (SELECT wide, lang, source, rule, top, row_number() OVER p AS upto, count(*) OVER (PARTITION BY wide, lang, source, rule) AS n
+    FROM levels WINDOW p AS (PARTITION BY wide, lang, source, rule ORDER BY b)),
+  q AS (SELECT wide, lang, source, rule, n, min(top) FILTER (4 * upto >= n) AS q1, min(top) FILTER (4 * upto >= 3 * n) AS q3 FROM ranked GROUP BY ALL),
+  f AS (SELECT wide, lang, source, rule, n, CASE WHEN rule = 'word_length' THEN q1 - 3 * (q3 - q1) - 500 END AS low,
+    q3 + 3 * (q3 - q1) + CASE rule WHEN 'word_length' THEN 500 WHEN 'symbols' THEN 1000 WHEN 'repeated_lines' THEN 500 ELSE 4000 END AS high FROM q),
+  own AS (SELECT a.lang, a.source, a.rule, CASE WHEN a.n >= 100 THEN a.low WHEN l.n >= 100 THEN l.low ELSE o.low END AS low,
+    CASE WHEN a.n >= 100 THEN a.high WHEN l.n >= 100 THEN l.high ELSE o.high END AS high
+    FROM f a JOIN f l ON l.wide = 1 AND l.rule = a.rule AND l.lang IS NOT DISTINCT FROM a.lang JOIN f o ON o.wide = 2 AND o.rule = a.rule WHERE a.wide = 0),
+  bad AS (SELECT DISTINCT r FROM v JOIN own ON own.rule = v.rule AND own.lang IS NOT DISTINCT FROM v.lang AND own.source IS NOT DISTINCT FROM v.source
+    WHERE v > high OR v < low)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND bad.r IS NULL AS kept FROM m LEFT JOIN bad USING (r)"""
