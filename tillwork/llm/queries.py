@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import audit, bpe, chat, contamination, embeddings, language_id, language_model, lines, minhash, quality_rules, sql, suffixes, token_counts
+from . import audit, bpe, chat, contamination, embeddings, language_id, language_model, lines, minhash, quality_rules, sql, suffixes, token_counts, trie
 from .registry import QUERIES, query, table  # noqa: F401
 
 COUNTING = "word_bpe_49k.json"
@@ -102,3 +102,9 @@ def op13_quality_rules(spark, d):
     """Documents that pass fixed base rules and the bounds of their language and source."""
     judged = quality_rules.judged(table(spark, d, "documents"))
     return judged.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")
+
+
+@query("op11_prefix_trie", sql.PREFIX_TRIE)
+def op11_prefix_trie(spark, d):
+    """Every node of the trie of rebuilt conversations, with totals over its subtree."""
+    return trie.prefix_trie(table(spark, d, "conversations"))

@@ -118,3 +118,25 @@ QUALITY_RULES = r"""WITH t AS (SELECT row_number() OVER () AS r, doc_id, lang, s
     WHERE v > high OR v < low)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND bad.r IS NULL AS kept FROM m LEFT JOIN bad USING (r)"""
+
+#: crc32 of the decimal id: each byte, then eight shifts (the -1), over the reflected polynomial.
+PREFIX_TRIE = r"""WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+    FROM conversations WHERE conv_id IS NOT NULL),
+  s AS (SELECT c, count(*) AS own, c - c % 5 AS base,
+    xor(list_reduce([4294967295] || flatten(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 9 AS h FROM t GROUP BY 1),
+  g AS (SELECT s.*, least(s.h, coalesce(b.own, 0)) AS given FROM s LEFT JOIN s b ON b.c = s.base),
+  r AS (SELECT g.c, place AS d, role, text FROM g JOIN t ON t.c = g.base AND place <= given
+    UNION ALL SELECT g.c, given + place - h, role, text FROM g JOIN t USING (c) WHERE place > h),
+  m AS (SELECT c, d, strlen(text) AS bytes, sha256(string_agg(sha256(strlen(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY d)) AS p FROM r
+    UNION ALL SELECT c, 0, 0, 'root' FROM g),
+  up AS (SELECT *, lag(p) OVER (PARTITION BY c ORDER BY d) AS above, lead(p) OVER (PARTITION BY c ORDER BY d) IS NULL AS is_end FROM m),
+  n AS (SELECT d, p, min(c) AS conv_id, count(*) AS n_convs, any_value(above) AS above, (count(*) - 1) * any_value(bytes) AS weight,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (is_end), '')) AS ends_sha256 FROM up GROUP BY 1, 2),
+  kids AS (SELECT d - 1 AS d, above AS p, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2),
+  w AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (d, p)),
+  tot AS (SELECT m.d, m.p, sum(weight) AS saved, count(*) FILTER (n_children = 0) AS leaves FROM w JOIN m ON m.c = w.conv_id AND m.d <= w.d GROUP BY 1, 2)
+SELECT w.conv_id, CAST(w.d AS BIGINT) AS depth, a.conv_id AS parent_conv_id, w.n_convs, CAST(w.n_children AS BIGINT) AS n_children,
+  CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM w JOIN tot USING (d, p) LEFT JOIN n a ON a.d = w.d - 1 AND a.p = w.above"""
