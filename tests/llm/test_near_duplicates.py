@@ -249,3 +249,46 @@ def test_op10_recall_and_precision_on_whole_table(spark, folder):
     got = {r.vec_id: r for r in QUERIES["op10_embedding_dedup"](spark, folder).collect()}
     assert len(got) == len(rows) and sum(r.n_links for r in got.values()) <= 2 * len(links)
     assert sum(r.n_links for r in got.values()) >= 0.98 * 2 * len(links)
+
+
+def words_alike_in_their_upper_bits():
+    """Two words whose numbers agree in the upper 38 bits."""
+    import pyarrow as pa
+
+    from tillwork.llm.words import words_of
+
+    plain = [f"w{i}" for i in range(2_000_000)]
+    upper = words_of(pa.array([" ".join(plain)])).hash >> np.uint64(26)
+    order = np.argsort(upper)
+    at = np.flatnonzero(upper[order][1:] == upper[order][:-1])[0]
+    return plain[order[at]], plain[order[at + 1]]
+
+
+def test_words_that_share_bits_and_built_words_are_told_apart(spark):
+    one, other = words_alike_in_their_upper_bits()
+    signs = [i.bit_count() % 2 for i in range(1024)]
+    a, b = "".join("ab"[s] for s in signs), "".join("ba"[s] for s in signs)
+    rows = [(1, one), (2, other), (3, f"{one} {other} tail"), (4, f"{other} {one} tail"), (5, a), (6, b), (7, b)]
+    got = {(r.doc_id, r.line_no): r for r in lines.repeated_lines(frame(spark, rows)).collect()}
+    assert set(got) == {(4, 0), (7, 0)} and got[4, 0].n_words == 3 and got[7, 0].match_doc_id == 6
+    assert {(r.doc_id, r.component_id) for r in minhash.near_duplicates(frame(spark, rows)).collect()} >= {(5, 5), (6, 6), (7, 6), (1, 1), (2, 2)}
+
+
+def test_the_set_of_a_long_line_is_sent_once(spark):
+    import pyarrow as pa
+
+    steps = spark.sparkContext.broadcast(np.zeros(lines.CLASSES, np.uint8))
+    text = " ".join(f"w{i}" for i in range(100_000))
+    batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array([text])], ["doc", "text"])
+    sent = list(lines._loose_postings(steps, 80)(iter([batch])))
+    assert sum(b.nbytes for b in sent) < 4_000_000 and sum(b.num_rows for b in sent) == 20_002
+
+
+def test_open_lines_meet_all_partners_also_with_long_lines(spark, monkeypatch):
+    monkeypatch.setattr(lines, "FIRST_TRY", 1)
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(2_000)]
+    rows = [(i, " ".join(base[: 1_600 + 10 * i] + [f"x{i}_{k}" for k in range(rng.randrange(300))])) for i in range(30)]
+    rows += [(100 + i, " ".join(rng.sample(base[:40], 9))) for i in range(150)]
+    got = {(r.doc_id, r.line_no): r.exact for r in lines.repeated_lines(frame(spark, rows)).collect()}
+    assert got == plain_repeats(rows)

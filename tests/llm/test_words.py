@@ -40,3 +40,20 @@ def test_slices_cover_all_texts():
     parts = list(slices(texts, 300))
     assert pa.concat_arrays([p for _, p in parts]).equals(texts) and len(parts) > 5
     assert [at for at, _ in parts][0] == 0 and list(slices(pa.array([], pa.string()))) == []
+
+
+def test_built_words_have_their_own_numbers():
+    # a word and its complement after Thue and Morse agree under any power sum modulo 2**64
+    signs = [i.bit_count() % 2 for i in range(1024)]
+    built = ["".join("ab"[s] for s in signs), "".join("ba"[s] for s in signs)]
+    built += ["".join("ab"[s] for s in signs[:64]), "".join("ba"[s] for s in signs[:64])]
+    numbered = [f"w{i}" for i in range(1_500_000)]
+    found = words_of(pa.array([" ".join(built), " ".join(numbered)]))
+    assert len(np.unique(found.hash)) == len(built) + len(numbered)
+
+
+def test_all_sizes_of_words_and_all_ends():
+    rows = ["a" * n for n in range(1, 140)] + ["a" * n + "b" for n in range(1, 140)] + ["\0" * n for n in range(1, 140)]
+    found = words_of(pa.array([" ".join(rows)]))
+    assert len(set(found.hash.tolist())) == len(rows)
+    assert words_of(pa.array(rows)).hash.tolist() == found.hash.tolist()

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .language_model import planes, unplanes
 from .minhash import shared
@@ -29,9 +30,8 @@ from .words import U64, mix, release, slices, words_of
 PERCENT = 80
 #: Word counts are kept for this many hash classes of words, a fixed size whatever the corpus.
 CLASSES, SEGMENTS = 1 << 20, 256
-#: Bits of a token: its frequency (half powers of two), then its word's hash.
-RARITY_BITS, HASH_BITS = 6, 38
-TOKEN_BITS = U64(RARITY_BITS + HASH_BITS)
+#: Words of the corpus for each range of tokens; a task holds one range.
+RANGE = 1 << 20
 #: Candidates that a line takes from a token before the first verification.
 FIRST_TRY = 16
 #: Postings of a token that are compared in one task; a token with more is cut into blocks.
@@ -72,9 +72,19 @@ def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([segment.as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["segment", "counts"])
 
 
+def word_counts(docs: DataFrame) -> np.ndarray:
+    """Words of each class in all texts."""
+    return _summed(docs.select("text"), _class_counts)
+
+
+def steps_of(counts: np.ndarray) -> np.ndarray:
+    """Frequency steps, half powers of two; a byte for each class."""
+    return np.minimum(63, 2 * np.log2(counts + 1.0)).astype(np.uint8)
+
+
 def rarity(docs: DataFrame) -> np.ndarray:
-    """Frequency step of every word class over all texts; ``CLASSES`` bytes."""
-    return np.minimum(63, 2 * np.log2(_summed(docs.select("text"), _class_counts) + 1.0)).astype(np.uint8)
+    """Frequency step of every word class over all texts."""
+    return steps_of(word_counts(docs))
 
 
 def _summed(texts: DataFrame, count) -> np.ndarray:
@@ -101,27 +111,30 @@ def line_numbers(words, of_word: np.ndarray, starts: np.ndarray, begins: np.ndar
 
 
 class Lines:
-    """The lines with words of some texts: token sets, rarest first, and where they stand."""
+    """The lines with words of some texts: sets of 64-bit words, rarest first, and where they stand.
+
+    The order of words, by frequency step and number, is the same in all texts.
+    """
 
     def __init__(self, texts: pa.Array, steps: np.ndarray):
         words, of_word, starts = lines_of(texts)
-        token = steps[word_classes(words.hash)].astype(U64) << U64(HASH_BITS) | words.hash >> U64(64 - HASH_BITS)
         begins = np.flatnonzero(np.r_[True, of_word[1:] != of_word[:-1]]) if len(of_word) else np.zeros(0, np.int64)
         own = np.repeat(np.arange(len(begins)), np.diff(np.r_[begins, len(of_word)]))
-        room, tokens, owners = 1 << 64 - int(TOKEN_BITS), [np.zeros(0, U64)], [np.zeros(0, np.int64)]
-        cuts = np.r_[begins[::room], len(own)]  # a very long text has more lines than there is room for above the token
-        for base, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-            both = np.sort((own[a:b] - base * room).astype(U64) << TOKEN_BITS | token[a:b])
-            both = both[np.r_[True, both[1:] != both[:-1]]]
-            tokens.append(both & U64(2 ** int(TOKEN_BITS) - 1))
-            owners.append((both >> TOKEN_BITS).astype(np.int64) + base * room)
-        self.token, owner = np.concatenate(tokens), np.concatenate(owners)
+        coded = pa.array(words.hash).dictionary_encode()
+        kinds = coded.dictionary.to_numpy(zero_copy_only=False)
+        order = np.lexsort((kinds, steps[word_classes(kinds)]))
+        rank = np.empty(len(kinds), np.int64)
+        rank[order] = np.arange(len(kinds))
+        both = np.unique(own << 32 | rank[coded.indices.to_numpy(zero_copy_only=False)])
+        self.token, owner = kinds[order][both & (2**32 - 1)], both >> 32
         self.begin = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, np.int64)
         self.size = np.diff(np.r_[self.begin, len(owner)]).astype(np.int32)
         self.text, line = line_numbers(words, of_word, starts, begins)
         self.line = line.astype(np.int32)
-        self.words, self.word_begin, self.word_end = words.hash, begins, np.r_[begins[1:], len(of_word)]
 
+    def members(self, line: int) -> bytes:
+        """The words of a line as sorted numbers."""
+        return np.sort(self.token[self.begin[line] : self.begin[line] + self.size[line]]).tobytes()
 
     def parity(self, spread: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of 128 classes hold an odd number of tokens: sets differ in at least as many tokens as in classes."""
@@ -138,7 +151,7 @@ class Lines:
 
 #: Bytes of documents whose equal lines count once.
 GROUP = 8 << 20
-#: Lines of a slice of texts are numbered in the bits above the token.
+#: Bytes of texts that are cut into lines at a time.
 SLICE = 1 << 20
 
 
@@ -339,15 +352,16 @@ def line_marks(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
     return (_spread(doc, line) >> U64(64 - MAP_BITS)).astype(np.int64)
 
 
-#: What one row of a line says about one of its first tokens.
+#: A row for each of the first tokens of a line, without its set, and a row with the set of each line, without token.
 LOOSE = "token long, doc long, line int, size int, place int, bits long, more_bits long, members binary"
 
 
 def _loose_postings(steps, percent: int, wanted=None):
-    """A row with the whole set for each first token of each line, of the tokens that a map of wanted tokens names."""
+    """First tokens of lines, and the set of each line once; of lines and tokens that a map of wanted tokens names."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = None if wanted is None else np.unpackbits(wanted.value).astype(bool)
+        names = [c.split()[0] for c in LOOSE.split(", ")]
         for batch in batches:
             for ids, texts in ((batch.column(0).to_numpy()[at : at + len(t)], t) for at, t in slices(batch.column(1), SLICE)):
                 lines = Lines(texts, steps.value)
@@ -357,33 +371,40 @@ def _loose_postings(steps, percent: int, wanted=None):
                 if marks is not None:
                     use &= marks[line_marks(lines.token, np.zeros(len(lines.token), np.int64))]
                 own, bits = np.repeat(np.arange(len(lines.size)), lines.size)[use], lines.parity(mix(lines.token))
-                sets = [np.unique(lines.words[a:b]).tobytes() for a, b in zip(lines.word_begin[own].tolist(), lines.word_end[own].tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lines.token[use].view(np.int64)), pa.array(ids[lines.text[own]], pa.int64()), pa.array(lines.line[own]),
-                     pa.array(lines.size[own]), pa.array(place[use]), *(pa.array(b[own].view(np.int64)) for b in bits), pa.array(sets, pa.binary())],
-                    [c.split()[0] for c in LOOSE.split(", ")])
+                of_line = lambda i, **more: [more.get(c, pa.nulls(len(i), k)) for c, k in zip(names, (
+                    pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))]
+                where = lambda i: dict(doc=pa.array(ids[lines.text[i]], pa.int64()), line=pa.array(lines.line[i]), size=pa.array(lines.size[i]))
+                yield pa.RecordBatch.from_arrays(of_line(own, token=pa.array(lines.token[use].view(np.int64)), place=pa.array(place[use]),
+                                                         bits=pa.array(bits[0][own].view(np.int64)), more_bits=pa.array(bits[1][own].view(np.int64)), **where(own)), names)
+                once = np.unique(own)
+                yield pa.RecordBatch.from_arrays(of_line(once, members=pa.array([lines.members(i) for i in once.tolist()], pa.binary()), **where(once)), names)
 
     return send
 
 
 def _all_partners(open_: DataFrame, docs: DataFrame, steps, percent: int) -> DataFrame:
-    """Earlier similar lines of the lines (doc, line) in ``open_``, by a join on their first tokens."""
+    """Earlier similar lines of the lines (doc, line) in ``open_``, by a join on their first tokens.
+
+    Sizes are put in steps so wide that sizes of similar lines are in the same
+    or in neighbouring steps; tokens are joined step by step.
+    """
     asked = docs.join(open_.groupBy("doc").agg(F.collect_list("line").alias("lines")), "doc")
-    alone = F.transform(F.split("text", "\n", -1), lambda x, i: F.when(F.array_contains("lines", i), x).otherwise(""))
-    asked = asked.select("doc", F.array_join(alone, "\n").alias("text")).mapInArrow(_loose_postings(steps, percent), LOOSE)
+    asked = asked.select("doc", only_lines("text", "lines").alias("text")).mapInArrow(_loose_postings(steps, percent), LOOSE)
     asked = spill(asked, "open-postings")
-    wanted = _map_of(asked.select("token", F.lit(0)))
-    others = docs.mapInArrow(_loose_postings(steps, percent, wanted), LOOSE).select(
-        "token", *[F.col(c).alias(f"m_{c}") for c in ("doc", "line", "size", "place", "bits", "more_bits", "members")])
+    wanted = _map_of(asked.filter("token IS NOT NULL").select("token", F.lit(0)))
+    others = spill(docs.mapInArrow(_loose_postings(steps, percent, wanted), LOOSE), "other-postings")
+    step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent)))
+    left = asked.filter("token IS NOT NULL").withColumn("step", F.explode(F.array(step - 1, step, step + 1)))
+    right = others.filter("token IS NOT NULL").select("token", step.alias("step"), *[F.col(c).alias(f"m_{c}") for c in ("doc", "line", "size", "place", "bits", "more_bits")])
     share = F.ceil(percent * (F.col("size") + F.col("m_size")) / (100 + percent))
     fits = ((F.struct("m_doc", "m_line") < F.struct("doc", "line"))
             & (F.least(F.col("size") - F.col("place"), F.col("m_size") - F.col("m_place")) >= share)
             & (F.bit_count(F.col("bits").bitwiseXOR(F.col("m_bits"))) + F.bit_count(F.col("more_bits").bitwiseXOR(F.col("m_more_bits")))
                <= F.col("size") + F.col("m_size") - 2 * share))
-    pairs = asked.join(others, "token").filter(fits).withColumn("common", shared("members", "m_members"))
-    total = (F.octet_length("members") + F.octet_length("m_members")) / 8
-    return pairs.filter(100 * F.col("common") >= percent * (total - F.col("common"))).select(
-        "doc", "line", "size", F.col("m_doc").alias("match_doc"), F.col("m_line").alias("match_line"))
+    pairs = left.join(right, ["token", "step"]).filter(fits).select(
+        "doc", "line", "size", F.col("m_doc").alias("match_doc"), F.col("m_line").alias("match_line")).distinct()
+    sets = asked.union(others).filter("token IS NULL").select("doc", "line", "members").dropDuplicates(["doc", "line"])
+    return _verified(pairs, sets, percent).filter("ok").drop("ok")
 
 
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -464,7 +485,8 @@ def repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     spark = df.sparkSession
     ranges = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text")).dropna()
-    steps = spark.sparkContext.broadcast(rarity(docs))
+    counts = word_counts(docs)
+    ranges, steps = max(ranges, int(counts.sum()) // RANGE), spark.sparkContext.broadcast(steps_of(counts))
     posted = docs.mapInArrow(_postings(steps, ranges, percent, crowds(docs, steps, percent)), POSTING)
     found = spill(posted.groupBy("kind", "range").applyInArrow(_candidates(percent, FIRST_TRY), FOUND), "line-pairs")
 
@@ -489,13 +511,28 @@ def repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     open_ = pairs.filter("more").select(*key).distinct().join(near.select(*key), key, "left_anti")
     open_ = spill(open_, "open-lines")
     if open_.limit(1).count():
-        near = near.drop("ok").union(_all_partners(open_, docs, steps, percent).select(*tried.columns[:-1]))
+        near = near.drop("ok").unionByName(_all_partners(open_, docs, steps, percent))
     near = near.groupBy(*key).agg(F.max("size").alias("size"), F.min(place).alias("match"))
     return exact.withColumn("exact", F.lit(True)).union(near.withColumn("exact", F.lit(False))).select(
         F.col("doc").alias("doc_id"), F.col("line").alias("line_no"), F.col("size").alias("n_words"),
         F.col("match.match_doc").alias("match_doc_id"), F.col("match.match_line").alias("match_line_no"), "exact")
 
 
+@F.arrow_udf(T.StringType())
+def only_lines(texts: pa.Array, numbers: pa.Array) -> pa.Array:
+    """Texts of which only the lines with these numbers are left; the others are empty."""
+    chosen = (set(n.as_py() or ()) for n in numbers)
+    return pa.array(["\n".join(x if k in own else "" for k, x in enumerate(t.as_py().split("\n"))) for t, own in zip(texts, chosen)], pa.string())
+
+
+@F.arrow_udf(T.StringType())
+def less_lines(texts: pa.Array, numbers: pa.Array) -> pa.Array:
+    """Texts without the lines with these numbers."""
+    gone = (set(n.as_py() or ()) for n in numbers)
+    return pa.array([t.as_py() if not own else "\n".join(x for k, x in enumerate(t.as_py().split("\n")) if k not in own) for t, own in zip(texts, gone)],
+                    pa.string())
+
+
 def without_repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``df`` without repeated lines, with the columns they had.
 
@@ -505,6 +542,5 @@ def without_repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "t
     doc, numbers = unused(df, "doc"), unused(df, "lines")
     gone = repeated_lines(df, doc_id, text, percent).groupBy(F.col("doc_id").alias(doc)).agg(F.collect_set("line_no").alias(numbers))
     column, lines = F.col(f"`{text}`"), F.col(numbers)
-    left = F.array_join(F.filter(F.split(column, "\n", -1), lambda x, i: ~F.array_contains(lines, i)), "\n")
-    out = df.join(gone, F.col(f"`{doc_id}`") == F.col(doc), "left").withColumn(text, F.when(lines.isNull(), column).otherwise(left))
+    out = df.join(gone, F.col(f"`{doc_id}`") == F.col(doc), "left").withColumn(text, less_lines(column, lines))
     return out.filter(lines.isNull() | column.rlike("[^\\x20\\x09-\\x0D]")).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -2,24 +2,27 @@
 
 A word is a run of bytes that an ``Alphabet`` calls part of a word, with A-Z
 lower-cased.  Separators are ASCII, so runs of UTF-8 bytes are runs of
-characters.  Equal words have equal numbers; different ones differ but for
-chance (2**-64 a pair).  Numpy works on the Arrow buffers, no Python strings
-are made, and memory follows the text at some 20 bytes a byte of one chunk.
+characters.  A word's number is a chain of bijections over its bytes, eight at
+a time, begun with its length; very long words are hashed by BLAKE2.  Equal words
+have equal numbers; different words of up to eight bytes and equal length have
+different ones, others differ but for chance (2**-64 a pair).  Numpy works on the
+Arrow buffers, no Python strings are made, and memory follows the text at some
+five bytes a byte.
 """
 
 from __future__ import annotations
 
 import contextlib
 import ctypes
+import hashlib
 
 import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-#: Bytes that are hashed in one go.
-CHUNK = 1 << 19
-#: Odd factor of the polynomial over the bytes of a word.
-FACTOR = 0x9E3779B97F4A7C15 | 1
+FACTOR = 0x9E3779B97F4A7C15
+#: Longer words, in bytes, are hashed one by one.
+LONG = 64
 #: Number of the missing word before the first one of a text.
 NO_WORD = U64(0)
 
@@ -40,32 +43,50 @@ def numbers(count: int, seed: int) -> np.ndarray:
 
 
 class Alphabet:
-    """Which bytes belong to words; A-Z count as a-z."""
+    """Which bytes belong to words, as ranges from and to; A-Z count as a-z."""
 
-    def __init__(self, members: set[int]):
-        lower = np.arange(256, dtype=np.uint8)
-        lower[65:91] += 32
-        self.lower = lower
-        self.member = np.array([int(b) in members for b in lower])
-        self.code = numbers(256, 7)[lower]
+    def __init__(self, *ranges: tuple[int, int]):
+        self.ranges = ranges
+        self.lower = self.lowered(np.arange(256, dtype=np.uint8))
+        self.member = self.inside(self.lower)
 
+    def lowered(self, data: np.ndarray) -> np.ndarray:
+        return data + ((data - np.uint8(65) < 26).view(np.uint8) << np.uint8(5))
 
-#: Words are what stands between blanks: ``[^\x20\x09-\x0D]+``.
-SPACED = Alphabet(set(range(256)) - {0x20, *range(0x09, 0x0E)})
-#: Words are letters, digits and everything beyond ASCII: ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+``.
-ALNUM = Alphabet({*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)})
-
-_powers = [np.ones(1, U64), np.ones(1, U64)]
+    def inside(self, lower: np.ndarray) -> np.ndarray:
+        """Which of some lower-cased bytes belong to words."""
+        found = np.zeros(len(lower), bool)
+        for low, high in self.ranges:
+            found |= lower - np.uint8(low) <= np.uint8(high - low)
+        return found
 
 
-def _power_series(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """FACTOR**i and its inverse modulo 2**64 for i < n."""
-    if len(_powers[0]) < n:
-        for k, base in enumerate((FACTOR, pow(FACTOR, -1, 2**64))):
-            series = np.full(n, U64(base))
-            series[0] = 1
-            _powers[k] = np.multiply.accumulate(series)
-    return _powers[0], _powers[1]
+#: Words are what stands between blanks: ``[^\x20\x09-\x0D]+``.
+SPACED = Alphabet((0x00, 0x08), (0x0E, 0x1F), (0x21, 0xFF))
+#: Words are letters, digits and everything beyond ASCII: ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+``.
+ALNUM = Alphabet((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
+#: What the number of a word of each size up to ``LONG`` begins with.
+_BEGIN = mix(np.arange(LONG + 1, dtype=U64) * U64(FACTOR))
+
+
+def word_numbers(lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The numbers of the words at ``[starts, ends)`` of lower-cased bytes."""
+    size = ends - starts
+    number = _BEGIN[np.minimum(size, LONG)]
+    padded = np.concatenate([lower, np.zeros(8, np.uint8)])
+    eights = np.ndarray((len(lower) + 1,), "<u8", padded.data, 0, (1,))
+    at = np.flatnonzero(size <= LONG)
+    for step in range(0, LONG, 8):
+        if step:
+            at = at[size[at] > step]
+        if not len(at):
+            break
+        rest = np.minimum(size[at] - step, 8).astype(U64)
+        part = eights[starts[at] + step] & (U64(2**64 - 1) >> (U64(64) - U64(8) * rest))
+        number[at] = mix(number[at] ^ part)
+    for i in np.flatnonzero(size > LONG).tolist():
+        number[i] = int.from_bytes(hashlib.blake2b(lower[starts[i] : ends[i]].data, digest_size=8).digest(), "little")
+    return number
 
 
 def text_buffer(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +109,8 @@ class Words:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet):
         self.data, self.offsets = data, offsets
-        inside = alphabet.member[data]
+        lower = alphabet.lowered(data)
+        inside = alphabet.inside(lower)
         begins, ends = inside.copy(), inside.copy()
         if len(data):
             begins[1:] &= ~inside[:-1]
@@ -98,19 +120,7 @@ class Words:
             ends[cuts - 1] |= inside[cuts - 1]
         self.starts, self.ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         self.first = np.searchsorted(self.starts, offsets)
-        self.hash = np.empty(len(self.starts), U64)
-        at = 0
-        while at < len(self.starts):
-            low = self.starts[at]
-            to = max(at + 1, int(np.searchsorted(self.ends, low + CHUNK, "right")))
-            part = data[low : self.ends[to - 1]]
-            power, inverse = _power_series(max(len(part), CHUNK))
-            sums = np.empty(len(part) + 1, U64)
-            sums[0] = 0
-            np.cumsum(alphabet.code[part] * power[: len(part)], out=sums[1:])
-            begin, end = self.starts[at:to] - low, self.ends[at:to] - low
-            self.hash[at:to] = mix((sums[end] - sums[begin]) * inverse[begin] + U64(1))
-            at = to
+        self.hash = word_numbers(lower, self.starts, self.ends)
 
     @property
     def counts(self) -> np.ndarray:
