@@ -320,6 +320,41 @@ def test_user_neighbours_are_exact(tastes, pivots, cell):
         assert got[got.u == u]["neighbour"].tolist() == [m.index[j] for j in order]
 
 
+def nearest(rows, k):
+    m = pd.DataFrame(rows, columns=["u", "i", "r"]).pivot(index="u", columns="i", values="r").fillna(0).sort_index()
+    x = m.to_numpy() / np.linalg.norm(m.to_numpy(), axis=1, keepdims=True)
+    s = np.round(x @ x.T, 9) + 0.0
+    return {u: [m.index[j] for j in sorted(range(len(m)), key=lambda j: (-s[at, j], m.index[j]))[:k]] for at, u in enumerate(m.index)}
+
+
+def neighbour_lists(table):
+    out = {}
+    for r in table.orderBy("u", "rank").collect():
+        out.setdefault(r["u"], []).append(r["neighbour"])
+    return out
+
+
+def test_few_pairs_are_examined_on_long_tailed_items(spark):
+    rng = np.random.default_rng(3)
+    rows = sorted({(int(u), int(min(5_000, rng.zipf(1.3)))) for u in range(1_500) for _ in range(12)})
+    rows = [(u, i, float(rng.integers(1, 4))) for u, i in rows]
+    near, work = reco.neighbour_search(spark.createDataFrame(rows, "u int, i int, value double"), "u", "i", k=3, cell_rows=256)
+    assert neighbour_lists(near) == nearest(rows, 3)
+    total = work.agg({"examined": "sum", "users": "sum"}).first()
+    assert total["sum(users)"] == 1_500 and total["sum(examined)"] < 0.35 * 1_500**2
+
+
+def test_lonely_users_get_the_smallest_ids_and_negative_values_are_exact(spark):
+    rows = [(5, 1, 1.0), (6, 2, 1.0), (7, 3, 2.0), (8, 3, 1.0), (9, 4, 1.0), (10, 4, 1.0), (10, 5, 0.0), (11, 6, None)]
+    near = reco.user_neighbours(spark.createDataFrame(rows, "u int, i int, value double"), "u", "i", k=3)
+    assert neighbour_lists(near) == {5: [5, 6, 7], 6: [6, 5, 7], 7: [7, 8, 5], 8: [7, 8, 5], 9: [9, 10, 5], 10: [9, 10, 5]}
+    rng = np.random.default_rng(8)
+    mixed = [(int(u), int(i), float(rng.choice([-2, -1, 1, 2]))) for u in range(80) for i in rng.choice(30, 5, replace=False)]
+    df = spark.createDataFrame(mixed, "u int, i int, value double")
+    assert neighbour_lists(reco.user_neighbours(df, "u", "i", k=12, cell_rows=16)) == nearest(mixed, 12)
+    assert reco.user_neighbours(df.limit(0), "u", "i").count() == 0
+
+
 def test_neighbour_scores_marks_bought(spark):
     long = spark.createDataFrame([(1, "a", 1.0), (2, "a", 1.0), (2, "b", 3.0)], "u int, i string, value double")
     near = spark.createDataFrame([(1, 1), (1, 2)], "u int, neighbour int")

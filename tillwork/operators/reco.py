@@ -20,13 +20,12 @@ from tillwork.functions.hashing import hash_order, hash_prefix
 from tillwork.functions.numeric import any_of, divide
 from tillwork.operators.joins import keep_missing
 from tillwork.operators.metrics import regression_metrics
+from tillwork.operators.neighbours import neighbour_search, user_neighbours  # noqa: F401
 from tillwork.operators.ordered import dense_ids, top_per_key
 from tillwork.session import LOCAL_ROWS, attach_row, materialise, small_side
 
 #: Items handled together in one array or matrix.
 ITEM_BLOCK = 10_000
-#: Members of a neighbour-search cell compared in one task.
-CELL_ROWS = 4_096
 
 
 # ---- utility tables --------------------------------------------------------
@@ -101,125 +100,6 @@ def as_lists(ranked: DataFrame, user: str, item: str, score: str) -> DataFrame:
 
 # ---- nearest users ---------------------------------------------------------
 
-def _flat(items, values) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row numbers, items and values of a list of sparse vectors."""
-    sizes = [len(v) for v in items]
-    return np.repeat(np.arange(len(sizes)), sizes), np.concatenate(list(items)), np.concatenate(list(values))
-
-
-def _similarities(left, right) -> np.ndarray:
-    """Cosines of two lists of sparse unit vectors ``(items, values)``, item columns in blocks."""
-    (lr, li, lx), (rr, ri, rx) = _flat(*left), _flat(*right)
-    catalog = np.unique(ri)
-    la, ra = np.searchsorted(catalog, li), np.searchsorted(catalog, ri)
-    known = la < len(catalog)
-    known[known] = catalog[la[known]] == li[known]
-    lr, la, lx = lr[known], la[known], lx[known]
-    out = np.zeros((len(left[0]), len(right[0])))
-    for start in range(0, len(catalog), 2048):
-        width = min(2048, len(catalog) - start)
-        parts = []
-        for rows, at, x, size in ((lr, la, lx, len(left[0])), (rr, ra, rx, len(right[0]))):
-            use = (at >= start) & (at < start + width)
-            dense = np.zeros((size, width))
-            dense[rows[use], at[use] - start] = x[use]
-            parts.append(dense)
-        out += parts[0] @ parts[1].T
-    return out
-
-
-def user_neighbours(
-    long: DataFrame, user: str, item: str, value: str = "value", k: int = 10, pivots: int = 64,
-    cell_rows: int = CELL_ROWS, digits: int = 9,
-) -> DataFrame:
-    """The ``k`` nearest users by cosine, the user included: ``(user, neighbour, similarity, rank)``.
-
-    Exact, without comparing all users.  Every user belongs to the cell of the
-    nearest of a few pivot users.  The sizes and radii of the cells bound how
-    far a user's k-th neighbour can be; only cells that reach within that
-    angle are searched.  Cells are cut into blocks of bounded size, so a cell
-    holding most users is spread over many tasks, and a task returns at most
-    ``k`` rows per user.  Ties go to the smaller id at ``digits`` decimals.
-    """
-    spark = long.sparkSession
-    rows = long.filter((F.col(value) != 0) & F.col(user).isNotNull())
-    norms = rows.groupBy(user).agg(
-        F.sqrt(F.sum(F.col(value) * F.col(value))).alias("_norm"), F.collect_list(F.struct(item, value)).alias("_p"))
-    vectors = materialise(norms.select(
-        F.col(user).alias("u"), F.transform("_p", lambda p: p[item]).alias("i"),
-        F.transform("_p", lambda p: p[value] / F.col("_norm")).alias("x")))
-    chosen = vectors.orderBy(F.xxhash64("u"), "u").limit(pivots).collect()
-    centres = ([np.array(r["i"]) for r in chosen], [np.array(r["x"]) for r in chosen])
-    margin = 1e-4  # covers rounded ties
-
-    def angles(pdf: pd.DataFrame) -> np.ndarray:
-        return np.arccos(np.clip(_similarities((pdf["i"], pdf["x"]), centres), -1.0, 1.0))
-
-    user_type = long.schema[user].dataType.simpleString()
-    vector_type = f"u {user_type}, i {vectors.schema['i'].dataType.simpleString()}, x array<double>"
-
-    def locate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                a = angles(pdf)
-                nearest = a.argmin(axis=1)
-                yield pdf.assign(cell=nearest, angle=a[np.arange(len(a)), nearest])
-
-    located = materialise(vectors.mapInPandas(locate, f"{vector_type}, cell int, angle double"))
-    cells = located.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius")).collect()
-    sizes = {r["cell"]: r["n"] for r in cells}
-    radius = {r["cell"]: r["radius"] for r in cells}
-    ids = np.array(sorted(sizes))
-    n_of = np.array([sizes[c] for c in ids])
-    r_of = np.array([radius[c] for c in ids])
-    blocks = {int(c): max(1, -(-int(n) // cell_rows)) for c, n in sizes.items()}
-
-    def targets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            a = angles(pdf)[:, ids]
-            order = np.argsort(a + r_of, axis=1)
-            reach = np.take_along_axis(a + r_of, order, axis=1)
-            enough = np.cumsum(n_of[order], axis=1) >= k
-            at = np.where(enough.any(axis=1), enough.argmax(axis=1), len(ids) - 1)
-            limit = reach[np.arange(len(a)), at] + margin
-            search = a - r_of <= limit[:, None]
-            which = [[int(c) for c in ids[s]] for s in search]
-            yield pdf[["u", "i", "x"]].assign(cells=which)
-
-    n_blocks = F.element_at(F.create_map(*[F.lit(x) for kv in blocks.items() for x in kv]), F.col("cell"))
-    slot = F.xxhash64("u")
-    members = located.select(
-        "cell", F.pmod(slot, n_blocks.cast("bigint")).alias("block"), F.struct("u", "i", "x").alias("p"))
-    members = members.groupBy("cell", "block").agg(F.collect_list("p").alias("members"))
-    asked = located.mapInPandas(targets, f"{vector_type}, cells array<int>")
-    asked = asked.select("u", "i", "x", F.explode("cells").alias("cell")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0).cast("bigint"), n_blocks.cast("bigint") - 1)))
-    total = sum(sizes.values())
-    parts = max(1, -(-total // cell_rows))
-    asked = asked.withColumn("part", F.pmod(F.xxhash64("u", F.lit("q")), F.lit(parts))).groupBy("cell", "block", "part").agg(
-        F.collect_list(F.struct("u", "i", "x")).alias("asked"))
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for left, right in zip(pdf["asked"], pdf["members"]):
-                s = np.round(_similarities(
-                    ([p["i"] for p in left], [p["x"] for p in left]), ([p["i"] for p in right], [p["x"] for p in right])), digits)
-                names = np.array([p["u"] for p in right])
-                by_name = np.argsort(names, kind="stable")
-                s, names = s[:, by_name], names[by_name]
-                best = np.argsort(-s, axis=1, kind="stable")[:, :k]
-                yield pd.DataFrame({
-                    "u": np.repeat([p["u"] for p in left], best.shape[1]), "neighbour": names[best].ravel(),
-                    "similarity": np.take_along_axis(s, best, axis=1).ravel()})
-
-    found = asked.join(members, ["cell", "block"]).select("asked", "members").mapInPandas(
-        search, f"u {user_type}, neighbour {user_type}, similarity double")
-    ranked = top_per_key(found, ["u"], [F.desc("similarity"), F.col("neighbour")], k, rank="rank")
-    return ranked.withColumnRenamed("u", user)
-
-
 def neighbour_scores(
     long: DataFrame, neighbours: DataFrame, user: str, item: str, value: str = "value", k: int = 10
 ) -> DataFrame:

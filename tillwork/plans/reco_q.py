@@ -79,6 +79,40 @@ def neighbours(spark, d):
     return long, reco.user_neighbours(long, "o_custkey", "p_brand")
 
 
+SQL_KNN_PARTS = """u AS (SELECT o_custkey, l_partkey, sum(l_quantity) AS value FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2),
+  nm AS (SELECT o_custkey, sqrt(sum(value * value)) AS n FROM u GROUP BY 1),
+  dt AS (SELECT a.o_custkey AS k, b.o_custkey AS nb, sum(a.value * b.value) AS dot FROM u a JOIN u b ON a.l_partkey = b.l_partkey GROUP BY 1, 2),
+  sm AS (SELECT k, nb, round(dot / (x.n * y.n), 9) AS similarity FROM dt JOIN nm x ON k = x.o_custkey JOIN nm y ON nb = y.o_custkey)"""
+
+
+def part_units(spark, d):
+    """Units of each part that a customer bought: many items, few of them shared."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    line = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    return reco.utility(line.join(orders, line.l_orderkey == orders.o_orderkey), "o_custkey", "l_partkey", "l_quantity", "sum")
+
+
+@query(
+    "user_knn_parts",
+    f"""WITH {SQL_KNN_PARTS} SELECT o_custkey, neighbour, similarity, CAST(rank AS INTEGER) AS rank FROM (
+      SELECT k AS o_custkey, nb AS neighbour, similarity, row_number() OVER (PARTITION BY k ORDER BY similarity DESC, nb) AS rank FROM sm) WHERE rank <= 5""",
+)
+def user_knn_parts(spark, d):
+    """Nearest customers by the parts they bought."""
+    return reco.user_neighbours(part_units(spark, d), "o_custkey", "l_partkey", k=5)
+
+
+@query("user_knn_work", f"""WITH {SQL_KNN_PARTS} SELECT count(DISTINCT k) AS users, true AS enough, true AS no_more_than_share FROM sm""")
+def user_knn_work(spark, d):
+    """Pairs that the index left for that search: as many as are returned at least, and no pair more often than it shares items."""
+    long = materialise(part_units(spark, d))
+    work = reco.neighbour_search(long, "o_custkey", "l_partkey", k=5)[1]
+    often = long.groupBy("l_partkey").agg(F.count("*").alias("n")).agg(F.sum(F.col("n") * F.col("n")).alias("terms"))
+    found = work.agg(F.sum("users").alias("users"), F.sum("examined").alias("examined"))
+    return attach_row(found, often).select("users", (F.col("examined") >= F.col("users")).alias("enough"),
+                                           (F.col("examined") <= F.col("terms")).alias("no_more_than_share"))
+
+
 @query("user_knn", f"WITH {SQL_KNN} SELECT k AS o_custkey, nb AS neighbour, similarity, CAST(rank AS INTEGER) AS rank FROM kn")
 def user_knn(spark, d):
     return neighbours(spark, d)[1]
