@@ -287,6 +287,29 @@ def test_squared_silhouette_single_member(spark):
     assert got[3] == 0.0 and got[1] == pytest.approx((81 - 1) / 81)
 
 
+def test_dunn_leaves_out_most_blocks_of_separate_clusters(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(12, 4)) * 40
+    rows = [(i, [float(x) for x in centres[i % 12] + rng.normal(size=4)], i % 12) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "id int, v array<double>, label int")
+    out, work = cluster.dunn_search(df, "id", "v", "label", block_rows=32)
+    v, lab = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    d, same = np.sqrt(((v[:, None] - v[None]) ** 2).sum(-1)), lab[:, None] == lab[None]
+    got = out.first()
+    assert got["min_distance"] == pytest.approx(d[~same].min()) and got["max_diameter"] == pytest.approx(d[same].max())
+    assert work["distance"][1] < 0.1 * work["distance"][0] and work["diameter"][1] <= work["diameter"][0]
+
+
+def test_dunn_of_labels_that_share_points_one_label_and_none(spark):
+    rows = [(1, [0.0, 0.0], "a"), (2, [0.0, 0.0], "b"), (3, [3.0, 4.0], "c"), (4, [3.0, 4.0], "c"), (5, None, "c"), (6, [1.0, 0.0], None)]
+    df = spark.createDataFrame(rows, "id int, v array<double>, label string")
+    got = cluster.dunn_index(df.dropna(), "id", "v", "label").first()
+    assert (got["min_distance"], got["max_diameter"], got["dunn"]) == (5.0, 0.0, None)
+    one = cluster.dunn_index(df.filter("label = 'c'"), "id", "v", "label").first()
+    assert one["min_distance"] is None and one["max_diameter"] == 0.0
+    assert cluster.dunn_index(df.limit(0), "id", "v", "label").first()["dunn"] is None
+
+
 def test_pca_needs_two_components(spark):
     df = cluster.as_vectors(spark.createDataFrame([([float(i), 2.0 * i],) for i in range(10)], "v array<double>"), "v")
     with pytest.raises(ValueError):

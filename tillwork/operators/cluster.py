@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.functions.numeric import divide
+from tillwork.operators import balls
 from tillwork.session import attach_row
 
 #: Points per block in the exact pairwise measures.
@@ -149,22 +150,13 @@ def _points(packed):
     return keys, labels, np.array([p["v"] for p in packed], dtype="float64")
 
 
-def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Euclidean distances, with plain differences so that equal points give exactly 0."""
-    out = np.empty((len(x), len(y)))
-    for i in range(len(x)):
-        diff = y - x[i]
-        out[i] = np.sqrt((diff * diff).sum(axis=1))
-    return out
-
-
 def silhouette_exact(df: DataFrame, key: str, vector: str, label: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Silhouette per row with Euclidean distances; 0 for clusters of one row."""
     key_type = df.schema[key].dataType.simpleString()
     label_type = df.schema[label].dataType.simpleString()
 
     def fold(same: bool, left, right) -> pd.DataFrame:
-        d = _distances(left[2], right[2])
+        d = balls.distances(left[2], right[2])
         parts = []
         for (keys, _, _), other, m in ((left, right[1], d), (right, left[1], d.T)):
             for c in np.unique(other):
@@ -191,7 +183,7 @@ def label_distances(df: DataFrame, key: str, vector: str, label: str, block_rows
     label_type = df.schema[label].dataType.simpleString()
 
     def fold(same: bool, left, right) -> pd.DataFrame:
-        d = _distances(left[2], right[2])
+        d = balls.distances(left[2], right[2])
         rows = []
         for c in np.unique(left[1]):
             for e in np.unique(right[1]):
@@ -213,6 +205,41 @@ def label_distances(df: DataFrame, key: str, vector: str, label: str, block_rows
         F.sum("total").alias("total"), F.sum("pairs").alias("pairs"))
 
 
+def _touching(df: DataFrame, vector: str, label: str) -> DataFrame:
+    """Pairs of labels (c1 < c2) that share a point."""
+    rows = df.select(F.col(vector).cast("array<double>").alias("v"), F.col(label).alias("c")).dropna().distinct()
+    labels = rows.groupBy("v").agg(F.array_sort(F.collect_list("c")).alias("cs")).filter(F.size("cs") > 1)
+    return labels.select(F.explode("cs").alias("c1"), "cs").select("c1", F.explode("cs").alias("c2")).filter("c1 < c2").distinct()
+
+
+def dunn_search(
+    df: DataFrame, key: str, vector: str, label: str, diameter: str = "farthest", inter: str = "nearest",
+    block_rows: int = BLOCK_ROWS,
+) -> tuple[DataFrame, dict]:
+    """``dunn_index``, and for each searched distance how many pairs of blocks there are and were visited.
+
+    Nearest points of different labels and the widest label are searched by
+    bounds (``operators.balls``).  Sums of distances (``mean_cluster``) and the
+    farthest points of every pair of labels take all pairs, and so do labels that
+    share a point, since a pair of labels at distance 0 does not count.
+    """
+    if diameter not in ("farthest", "mean_cluster") or inter not in ("nearest", "farthest"):
+        raise ValueError("diameter is 'farthest' or 'mean_cluster', inter is 'nearest' or 'farthest'")
+    spark, blocks, work = df.sparkSession, balls.blocks_of(df, vector, label, block_rows), {}
+    if diameter == "farthest":
+        width, *work["diameter"] = balls.extreme(blocks, farthest=True, apart=False)
+    else:
+        sums = balls.sums_within(blocks)
+        width = sums.agg(F.max(divide("total", "size"))).first()[0]
+    if inter == "nearest" and not _touching(df, vector, label).limit(1).count():
+        apart, *work["distance"] = balls.extreme(blocks, farthest=False, apart=True)
+    else:
+        cells = label_distances(df, key, vector, label, block_rows).filter(F.col("c1") != F.col("c2"))
+        apart = cells.agg(F.min(F.when(F.col(inter) > 0, F.col(inter)))).first()[0]
+    out = spark.createDataFrame([(apart, width)], "min_distance double, max_diameter double")
+    return out.withColumn("dunn", divide("min_distance", "max_diameter")), work
+
+
 def dunn_index(
     df: DataFrame, key: str, vector: str, label: str, diameter: str = "farthest", inter: str = "nearest",
     block_rows: int = BLOCK_ROWS,
@@ -222,14 +249,4 @@ def dunn_index(
     ``mean_cluster`` divides the sum of pair distances by the cluster's size,
     as the surveyed code does.
     """
-    if diameter not in ("farthest", "mean_cluster") or inter not in ("nearest", "farthest"):
-        raise ValueError("diameter is 'farthest' or 'mean_cluster', inter is 'nearest' or 'farthest'")
-    cells = label_distances(df, key, vector, label, block_rows)
-    sizes = df.groupBy(F.col(label).alias("c1")).agg(F.count(F.lit(1)).alias("size"))
-    cells = cells.join(sizes, "c1", "left")
-    within, apart = F.col("c1") == F.col("c2"), F.col("c1") != F.col("c2")
-    width = F.col("farthest") if diameter == "farthest" else divide("total", "size")
-    return cells.agg(
-        F.min(F.when(apart & (F.col(inter) > 0), F.col(inter))).alias("min_distance"),
-        F.max(F.when(within, width)).alias("max_diameter"),
-    ).withColumn("dunn", divide("min_distance", "max_diameter"))
+    return dunn_search(df, key, vector, label, diameter, inter, block_rows)[0]
