@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from .language_model import planes, unplanes
 from .minhash import shared
 from .store import spill, unused
-from .words import U64, mix, release, slices, words_of
+from .words import U64, distinct, mix, release, slices, words_of
 
 PERCENT = 80
 #: Word counts are kept for this many hash classes of words, a fixed size whatever the corpus.
@@ -125,7 +125,7 @@ class Lines:
         order = np.lexsort((kinds, steps[word_classes(kinds)]))
         rank = np.empty(len(kinds), np.int64)
         rank[order] = np.arange(len(kinds))
-        both = np.unique(own << 32 | rank[coded.indices.to_numpy(zero_copy_only=False)])
+        both = distinct(own << 32 | rank[coded.indices.to_numpy(zero_copy_only=False)])
         self.token, owner = kinds[order][both & (2**32 - 1)], both >> 32
         self.begin = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, np.int64)
         self.size = np.diff(np.r_[self.begin, len(owner)]).astype(np.int32)
@@ -376,7 +376,7 @@ def _loose_postings(steps, percent: int, wanted=None):
                 where = lambda i: dict(doc=pa.array(ids[lines.text[i]], pa.int64()), line=pa.array(lines.line[i]), size=pa.array(lines.size[i]))
                 yield pa.RecordBatch.from_arrays(of_line(own, token=pa.array(lines.token[use].view(np.int64)), place=pa.array(place[use]),
                                                          bits=pa.array(bits[0][own].view(np.int64)), more_bits=pa.array(bits[1][own].view(np.int64)), **where(own)), names)
-                once = np.unique(own)
+                once = distinct(own)
                 yield pa.RecordBatch.from_arrays(of_line(once, members=pa.array([lines.members(i) for i in once.tolist()], pa.binary()), **where(once)), names)
 
     return send
@@ -436,7 +436,7 @@ def _sets(wanted):
                 text, line = line_numbers(words, of_word, starts, begins)
                 ends = np.r_[begins[1:], len(of_word)]
                 use = np.flatnonzero(marks[line_marks(ids[at + text], line)])
-                sets = [np.unique(words.hash[a:b]).tobytes() for a, b in zip(begins[use].tolist(), ends[use].tolist())]
+                sets = [distinct(words.hash[a:b]).tobytes() for a, b in zip(begins[use].tolist(), ends[use].tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at + text[use]], pa.int64()), pa.array(line[use].astype(np.int32)),
                                                   pa.array(sets, pa.binary())], ["doc", "line", "members"])
 

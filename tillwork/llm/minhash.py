@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from .graph import components
 from .store import spill, unused
-from .words import U64, grams, mix, numbers, release, slices, words_of
+from .words import U64, distinct, grams, mix, numbers, release, slices, words_of
 
 #: Words of a shingle.
 SHINGLE = 5
@@ -47,7 +47,7 @@ def shingle_sets(texts: pa.Array, k: int = SHINGLE):
         runs = grams(words.hash, k)
         for first, last in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
             if last - first >= k:
-                yield np.unique(runs[first : last - k + 1])
+                yield distinct(runs[first : last - k + 1])
             elif last > first:
                 yield grams(words.hash[first:last], last - first) ^ U64(last - first)
             else:

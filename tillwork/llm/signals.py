@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .words import slices, text_buffer
+from .words import distinct, slices, text_buffer
 
 #: Words of a window that counts as repeated.
 WINDOW = 3
@@ -49,7 +49,7 @@ class Pieces:
 
     def different(self) -> np.ndarray:
         """Different pieces of each text."""
-        both = np.unique(self.own * self.kinds + self.id)
+        both = distinct(self.own * self.kinds + self.id)
         return np.bincount(both // self.kinds, minlength=self.texts)
 
     def repeated(self, width: int = WINDOW) -> np.ndarray:

@@ -42,6 +42,12 @@ def numbers(count: int, seed: int) -> np.ndarray:
     return mix(np.arange(1, count + 1, dtype=U64) * U64(FACTOR) + U64(seed * 0x632BE59BD9B4E019 % 2**64))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted different values."""
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]]] if len(values) else values
+
+
 class Alphabet:
     """Which bytes belong to words, as ranges from and to; A-Z count as a-z."""
 
