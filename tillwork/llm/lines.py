@@ -33,7 +33,7 @@ CLASSES, SEGMENTS = 1 << 20, 256
 #: Words of the corpus for each range of tokens; a task holds one range.
 RANGE = 1 << 20
 #: Candidates that a line takes from a token before the first verification.
-FIRST_TRY = 16
+FIRST_TRY = 4
 #: Postings of a token that are compared in one task; a token with more is cut into blocks.
 HOT = 1 << 15
 #: One document in so many is looked at to tell which tokens have that many; it decides on blocks, not on results.
@@ -104,10 +104,26 @@ def lines_of(texts: pa.Array):
     return words, np.searchsorted(starts, words.starts, "right") - 1, starts
 
 
-def line_numbers(words, of_word: np.ndarray, starts: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Text, and line within the text, of the lines whose first words are given."""
-    text = np.searchsorted(words.first, begins, "right") - 1
-    return text, of_word[begins] - np.searchsorted(starts, words.offsets[text])
+def line_numbers(words, line: np.ndarray, starts: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Text, and line within the text, of lines given by their number and their first word."""
+    text = np.searchsorted(words.first, first, "right") - 1
+    return text, line - np.searchsorted(starts, words.offsets[text])
+
+
+def may_match(hit: np.ndarray, hashes: np.ndarray, begins: np.ndarray, percent: int) -> np.ndarray:
+    """Which lines may be similar to a set of wanted words, from the words that are (``hit``).
+
+    Similar sets share ``percent`` of either, so the different words that are not
+    wanted are few against those that are.  Classes of words are counted in
+    place of words: no more of the former, no fewer of the latter.
+    """
+    missed = np.where(hit, U64(0), U64(1) << (hashes & U64(63)))
+    return percent * np.bitwise_count(np.bitwise_or.reduceat(missed, begins)).astype(np.int64) <= (100 - percent) * np.add.reduceat(hit.astype(np.int64), begins)
+
+
+def word_places(hashes: np.ndarray) -> np.ndarray:
+    """Places of words in a map."""
+    return (hashes >> U64(64 - MAP_BITS)).astype(np.int64)
 
 
 class Lines:
@@ -116,20 +132,28 @@ class Lines:
     The order of words, by frequency step and number, is the same in all texts.
     """
 
-    def __init__(self, texts: pa.Array, steps: np.ndarray):
+    def __init__(self, texts: pa.Array, steps: np.ndarray, percent: int = PERCENT, wanted: np.ndarray | None = None):
+        """``wanted`` is a map of words; lines that have too few of them to be similar to a set of them are left out."""
         words, of_word, starts = lines_of(texts)
+        hashes, place = words.hash, np.arange(len(of_word))
         begins = np.flatnonzero(np.r_[True, of_word[1:] != of_word[:-1]]) if len(of_word) else np.zeros(0, np.int64)
+        if wanted is not None and len(place):
+            few = may_match(wanted[word_places(hashes)], hashes, begins, percent)
+            place = np.flatnonzero(np.repeat(few, np.diff(np.r_[begins, len(of_word)])))
+            hashes, of_word = hashes[place], of_word[place]
+            begins = np.flatnonzero(np.r_[True, of_word[1:] != of_word[:-1]]) if len(of_word) else np.zeros(0, np.int64)
         own = np.repeat(np.arange(len(begins)), np.diff(np.r_[begins, len(of_word)]))
-        coded = pa.array(words.hash).dictionary_encode()
+        coded = pa.array(hashes).dictionary_encode()
         kinds = coded.dictionary.to_numpy(zero_copy_only=False)
-        order = np.lexsort((kinds, steps[word_classes(kinds)]))
+        order = np.argsort(kinds)
+        order = order[np.argsort(steps[word_classes(kinds[order])], kind="stable")]
         rank = np.empty(len(kinds), np.int64)
         rank[order] = np.arange(len(kinds))
         both = distinct(own << 32 | rank[coded.indices.to_numpy(zero_copy_only=False)])
         self.token, owner = kinds[order][both & (2**32 - 1)], both >> 32
         self.begin = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, np.int64)
         self.size = np.diff(np.r_[self.begin, len(owner)]).astype(np.int32)
-        self.text, line = line_numbers(words, of_word, starts, begins)
+        self.text, line = line_numbers(words, of_word[begins], starts, place[begins])
         self.line = line.astype(np.int32)
 
     def members(self, line: int) -> bytes:
@@ -357,19 +381,19 @@ LOOSE = "token long, doc long, line int, size int, place int, bits long, more_bi
 
 
 def _loose_postings(steps, percent: int, wanted=None):
-    """First tokens of lines, and the set of each line once; of lines and tokens that a map of wanted tokens names."""
+    """First tokens of lines, and the set of each line once; of lines that may match wanted words, and of such words, where a map is given."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = None if wanted is None else np.unpackbits(wanted.value).astype(bool)
         names = [c.split()[0] for c in LOOSE.split(", ")]
         for batch in batches:
             for ids, texts in ((batch.column(0).to_numpy()[at : at + len(t)], t) for at, t in slices(batch.column(1), SLICE)):
-                lines = Lines(texts, steps.value)
+                lines = Lines(texts, steps.value, percent, marks)
                 if not len(lines.size):
                     continue
                 place, _, use = lines.prefix(percent)
                 if marks is not None:
-                    use &= marks[line_marks(lines.token, np.zeros(len(lines.token), np.int64))]
+                    use &= marks[word_places(lines.token)]
                 own, bits = np.repeat(np.arange(len(lines.size)), lines.size)[use], lines.parity(mix(lines.token))
                 of_line = lambda i, **more: [more.get(c, pa.nulls(len(i), k)) for c, k in zip(names, (
                     pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))]
@@ -391,7 +415,7 @@ def _all_partners(open_: DataFrame, docs: DataFrame, steps, percent: int) -> Dat
     asked = docs.join(open_.groupBy("doc").agg(F.collect_list("line").alias("lines")), "doc")
     asked = asked.select("doc", only_lines("text", "lines").alias("text")).mapInArrow(_loose_postings(steps, percent), LOOSE)
     asked = spill(asked, "open-postings")
-    wanted = _map_of(asked.filter("token IS NOT NULL").select("token", F.lit(0)))
+    wanted = _map_of(asked.filter("token IS NULL").select("members"))
     others = spill(docs.mapInArrow(_loose_postings(steps, percent, wanted), LOOSE), "other-postings")
     step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent)))
     left = asked.filter("token IS NOT NULL").withColumn("step", F.explode(F.array(step - 1, step, step + 1)))
@@ -410,7 +434,11 @@ def _all_partners(open_: DataFrame, docs: DataFrame, steps, percent: int) -> Dat
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     marks = np.zeros(1 << MAP_BITS, bool)
     for batch in batches:
-        marks[line_marks(batch.column(0).to_numpy(), batch.column(1).to_numpy())] = True
+        if batch.num_columns == 1:
+            for members in batch.column(0):
+                marks[word_places(np.frombuffer(members.as_py(), U64))] = True
+        else:
+            marks[line_marks(*(c.to_numpy() for c in batch.columns))] = True
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(SEGMENTS, dtype=np.int32)),
                                       pa.array([m.tobytes() for m in np.packbits(marks).reshape(SEGMENTS, -1)], pa.binary())], ["segment", "marks"])
 
@@ -433,7 +461,7 @@ def _sets(wanted):
             for at, texts in slices(batch.column(1), SLICE):
                 words, of_word, starts = lines_of(texts)
                 begins = np.flatnonzero(np.r_[True, of_word[1:] != of_word[:-1]]) if len(of_word) else np.zeros(0, np.int64)
-                text, line = line_numbers(words, of_word, starts, begins)
+                text, line = line_numbers(words, of_word[begins], starts, begins)
                 ends = np.r_[begins[1:], len(of_word)]
                 use = np.flatnonzero(marks[line_marks(ids[at + text], line)])
                 sets = [distinct(words.hash[a:b]).tobytes() for a, b in zip(begins[use].tolist(), ends[use].tolist())]
@@ -450,7 +478,7 @@ def _line_sets(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _map_of(keys: DataFrame):
-    """A broadcast map of fixed size of pairs of integers."""
+    """A broadcast map of fixed size of the words of packed sets, or of pairs of integers."""
     rows = keys.mapInArrow(_mark, "segment int, marks binary").groupBy("segment").applyInArrow(_either, "segment int, marks binary").collect()
     wanted = np.zeros((SEGMENTS, (1 << MAP_BITS) // 8 // SEGMENTS), np.uint8)
     for row in rows:
