@@ -55,7 +55,7 @@ def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     counts = np.zeros(CLASSES, np.int64)
     for batch in batches:
         for _, part in slices(batch.column(0)):
-            counts += np.bincount(word_classes(words_of(part).hash), minlength=CLASSES)
+            np.add.at(counts, word_classes(words_of(part).hash), 1)
     yield _by_segment(counts)
 
 
@@ -215,7 +215,7 @@ def _posting_counts(steps, percent: int):
                 fresh &= ~np.isin(digest, met)
                 met = np.r_[met, digest[fresh]]
                 use = lines.prefix(percent)[2] & np.repeat(fresh, lines.size)
-                counts += np.bincount(word_classes(mix(lines.token[use])), minlength=CLASSES)
+                np.add.at(counts, word_classes(mix(lines.token[use])), 1)
         yield _by_segment(counts)
 
     return count
@@ -230,7 +230,7 @@ def crowds(docs: DataFrame, steps, percent: int):
 
 def _spread(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
     """A well spread number for each line."""
-    return mix(doc.astype(np.int64).view(U64) * U64(0x9E3779B97F4A7C15) + line.astype(U64))
+    return mix(doc.astype(np.int64).view(U64) * U64(0x9E3779B97F4A7C15) + line.astype(np.int64).view(U64))
 
 
 def _units(token: np.ndarray, block: np.ndarray, many: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -297,8 +297,8 @@ def _range(key: np.ndarray, ranges: int) -> np.ndarray:
 
 
 def _packed(kind: int, range_: np.ndarray, ranges: int, columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    order = np.lexsort((columns["key"], range_))
-    cuts = np.searchsorted(range_[order], np.arange(ranges + 1))
+    order = np.argsort(range_.astype(np.uint16) if ranges <= 1 << 16 else range_, kind="stable")
+    cuts = np.r_[0, np.cumsum(np.bincount(range_, minlength=ranges))]
     some = [r for r in range(ranges) if cuts[r] < cuts[r + 1]]
     if some:
         columns = {c: v[order].astype(KINDS[c], copy=False) for c, v in columns.items()}
@@ -451,12 +451,17 @@ def _either(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([segment.as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["segment", "marks"])
 
 
+#: The line that stands for its document in a map of lines.
+WHOLE = np.int32(-1)
+
+
 def _sets(wanted):
-    """The word sets of lines that the map of wanted lines names, as sorted numbers."""
+    """The word sets of lines that the map of wanted lines names, as sorted numbers; documents without any are not read."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = np.unpackbits(wanted.value).astype(bool)
         for batch in batches:
+            batch = batch.take(pa.array(np.flatnonzero(marks[line_marks(batch.column(0).to_numpy(), WHOLE)])))
             ids = batch.column(0).to_numpy()
             for at, texts in slices(batch.column(1), SLICE):
                 words, of_word, starts = lines_of(texts)
@@ -473,7 +478,8 @@ def _sets(wanted):
 
 def _line_sets(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc, line, members) of all lines in ``pairs`` (and a few more): a map of fixed size picks them in a scan of the texts."""
-    wanted = _map_of(pairs.select("doc", "line").union(pairs.select("match_doc", "match_line")))
+    wanted = pairs.select("doc", "line").union(pairs.select("match_doc", "match_line"))
+    wanted = _map_of(wanted.union(wanted.select("doc", F.lit(int(WHOLE))).distinct()))
     return spill(docs.mapInArrow(_sets(wanted), "doc long, line int, members binary"), "line-sets")
 
 

@@ -159,7 +159,6 @@ def release() -> None:
 
 def slices(texts: pa.Array, limit: int = 1 << 20):
     """Consecutive parts of a string column with some ``limit`` bytes each; a longer text is a part of its own."""
-    release()
     offsets = text_buffer(texts)[1]
     at = 0
     while at < len(texts):
