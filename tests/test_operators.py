@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import values
 from tillwork.functions import dates, numeric, text
-from tillwork.operators import calendar, clean, eda, joins, prep, quality, reshape, roi, split, timeseries
+from tillwork.operators import calendar, clean, eda, joins, prep, quality, reshape, roi, smoothing, split, timeseries
 from tillwork.session import scratch_path
 from tillwork.sources import catalog, files
 
@@ -319,6 +319,53 @@ def test_smoothing_tracks_a_line(spark):
     assert out.first()["rmse"] < 1e-6
 
 
+def plain_smooth(x, kind, alpha, beta, gamma, period, horizon):
+    level, slope, season = x[0], (x[1] - x[0] if kind != "simple" else 0.0), [0.0] * period
+    if kind == "seasonal" and len(x) >= 2 * period:
+        level = sum(x[:period]) / period
+        slope = (sum(x[period : 2 * period]) / period - level) / period
+        season = [v - level for v in x[:period]]
+    for t, v in enumerate(x[1:] if kind != "seasonal" else x):
+        s = season[t % period] if kind == "seasonal" else 0.0
+        before, level = level, alpha * (v - s) + (1 - alpha) * (level + slope)
+        if kind != "simple":
+            slope = beta * (level - before) + (1 - beta) * slope
+        if kind == "seasonal":
+            season[t % period] = gamma * (v - level) + (1 - gamma) * s
+    return [level + slope * k + (season[(len(x) + k - 1) % period] if kind == "seasonal" else 0.0) for k in range(1, horizon + 1)]
+
+
+@pytest.mark.parametrize("chunk, n", [(7, 61), (100_000, 61), (10, 21)])
+def test_smoothing_by_chunks_equals_the_recursion(spark, chunk, n):
+    import random
+
+    rng = random.Random(n)
+    x = [rng.gauss(10, 3) + t % 5 for t in range(n)]
+    settings = [(0.3, 0.1, 0.1), (0.9, 0.5, 0.2)]
+    out = smoothing.backtest_grid(series(spark, [*x, None]), "d", "x", ["g"], {k: settings for k in smoothing.KINDS}, period=5, chunk=chunk,
+                                  n_splits=3, gap=1, n_test=6, stride=4)
+    got = {(r["model"], r["fold"], r["alpha"]): (r["rmse"], r["mae"], r["mape"]) for r in out.collect()}
+    assert len(got) == sum(n - 4 * k - 7 >= 2 for k in range(3)) * 6
+    for (kind, fold, alpha), found in got.items():
+        cut = n - 4 * fold - 6
+        test, beta, gamma = x[cut : cut + 6], *next(s[1:] for s in settings if s[0] == alpha)
+        miss = [a - b for a, b in zip(test, plain_smooth(x[: cut - 1], kind, alpha, beta, gamma, 5, 7)[1:])]
+        wanted = ((sum(m * m for m in miss) / 6) ** 0.5, sum(map(abs, miss)) / 6, sum(abs(m / v) for m, v in zip(miss, test)) / 6)
+        assert found == pytest.approx(wanted)
+
+
+def test_smoothing_search_finds_the_setting_that_made_the_series(spark):
+    x, level = [], 0.0
+    for t in range(80):
+        level = 0.0 if t < 40 else 10.0
+        x.append(level)
+    best = timeseries.smoothing_search(series(spark, x), "d", "x", ["g"], ("simple", "trend"), (0.1, 0.9), n_splits=2, n_test=8).collect()
+    assert {(r["model"], r["alpha"], r["gamma"]) for r in best} >= {("simple", 0.9, None)} and all(r["n_folds"] == 2 for r in best)
+    assert timeseries.smoothing_search(series(spark, [1.0, 2.0]), "d", "x", ["g"]).count() == 0
+    with pytest.raises(ValueError):
+        smoothing.backtest_grid(series(spark, x), "d", "x", ["g"], {"cubic": [(0.1, 0.1, 0.1)]})
+
+
 def test_holidays_by_week(spark):
     df = spark.createDataFrame([(D(2024, 1, 7),), (D(2024, 1, 14),)], "d date")
     hol = spark.createDataFrame([("2024-01-08",), ("2024-01-10",)], "h string")

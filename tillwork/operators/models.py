@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.functions.numeric import finite, total
-from tillwork.operators import gram, roi
+from tillwork.operators import bounded, gram, roi
 from tillwork.operators.attribution import linear_predictor
 from tillwork.operators.eda import correlation_matrix
 from tillwork.operators.metrics import regression_metrics
@@ -186,13 +186,32 @@ def _moments(pdf: pd.DataFrame, p: int) -> tuple[np.ndarray, np.ndarray]:
     return n, cross * n[:, None, None]
 
 
-def _random_effects(cross: np.ndarray, z: list[int], beta, d, sigma2):
-    """Posterior mean and covariance of every group's random effects."""
+def _effect_system(cross: np.ndarray, z: list[int], beta, d, sigma2) -> tuple[np.ndarray, np.ndarray]:
+    """Matrix and right side of the equations of every group's random effects."""
     ztz = cross[:, z][:, :, z]
     ztx, zty = cross[:, z, :-1], cross[:, z, -1]
-    m = np.linalg.inv(ztz / sigma2 + np.linalg.inv(d)[None])
-    u = np.einsum("gij,gj->gi", m, zty - ztx @ beta) / sigma2
-    return u, m
+    return ztz / sigma2 + np.linalg.inv(d)[None], (zty - ztx @ beta) / sigma2
+
+
+def _effect_bounds(groups: int, z: list[int], beta, box) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the effects such that common coefficient and effect lie in the box."""
+    return tuple(np.repeat((side - beta[z])[None, :], groups, axis=0) for side in box)
+
+
+def _random_effects(cross: np.ndarray, z: list[int], beta, d, sigma2):
+    """Posterior mean and covariance of every group's random effects."""
+    a, r = _effect_system(cross, z, beta, d, sigma2)
+    m = np.linalg.inv(a)
+    return np.einsum("gij,gj->gi", m, r), m
+
+
+def _bounded_sums(pdf: pd.DataFrame, p: int, z: list[int], beta, d, sigma2, box) -> np.ndarray:
+    """Sums over groups for the common coefficients, flattened: of the bounded totals, and of the equations of the other columns."""
+    _, cross = _moments(pdf, p)
+    total = beta[z] + bounded.box_minimum(*_effect_system(cross, z, beta, d, sigma2), *_effect_bounds(len(cross), z, beta, box))
+    rest = [i for i in range(p) if i not in z]
+    right = cross[:, rest, -1] - np.einsum("grq,gq->gr", cross[:, rest][:, :, z], total)
+    return np.concatenate([total.sum(0), cross[:, rest][:, :, rest].sum(0).ravel(), right.sum(0), [len(cross)]])
 
 
 def _expectation(pdf: pd.DataFrame, p: int, z: list[int], beta, d, sigma2) -> np.ndarray:
@@ -219,8 +238,10 @@ def linear_mixed_effects(
     tasks return one vector each.  Steps are extrapolated (SQUAREM, Varadhan and
     Roland 2008), which takes a few dozen of them; a fit that does not settle in
     ``rounds`` extrapolations is an error.  Returns the common coefficients and a
-    table of group effects and total coefficients; ``box`` bounds the totals of
-    the named coefficients.
+    table of group effects and total coefficients.  ``box`` bounds the totals of
+    the named coefficients: with the variances of the free fit, common and total
+    coefficients are those with the least penalised error inside the bounds.
+    ``violation`` tells how far a group is from the conditions of its best point.
     """
     names = ["intercept", *xs]
     effects = ["intercept", *random]
@@ -230,6 +251,8 @@ def linear_mixed_effects(
     g = gram.collect_gram(df, xs, y)
     w = np.linalg.pinv(g.sxx) @ g.sxy
     sigma2 = max(float(g.cov[-1, -1] - w @ g.sxy), 1e-12)
+    limits = None if box is None else tuple(
+        np.array([box.get(c, (-np.inf, np.inf))[side] for c in effects], dtype=float) for side in (0, 1))
 
     def split(theta: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         d = theta[p:-1].reshape(q, q)
@@ -267,8 +290,33 @@ def linear_mixed_effects(
     else:
         raise RuntimeError(f"the mixed model did not settle in {rounds} rounds")
     beta, d, sigma2 = split(theta)
+    rest = [i for i in range(p) if i not in z]
+
+    def turn(beta: np.ndarray) -> np.ndarray:
+        """Best common coefficients for the best bounded totals under ``beta``."""
+        args = (p, z, beta, d, sigma2, limits)
+
+        def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            sums = [_bounded_sums(pdf, *args) for pdf in batches if len(pdf)]
+            if sums:
+                yield pd.DataFrame({"s": [np.sum(sums, axis=0)]})
+
+        sums, out = np.sum([r["s"] for r in stats.mapInPandas(part, "s array<double>").collect()], axis=0), beta.copy()
+        out[z] = sums[:q] / sums[-1]
+        if rest:
+            out[rest] = np.linalg.solve(sums[q : q + len(rest) ** 2].reshape(len(rest), -1), sums[q + len(rest) ** 2 : -1])
+        return out
+
+    for _ in range(rounds if limits else 0):  # convex in common and total coefficients, solved in turns that are extrapolated
+        once = turn(beta)
+        first = once - beta
+        if np.max(np.abs(first) / (1 + np.abs(once))) < tol:
+            break
+        bend = turn(once) - once - first
+        length = -max(1.0, float(np.linalg.norm(first) / max(np.linalg.norm(bend), 1e-300)))
+        ahead = beta - 2 * length * first + length**2 * bend
+        beta = turn(ahead) if np.isfinite(ahead).all() else once
 
-    bounds = box or {}
     final = (beta.copy(), d.copy(), sigma2)
     key = f"`{group}` {df.schema[group].dataType.simpleString()}"
 
@@ -277,15 +325,15 @@ def linear_mixed_effects(
             if not len(pdf):
                 continue
             _, cross = _moments(pdf, p)
-            u, _ = _random_effects(cross, z, *final)
-            rows = []
-            for k, group_u in zip(pdf[group], u):
-                for c, v, at in zip(effects, group_u, z):
-                    low, high = bounds.get(c, (-np.inf, np.inf))
-                    rows.append([k, c, float(v), float(min(max(final[0][at] + v, low), high))])
-            yield pd.DataFrame(rows, columns=[group, "feature", "effect", "coefficient"])
-
-    table = stats.mapInPandas(effects_of, f"{key}, feature string, effect double, coefficient double")
+            a, r = _effect_system(cross, z, *final)
+            edges = _effect_bounds(len(a), z, final[0], limits or (np.full(len(z), -np.inf), np.full(len(z), np.inf)))
+            u = bounded.box_minimum(a, r, *edges)
+            off = bounded.violation(a, r, u, *edges)
+            rows = [[k, c, float(v), float(final[0][at] + v), float(w)] for k, group_u, w in zip(pdf[group], u, off)
+                    for c, v, at in zip(effects, group_u, z)]
+            yield pd.DataFrame(rows, columns=[group, "feature", "effect", "coefficient", "violation"])
+
+    table = stats.mapInPandas(effects_of, f"{key}, feature string, effect double, coefficient double, violation double")
     return dict(zip(names, beta.tolist())), table
 
 
@@ -296,7 +344,8 @@ def hierarchical_shrinkage(
     """Posterior mean and sd of each group's coefficients under normal priors, in closed form.
 
     Prior means default to the pooled fit, the noise variance is the pooled
-    one.  ``bounds`` keeps the mean within a range.  This replaces sampling.
+    one.  ``bounds`` cut the posterior to a range: mean and sd are those of the
+    cut distribution (``bounded.box_moments``).  This replaces sampling.
     """
     pooled = ols(df, xs, y)
     names = ["intercept", *xs]
@@ -304,7 +353,7 @@ def hierarchical_shrinkage(
     sd = np.array([prior_sd.get(c, 1.0) if isinstance(prior_sd, dict) else prior_sd for c in names], dtype=float)
     sigma2, p = pooled.sigma2, len(names)
     precision = np.diag(1 / sd**2)
-    limits = [(bounds or {}).get(c, (-np.inf, np.inf)) for c in names]
+    low, high = (np.array([(bounds or {}).get(c, (-np.inf, np.inf))[side] for c in names], dtype=float) for side in (0, 1))
     key = f"`{group}` {df.schema[group].dataType.simpleString()}"
 
     def posterior(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -314,9 +363,10 @@ def hierarchical_shrinkage(
             n, cross = _moments(pdf, p)
             cov = np.linalg.inv(cross[:, :-1, :-1] / sigma2 + precision[None])
             mean = np.einsum("gij,gj->gi", cov, cross[:, :-1, -1] / sigma2 + (precision @ centre)[None])
-            rows = [
-                [k, int(count), c, float(min(max(m[i], limits[i][0]), limits[i][1])), float(np.sqrt(v[i, i]))]
-                for k, count, m, v in zip(pdf[group], n, mean, cov) for i, c in enumerate(names)]
+            if bounds:
+                mean, cov = bounded.box_moments(mean, cov, *(np.repeat(side[None, :], len(n), axis=0) for side in (low, high)))
+            rows = [[k, int(count), c, float(m[i]), float(np.sqrt(v[i, i]))]
+                    for k, count, m, v in zip(pdf[group], n, mean, cov) for i, c in enumerate(names)]
             yield pd.DataFrame(rows, columns=[group, "n", "feature", "posterior_mean", "posterior_sd"])
 
     return gram.gram_table(df, xs, y, [group]).mapInPandas(

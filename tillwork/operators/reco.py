@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.hashing import hash_order, hash_prefix
 from tillwork.functions.numeric import any_of, divide
+from tillwork.operators import factors
 from tillwork.operators.joins import keep_missing
 from tillwork.operators.metrics import regression_metrics
 from tillwork.operators.neighbours import neighbour_search, user_neighbours  # noqa: F401
@@ -401,8 +401,8 @@ def als_implicit(
 ) -> DataFrame:
     """Top-n unseen items per user from an implicit factor model: ``(user, item, score, rank)``.
 
-    Spark scores a user's items in blocks and keeps the best; asking for as
-    many more as the user has seen makes sure n unseen ones remain.
+    The lists are exact (``factors.best_products``): a user reads the items by
+    falling length of their factors, until none can enter the list any more.
     """
     user_ids = materialise(dense_ids(interactions, [user], "_uid"))
     item_ids = small_side(dense_ids(interactions, [item], "_iid"))
@@ -411,20 +411,9 @@ def als_implicit(
     model = ALS(userCol="_uid", itemCol="_iid", ratingCol="_r", rank=rank, regParam=reg, alpha=alpha, maxIter=max_iter,
                 implicitPrefs=True, seed=seed).fit(coded)
     wanted = user_ids if users is None else user_ids.join(users.select(user).distinct(), user, "left_semi")
-    if keep_seen:
-        long = model.recommendForUserSubset(wanted.select("_uid"), n).select("_uid", F.inline("recommendations"))
-    else:
-        # one request per power of two of seen items: a user with a long history does not widen the others' lists
-        seen = coded.groupBy("_uid").agg(F.ceil(F.log2(F.count(F.lit(1)).cast("double"))).cast("int").alias("_size"))
-        sized = materialise(wanted.select("_uid").join(seen, "_uid"))
-        sizes = sorted(r[0] for r in sized.select("_size").distinct().collect())
-        long = reduce(DataFrame.unionByName, [
-            model.recommendForUserSubset(sized.filter(F.col("_size") == s).select("_uid"), int(n + 2**s))
-            .select("_uid", F.inline("recommendations")) for s in sizes])
-    if not keep_seen:
-        long = long.join(coded.select("_uid", "_iid"), ["_uid", "_iid"], "left_anti")
-    named = long.join(user_ids, "_uid").join(item_ids, "_iid").select(user, item, F.col("rating").cast("double").alias("score"))
-    return top_items(named, user, item, "score", n)
+    left = model.userFactors.select(F.col("id").alias("_uid"), "features").join(wanted, "_uid").select(user, "features")
+    right = model.itemFactors.select(F.col("id").alias("_iid"), "features").join(item_ids, "_iid").select(item, "features")
+    return factors.best_products(left, right, user, item, "features", n, None if keep_seen else interactions.select(user, item))[0]
 
 
 # ---- explicit models by name -----------------------------------------------
@@ -441,8 +430,10 @@ def fit_predict(
     args = (ratings, targets, user, item, rating)
     if model == "baselineonly":
         out = predict_baseline(targets, baselines(ratings, user, item, rating, **params), user, item)
-    elif model in ("svd", "nmf"):
-        out = als_predict(*args, nonnegative=model == "nmf", **params)
+    elif model == "svd":
+        out = factors.predict_factors(targets, factors.biased_factors(ratings, user, item, rating, **params), user, item)
+    elif model == "nmf":
+        out = als_predict(*args, nonnegative=True, **params)
     elif model == "slopeone":
         out = slope_one(*args, **params)
     elif model == "normalpredictor":

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from tillwork.functions.dates import roll_to_weekday
 from tillwork.functions.numeric import all_of, divide, total
 from tillwork.operators.ordered import dense_ids, known_around, running_before, series_blocks
+from tillwork.operators.smoothing import smoothing_backtest, smoothing_search  # noqa: F401
 from tillwork.session import attach_row, fits_single_task, materialise, small_side
 
 
@@ -355,62 +356,3 @@ def rolling_origin_folds(
 def group_ids(df: DataFrame, group_cols: Sequence[str], name: str = "id") -> DataFrame:
     """Add the dense 0-based number of each row's group in key order."""
     return df.join(small_side(dense_ids(df, group_cols, name)), list(group_cols))
-
-
-# ---- exponential smoothing -------------------------------------------------
-
-def _smooth(x: np.ndarray, kind: str, alpha: float, beta: float, gamma: float, period: int, horizon: int) -> np.ndarray:
-    """Forecast ``horizon`` points after ``x``; one small recursion per series."""
-    level, slope = x[0], (x[1] - x[0] if kind != "simple" and len(x) > 1 else 0.0)
-    season = np.zeros(period)
-    if kind == "seasonal" and len(x) >= 2 * period:
-        level = x[:period].mean()
-        slope = (x[period:2 * period].mean() - level) / period
-        season = x[:period] - level
-    for t, v in enumerate(x[1:] if kind != "seasonal" else x, start=0):
-        s = season[t % period] if kind == "seasonal" else 0.0
-        previous = level
-        level = alpha * (v - s) + (1 - alpha) * (level + slope)
-        if kind != "simple":
-            slope = beta * (level - previous) + (1 - beta) * slope
-        if kind == "seasonal":
-            season[t % period] = gamma * (v - level) + (1 - gamma) * s
-    ahead = np.arange(1, horizon + 1)
-    seasonal = season[(len(x) + ahead - 1) % period] if kind == "seasonal" else 0.0
-    return level + slope * ahead + seasonal
-
-
-def smoothing_backtest(
-    df: DataFrame, date_col: str, value: str, group_cols: Sequence[str], kinds: Sequence[str] = ("simple", "trend", "seasonal"),
-    alpha: float = 0.3, beta: float = 0.1, gamma: float = 0.1, period: int = 7, **folds,
-) -> DataFrame:
-    """Backtest exponential smoothing per series over rolling-origin folds.
-
-    Series run in parallel; each is a panel group.  Returns rmse, mape and mae
-    per group, model and fold.
-    """
-    plan = {"n_splits": 6, "gap": 0, "n_test": 24, "stride": 4, **folds}
-    fields = [df.schema[c] for c in group_cols] + [
-        T.StructField("model", T.StringType()), T.StructField("fold", T.IntegerType()),
-        *[T.StructField(m, T.DoubleType()) for m in ("rmse", "mape", "mae")]]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values(date_col)[value].to_numpy(dtype="float64")
-        key = [pdf[c].iloc[0] for c in group_cols]
-        rows = []
-        for k in range(plan["n_splits"]):
-            end = len(x) - k * plan["stride"]
-            cut = end - plan["n_test"]
-            train, test = x[: max(cut - plan["gap"], 0)], x[max(cut, 0):end]
-            if cut <= 0 or len(train) < 2:
-                continue
-            for kind in kinds:
-                ahead = plan["gap"] + len(test)
-                miss = test - _smooth(train, kind, alpha, beta, gamma, period, ahead)[plan["gap"]:]
-                nonzero = test != 0
-                mape = float(np.mean(np.abs(miss[nonzero] / test[nonzero]))) if nonzero.any() else None
-                rows.append([*key, kind, k, float(np.sqrt(np.mean(miss**2))), mape, float(np.mean(np.abs(miss)))])
-        return pd.DataFrame(rows, columns=[*group_cols, "model", "fold", "rmse", "mape", "mae"])
-
-    rows = df.select(*group_cols, date_col, F.col(value).cast("double").alias(value)).filter(F.col(value).isNotNull())
-    return rows.groupBy(*group_cols).applyInPandas(run, T.StructType(fields))

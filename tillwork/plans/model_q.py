@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tillwork.operators import metrics, models, prep
 
-from tillwork.session import attach_row
+from tillwork.session import attach_row, materialise
 
 from .clean_q import LINE_KEY
 from .eda_q import SQL_DOCS, SQL_SCORED, docs, rounded, scored_docs
@@ -189,10 +189,22 @@ def lme_fit(spark, d):
     return out
 
 
+BOX = (0.95, 1.05)
+
+
 @query("lme_box")
 def lme_box(spark, d):
     return models.linear_mixed_effects(
-        _logs(spark, d), ["log_qty"], "log_price", "p_brand", ["log_qty"], box={"log_qty": (0.4, 4.0)})[1]
+        _logs(spark, d), ["log_qty"], "log_price", "p_brand", ["log_qty"], box={"log_qty": BOX})[1]
+
+
+@query("lme_box_check", """SELECT DISTINCT p_brand, f AS feature, true AS inside, true AS best FROM lineitem JOIN part ON l_partkey = p_partkey,
+    (SELECT unnest(['intercept', 'log_qty']) AS f)""")
+def lme_box_check(spark, d):
+    """Mixed effects whose slopes are bounded: they lie inside, and satisfy the conditions of the best point there."""
+    groups = lme_box(spark, d)
+    inside = (F.col("feature") != "log_qty") | F.col("coefficient").between(BOX[0] - 1e-12, BOX[1] + 1e-12)
+    return groups.select("p_brand", "feature", inside.alias("inside"), (F.col("violation") < 1e-6).alias("best"))
 
 
 @query(
@@ -221,6 +233,19 @@ def bayes_bounds(spark, d):
         _logs(spark, d), ["log_qty", "month"], "log_price", "p_brand", 0.1, bounds={"log_qty": (0.0, 3.0)})
 
 
+@query("bayes_bounds_check", """SELECT p_brand, count(*) AS n, f AS feature, true AS inside, true AS narrower FROM lineitem JOIN part ON l_partkey = p_partkey,
+    (SELECT unnest(['intercept', 'log_qty', 'month']) AS f) GROUP BY 1, 3""")
+def bayes_bounds_check(spark, d):
+    """Posteriors cut to a range: means lie inside the bounds, and cutting makes no coefficient less certain."""
+    rows = materialise(_logs(spark, d))
+    args = (rows, ["log_qty", "month"], "log_price", "p_brand", 0.1)
+    cut = models.hierarchical_shrinkage(*args, bounds={"log_qty": (0.9, 1.0)})
+    free = models.hierarchical_shrinkage(*args).select("p_brand", "feature", F.col("posterior_sd").alias("free_sd"))
+    inside = (F.col("feature") != "log_qty") | F.col("posterior_mean").between(0.9, 1.0)
+    narrower = F.col("posterior_sd").between(0.0, F.col("free_sd") * (1 + 1e-9))
+    return cut.join(free, ["p_brand", "feature"]).select("p_brand", "n", "feature", inside.alias("inside"), narrower.alias("narrower"))
+
+
 LONG = [("Intercept", 1.5), ("sales", 0.4), ("web", -0.2), ("1|seg[BUILDING]", 0.25), ("sales|seg[BUILDING]", 0.1),
         ("web|seg[MACHINERY]", -0.05)]
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tillwork.functions.hashing import hash_order
-from tillwork.operators import metrics, reco
+from tillwork.operators import factors, metrics, reco
 from tillwork.session import attach_row, materialise
 
 from .eda_q import rounded
@@ -399,3 +399,45 @@ def rating_rescale(spark, d):
 def neighbour_mean(spark, d):
     features = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_acctbal")
     return rounded(reco.two_hop_mean(bought(spark, d), "o_custkey", "p_brand", features, ["c_acctbal"]), 6, "c_acctbal")
+
+
+@query(
+    "top_inner_products",
+    """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL)
+    SELECT a.vec_id AS query_id, b.vec_id AS vec_id, round(list_inner_product(a.v, b.v), 8) AS score,
+      CAST(row_number() OVER (PARTITION BY a.vec_id ORDER BY list_inner_product(a.v, b.v) DESC, b.vec_id) AS INTEGER) AS rank
+    FROM e a, e b WHERE a.vec_id % 20 = 0 QUALIFY rank <= 10""",
+)
+def top_inner_products(spark, d):
+    """The vectors with the largest inner products for every twentieth one."""
+    rows = table(spark, d, "embeddings").select("vec_id", "embedding")
+    asked = rows.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    return rounded(factors.best_products(asked, rows, "query_id", "vec_id", "embedding", 10)[0], 8, "score")
+
+
+@query("als_map_at_k", f"WITH {SQL_RATINGS} SELECT count(DISTINCT o_custkey) AS n_users, true AS a_share, true AS whole_lists, true AS unseen FROM te")
+def als_map_at_k(spark, d):
+    """Mean average precision at 10 of the fitted implicit model on the held-out part: a share, from whole lists of unseen brands."""
+    train, test = (materialise(t) for t in ratings(spark, d))
+    shown = materialise(reco.als_implicit(train, "o_custkey", "p_brand", "rating", 10))
+    score = metrics.map_at_k(shown, test, "o_custkey", "p_brand", "rank", 10)
+    sizes = train.groupBy("o_custkey").agg(F.least(F.lit(25) - F.count("*"), F.lit(10)).alias("wanted"))
+    lists = sizes.join(shown.groupBy("o_custkey").agg(F.count("*").alias("n")), "o_custkey", "left")
+    whole = lists.agg(F.every(F.coalesce("n", F.lit(0)) == F.col("wanted")).alias("whole_lists"))
+    again = shown.join(train, ["o_custkey", "p_brand"], "left_semi").agg((F.count("*") == 0).alias("unseen"))
+    return attach_row(attach_row(score, whole), again).select(
+        "n_users", F.col("map_at_k").between(0.0, 1.0).alias("a_share"), "whole_lists", "unseen")
+
+
+@query("svd_quality", f"WITH {SQL_RATINGS} SELECT count(*) AS n, true AS learns, true AS generalises FROM te")
+def svd_quality(spark, d):
+    """Biased factors against the biases alone: nearer to the ratings they learn from, and hardly farther from held-out ones."""
+    train, test = (materialise(t) for t in ratings(spark, d))
+    models = [factors.biased_factors(train, *ARGS), reco.baselines(train, *ARGS)]
+    errors = []
+    for rows in (train, test):
+        by_factors = factors.predict_factors(rows, models[0], *ARGS[:2], name="by_factors")
+        both = reco.predict_baseline(by_factors, models[1], *ARGS[:2], name="by_biases")
+        errors.append(both.agg(F.count("*").alias("n"), *[F.sqrt(F.avg((F.col(c) - F.col("rating")) ** 2)).alias(c) for c in ("by_factors", "by_biases")]))
+    seen, held = errors[0].select(F.col("by_factors").alias("f"), F.col("by_biases").alias("b")), errors[1]
+    return attach_row(held, seen).select("n", (F.col("f") < F.col("b")).alias("learns"), (F.col("by_factors") < 1.02 * F.col("by_biases")).alias("generalises"))

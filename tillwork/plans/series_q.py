@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from tillwork.operators import calendar, joins, timeseries
 
+from tillwork.session import materialise
+
 from .eda_q import rounded
 from .registry import query, table
 
@@ -289,9 +291,61 @@ def ses_simple(spark, d):
     return rounded(rounded(out, 3, "rmse", "mae"), 7, "mape")
 
 
-@query("ses_backtest")
+SQL_TRAIN = f"""{SQL_PANEL}, x AS (SELECT seg, list(sales::DOUBLE ORDER BY day) AS x FROM panel GROUP BY 1),
+  f AS (SELECT seg, CAST(fold AS INTEGER) AS fold, x[1:len(x) - fold * 4 - 24] AS tr, x[len(x) - fold * 4 - 23:len(x) - fold * 4] AS te
+    FROM x, (SELECT unnest(range(0, 6)) AS fold))"""
+
+
+def _sql_smooth(kind, start, first, season):
+    """Level, slope and season of a fold, value by value, in a list fold; ``season`` is the season of the value's day."""
+    level = f"(0.3 * (b.v - {season}) + 0.7 * (a.l + a.s))"
+    slope = f"0.1 * ({level} - a.l) + 0.9 * a.s" if kind != "simple" else "0.0::DOUBLE"
+    q = f"list_transform(a.q, lambda z, k: CASE WHEN k = b.t % 7 + 1 THEN 0.1 * (b.v - {level}) + 0.9 * z ELSE z END)" if kind == "seasonal" else "a.q"
+    ahead = "h.l + h.s * i" + (" + h.q[(n + i - 1) % 7 + 1]" if kind == "seasonal" else "")
+    return f"""SELECT seg, '{kind}' AS model, fold, te, list_transform(range(1, 25), lambda i: {ahead}) AS ahead FROM (
+      SELECT seg, fold, te, len(tr) AS n, list_reduce(list_prepend({start}, list_transform(tr[{first}:], lambda y, i: {{'v': y, 't': i - 1, 'l': 0.0::DOUBLE,
+        's': 0.0::DOUBLE, 'q': []::DOUBLE[]}})), lambda a, b: {{'v': b.v, 't': b.t, 'l': {level}, 's': {slope}, 'q': {q}}}) AS h FROM f)"""
+
+
+SQL_BACKTEST = f"""WITH {SQL_TRAIN}, w AS (
+  {_sql_smooth('simple', "{'v': 0.0::DOUBLE, 't': 0::BIGINT, 'l': tr[1], 's': 0.0::DOUBLE, 'q': []::DOUBLE[]}", 2, '0')} UNION ALL
+  {_sql_smooth('trend', "{'v': 0.0::DOUBLE, 't': 0::BIGINT, 'l': tr[1], 's': tr[2] - tr[1], 'q': []::DOUBLE[]}", 2, '0')} UNION ALL
+  {_sql_smooth('seasonal', "{'v': 0.0::DOUBLE, 't': 0::BIGINT, 'l': list_avg(tr[1:7]), 's': (list_avg(tr[8:14]) - list_avg(tr[1:7])) / 7, "
+               "'q': list_transform(tr[1:7], lambda y: y - list_avg(tr[1:7]))}", 1, 'a.q[b.t % 7 + 1]')}),
+  e AS (SELECT seg, model, fold, unnest(te) AS x, unnest(te) - unnest(ahead) AS miss FROM w)
+SELECT seg, model, fold, round(sqrt(avg(miss * miss)), 3) AS rmse, round(avg(abs(miss / x)) FILTER (WHERE x <> 0), 6) AS mape, round(avg(abs(miss)), 3) AS mae
+FROM e GROUP BY ALL"""
+
+
+@query("ses_backtest", SQL_BACKTEST)
 def ses_backtest(spark, d):
-    return timeseries.smoothing_backtest(daily(spark, d), "day", "sales", ["seg"])
+    out = timeseries.smoothing_backtest(daily(spark, d), "day", "sales", ["seg"])
+    return rounded(rounded(out, 3, "rmse", "mae"), 6, "mape")
+
+
+@query(
+    "ses_search",
+    f"""WITH {SQL_TRAIN}, a AS (SELECT unnest([0.05, 0.1, 0.3, 0.5, 0.7, 0.9])::DOUBLE AS alpha),
+      l AS (SELECT seg, fold, alpha, te, list_sum(list_transform(tr, lambda x, i: x * CASE WHEN i = 1 THEN (1 - alpha) ** (len(tr) - 1)
+        ELSE alpha * (1 - alpha) ** (len(tr) - i) END)) AS level FROM f, a),
+      e AS (SELECT seg, fold, alpha, sqrt(list_avg(list_transform(te, lambda x: (x - level) ** 2))) AS rmse FROM l),
+      m AS (SELECT seg, alpha, avg(rmse) AS rmse, count(*) AS n_folds FROM e GROUP BY 1, 2)
+    SELECT seg, 'simple' AS model, alpha, NULL::DOUBLE AS beta, NULL::DOUBLE AS gamma, round(rmse, 3) AS rmse, n_folds FROM m
+    QUALIFY row_number() OVER (PARTITION BY seg ORDER BY rmse, alpha) = 1""",
+)
+def ses_search(spark, d):
+    """The best smoothing of every segment's daily sales."""
+    return rounded(timeseries.smoothing_search(daily(spark, d), "day", "sales", ["seg"], ("simple",)), 3, "rmse")
+
+
+@query("ses_search_all", "SELECT seg, model, true AS no_worse, 6::BIGINT AS n_folds FROM (SELECT DISTINCT c_mktsegment AS seg FROM customer JOIN orders "
+       "ON c_custkey = o_custkey), (SELECT unnest(['simple', 'trend', 'seasonal']) AS model)")
+def ses_search_all(spark, d):
+    """Every kind over its whole grid: the best setting is no worse than the one of ``ses_backtest``, which is on the grid."""
+    panel = materialise(daily(spark, d))
+    best = timeseries.smoothing_search(panel, "day", "sales", ["seg"], grid=(0.1, 0.3, 0.6))
+    usual = timeseries.smoothing_backtest(panel, "day", "sales", ["seg"]).groupBy("seg", "model").agg(F.avg("rmse").alias("usual"))
+    return best.join(usual, ["seg", "model"]).select("seg", "model", (F.col("rmse") <= F.col("usual") * (1 + 1e-9)).alias("no_worse"), "n_folds")
 
 
 @query(
