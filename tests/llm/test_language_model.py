@@ -106,3 +106,27 @@ def test_packing():
         assert (language_model.unpacked(language_model.packed(values)) == values).all()
     keys = np.sort(np.random.default_rng(0).integers(0, 2**63, 50).astype(np.uint64) * np.uint64(2))
     assert (language_model.risen(language_model.rising(keys)) == keys).all()
+
+
+def test_counts_beyond_32_bits():
+    import pyarrow as pa
+
+    for values in ([0, 5, 2**32 - 1], [0, 2**32, 7], [3_000_000_000, 2**50], []):
+        assert language_model.unpacked(language_model.packed(np.array(values, np.uint64))).tolist() == values
+    keys, counts = language_model.rising(np.array([5, 9], np.uint64)), language_model.packed(np.array([3_000_000_000, 1], np.uint32))
+    rows = [{"range": 0, "block": b, "portion": 0, "kind": kind, "keys": keys, "train": counts, "deleted": counts} for b in (0, 1) for kind in (0, 1)]
+    got = language_model.answer(pa.Table.from_pylist(rows)).to_pylist()
+    assert all(language_model.unpacked(r["train"]).tolist() == [6_000_000_000, 2] and r["n_train"] == 6_000_000_002 for r in got)
+
+
+def test_rows_without_id_are_dealt_to_many_blocks_and_scored_alike(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "BLOCK_BYTES", 2_000)
+    rows = [(None, f"word{i % 50} and word{i % 7} again") for i in range(400)] + [(i, f"word{i} and more") for i in range(40)]
+    by_text = {}
+    for r, (_, text) in zip(sorted(language_model.scores(frame(spark, rows)).collect(), key=lambda r: (r.doc_id is None, r.doc_id)), rows):
+        by_text.setdefault(r.doc_id, []).append(r)
+    assert len(by_text[None]) == 400 and len({r.train_tokens for rs in by_text.values() for r in rs}) == 1
+    monkeypatch.setattr(language_model, "BLOCK_BYTES", 1 << 30)
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.n_tokens, round(r.score, 9), round(r.base_score, 9))
+    whole = sorted(map(key, language_model.scores(frame(spark, rows)).collect()))
+    assert whole == sorted(key(r) for rs in by_text.values() for r in rs)

@@ -57,13 +57,15 @@ def risen(data: bytes) -> np.ndarray:
 
 
 def packed(values: np.ndarray) -> bytes:
-    """32-bit counts, compressed."""
-    return len(values).to_bytes(8, "little") + pa.compress(planes(values), "zstd", asbytes=True)
+    """Counts, compressed: four bytes each, or eight where one needs them."""
+    wide = bool(len(values)) and int(values.max()) >> 32 > 0
+    plain = planes(values.astype(np.uint64 if wide else np.uint32))
+    return len(values).to_bytes(8, "little") + bytes([8 if wide else 4]) + pa.compress(plain, "zstd", asbytes=True)
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    size = int.from_bytes(data[:8], "little")
-    return unplanes(pa.decompress(data[8:], 4 * size, "zstd", asbytes=True), np.uint32)
+    size, width = int.from_bytes(data[:8], "little"), data[8]
+    return unplanes(pa.decompress(data[9:], width * size, "zstd", asbytes=True), np.uint64 if width == 8 else np.uint32)
 
 
 def tokens(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,6 +121,8 @@ def _requests(ranges: int):
     return send
 
 
+#: Bytes of text for each block and each range of keys.
+BLOCK_BYTES = 16 << 20
 REQUEST = "range int, block int, portion int, kind int, keys binary, train binary, deleted binary"
 REQUESTED = [part.split()[0] for part in REQUEST.split(", ")]
 ANSWER = ("block int, portion int, range int, kind int, check long, train binary, deleted binary, "
@@ -133,7 +137,7 @@ def answer(requests: pa.Table) -> pa.Table:
         part = [r for r in requests.to_pylist() if r["kind"] == kind]
         keys = [risen(r["keys"]) for r in part]
         _, place = np.unique(np.concatenate(keys), return_inverse=True)
-        totals = [np.bincount(place, np.concatenate([unpacked(r[c]) for r in part])).astype(np.uint32)
+        totals = [np.bincount(place, np.concatenate([unpacked(r[c]) for r in part])).astype(np.uint64)  # sums of floats, exact below 2**53
                   for c in ("train", "deleted")]
         at = np.cumsum([0, *map(len, keys)])
         figures = int(totals[0].sum()), int(totals[1].sum()), int((totals[0] > 0).sum())
@@ -285,16 +289,18 @@ def scores(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     interpolated model.  Repeated rows are texts of their own.  Without training
     texts every count is zero and only the uniform share scores.
 
-    Blocks and key ranges are as many as ``spark.sql.shuffle.partitions``.  A task
-    holds the texts of one block, whose keys are worked out in portions, or the
-    keys of one range.
+    Blocks and key ranges are as many as ``spark.sql.shuffle.partitions``, or more: one
+    for each ``BLOCK_BYTES`` of text.  A task holds the texts of one block, whose keys
+    are worked out in portions, or the keys of one range.  Rows are dealt by id and
+    text, so rows without id are spread.
     """
     spark = df.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = df.agg(F.sum(F.octet_length(F.col(f"`{text}`")).cast("long"))).first()[0] or 0
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK_BYTES))
     key = F.coalesce(F.pmod(F.crc32(F.col(f"`{doc_id}`").cast("string").cast("binary")), F.lit(FOLDS)), F.lit(DELETED))
     docs = df.select(
-        F.pmod(F.xxhash64(F.col(f"`{doc_id}`")), F.lit(ranges)).cast("int").alias("block"), key.cast("int").alias("fold"),
-        F.col(f"`{doc_id}`").cast("long").alias("row"), F.abs(F.xxhash64(F.lit(1), F.col(f"`{doc_id}`"))).alias("spread"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+        F.pmod(F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")), F.lit(ranges)).cast("int").alias("block"), key.cast("int").alias("fold"),
+        F.col(f"`{doc_id}`").cast("long").alias("row"), F.abs(F.xxhash64(F.lit(1), F.col(f"`{doc_id}`"), F.col(f"`{text}`"))).alias("spread"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     requests = docs.groupBy("block").applyInArrow(_requests(ranges), REQUEST)
     answers = requests.groupBy("range").applyInArrow(answer, ANSWER)
     known = spill(docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(counted, COUNTED), "counts")
