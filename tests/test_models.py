@@ -310,6 +310,25 @@ def test_dunn_of_labels_that_share_points_one_label_and_none(spark):
     assert cluster.dunn_index(df.limit(0), "id", "v", "label").first()["dunn"] is None
 
 
+@pytest.mark.parametrize("method", ["raw", "scaled", "pca"])
+def test_sweep_finds_planted_clusters_on_all_methods(spark, method):
+    rng = np.random.default_rng(3)
+    centres = np.array([[0, 0, 0], [9, 0, 0], [0, 9, 0], [0, 0, 900]])
+    rows = [(i, [float(x) for x in (centres[i % 4] + rng.normal(size=3)) * [1, 1, 1]], i % 4) for i in range(400)]
+    df = spark.createDataFrame([*rows, (999, None, 0)], "id int, v array<double>, truth int")
+    scores, labelled = cluster.cluster_sweep(df, "id", "v", 2, 4, method, exact=True)
+    got = {r["k"]: (r["inertia"], r["silhouette"]) for r in scores.collect()}
+    assert got[2][0] >= got[3][0] >= got[4][0] > 0 and all(-1 <= s <= 1 for _, s in got.values())
+    found = labelled.filter("v IS NOT NULL").groupBy("cluster_4", "truth").count().collect()
+    assert (len(found) == 4) or method == "pca"  # one component explains nearly all variance
+    assert [r["cluster_4"] for r in labelled.filter("id = 999").collect()] == [None]
+    x, lab = np.array([r[1] for r in rows]), np.array([r["cluster_3"] for r in labelled.filter("v IS NOT NULL").orderBy("id").collect()])
+    if method == "raw":
+        assert got[3][0] == pytest.approx(sum(((x[lab == c] - x[lab == c].mean(0)) ** 2).sum() for c in range(3)), rel=1e-6)
+    with pytest.raises(ValueError):
+        cluster.cluster_sweep(df, "id", "v", 2, 3, "polar")
+
+
 def test_pca_needs_two_components(spark):
     df = cluster.as_vectors(spark.createDataFrame([([float(i), 2.0 * i],) for i in range(10)], "v array<double>"), "v")
     with pytest.raises(ValueError):
@@ -461,6 +480,31 @@ def test_biased_factors_learn_a_planted_model(spark):
         factors.biased_factors(train.limit(0), "u", "i", "r")
 
 
+@pytest.mark.parametrize("block", [7, 1024])
+def test_item_pairs_of_folds_equal_those_of_each_training_part(tastes, block):
+    df = tastes[0].withColumn("fold", F.pmod(F.xxhash64("u", "i"), F.lit(3)))
+    rows = reco.item_pairs(df, "u", "i", "value", block, fold="fold", folds=3).collect()
+    got = {(r["fold"], r["i"], r["j"]): tuple(r[c] for c in ("n", "si", "sj", "sii", "sjj", "sij")) for r in rows}
+    wanted = {(k, r["i"], r["j"]): tuple(r[c] for c in ("n", "si", "sj", "sii", "sjj", "sij"))
+              for k in range(3) for r in reco.item_pairs(df.filter(F.col("fold") != k), "u", "i", "value", block).collect()}
+    assert len(rows) == len(got) and set(got) == set(wanted)
+    assert all(got[k] == pytest.approx(wanted[k], abs=1e-9) for k in wanted)
+
+
+def test_models_are_compared_on_shared_pairs(tastes, monkeypatch):
+    calls = []
+    plain = reco.item_pairs
+    monkeypatch.setattr(reco, "item_pairs", lambda *a, **b: calls.append(1) or plain(*a, **b))
+    names = ("slopeone", "knnbasic", "knnwithmeans", "baselineonly")
+    shared = {r["model"]: (r["rmse"], r["mae"]) for r in reco.compare_models(tastes[0], "u", "i", "value", names, 2).collect()}
+    assert len(calls) == 1
+    folded = tastes[0].withColumn("_fold", F.pmod(reco.hash_prefix(reco.hash_order(["u", "i"], 42), 6), F.lit(2)))
+    for name in names:
+        scores = [reco.regression_metrics(reco.fit_predict(name, folded.filter(F.col("_fold") != k).drop("_fold"), folded.filter(
+            F.col("_fold") == k).drop("_fold"), "u", "i", "value"), "value", "prediction").first() for k in range(2)]
+        assert shared[name] == pytest.approx((sum(m["rmse"] for m in scores) / 2, sum(m["mae"] for m in scores) / 2))
+
+
 def test_neighbour_scores_marks_bought(spark):
     long = spark.createDataFrame([(1, "a", 1.0), (2, "a", 1.0), (2, "b", 3.0)], "u int, i string, value double")
     near = spark.createDataFrame([(1, 1), (1, 2)], "u int, neighbour int")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import values
 from tillwork.functions import dates, numeric, text
-from tillwork.operators import calendar, clean, eda, joins, prep, quality, reshape, roi, smoothing, split, timeseries
+from tillwork.operators import calendar, clean, eda, fitted, joins, prep, quality, reshape, roi, smoothing, split, timeseries
 from tillwork.session import scratch_path
 from tillwork.sources import catalog, files
 
@@ -475,3 +475,25 @@ def test_edge_split_is_a_partition(spark):
     out = split.edge_split(spark.range(105).withColumnRenamed("id", "k"), ["k"])
     got = {r["split"]: r["n"] for r in out.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got == {"test": 10, "validation": 10, "train": 85}
+
+
+@pytest.mark.parametrize("step", [
+    prep.OutlierModel(["x"], "percentile", 0.1, 0.9), prep.TargetEncoder(["c", "d"], "y"), prep.FeatureTable(["c"], ["x"], "y"),
+    prep.WoeEncoder(["x"], "y", 3)], ids=lambda s: type(s).__name__)
+def test_fitted_steps_are_saved_and_loaded(spark, step):
+    from pyspark.ml import Pipeline, PipelineModel
+
+    rows = [(i, float(i % 17) if i % 5 else None, "ab"[i % 2], f"k{i % 3}", i % 4 == 0) for i in range(120)]
+    df = spark.createDataFrame(rows, "id int, x double, c string, d string, y0 boolean").withColumn("y", F.col("y0").cast("int"))
+    new = df.filter("id > 60").withColumn("c", F.when(F.col("id") % 7 > 0, F.col("c")))
+    wanted = values(type(step)(**{k: v for k, v in vars(step).items() if k not in fitted.LEARNT}).fit(df.filter("id <= 60")).transform(new))
+    model, path = fitted.FitStep(step).fit(df.filter("id <= 60")), scratch_path(spark, "step")
+    assert values(model.transform(new)) == wanted
+    model.write().save(path)
+    again = fitted.FittedStep.load(path)
+    assert again.uid == model.uid and values(again.transform(new)) == wanted
+    pipeline = Pipeline(stages=[fitted.FitStep(step)]).fit(df.filter("id <= 60"))
+    pipeline.write().save(f"{path}-pipeline")
+    assert values(PipelineModel.load(f"{path}-pipeline").transform(new)) == wanted
+    with pytest.raises(ValueError):
+        fitted.FitStep(object())

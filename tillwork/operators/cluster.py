@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.functions.numeric import divide
-from tillwork.operators import balls
-from tillwork.session import attach_row
+from tillwork.operators import balls, lloyd
+from tillwork.session import attach_row, materialise
 
 #: Points per block in the exact pairwise measures.
 BLOCK_ROWS = 1024
@@ -85,6 +85,27 @@ def kmeans_sweep(
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double"), labelled
 
 
+def cluster_sweep(
+    df: DataFrame, key: str, vector: str, low: int, high: int, method: str = "raw", seed: int = 42, max_iter: int = 50, exact: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """K-means for k = low..high on ``raw``, ``scaled`` or ``pca`` vectors, all k in the same rounds (``operators.lloyd``).
+
+    Returns (method, k, inertia, silhouette), and ``df`` with a column
+    ``cluster_<k>`` for each k.  The silhouette is the mean over all points, on
+    the given vectors: of squared distances at linear cost, or of Euclidean ones
+    (``exact``) at quadratic cost.
+    """
+    ks = list(range(low, high + 1))
+    labelled, inertia = lloyd.kmeans(df, vector, ks, method, seed, max_iter)
+    labelled = materialise(labelled)
+    rows = []
+    for k in ks:
+        points = labelled.filter(F.col(vector).isNotNull())
+        judged = (silhouette_exact if exact else silhouette_squared)(points, key, vector, f"cluster_{k}")
+        rows.append((method, k, inertia[k], judged.agg(F.avg("silhouette")).first()[0]))
+    return df.sparkSession.createDataFrame(rows, "method string, k int, inertia double, silhouette double"), labelled
+
+
 # ---- silhouette with squared distances: linear cost ------------------------
 
 def silhouette_squared(df: DataFrame, key: str, vector: str, label: str) -> DataFrame:

@@ -182,37 +182,50 @@ def one_rating_per_pair(ratings: DataFrame, user: str, item: str, rating: str) -
 PAIR_BLOCK = 1024
 
 
-def item_pairs(ratings: DataFrame, user: str, item: str, rating: str, block: int = PAIR_BLOCK) -> DataFrame:
+def item_pairs(ratings: DataFrame, user: str, item: str, rating: str, block: int = PAIR_BLOCK, fold: str | None = None, folds: int = 1) -> DataFrame:
     """Co-rating statistics ``(i, j, n, si, sj, sii, sjj, sij)`` of ordered item pairs, i and j different.
 
     A user's items are packed by blocks of the catalog, and blocks meet in
     pairs, so no row is larger than a block and a user with very many items is
     spread over many rows.  The pairs are made and summed up on the map side;
     a task ships one row per item pair.
+
+    With a column ``fold`` (0 to ``folds`` - 1, the same for all ratings of a pair of
+    user and item) there is a row for each fold, with its number in ``fold``: the
+    statistics without the ratings of that fold.  They are the sums of all pairs
+    less those of the pairs that touch the fold, so all folds come from one run.
     """
     one = one_rating_per_pair(ratings, user, item, rating)
+    if fold is not None:
+        one = ratings.select(user, item, rating, fold).dropna().groupBy(user, item).agg(
+            F.avg(F.col(rating).cast("double")).alias(rating), F.min(fold).cast("int").alias("_fold"))
     blocks = max(1, -(-one.select(item).distinct().count() // block))
-    packed = one.withColumn("_block", F.pmod(F.xxhash64(item), F.lit(blocks))).groupBy(user, "_block").agg(
-        F.collect_list(F.struct(F.col(item).alias("i"), F.col(rating).alias("r"))).alias("_left"))
+    entry = [F.col(item).alias("i"), F.col(rating).alias("r"), *([F.col("_fold").alias("f")] if fold is not None else [])]
+    packed = one.withColumn("_block", F.pmod(F.xxhash64(item), F.lit(blocks))).groupBy(user, "_block").agg(F.collect_list(F.struct(*entry)).alias("_left"))
     if blocks == 1:
-        both = packed.withColumn("_right", F.col("_left"))
+        both = packed.withColumn("_right", F.col("_left")).withColumn("_other", F.col("_block"))
     else:
         packed = materialise(packed)
         other = packed.select(F.col(user).alias("_u"), F.col("_block").alias("_other"), F.col("_left").alias("_right"))
         both = packed.join(other, (F.col(user) == F.col("_u")) & (F.col("_block") <= F.col("_other")))
-    # within a block each pair is met from both sides and taken once, across blocks it is met once
-    pairs = both.select(F.explode("_left").alias("a"), "_right", *(["_block", "_other"] if blocks > 1 else []))
-    pairs = pairs.select("a", F.explode("_right").alias("b"), *(["_block", "_other"] if blocks > 1 else []))
-    once = F.col("a.i") < F.col("b.i")
-    pairs = pairs.filter(once if blocks == 1 else once | (F.col("_block") < F.col("_other")))
+    # within a block each pair is taken from its smaller item, across blocks it is met once
+    pairs = both.select(F.explode("_left").alias("a"), "_right", (F.col("_block") < F.col("_other")).alias("_apart"))
+    pairs = pairs.select("a", F.explode(F.filter("_right", lambda b: F.col("_apart") | (F.col("a.i") < b["i"]))).alias("b"))
     x, y = F.col("a.r"), F.col("b.r")
-    sums = pairs.groupBy(F.col("a.i").alias("i"), F.col("b.i").alias("j")).agg(
-        F.count(F.lit(1)).cast("double").alias("n"), F.sum(x).alias("si"), F.sum(y).alias("sj"),
-        F.sum(x * x).alias("sii"), F.sum(y * y).alias("sjj"), F.sum(x * y).alias("sij"))
-    sums = materialise(sums)
-    mirrored = sums.select(F.col("j").alias("i"), F.col("i").alias("j"), "n", F.col("sj").alias("si"), F.col("si").alias("sj"),
-                           F.col("sjj").alias("sii"), F.col("sii").alias("sjj"), "sij")
-    return sums.unionByName(mirrored)
+    terms = {"n": F.lit(1.0), "si": x, "sj": y, "sii": x * x, "sjj": y * y, "sij": x * y}
+    sums = [F.sum(t).alias(c) for c, t in terms.items()]
+    if fold is not None:
+        touches = lambda k: (F.col("a.f") == k) | (F.col("b.f") == k)
+        sums += [F.coalesce(F.sum(F.when(touches(k), t)), F.lit(0.0)).alias(f"{c}{k}") for k in range(folds) for c, t in terms.items()]
+    found = pairs.groupBy(F.col("a.i").alias("i"), F.col("b.i").alias("j")).agg(*sums)
+    if fold is not None:
+        without = [F.struct(F.lit(k).alias("fold"), *[(F.col(c) - F.col(f"{c}{k}")).alias(c) for c in terms]) for k in range(folds)]
+        found = found.select("i", "j", F.inline(F.array(*without))).filter("n > 0")
+    found = materialise(found)
+    kept = ["fold"] if fold is not None else []
+    mirrored = found.select(F.col("j").alias("i"), F.col("i").alias("j"), *kept, "n", F.col("sj").alias("si"), F.col("si").alias("sj"),
+                            F.col("sjj").alias("sii"), F.col("sii").alias("sjj"), "sij")
+    return found.select("i", "j", *kept, *terms).unionByName(mirrored)
 
 
 def _per_target(targets: DataFrame, ratings: DataFrame, pairs: DataFrame, user: str, item: str, rating: str, weight: str):
@@ -238,13 +251,14 @@ def _fold_targets(
 
 
 def slope_one(
-    ratings: DataFrame, targets: DataFrame, user: str, item: str, rating: str, name: str = "prediction"
+    ratings: DataFrame, targets: DataFrame, user: str, item: str, rating: str, name: str = "prediction", pairs: DataFrame | None = None
 ) -> DataFrame:
     """User mean plus the mean deviation between the item and the items the user rated.
 
     Without a co-rated item the prediction is the user mean, for unknown users the global mean.
+    ``pairs`` are the statistics of ``item_pairs``, where they are known.
     """
-    pairs = item_pairs(ratings, user, item, rating).withColumn("dev", (F.col("si") - F.col("sj")) / F.col("n"))
+    pairs = (item_pairs(ratings, user, item, rating) if pairs is None else pairs).withColumn("dev", (F.col("si") - F.col("sj")) / F.col("n"))
     folded = _fold_targets(targets, ratings, pairs, user, item, rating, "dev", None)
     folded = folded.select(user, item, (F.col("s0") / F.col("n")).alias("_dev"))
     users = ratings.groupBy(user).agg(F.avg(rating).alias("_mu"))
@@ -254,9 +268,9 @@ def slope_one(
     return rows.withColumn(name, value).select(*targets.columns, name)
 
 
-def item_similarities(ratings: DataFrame, user: str, item: str, rating: str, measure: str = "msd") -> DataFrame:
+def item_similarities(ratings: DataFrame, user: str, item: str, rating: str, measure: str = "msd", pairs: DataFrame | None = None) -> DataFrame:
     """Item similarities over co-rating users: mean squared difference, cosine or Pearson."""
-    p = item_pairs(ratings, user, item, rating)
+    p = item_pairs(ratings, user, item, rating) if pairs is None else pairs
     n = F.col("n")
     value = {
         "msd": 1.0 / (1.0 + (F.col("sii") + F.col("sjj") - 2 * F.col("sij")) / n),
@@ -269,7 +283,7 @@ def item_similarities(ratings: DataFrame, user: str, item: str, rating: str, mea
 
 def item_knn(
     ratings: DataFrame, targets: DataFrame, user: str, item: str, rating: str, variant: str = "means", k: int = 40,
-    measure: str = "msd", name: str = "prediction", user_based: bool = False,
+    measure: str = "msd", name: str = "prediction", user_based: bool = False, pairs: DataFrame | None = None,
 ) -> DataFrame:
     """Neighbour predictions: ``basic``, ``means``, ``zscore`` or ``baseline``.
 
@@ -280,8 +294,8 @@ def item_knn(
     item, and the level of the target's user; it pairs the users of each item.
     """
     if user_based:
-        return item_knn(ratings, targets, item, user, rating, variant, k, measure, name)
-    pairs = item_similarities(ratings, user, item, rating, measure)
+        return item_knn(ratings, targets, item, user, rating, variant, k, measure, name, pairs=pairs)
+    pairs = item_similarities(ratings, user, item, rating, measure, pairs)
     overall = ratings.agg(F.avg(rating).alias("_all"))
     if variant == "baseline":
         model = baselines(ratings, user, item, rating)
@@ -469,17 +483,23 @@ def compare_models(
     ratings: DataFrame, user: str, item: str, rating: str, models: Sequence[str] = MODELS, folds: int = 3, seed: int = 42,
     scale: tuple[float, float] | None = None,
 ) -> DataFrame:
-    """Cross-validated RMSE and MAE per model, best first; folds by hash of the pair."""
-    folded = ratings.withColumn("_fold", F.pmod(hash_prefix(hash_order([user, item], seed), 6), F.lit(folds))).persist()
+    """Cross-validated RMSE and MAE per model, best first; folds by hash of the pair.
+
+    The models that use pairs of items share one run over the pairs for all
+    folds and variants.
+    """
+    folded = materialise(ratings.withColumn("_fold", F.pmod(hash_prefix(hash_order([user, item], seed), 6), F.lit(folds))))
+    by_pairs = [m for m in models if m == "slopeone" or m.startswith("knn")]
+    pairs = item_pairs(folded, user, item, rating, fold="_fold", folds=folds) if by_pairs else None
     results = []
     for model in models:
         for k in range(folds):
             train = folded.filter(F.col("_fold") != k).drop("_fold")
             test = folded.filter(F.col("_fold") == k).drop("_fold")
-            scored = fit_predict(model, train, test, user, item, rating, scale)
+            known = {"pairs": pairs.filter(F.col("fold") == k).drop("fold")} if model in by_pairs else {}
+            scored = fit_predict(model, train, test, user, item, rating, scale, **known)
             m = regression_metrics(scored, rating, "prediction").select("n", "rmse", "mae").first()
             results.append((model, k, m["n"], m["rmse"], m["mae"]))
-    folded.unpersist()
     table = ratings.sparkSession.createDataFrame(results, "model string, fold int, n bigint, rmse double, mae double")
     return table.groupBy("model").agg(F.avg("rmse").alias("rmse"), F.avg("mae").alias("mae")).orderBy("rmse")
 

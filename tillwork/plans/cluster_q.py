@@ -96,3 +96,26 @@ def dunn_index(spark, d):
 @query("dunn_mean_cluster", _dunn_sql("mean"))
 def dunn_mean_cluster(spark, d):
     return _dunn(spark, d, "mean_cluster")
+
+
+@query("cluster_sweep", """SELECT method, CAST(k AS INTEGER) AS k, (SELECT count(*) FROM embeddings) AS points, true AS whole, true AS inertia_is_of_labels,
+    true AS no_worse_than_one_less FROM (SELECT unnest(['raw', 'scaled', 'pca']) AS method), (SELECT unnest([2, 3, 4, 5]) AS k)""")
+def cluster_sweep(spark, d):
+    """K-means on raw, scaled and reduced vectors: every point has a cluster of each k, and the inertia is at least that of the
+    clusters' own means (equal where vectors are raw), and falls with k up to the chance of the first centres."""
+    rows, out = table(spark, d, "embeddings").select("vec_id", "embedding"), None
+    for method in ("raw", "scaled", "pca"):
+        scores, labelled = cluster.cluster_sweep(rows, "vec_id", "embedding", 2, 5, method)
+        long = labelled.select("vec_id", F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"cluster_{k}").alias("c")) for k in range(2, 6)])), "embedding")
+        cells = long.select("k", "c", F.posexplode(F.col("embedding").cast("array<double>")).alias("i", "x")).groupBy("k", "c", "i").agg(
+            F.var_pop("x").alias("s"), F.count("*").alias("n"))
+        around = cells.groupBy("k").agg(F.sum(F.col("s") * F.col("n")).alias("around"))
+        sizes = long.groupBy("k").agg(F.count("*").alias("points"), F.every((F.col("c") >= 0) & (F.col("c") < F.col("k"))).alias("whole"))
+        found = scores.join(around, "k").join(sizes, "k")
+        before = found.select((F.col("k") + 1).alias("k"), F.col("inertia").alias("before"))
+        fits = F.abs(F.col("inertia") - F.col("around")) <= 1e-3 * F.col("around") if method == "raw" else F.col("inertia") > 0
+        found = found.join(before, "k", "left").select(
+            "method", "k", "points", "whole", fits.alias("inertia_is_of_labels"),
+            (F.col("before").isNull() | (F.col("inertia") <= 1.05 * F.col("before"))).alias("no_worse_than_one_less"))
+        out = found if out is None else out.unionByName(found)
+    return out

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tillwork.operators import metrics, models, prep
 
-from tillwork.session import attach_row, materialise
+from tillwork.session import attach_row, materialise, scratch_path
 
 from .clean_q import LINE_KEY
 from .eda_q import SQL_DOCS, SQL_SCORED, docs, rounded, scored_docs
@@ -371,9 +371,10 @@ def model_search(spark, d):
     WHERE NOT (l_shipdate < TIMESTAMP '2000-01-01')""",
 )
 def score_batch(spark, d):
-    """Fit the feature table on train rows, score the later rows with fixed coefficients."""
-    rows = branded(spark, d)
-    model = prep.FeatureTable(["p_brand", "p_type"], ["l_quantity"], "price").fit(_train(rows))
+    """Fit the feature table on train rows and save it; load it to score the later rows with fixed coefficients."""
+    rows, path = branded(spark, d), scratch_path(spark, "feature-table")
+    fitted.FitStep(prep.FeatureTable(["p_brand", "p_type"], ["l_quantity"], "price")).fit(_train(rows)).write().save(path)
+    model = fitted.FittedStep.load(path)
     later = rows.filter(~(F.col("l_shipdate") < F.lit("2000-01-01").cast("timestamp")))
     scored = models.score_linear(
         model.transform(later), {"p_brand": 0.8, "p_type": 0.1, "l_quantity": -12.5}, 40.0)
