@@ -38,8 +38,8 @@ def plain_components(rows, percent):
     return groups([i for i, _ in sets], links), links
 
 
-@pytest.mark.parametrize("block", [512, 4])
-def test_near_duplicates_equal_brute_force(spark, odd_texts, monkeypatch, block):
+@pytest.mark.parametrize("block, percent", [(512, 85), (4, 85), (512, 80)])
+def test_near_duplicates_equal_brute_force(spark, odd_texts, monkeypatch, block, percent):
     monkeypatch.setattr(minhash, "BLOCK", block)
     rng = random.Random(8)
     make = lambda n: " ".join(f"w{rng.randrange(500)}" for _ in range(n))
@@ -50,14 +50,14 @@ def test_near_duplicates_equal_brute_force(spark, odd_texts, monkeypatch, block)
     rows = [(i * 3, t) for i, t in enumerate(texts)]
     rng.shuffle(rows)
     df = clashing(frame(spark, rows + [(None, texts[-1]), (None, None)]), "component_id", "kept", "low")
-    got = minhash.near_duplicates(df).collect()
-    wanted, links = plain_components(rows, 85)
+    got = minhash.near_duplicates(df, percent=percent).collect()
+    wanted, links = plain_components(rows, percent)
     assert len(got) == len(rows) + 2 and len(links) > 100
     by = {r.doc_id: r for r in got if r.doc_id is not None}
     assert {i: (r.component_id, r.kept) for i, r in by.items()} == {i: (c, c == i) for i, c in wanted.items()}
     assert all(r.kept and r.component_id is None for r in got if r.doc_id is None)
     assert all(by[i].n_shingles == len(shingles(t)) for i, t in rows)
-    kept = minhash.without_copies(df)
+    kept = minhash.without_copies(df, percent=percent)
     assert kept.columns == df.columns and kept.count() == len({*wanted.values()}) + 2
 
 

@@ -24,7 +24,7 @@ def plain_pipeline(rows, items, model):
             if not spaced(t):
                 continue
         left.append((i, t, g, s))
-    comp, _ = plain_components([(i, t) for i, t, *_ in left], 85)
+    comp, _ = plain_components([(i, t) for i, t, *_ in left], 80)
     left = [r for r in left if r[0] is None or comp[r[0]] == r[0]]
     found = windows(items)
     left = [r for r in left if not plain_hits(r[1], found)[1]]

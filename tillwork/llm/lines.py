@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from .language_model import planes, unplanes
 from .minhash import shared
-from .store import spill, unused
+from .store import Held, spill, unused
 from .words import U64, distinct, mix, release, slices, words_of
 
 PERCENT = 80
@@ -406,7 +406,7 @@ def _loose_postings(steps, percent: int, wanted=None):
     return send
 
 
-def _all_partners(open_: DataFrame, docs: DataFrame, steps, percent: int) -> DataFrame:
+def _all_partners(open_: DataFrame, docs: DataFrame, steps, percent: int, held: Held) -> DataFrame:
     """Earlier similar lines of the lines (doc, line) in ``open_``, by a join on their first tokens.
 
     Sizes are put in steps so wide that sizes of similar lines are in the same
@@ -414,9 +414,9 @@ def _all_partners(open_: DataFrame, docs: DataFrame, steps, percent: int) -> Dat
     """
     asked = docs.join(open_.groupBy("doc").agg(F.collect_list("line").alias("lines")), "doc")
     asked = asked.select("doc", only_lines("text", "lines").alias("text")).mapInArrow(_loose_postings(steps, percent), LOOSE)
-    asked = spill(asked, "open-postings")
+    asked = held.keep(asked)
     wanted = _map_of(asked.filter("token IS NULL").select("members"))
-    others = spill(docs.mapInArrow(_loose_postings(steps, percent, wanted), LOOSE), "other-postings")
+    others = held.keep(docs.mapInArrow(_loose_postings(steps, percent, wanted), LOOSE))
     step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent)))
     left = asked.filter("token IS NOT NULL").withColumn("step", F.explode(F.array(step - 1, step, step + 1)))
     right = others.filter("token IS NOT NULL").select("token", step.alias("step"), *[F.col(c).alias(f"m_{c}") for c in ("doc", "line", "size", "place", "bits", "more_bits")])
@@ -476,11 +476,11 @@ def _sets(wanted):
     return gather
 
 
-def _line_sets(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _line_sets(pairs: DataFrame, docs: DataFrame, held: Held) -> DataFrame:
     """(doc, line, members) of all lines in ``pairs`` (and a few more): a map of fixed size picks them in a scan of the texts."""
     wanted = pairs.select("doc", "line").union(pairs.select("match_doc", "match_line"))
     wanted = _map_of(wanted.union(wanted.select("doc", F.lit(int(WHOLE))).distinct()))
-    return spill(docs.mapInArrow(_sets(wanted), "doc long, line int, members binary"), "line-sets")
+    return held.keep(docs.mapInArrow(_sets(wanted), "doc long, line int, members binary"))
 
 
 def _map_of(keys: DataFrame):
@@ -522,34 +522,38 @@ def repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     counts = word_counts(docs)
     ranges, steps = max(ranges, int(counts.sum()) // RANGE), spark.sparkContext.broadcast(steps_of(counts))
     posted = docs.mapInArrow(_postings(steps, ranges, percent, crowds(docs, steps, percent)), POSTING)
-    found = spill(posted.groupBy("kind", "range").applyInArrow(_candidates(percent, FIRST_TRY), FOUND), "line-pairs")
+    held = Held()
+    found = held.keep(posted.groupBy("kind", "range").applyInArrow(_candidates(percent, FIRST_TRY), FOUND))
 
     place = F.struct("match_doc", "match_line")
     key = ["doc", "line"]
     exact = found.filter("exact").groupBy(*key).agg(F.max("size").alias("size"), F.min(place).alias("match"))
-    exact = spill(exact, "equal-lines")
+    exact = held.keep(exact)
     pairs = found.filter("NOT exact").groupBy(*key, "size", "match_doc", "match_line").agg(
         F.count("*").alias("votes"), F.max("more").alias("more")).join(exact.select(*key), key, "left_anti")
-    pairs = spill(pairs, "line-candidates")
-    sets = _line_sets(pairs, docs)
+    pairs = held.keep(pairs)
+    sets = _line_sets(pairs, docs, held)
 
     # the partner that most tokens name first, then all others of lines that are still open, then those not yet taken
     likely = pairs.groupBy(*key, "size").agg(F.max(F.struct("votes", F.struct("match_doc", "match_line"))).alias("best"))
     likely = likely.select(*key, "size", "best.col2.*")
-    tried = spill(_verified(likely, sets, percent), "line-tries")
+    tried = held.keep(_verified(likely, sets, percent))
     open_ = pairs.join(tried.filter("ok").select(*key), key, "left_anti").join(
         tried.select(*key, "match_doc", "match_line"), [*key, "match_doc", "match_line"], "left_anti")
-    again = spill(_verified(open_.select(*tried.columns[:-1]), sets, percent), "line-tries")
+    again = held.keep(_verified(open_.select(*tried.columns[:-1]), sets, percent))
     near = tried.filter("ok").union(again.filter("ok"))
 
     open_ = pairs.filter("more").select(*key).distinct().join(near.select(*key), key, "left_anti")
-    open_ = spill(open_, "open-lines")
+    open_ = held.keep(open_)
     if open_.limit(1).count():
-        near = near.drop("ok").unionByName(_all_partners(open_, docs, steps, percent))
+        near = near.drop("ok").unionByName(_all_partners(open_, docs, steps, percent, held))
     near = near.groupBy(*key).agg(F.max("size").alias("size"), F.min(place).alias("match"))
-    return exact.withColumn("exact", F.lit(True)).union(near.withColumn("exact", F.lit(False))).select(
+    out = exact.withColumn("exact", F.lit(True)).union(near.withColumn("exact", F.lit(False))).select(
         F.col("doc").alias("doc_id"), F.col("line").alias("line_no"), F.col("size").alias("n_words"),
         F.col("match.match_doc").alias("match_doc_id"), F.col("match.match_line").alias("match_line_no"), "exact")
+    out = spill(out, "repeated-lines")
+    held.release()
+    return out
 
 
 @F.arrow_udf(T.StringType())

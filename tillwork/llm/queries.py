@@ -45,8 +45,8 @@ def op6_bpe(spark, d):
 
 @query("op5_minhash", sql.MINHASH)
 def op5_minhash(spark, d):
-    """Groups of near-duplicate documents."""
-    return minhash.near_duplicates(table(spark, d, "documents"))
+    """Groups of documents that are 85 % alike."""
+    return minhash.near_duplicates(table(spark, d, "documents"), percent=85)
 
 
 @query("op10_embedding_dedup", sql.EMBEDDINGS)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from tillwork.session import scratch_path
@@ -30,3 +31,23 @@ def discard(df: DataFrame) -> None:
     if path:
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Held:
+    """Tables that are computed once and kept on the executors' disks until ``release``.
+
+    A part that is lost with its executor is computed again from its lineage.  For
+    tables between a few reads; where lineage must be cut, ``spill`` them.
+    """
+
+    def __init__(self):
+        self.tables: list[DataFrame] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.tables.append(df.persist(StorageLevel.DISK_ONLY))
+        return self.tables[-1]
+
+    def release(self) -> None:
+        for table in reversed(self.tables):
+            table.unpersist()
+        self.tables.clear()
