@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from .language_model import planes, unplanes
 from .minhash import shared
-from .store import Held, spill, unused
+from .store import Held, discard, spill, unused
 from .words import U64, distinct, mix, release, slices, words_of
 
 PERCENT = 80
@@ -414,7 +414,7 @@ def _all_partners(open_: DataFrame, docs: DataFrame, steps, percent: int, held:
     """
     asked = docs.join(open_.groupBy("doc").agg(F.collect_list("line").alias("lines")), "doc")
     asked = asked.select("doc", only_lines("text", "lines").alias("text")).mapInArrow(_loose_postings(steps, percent), LOOSE)
-    asked = held.keep(asked)
+    asked = spill(asked, "open-postings")
     wanted = _map_of(asked.filter("token IS NULL").select("members"))
     others = held.keep(docs.mapInArrow(_loose_postings(steps, percent, wanted), LOOSE))
     step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent)))
@@ -528,23 +528,23 @@ def repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     place = F.struct("match_doc", "match_line")
     key = ["doc", "line"]
     exact = found.filter("exact").groupBy(*key).agg(F.max("size").alias("size"), F.min(place).alias("match"))
-    exact = held.keep(exact)
+    exact = spill(exact, "equal-lines")
     pairs = found.filter("NOT exact").groupBy(*key, "size", "match_doc", "match_line").agg(
         F.count("*").alias("votes"), F.max("more").alias("more")).join(exact.select(*key), key, "left_anti")
-    pairs = held.keep(pairs)
+    pairs = spill(pairs, "line-candidates")
     sets = _line_sets(pairs, docs, held)
 
     # the partner that most tokens name first, then all others of lines that are still open, then those not yet taken
     likely = pairs.groupBy(*key, "size").agg(F.max(F.struct("votes", F.struct("match_doc", "match_line"))).alias("best"))
     likely = likely.select(*key, "size", "best.col2.*")
-    tried = held.keep(_verified(likely, sets, percent))
+    tried = spill(_verified(likely, sets, percent), "line-tries")
     open_ = pairs.join(tried.filter("ok").select(*key), key, "left_anti").join(
         tried.select(*key, "match_doc", "match_line"), [*key, "match_doc", "match_line"], "left_anti")
-    again = held.keep(_verified(open_.select(*tried.columns[:-1]), sets, percent))
+    again = spill(_verified(open_.select(*tried.columns[:-1]), sets, percent), "line-tries")
     near = tried.filter("ok").union(again.filter("ok"))
 
     open_ = pairs.filter("more").select(*key).distinct().join(near.select(*key), key, "left_anti")
-    open_ = held.keep(open_)
+    open_ = spill(open_, "open-lines")
     if open_.limit(1).count():
         near = near.drop("ok").unionByName(_all_partners(open_, docs, steps, percent, held))
     near = near.groupBy(*key).agg(F.max("size").alias("size"), F.min(place).alias("match"))
@@ -553,6 +553,8 @@ def repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
         F.col("match.match_doc").alias("match_doc_id"), F.col("match.match_line").alias("match_line_no"), "exact")
     out = spill(out, "repeated-lines")
     held.release()
+    for table in (exact, pairs, tried, again, open_):
+        discard(table)
     return out
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .graph import components
-from .store import Held, spill, unused
+from .store import Held, discard, spill, unused
 from .words import U64, distinct, grams, mix, numbers, release, slices, words_of
 
 #: Words of a shingle.
@@ -226,7 +226,7 @@ def _verify_block(percent: int):
     return verify
 
 
-def _apart(members: DataFrame, comp: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, held: Held) -> DataFrame:
+def _apart(members: DataFrame, comp: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Verified links between classes that share a bucket, lie in different components and have not been compared.
 
     Blocks of a bucket are compared by registers first, then the classes with
@@ -252,7 +252,7 @@ def _apart(members: DataFrame, comp: DataFrame, classes: DataFrame, sets: DataFr
     right = open_.select(
         *columns, F.lit(False).alias("other"), F.explode(F.sequence(F.lit(0).cast("long"), many[0] - 1)).alias("i"),
         F.pmod(spread, many[1]).alias("j"))
-    found = held.keep(left.unionByName(right).groupBy(*UNIT).applyInArrow(_block_pairs(percent), MEMBERS))
+    found = spill(left.unionByName(right).groupBy(*UNIT).applyInArrow(_block_pairs(percent), MEMBERS), "block-pairs")
     holding = found.filter("pairs IS NULL").drop("pairs").join(sets, "class")
     unit = [f"of_{c}" for c in UNIT]
     pairs = found.filter("pairs IS NOT NULL").select(*(F.col(c).alias(u) for c, u in zip(UNIT, unit)), "pairs")
@@ -275,13 +275,13 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     held = Held()
     marks = held.keep(docs.withColumn("s", signature("text")).select("doc_id", "s.*"))
     usable = marks.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = held.keep(usable.groupBy("low", "high", "n_shingles").agg(
-        F.min("doc_id").alias("class"), F.first("registers").alias("registers")).withColumnRenamed("n_shingles", "n"))
+    classes = spill(usable.groupBy("low", "high", "n_shingles").agg(
+        F.min("doc_id").alias("class"), F.first("registers").alias("registers")).withColumnRenamed("n_shingles", "n"), "classes")
 
     members = classes.select("class", F.posexplode("registers").alias("band", "key"))
     bucket = members.groupBy("band", "key").agg(F.min("class").alias("b"), F.count("*").alias("size")).filter("size > 1")
     bucket = spill(bucket, "pivots")
-    placed = held.keep(members.join(bucket, ["band", "key"]).select("band", "key", "class", "b"))
+    placed = spill(members.join(bucket, ["band", "key"]).select("band", "key", "class", "b"), "members")
     pairs = placed.filter(F.col("class") != F.col("b")).select(F.col("class").alias("a"), "b").distinct()
     first = classes.select(F.col("class").alias("a"), "n", F.col("registers").alias("x"))
     second = classes.select(F.col("class").alias("b"), F.col("n").alias("m"), F.col("registers").alias("y"))
@@ -289,10 +289,10 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     wanted = placed.select(F.col("class").alias("doc_id")).distinct()
     sets = held.keep(docs.join(wanted, "doc_id", "left_semi").select(
         F.col("doc_id").alias("class"), full_set("text").alias("members")).dropDuplicates(["class"]))
-    links = held.keep(_verified(pairs, sets, percent))
+    links = spill(_verified(pairs, sets, percent), "links")
     comp = spill(components(links), "components")
 
-    more = _apart(placed.drop("b"), comp, classes, sets, percent, held)
+    more = _apart(placed.drop("b"), comp, classes, sets, percent)
     links = comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
     comp = components(links).withColumnRenamed("node", "class")
 
@@ -304,6 +304,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", p
         F.coalesce(F.col("doc_id") == F.coalesce("component", "doc_id"), F.lit(True)).alias("kept"))
     out = spill(out, "near-duplicates")
     held.release()
+    for table in (classes, bucket, placed, links):
+        discard(table)
     return out
 
 
