@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import values
-from tillwork.operators import bounded, attribution, cluster, factors, gram, metrics, models, reco
+from tillwork.operators import attribution, bounded, cluster, factors, gram, metrics, models, reco, search
 
 D = dt.date
 
@@ -243,10 +243,13 @@ def test_coefficient_matrix_adds_random_effects(spark):
 
 # ---- clusters --------------------------------------------------------------
 
-def test_profile_sample(spark):
-    df = spark.createDataFrame([(1.0, 4.0, 0), (2.0, 5.0, 0), (3.0, 6.0, 1), (4.0, 7.0, 1)], "x double, y double, Label int")
-    got = values(cluster.cluster_profile(df, "Label", ["x", "y"], ratio=False), "feature", "cluster", "value", "overall")
-    assert got == [("x", 0, 1.5, 2.5), ("x", 1, 3.5, 2.5), ("y", 0, 4.5, 5.5), ("y", 1, 6.5, 5.5)]
+def test_profile_of_uneven_clusters_and_flags_on_both_sides(spark):
+    rows = [(12.0, None, "s"), (8.0, 1.0, "s"), (10.0, 2.0, "s"), (10.0, 9.0, "t"), (70.0, 3.0, None)]
+    df = spark.createDataFrame(rows, "visits double, spend double, kind string")
+    plain = values(cluster.cluster_profile(df, "kind", ["visits", "spend"], ratio=False), "feature", "cluster", "value", "overall")
+    assert plain == [("spend", "s", 1.5, 4.0), ("spend", "t", 9.0, 4.0), ("visits", "s", 10.0, 10.0), ("visits", "t", 10.0, 10.0)]
+    flags = values(cluster.cluster_profile(df, "kind", ["visits", "spend"]), "feature", "cluster", "flag")
+    assert flags == [("spend", "s", "low"), ("spend", "t", "high"), ("visits", "s", ""), ("visits", "t", "")]
 
 
 @pytest.fixture(scope="module")
@@ -602,3 +605,31 @@ def test_rescale_round_trip(spark):
     df = spark.createDataFrame([(1.0,), (3.0,), (9.0,)], "r double")
     out = reco.rescale_inverse(reco.rescale(df, "r", 0, 1, "s"), "s", 0, 1, "back")
     assert [(r["s"], r["back"]) for r in out.orderBy("r").collect()] == [(0.0, 1.0), (0.25, 3.0), (1.0, 9.0)]
+
+
+# ---- model search --------------------------------------------------------------
+
+def test_halving_keeps_the_better_settings_and_uses_all_rows_in_the_end(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, float(a) if i % 6 else None, float(b), float(3 * a - 2 * b + rng.normal() * 0.1) if i % 50 else None) for i, (a, b) in enumerate(rng.normal(size=(900, 2)) + 5)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, y double")
+    train, check = df.filter("id % 4 > 0"), df.filter("id % 4 = 0")
+    grid = search.settings_grid(("drop", "zero", "mean"), (0.01, 1.0), (2,), (3,))
+    out = search.halving_search(train, check, ["a", "b"], "y", ["id"], grid).orderBy("rank").collect()
+    assert len(out) == len(grid) == 39 and [r["rank"] for r in out] == list(range(1, 40))
+    assert [sum(r["round"] == k for r in out) for k in (1, 2, 3)] == [26, 9, 4]
+    assert out[0]["rows"] == train.dropna(subset=["y"]).count() > 2 * out[-1]["rows"] and out[0]["round"] == 3
+    assert out[0]["fill"] != "zero" and all(x["rmse"] <= y["rmse"] for x, y in zip(out, out[1:]) if x["round"] == y["round"])
+
+
+def test_errors_from_moments_equal_those_of_scored_rows(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, *map(float, rng.normal(size=2)), float(rng.normal() + i % 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, y double")
+    g, against = gram.collect_gram(df.filter("id < 200"), ["a", "b"], "y"), gram.collect_gram(df.filter("id >= 200"), ["a", "b"], "y")
+    for s in search.settings_grid(("drop",), (0.05,), (), ()):
+        w = search._linear(g, s)
+        x = np.array([r[1:3] for r in rows[200:]])
+        miss = np.array([r[3] for r in rows[200:]]) - x @ w - g.intercept(w)
+        assert search._error(against, w, g.intercept(w)) == pytest.approx(float(np.sqrt((miss**2).mean())))
+    assert np.allclose(search._linear(g, search.Setting("linear", "drop")), gram.solve_ols(g).coefficients[1:])

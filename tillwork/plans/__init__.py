@@ -6,7 +6,7 @@ import importlib
 
 AREAS = (
     "sources_q", "clean_q", "join_q", "reshape_q", "eda_q", "series_q",
-    "split_q", "prep_q", "attribution_q", "model_q", "cluster_q", "reco_q",
+    "split_q", "prep_q", "attribution_q", "model_q", "cluster_q", "reco_q", "stream_q",
 )
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tillwork.operators import metrics, models, prep
+from tillwork.operators import fitted, gram, metrics, models, prep, roi, search
 
 from tillwork.session import attach_row, materialise, scratch_path
 
@@ -379,3 +379,19 @@ def score_batch(spark, d):
     scored = models.score_linear(
         model.transform(later), {"p_brand": 0.8, "p_type": 0.1, "l_quantity": -12.5}, 40.0)
     return rounded(scored.select(*LINE_KEY, "yhat"), 5, "yhat")
+
+
+@query("halving_search", """WITH w AS (SELECT (SELECT count(*) FROM lineitem) AS n)
+    SELECT 1 AS round, 36 AS settings, true AS part, true AS ordered FROM w UNION ALL SELECT 2, 12, true, true FROM w UNION ALL SELECT 3, 6, true, true FROM w""")
+def halving_search(spark, d):
+    """54 models and fillings, a third of which goes on to three times as many rows: how many each round dropped, on which part of the rows."""
+    rows = _wide_line(spark, d).withColumn("l_quantity", F.when(F.col("l_linenumber") % 5 > 0, F.col("l_quantity")))
+    train, check = models.prepare_training(rows, LINE_KEY, 0.75)
+    grid = [s for s in search.settings_grid(("drop", "mean"), (0.01, 0.1), (3,), (5,)) if s.model != "boosted"]
+    grid += search.settings_grid(("zero", "median"), (0.01, 0.1, 1.0), (3,), (5,))[: 54 - len(grid)]
+    found = search.halving_search(train, check, ["l_quantity", "l_discount", "l_extendedprice", "month"], "revenue", LINE_KEY, grid)
+    total = train.count()
+    rounds = found.groupBy("round").agg(F.count("*").cast("int").alias("settings"), F.max("rows").alias("rows"), F.max("rank").alias("worst"), F.min("rank").alias("best"))
+    share = F.element_at(F.array(*[F.lit(x) for x in (1 / 9, 1 / 3, 1.0)]), F.col("round"))
+    near = F.abs(F.col("rows") - share * total) <= 4 * F.sqrt(F.lit(float(total)))
+    return rounds.select("round", "settings", near.alias("part"), (F.col("worst") - F.col("best") + 1 == F.col("settings")).alias("ordered"))
