@@ -483,6 +483,15 @@ def test_biased_factors_learn_a_planted_model(spark):
         factors.biased_factors(train.limit(0), "u", "i", "r")
 
 
+def test_estimated_size_of_factors_does_not_grow_with_the_turns(spark):
+    train = spark.createDataFrame([(u, i, float(u * i % 5)) for u in range(20) for i in range(8)], "u int, i int, r double")
+    sizes = []
+    for epochs in (1, 4):
+        users = factors.biased_factors(train, "u", "i", "r", rank=2, epochs=epochs, blocks=2)[1]
+        sizes.append(int(users._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    assert sizes[1] < 100 * sizes[0]
+
+
 @pytest.mark.parametrize("block", [7, 1024])
 def test_item_pairs_of_folds_equal_those_of_each_training_part(tastes, block):
     df = tastes[0].withColumn("fold", F.pmod(F.xxhash64("u", "i"), F.lit(3)))
