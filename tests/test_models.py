@@ -284,6 +284,24 @@ def test_silhouette_and_dunn_match_numpy(blobs, block):
     assert r["dunn"] == pytest.approx(d[~same].min() / d[same].max())
 
 
+def test_groups_of_points_meet_without_a_shuffle(blobs):
+    pairs = cluster._block_pairs(blobs[0], "id", "v", "label", 16, lambda same, x, y: pd.DataFrame({"n": [len(x[0]) * len(y[0])]}), "n bigint")
+    plan = pairs._jdf.queryExecution().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan.split("== Physical Plan ==")[1]
+    rows = [r["n"] for r in pairs.collect()]
+    assert len(rows) == 19 * 20 // 2 and sum(rows) > 300 * 300 / 2
+
+
+def test_blocks_of_a_cell_are_sent_once(spark):
+    points = spark.range(6).select(F.col("id").alias("b"), F.array(F.col("id").cast("double")).alias("points"), F.lit(1).cast("bigint").alias("n"))
+    pairs = points.select(F.col("b").alias("a")).join(points.select("b")).filter("a < b")
+    rows = cluster.balls._in_cells(pairs, points, 1).collect()
+    assert sorted(r["a"] for r in rows if r["b"] is None) == list(range(6)) and sum(r["b"] is not None for r in rows) == 15
+    for groups in (1, 2, 4):
+        met = cluster.balls._in_cells(pairs, points, groups).mapInArrow(cluster.balls._meet(True), "best double")
+        assert met.agg(F.max("best")).first()[0] == 5.0
+
+
 def test_squared_silhouette_single_member(spark):
     df = spark.createDataFrame([(1, [0.0], 0), (2, [1.0], 0), (3, [9.0], 1)], "id int, v array<double>, label int")
     got = {r["id"]: r["silhouette"] for r in cluster.silhouette_squared(df, "id", "v", "label").collect()}

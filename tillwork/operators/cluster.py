@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tillwork.functions.numeric import divide
 from tillwork.operators import balls, lloyd
@@ -19,6 +23,8 @@ from tillwork.session import attach_row, materialise
 
 #: Points per block in the exact pairwise measures.
 BLOCK_ROWS = 1024
+#: Groups that points are cut into where that leaves enough in each, bytes of vectors of a group, and groups of a partition.
+GROUPS, GROUP_BYTES, PART_GROUPS = 24, 2 << 20, 16
 
 
 # ---- profiles --------------------------------------------------------------
@@ -143,32 +149,42 @@ def silhouette_squared(df: DataFrame, key: str, vector: str, label: str) -> Data
 # ---- exact pairwise measures -----------------------------------------------
 
 def _block_pairs(df: DataFrame, key: str, vector: str, label: str, block_rows: int, fold, schema: str) -> DataFrame:
-    """Fold every pair of blocks of points into a few rows.
-
-    Points are cut into evenly filled blocks by key hash and packed into one
-    row per block; each unordered pair of blocks meets once in a task, which
-    returns aggregates only, never pairs.  The measures that use this are
-    quadratic by definition; ``silhouette_squared`` is the linear choice.
+    """Fold every pair of groups of points into a few rows.
+
+    Points are cut into evenly filled groups by key hash, of ``block_rows`` points
+    at least and some ``GROUP_BYTES`` at most, and packed into one row per group.
+    Partitions of groups meet in a Cartesian product, which reads them where they
+    are stored and shuffles nothing; each unordered pair of groups meets once in a
+    task, which returns aggregates only, never pairs.  The measures that use this
+    are quadratic by definition; ``silhouette_squared`` is the linear choice.
     """
     rows = df.select(F.col(key).alias("k"), F.col(label).alias("c"), F.col(vector).cast("array<double>").alias("v"))
-    blocks = max(1, -(-rows.count() // block_rows))
-    packed = rows.withColumn("b", F.pmod(F.xxhash64("k"), F.lit(blocks)).cast("int")).groupBy("b").agg(
+    count, width = rows.agg(F.count("*"), F.max(F.size("v"))).first()
+    held = max(block_rows, min(-(-count // GROUPS), GROUP_BYTES // (8 * max(1, width or 0))))
+    groups, tasks = max(1, -(-count // held)), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(groups, max(-(-groups // PART_GROUPS), math.ceil(math.sqrt(8 * tasks))))
+    packed = rows.withColumn("b", F.pmod(F.xxhash64("k"), F.lit(groups)).cast("int")).repartition(parts, "b").groupBy("b").agg(
         F.collect_list(F.struct("k", "c", "v")).alias("points"))
-    left = packed.select(F.col("b").alias("a"), F.explode(F.sequence("b", F.lit(blocks - 1))).alias("b"), F.col("points").alias("left"))
-    pairs = left.join(packed.select("b", F.col("points").alias("right")), "b")
+    packed = materialise(packed)
+    left = packed.select(F.col("b").alias("a"), F.col("points").alias("left"))
+    right = packed.select("b", F.col("points").alias("right"))
+    pairs = left.join(right.hint("shuffle_replicate_nl"), F.col("a") <= F.col("b"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for a, b, x, y in zip(pdf["a"], pdf["b"], pdf["left"], pdf["right"]):
-                yield fold(a == b, _points(x), _points(y))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, x, y in zip(*(batch.column(i) for i in range(4))):
+                found = fold(a.as_py() == b.as_py(), _points(x.values), _points(y.values))
+                yield from pa.Table.from_pandas(found, fields, preserve_index=False).to_batches()
 
-    return pairs.select("a", "b", "left", "right").mapInPandas(run, schema)
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+    return pairs.select("a", "b", "left", "right").mapInArrow(run, schema)
 
 
 def _points(packed):
-    keys = np.array([p["k"] for p in packed])
-    labels = np.array([p["c"] for p in packed])
-    return keys, labels, np.array([p["v"] for p in packed], dtype="float64")
+    keys, labels = (np.array(packed.field(c).to_pylist()) for c in ("k", "c"))
+    vectors = packed.field("v")
+    whole = not vectors.null_count and len(np.unique(np.diff(vectors.offsets.to_numpy()))) == 1
+    return keys, labels, balls.matrix(vectors) if whole else np.array(vectors.to_pylist(), dtype="float64")
 
 
 def silhouette_exact(df: DataFrame, key: str, vector: str, label: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -177,12 +193,19 @@ def silhouette_exact(df: DataFrame, key: str, vector: str, label: str, block_row
     label_type = df.schema[label].dataType.simpleString()
 
     def fold(same: bool, left, right) -> pd.DataFrame:
-        d = balls.distances(left[2], right[2])
+        sides = [np.unique(labels, return_inverse=True) for _, labels, _ in (left, right)]
+        hot = [(at[:, None] == np.arange(len(kinds))).astype(float) for kinds, at in sides]
+        sums = np.zeros((len(left[0]), len(sides[1][0]))), np.zeros((len(right[0]), len(sides[0][0])))
+        for i in range(0, len(right[0]), block_rows):
+            part = slice(i, i + block_rows)
+            d = balls.distances(left[2], right[2][part])
+            sums[0][:] += d @ hot[1][part]
+            if not same:
+                sums[1][part] = d.T @ hot[0]
         parts = []
-        for (keys, _, _), other, m in ((left, right[1], d), (right, left[1], d.T)):
-            for c in np.unique(other):
-                at = other == c
-                parts.append(pd.DataFrame({"k": keys, "c": c, "s": m[:, at].sum(axis=1), "n": int(at.sum())}))
+        for (keys, _, _), (kinds, _), n, s in ((left, sides[1], hot[1], sums[0]), (right, sides[0], hot[0], sums[1])):
+            parts.append(pd.DataFrame({"k": np.repeat(keys, len(kinds)), "c": np.tile(kinds, len(keys)), "s": s.ravel(),
+                                       "n": np.tile(n.sum(axis=0).astype(int), len(keys))}))
             if same:
                 break
         return pd.concat(parts)
@@ -204,20 +227,24 @@ def label_distances(df: DataFrame, key: str, vector: str, label: str, block_rows
     label_type = df.schema[label].dataType.simpleString()
 
     def fold(same: bool, left, right) -> pd.DataFrame:
-        d = balls.distances(left[2], right[2])
-        rows = []
-        for c in np.unique(left[1]):
-            for e in np.unique(right[1]):
-                part = d[np.ix_(left[1] == c, right[1] == e)]
-                if same:
-                    if c > e:
-                        continue
-                    if c == e:
-                        part = part[np.triu_indices(len(part), 1)]
-                if part.size:
-                    lo, hi = (c, e) if c <= e else (e, c)
-                    rows.append((lo, hi, float(part.min()), float(part.max()), float(part.sum()), int(part.size)))
-        return pd.DataFrame(rows, columns=["c1", "c2", "nearest", "farthest", "total", "pairs"])
+        met: dict = {}
+        for i in range(0, len(left[1]), block_rows):
+            for j in range(i if same else 0, len(right[1]), block_rows):
+                ours, theirs = left[1][i : i + block_rows], right[1][j : j + block_rows]
+                d = balls.distances(left[2][i : i + block_rows], right[2][j : j + block_rows])
+                for c in np.unique(ours):
+                    for e in np.unique(theirs):
+                        part = d[np.ix_(ours == c, theirs == e)]
+                        if same and i == j:
+                            if c > e:
+                                continue
+                            if c == e:
+                                part = part[np.triu_indices(len(part), 1)]
+                        if part.size:
+                            pair = (c, e) if c <= e else (e, c)
+                            lo, hi, total, n = met.get(pair, (np.inf, -np.inf, 0.0, 0))
+                            met[pair] = min(lo, float(part.min())), max(hi, float(part.max())), total + float(part.sum()), n + int(part.size)
+        return pd.DataFrame([(*pair, *facts) for pair, facts in met.items()], columns=["c1", "c2", "nearest", "farthest", "total", "pairs"])
 
     schema = f"c1 {label_type}, c2 {label_type}, nearest double, farthest double, total double, pairs bigint"
     cells = _block_pairs(df, key, vector, label, block_rows, fold, schema)
