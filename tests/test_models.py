@@ -460,6 +460,16 @@ def test_lonely_users_get_the_smallest_ids_and_negative_values_are_exact(spark):
     assert reco.user_neighbours(df.limit(0), "u", "i").count() == 0
 
 
+def test_users_meet_blocks_of_items_without_broadcasts(spark):
+    people = spark.range(40).selectExpr("id AS u", "array(1.0d) AS v", "1.0d AS length", "array(1L) AS had", "0.0d AS last")
+    blocks = spark.range(6).selectExpr("id AS b", "array(id) AS items")
+    met = factors._meetings(people, blocks, 5, 2, 4)
+    rows = met.selectExpr("size(users) AS n", "items[0] AS b").collect()
+    assert len(rows) == 10 and sum(r["n"] for r in rows) == 80 and {r["b"] for r in rows} == {2, 3}
+    plan = met._jdf.queryExecution().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan
+
+
 def test_best_products_equal_all_pairs_and_stop_early(spark):
     rng = np.random.default_rng(5)
     people, things = rng.normal(size=(120, 6)), rng.normal(size=(900, 6)) * rng.pareto(1.5, (900, 1))
