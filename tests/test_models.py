@@ -4,11 +4,12 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import values
-from tillwork.operators import attribution, bounded, cluster, factors, gram, metrics, models, reco, search
+from tillwork.operators import attribution, bounded, cluster, factors, gram, metrics, models, neighbours, reco, search
 
 D = dt.date
 
@@ -460,6 +461,44 @@ def test_lonely_users_get_the_smallest_ids_and_negative_values_are_exact(spark):
     assert reco.user_neighbours(df.limit(0), "u", "i").count() == 0
 
 
+def test_a_vector_is_sent_once_for_a_block_and_not_for_each_of_its_lists(spark):
+    classes = spark.range(4_000).selectExpr("id AS c", "transform(sequence(0, 19), j -> (id * 7 + j * 13) % 500) AS i")
+    classes = classes.selectExpr("c", "array_sort(i) AS i", "array_repeat(1 / sqrt(20d), 20) AS x", "0.1d AS bound")
+    met = neighbours._classes_meet(classes, "bigint", 64)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "BroadcastExchange" not in plan
+    asked = met.groupBy("b").agg(F.count("*").alias("n"), F.first("sizes").alias("sizes"), F.first("names").alias("names")).collect()
+    assert sorted(c for r in asked for c in r["names"]) == list(range(4_000))  # every vector stands in one block
+    assert all(r["n"] == len(asked) and len(r["sizes"]) == 4 * len(r["names"]) for r in asked)
+
+
+@pytest.mark.parametrize("terms, sparse_cost", [(2**21, 40), (500, 40), (2**21, 10**9), (2**21, 0)])
+def test_blocks_find_the_nearest_in_every_way(monkeypatch, terms, sparse_cost):
+    monkeypatch.setattr(neighbours, "TERMS", terms)
+    monkeypatch.setattr(neighbours, "SPARSE_COST", sparse_cost)
+    rng = np.random.default_rng(5)
+    for hot in (0, 3):  # with items that nearly all have, heads are short
+        x = rng.integers(1, 4, (300, 400)) * (rng.random((300, 400)) < 0.02)
+        x[:, 397:] = 5 * rng.integers(0, 2, (300, 3)) * (hot > 0)
+        x[np.arange(300), rng.integers(0, 390, 300)] = 30 if hot else 2
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+
+        def block(rows):
+            r, i = np.nonzero(x[rows])
+            return neighbours.Lists(pa.array(rows), np.bincount(r, minlength=len(rows)).astype(np.int32).tobytes(), i.tobytes(), x[rows][r, i].tobytes())
+
+        parts = np.array_split(np.arange(300), 3)
+        near = neighbours.Nearest(block(parts[1]), np.zeros(100), 4, 9, False)
+        for p in parts:
+            near.meet(block(p))
+        row, s, names = near.best()
+        want = np.round(x[parts[1]] @ x.T, 9)
+        for u in range(100):
+            order = [j for j in sorted(range(300), key=lambda j: (-want[u, j], j))[:4] if want[u, j] > 0]
+            assert names.to_numpy()[row == u].tolist() == order and np.allclose(s[row == u], want[u, order], atol=2e-9)
+            assert len(order) <= near.examined[u] <= 300
+
+
 def test_users_meet_blocks_of_items_without_broadcasts(spark):
     people = spark.range(40).selectExpr("id AS u", "array(1.0d) AS v", "1.0d AS length", "array(1L) AS had", "0.0d AS last")
     blocks = spark.range(6).selectExpr("id AS b", "array(id) AS items")
