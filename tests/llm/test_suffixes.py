@@ -109,3 +109,19 @@ def test_a_frequent_run_with_passages_on_either_side(spark, partitions):
         assert found_cover(suffixes.repeated_passages(frame(spark, few)).collect()) == plain_cover(few)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", usual)
+
+
+def test_suffixes_are_held_until_the_surroundings_are_known_and_not_written(spark, monkeypatch):
+    written, kept = [], []
+    monkeypatch.setattr(suffixes, "spill", lambda df, name, real=suffixes.spill: (written.append(name), real(df, name))[1])
+
+    class Watched(suffixes.Held):
+        def keep(self, df):
+            kept.append(super().keep(df))
+            return kept[-1]
+
+    monkeypatch.setattr(suffixes, "Held", Watched)
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = suffixes.repeated_passages(frame(spark, [(1, f"a {passage}"), (2, f"b c {passage}")])).collect()
+    assert sorted((r.doc_id, r.first_word, r.n_words, r.match_doc_id) for r in rows) == [(1, 1, 60, 2), (2, 2, 60, 1)]
+    assert "suffixes" not in written and len(kept) == 1 and not kept[0].storageLevel.useDisk

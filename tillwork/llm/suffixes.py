@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .store import spill
+from .store import Held, spill
 from .words import U64, grams, slices, text_buffer, words_of
 
 #: Words of the shortest passage that counts.
@@ -230,13 +230,15 @@ def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
     key = F.xxhash64("text")
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text")).dropna().withColumn("text_hash", key)
     found = docs.select("doc", "text_hash", F.explode(suffixes("text")).alias("s")).select("doc", "text_hash", "s.*")
-    found = spill(found, "suffixes")
+    held = Held()
+    found = held.keep(found)
     often = found.groupBy("run").agg(F.count("*").alias("n")).filter("n > 1").select("run", (F.col("n") > NEAR + 1).alias("hot"))
     places = spill(found.join(spill(often, "runs"), "run"), "repeated").groupBy("doc", "text_hash").agg(
         F.collect_set(F.when(~F.col("hot"), F.col("at"))).alias("few"), F.collect_set(F.when(F.col("hot"), F.col("at"))).alias("many"))
     around = spill(docs.join(places, ["doc", "text_hash"]).dropDuplicates(["doc", "text_hash"]).select(
         "doc", "text_hash", "many", F.when(F.size("many") > 0, F.col("text")).alias("text"),
         surroundings("text", "few").alias("few_s"), surroundings("text", "many").alias("many_s")), "surroundings")
+    held.release()
     order = ["run", "after", "doc", "at"]
     ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), around.rdd.getNumPartitions())
     few, many = (around.select("doc", "text_hash", F.explode(c).alias("s")).select("doc", "text_hash", "s.*").select(*CARRIED)
