@@ -1,3 +1,7 @@
+import datetime as dt
+import random
+
+import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -15,9 +19,6 @@ def in_files(spark, rows, schema, parts):
 
 
 def some_rows(n):
-    import datetime as dt
-    import random
-
     rng = random.Random(2)
     start = dt.datetime(2024, 1, 1)
     return [(i, start + dt.timedelta(hours=9 * i), rng.choice("abc"), float(rng.randrange(9)) if i % 11 else None) for i in range(n)]
@@ -41,6 +42,27 @@ def test_days_and_carry_over_of_many_batches_equal_one_batch(spark):
     assert {r["id"]: round(r["adstock"], 9) for r in got.collect()} == {i: round(v, 9) for i, v in wanted.items()}
 
 
+def test_groups_share_calls(spark):
+    """Many groups, with keys and numbers that are null or beyond the integers of a float, in far fewer calls than groups."""
+    big, day = 2**60, dt.datetime(2024, 1, 1)
+    keys = [*range(300), None, big, big + 1]
+    rows = [(big + 400 * t + i if i else None, day + dt.timedelta(days=t), g, h, 1.0) for t in range(4) for i, g in enumerate(keys) for h in ("x", None)]
+    schema = "id long, at timestamp, g long, h string, x double"
+    path, calls = in_files(spark, rows, schema, 4), spark.sparkContext.accumulator(0)
+
+    def step(part, first, carried):
+        calls.add(1)
+        group = np.cumsum(first) - 1
+        count = np.arange(len(part)) - np.flatnonzero(first)[group] + np.array([c or 0 for c in carried])[group]
+        return count, (count + 1)[np.r_[first[1:], True]].tolist()
+
+    stream = history._stateful(history.read_files(spark, path, 1), ["g", "h"], "at", "id", step, "n", "long", parts=4)
+    got = history.run_available(stream, "shared").collect()
+    assert calls.value <= 4 * 4 * 4
+    assert sorted(((r["id"] or 0), str(r["g"]), str(r["h"]), r["n"]) for r in got) == sorted(
+        ((i or 0), str(g), str(h), (at - day).days) for i, at, g, h, _ in rows)
+
+
 def test_first_rows_within_a_time(spark):
     path = in_files(spark, some_rows(60), SCHEMA, 3)
     got = history.run_available(history.first_within(history.read_files(spark, path, 1), ["g"], "at", "400 days"), "first")
