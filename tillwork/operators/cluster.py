@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -103,7 +104,6 @@ def cluster_sweep(
     """
     ks = list(range(low, high + 1))
     labelled, inertia = lloyd.kmeans(df, vector, ks, method, seed, max_iter)
-    labelled = materialise(labelled)
     rows = []
     for k in ks:
         points = labelled.filter(F.col(vector).isNotNull())
@@ -114,6 +114,59 @@ def cluster_sweep(
 
 # ---- silhouette with squared distances: linear cost ------------------------
 
+def cell_moments(df: DataFrame, label: str, vector: str) -> DataFrame:
+    """(label, i, m, q, n) of the i-th components in each cluster: their mean, their mean square, and the vectors that have one.
+
+    Nulls do not count for the means.  A batch of rows is summed up in one go;
+    vectors are not written out component by component.
+    """
+    kind = df.schema[label].dataType.simpleString()
+    rows = df.select(F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("v"))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy()
+            if not sizes.sum():
+                continue
+            coded, values, width = batch.column(0).dictionary_encode(null_encoding="encode"), batch.column(1).flatten(), int(sizes.max())
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            cell = coded.indices.to_numpy()[row].astype(np.int64) * width + np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            live = values.is_valid().to_numpy(zero_copy_only=False)
+            x, at, cells = values.drop_null().to_numpy(), cell[live], len(coded.dictionary) * width
+            sums = [np.bincount(c, w, cells).reshape(-1, width) for c, w in ((cell, None), (at, None), (at, x), (at, x * x))]
+            yield pa.RecordBatch.from_arrays(
+                [coded.dictionary, *(pa.array(list(t.astype(np.int64 if i < 2 else np.float64))) for i, t in enumerate(sums))], ["label", "n", "c", "s", "q"])
+
+    parts = rows.mapInArrow(add, f"label {kind}, n array<bigint>, c array<bigint>, s array<double>, q array<double>")
+    cells = parts.select("label", F.posexplode(F.arrays_zip("n", "c", "s", "q")).alias("i", "z")).filter("z.n > 0").groupBy("label", "i").agg(
+        *[F.sum(f"z.{c}").alias(c) for c in "ncsq"])
+    return cells.select("label", "i", divide("s", "c").alias("m"), divide("q", "c").alias("q"), "n")
+
+
+def _distances(clusters: list) -> Callable:
+    """Mean squared distance of a vector to each cluster; null where a component is missing on either side."""
+    whole = [i for i, c in enumerate(clusters) if None not in c["mean"]]
+    widths = {w: [i for i in whole if len(clusters[i]["mean"]) == w] for w in {len(clusters[i]["mean"]) for i in whole}}
+
+    @F.arrow_udf("array<double>")
+    def distances(vectors: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(vectors), -1).to_numpy()
+        gaps = np.zeros(len(vectors), bool)
+        held = np.maximum(sizes, 0)
+        gaps[np.repeat(np.arange(len(vectors)), held)[~vectors.flatten().is_valid().to_numpy(zero_copy_only=False)]] = True
+        out, known = np.zeros((len(vectors), len(clusters))), np.zeros((len(vectors), len(clusters)), bool)
+        for width, own in widths.items():
+            rows = np.flatnonzero((sizes == width) & ~gaps)
+            if len(rows):
+                x = balls.matrix(vectors.take(pa.array(rows)))
+                mean = np.array([clusters[i]["mean"] for i in own])
+                out[np.ix_(rows, own)] = (x * x).sum(axis=1)[:, None] - 2 * x @ mean.T + np.array([clusters[i]["sq"] for i in own])
+                known[np.ix_(rows, own)] = True
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(vectors) + 1) * len(clusters), pa.int32()), pa.array(out.ravel(), mask=~known.ravel()))
+
+    return distances
+
+
 def silhouette_squared(df: DataFrame, key: str, vector: str, label: str) -> DataFrame:
     """Silhouette per row with squared Euclidean distances, exact at linear cost.
 
@@ -122,24 +175,20 @@ def silhouette_squared(df: DataFrame, key: str, vector: str, label: str) -> Data
     each data row.  Rows carry plain arrays.
     """
     rows = df.select(key, label, F.col(vector).cast("array<double>").alias("_v"))
-    cells = rows.select(label, F.posexplode("_v").alias("_i", "_x")).groupBy(label, "_i").agg(
-        F.avg("_x").alias("_m"), F.avg(F.col("_x") * F.col("_x")).alias("_q"), F.count(F.lit(1)).alias("_n"))
-    clusters = cells.groupBy(label).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_i", "_m"))), lambda s: s["_m"]).alias("mean"),
-        F.sum("_q").alias("sq"), F.max("_n").alias("n"))
-    packed = clusters.agg(F.collect_list(F.struct(F.col(label).alias("label"), "mean", "sq", "n")).alias("_clusters"))
-    with_all = attach_row(rows, packed)
-    norm = F.aggregate("_v", F.lit(0.0), lambda acc, x: acc + x * x)
-
-    def to_cluster(c):
-        dot = F.aggregate(F.zip_with("_v", c["mean"], lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-        mean_sq = F.col("_norm") - 2 * dot + c["sq"]
+    clusters = cell_moments(rows, label, "_v").groupBy("label").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("mean"),
+        F.sum("q").alias("sq"), F.max("n").alias("n")).filter("label IS NOT NULL").collect()
+    scored = rows.withColumn("_all", _distances(clusters)("_v")) if clusters else rows.withColumn("_all", F.array().cast("array<double>"))
+    kind = df.schema[label].dataType
+    named = F.array(*[F.struct(F.lit(c["label"]).cast(kind).alias("label"), F.lit(c["n"]).alias("n")) for c in clusters])
+    named = named if clusters else F.array().cast(f"array<struct<label:{kind.simpleString()},n:bigint>>")
+
+    def to_cluster(c, d):
         own = c["label"] == F.col(label)
         # a row does not count towards its own cluster's mean distance
-        return F.struct(own.alias("own"), c["n"].alias("n"),
-                        F.when(own, divide(mean_sq * c["n"], c["n"] - 1)).otherwise(mean_sq).alias("d"))
+        return F.struct(own.alias("own"), c["n"].alias("n"), F.when(own, divide(d * c["n"], c["n"] - 1)).otherwise(d).alias("d"))
 
-    scored = with_all.withColumn("_norm", norm).withColumn("_d", F.transform("_clusters", to_cluster))
+    scored = scored.withColumn("_d", F.zip_with(named, "_all", to_cluster))
     a = F.filter("_d", lambda x: x["own"])[0]
     b = F.array_min(F.transform(F.filter("_d", lambda x: ~x["own"]), lambda x: x["d"]))
     value = F.when(a["n"] <= 1, F.lit(0.0)).otherwise(divide(b - a["d"], F.greatest(a["d"], b)))

@@ -23,25 +23,33 @@ METHODS = ("raw", "scaled", "pca")
 FIRST_SAMPLE = 5_000
 
 
+def _joined(a, b):
+    """Number, mean and sums of products around it of two sets of vectors."""
+    if a is None:
+        return b
+    (n, mean, spread), (k, m, s) = a, b
+    gap, total = m - mean, n + k
+    return total, mean + gap * (k / total), spread + s + np.outer(gap, gap) * (n * k / total)
+
+
 def moments(points: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
     """Number, mean and covariance of the vectors in ``v``, from one row of sums for each task."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
         for batch in batches:
             if batch.num_rows:
                 x = matrix(batch.column(0))
                 m = x.mean(axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array([len(x)], pa.int64()), pa.array([m]), pa.array([((x - m).T @ (x - m)).ravel()])], ["n", "m", "s"])
-
-    n, mean, spread = 0, None, None
-    for r in points.select("v").mapInArrow(add, "n bigint, m array<double>, s array<double>").toLocalIterator():
-        m, s = np.array(r["m"]), np.array(r["s"]).reshape(len(r["m"]), -1)
-        if mean is None:
-            n, mean, spread = r["n"], m, s
-            continue
-        gap, total = m - mean, n + r["n"]
-        spread = spread + s + np.outer(gap, gap) * (n * r["n"] / total)
-        mean, n = mean + gap * (r["n"] / total), total
+                total = _joined(total, (len(x), m, (x - m).T @ (x - m)))
+        if total is not None:
+            n, m, s = total
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([m]), pa.array([s.ravel()])], ["n", "m", "s"])
+
+    total = None
+    for r in points.select("v").mapInArrow(add, "n bigint, m array<double>, s array<double>").collect():
+        total = _joined(total, (r["n"], np.array(r["m"]), np.array(r["s"]).reshape(len(r["m"]), -1)))
+    n, mean, spread = total or (0, None, None)
     if not n:
         raise ValueError("no vectors")
     return n, mean, spread / n
@@ -95,16 +103,22 @@ def kmeans(df: DataFrame, vector: str, ks: Sequence[int], method: str = "raw", s
     scale = max(float(sample.var(axis=0).sum()), 1e-300)
     open_ = set(ks)
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([((matrix(batch.column(0)) - shift) @ turn).tobytes()], pa.binary())], ["x"])
+
+    # a round reads blocks of transformed points, not one array after another
+    packed, width = materialise(points.mapInArrow(pack, "x binary")), turn.shape[1]
+
     def sums(of: dict[int, np.ndarray]):
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = {k: (np.zeros((k, c.shape[1])), np.zeros(k)) for k, c in of.items()}
-            for batch in batches:
-                if batch.num_rows:
-                    x = (matrix(batch.column(0)) - shift) @ turn
-                    for k, c in of.items():
-                        label = _squares(x, c).argmin(axis=1)
-                        np.add.at(total[k][0], label, x)
-                        total[k][1][:] += np.bincount(label, minlength=k)
+            for x in (np.frombuffer(b.as_py()).reshape(-1, width) for batch in batches for b in batch.column(0)):
+                for k, c in of.items():
+                    label = _squares(x, c).argmin(axis=1)
+                    total[k][0][:] += (label == np.arange(k)[:, None]).astype(float) @ x
+                    total[k][1][:] += np.bincount(label, minlength=k)
             for k, (s, n) in total.items():
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([s.ravel()]), pa.array([n])], ["k", "s", "n"])
 
@@ -113,9 +127,9 @@ def kmeans(df: DataFrame, vector: str, ks: Sequence[int], method: str = "raw", s
     for _ in range(max_iter):
         if not open_:
             break
-        found = points.mapInArrow(sums({k: centres[k] for k in open_}), "k int, s array<double>, n array<double>")
+        found = packed.mapInArrow(sums({k: centres[k] for k in open_}), "k int, s array<double>, n array<double>")
         total: dict[int, list] = {}
-        for r in found.toLocalIterator():
+        for r in found.collect():  # a few sums of each task; an iterator would read the partitions one by one
             s, n = np.array(r["s"]).reshape(r["k"], -1), np.array(r["n"])
             total[r["k"]] = [s, n] if r["k"] not in total else [total[r["k"]][0] + s, total[r["k"]][1] + n]
         for k, (s, n) in total.items():
@@ -137,7 +151,7 @@ def kmeans(df: DataFrame, vector: str, ks: Sequence[int], method: str = "raw", s
         return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), entries, mask=pa.array(np.array(vectors.is_null()))) if len(vectors) else pa.array(
             [], pa.list_(entries.type))
 
-    marked = df.withColumn("_near", nearest(F.col(vector).cast("array<double>")))
+    marked = materialise(df.withColumn("_near", nearest(F.col(vector).cast("array<double>"))))
     inertia = marked.agg(*[F.sum(F.col("_near")[i]["square"]).alias(f"s{i}") for i in range(len(ks))]).first()
     labelled = marked.select(*df.columns, *[F.col("_near")[i]["label"].alias(f"cluster_{k}") for i, k in enumerate(ks)])
     return labelled, {k: float(inertia[i] or 0.0) for i, k in enumerate(ks)}

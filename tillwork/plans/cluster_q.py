@@ -1,5 +1,8 @@
 """Clustering queries on the embedding table."""
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.operators import cluster
@@ -106,10 +109,9 @@ def cluster_sweep(spark, d):
     rows, out = table(spark, d, "embeddings").select("vec_id", "embedding"), None
     for method in ("raw", "scaled", "pca"):
         scores, labelled = cluster.cluster_sweep(rows, "vec_id", "embedding", 2, 5, method)
-        long = labelled.select("vec_id", F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"cluster_{k}").alias("c")) for k in range(2, 6)])), "embedding")
-        cells = long.select("k", "c", F.posexplode(F.col("embedding").cast("array<double>")).alias("i", "x")).groupBy("k", "c", "i").agg(
-            F.var_pop("x").alias("s"), F.count("*").alias("n"))
-        around = cells.groupBy("k").agg(F.sum(F.col("s") * F.col("n")).alias("around"))
+        long = labelled.select("vec_id", F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"cluster_{k}").alias("c")) for k in range(2, 6)])))
+        cells = [cluster.cell_moments(labelled, f"cluster_{k}", "embedding").withColumn("k", F.lit(k)) for k in range(2, 6)]
+        around = functools.reduce(DataFrame.unionByName, cells).groupBy("k").agg(F.sum((F.col("q") - F.col("m") * F.col("m")) * F.col("n")).alias("around"))
         sizes = long.groupBy("k").agg(F.count("*").alias("points"), F.every((F.col("c") >= 0) & (F.col("c") < F.col("k"))).alias("whole"))
         found = scores.join(around, "k").join(sizes, "k")
         before = found.select((F.col("k") + 1).alias("k"), F.col("inertia").alias("before"))
