@@ -22,7 +22,7 @@ from tillwork.operators.joins import keep_missing
 from tillwork.operators.metrics import regression_metrics
 from tillwork.operators.neighbours import neighbour_search, user_neighbours  # noqa: F401
 from tillwork.operators.ordered import dense_ids, top_per_key
-from tillwork.session import LOCAL_ROWS, attach_row, materialise, small_side
+from tillwork.session import LOCAL_ROWS, attach_row, dealt, materialise, small_side
 
 #: Items handled together in one array or matrix.
 ITEM_BLOCK = 10_000
@@ -143,11 +143,27 @@ def clamp(c: Column, low: float, high: float) -> Column:
     return F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), c))
 
 
+#: Ratings of a user up to which all of them may stay in one partition.
+USER_RATINGS = 100_000
+
+
+def ratings_by_user(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
+    """The ratings as a stored table, in partitions by user unless one user has very many."""
+    rows = materialise(ratings.select(user, item, rating))
+    sizes = rows.groupBy(user).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.max("n")).first()
+    return dealt(rows, [user], sizes[0]) if sizes[0] and sizes[1] <= USER_RATINGS else rows
+
+
 def baselines(
-    ratings: DataFrame, user: str, item: str, rating: str, epochs: int = 10, damp_user: float = 15.0, damp_item: float = 10.0
+    ratings: DataFrame, user: str, item: str, rating: str, epochs: int = 10, damp_user: float = 15.0, damp_item: float = 10.0,
+    stored: bool = False,
 ) -> tuple[float, DataFrame, DataFrame]:
-    """Global mean, user biases and item biases by damped alternating means."""
-    ratings = materialise(ratings.select(user, item, rating))
+    """Global mean, user biases and item biases by damped alternating means.
+
+    The ratings are dealt to partitions by user once, so that a turn shuffles
+    only sums of items; ``stored`` ones come from ``ratings_by_user``.
+    """
+    ratings = ratings if stored else ratings_by_user(ratings, user, item, rating)
     mean = ratings.agg(F.avg(rating)).first()[0]
     if mean is None:
         raise ValueError("no ratings")
@@ -233,7 +249,8 @@ def _per_target(targets: DataFrame, ratings: DataFrame, pairs: DataFrame, user:
     rated = one_rating_per_pair(ratings, user, item, rating).select(
         F.col(user).alias("_u"), F.col(item).alias("j"), F.col(rating).alias("r"))
     rows = targets.select(user, item).distinct().join(rated, F.col(user) == F.col("_u")).drop("_u")
-    return rows.join(pairs.select(F.col("i").alias(item), "j", F.col(weight).alias("w")), [item, "j"])
+    # a target meets all items of its user, so the rows are many times the ratings: they should not be shuffled on hot items
+    return rows.join(small_side(pairs.select(F.col("i").alias(item), "j", F.col(weight).alias("w"))), [item, "j"])
 
 
 def _fold_targets(
@@ -245,7 +262,9 @@ def _fold_targets(
     """
     rows = _per_target(targets, ratings, pairs, user, item, rating, weight)
     if k is not None:
-        rows = top_per_key(rows.filter(F.col("w") > 0), [user, item], [F.desc("w"), F.col("j")], k)
+        rows = rows.filter(F.col("w") > 0)
+        if pairs.select("j").distinct().limit(k + 1).count() > k:  # fewer rated items need no ranking
+            rows = top_per_key(rows, [user, item], [F.desc("w"), F.col("j")], k)
     return rows.groupBy(user, item).agg(
         F.sum("w").alias("s0"), F.sum(F.col("w") * F.col("r")).alias("s1"), F.count(F.lit(1)).cast("double").alias("n"))
 
@@ -298,7 +317,8 @@ def item_knn(
     pairs = item_similarities(ratings, user, item, rating, measure, pairs)
     overall = ratings.agg(F.avg(rating).alias("_all"))
     if variant == "baseline":
-        model = baselines(ratings, user, item, rating)
+        ratings = ratings_by_user(ratings, user, item, rating)
+        model = baselines(ratings, user, item, rating, stored=True)
         centred = predict_baseline(ratings, model, user, item, "_level").withColumn("_scale", F.lit(1.0))
         level = predict_baseline(targets, model, user, item, "_level").withColumn("_scale", F.lit(1.0))
     else:
