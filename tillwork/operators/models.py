@@ -484,7 +484,8 @@ def prepare_training(
 ) -> tuple[DataFrame, DataFrame]:
     """Remove rows with missing required values and split train and validation parts."""
     rows = df.dropna(subset=list(drop_missing)) if drop_missing else df
-    marked = take_by_hash(rows, keys, seed, {"_train": F.bround(F.lit(train_size) * F.col("n"))})
+    # stored, since either part would find the cut anew each time it is read
+    marked = materialise(take_by_hash(rows, keys, seed, {"_train": F.bround(F.lit(train_size) * F.col("n"))}))
     return marked.filter("_train").drop("_train"), marked.filter("NOT _train").drop("_train")
 
 

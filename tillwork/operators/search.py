@@ -108,7 +108,7 @@ def halving_search(
     open_, share, round_ = list(settings or settings_grid()), first_share, 1
     done: list[tuple[Setting, int, int, float]] = []
     while True:
-        part = learn if share >= 1 - 1e-9 else learn.filter(F.col("_at") < share)
+        part = learn if share >= 1 - 1e-9 else materialise(learn.filter(F.col("_at") < share))
         rows, scores = part.count(), []
         for how in dict.fromkeys(s.fill for s in open_):
             own = [s for s in open_ if s.fill == how]
@@ -120,7 +120,6 @@ def halving_search(
                     w = _linear(g, s)
                     scores.append((_error(against, w, g.intercept(w)), s))
             if len(linear) < len(own):
-                fit_on, judged = materialise(fit_on), materialise(judged)
                 scores += [(_tree_error(fit_on, judged, xs, y, s, seed), s) for s in own if s not in linear]
         scores.sort(key=lambda e: (round(e[0], 12), open_.index(e[1])))
         last = share >= 1 - 1e-9
