@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.recommendation import ALS
+from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -412,6 +412,16 @@ def co_clustering(
 
 # ---- factor models ---------------------------------------------------------
 
+#: Ratings of a block of the factor models, and blocks there are at least; a task holds a block, with the factors it needs.
+BLOCK_RATINGS, BLOCKS = 500_000, 10
+
+
+def _als(coded: DataFrame, **settings) -> ALSModel:
+    """Factors of ``coded`` ratings (_uid, _iid, _r), in as many blocks as they need."""
+    blocks = max(BLOCKS, -(-coded.count() // BLOCK_RATINGS))
+    return ALS(userCol="_uid", itemCol="_iid", ratingCol="_r", numUserBlocks=blocks, numItemBlocks=BLOCKS, **settings).fit(coded)
+
+
 def als_predict(
     ratings: DataFrame, targets: DataFrame, user: str, item: str, rating: str, rank: int = 8, reg: float = 0.1,
     max_iter: int = 8, nonnegative: bool = False, seed: int = 42, name: str = "prediction",
@@ -420,8 +430,7 @@ def als_predict(
     users = materialise(dense_ids(ratings, [user], "_uid"))
     items = small_side(dense_ids(ratings, [item], "_iid"))
     coded = ratings.join(users, user).join(items, item).select("_uid", "_iid", F.col(rating).cast("float").alias("_r"))
-    model = ALS(userCol="_uid", itemCol="_iid", ratingCol="_r", rank=rank, regParam=reg, maxIter=max_iter,
-                nonnegative=nonnegative, seed=seed, coldStartStrategy="nan").fit(coded)
+    model = _als(materialise(coded), rank=rank, regParam=reg, maxIter=max_iter, nonnegative=nonnegative, seed=seed, coldStartStrategy="nan")
     asked = targets.join(users, user, "left").join(items, item, "left")
     scored = model.transform(asked.withColumns({"_uid": F.coalesce("_uid", F.lit(-1)), "_iid": F.coalesce("_iid", F.lit(-1))}))
     rows = attach_row(scored, ratings.agg(F.avg(rating).alias("_all")))
@@ -442,8 +451,7 @@ def als_implicit(
     item_ids = small_side(dense_ids(interactions, [item], "_iid"))
     coded = interactions.join(user_ids, user).join(item_ids, item).groupBy("_uid", "_iid").agg(
         F.sum(value).cast("float").alias("_r"))
-    model = ALS(userCol="_uid", itemCol="_iid", ratingCol="_r", rank=rank, regParam=reg, alpha=alpha, maxIter=max_iter,
-                implicitPrefs=True, seed=seed).fit(coded)
+    model = _als(materialise(coded), rank=rank, regParam=reg, alpha=alpha, maxIter=max_iter, implicitPrefs=True, seed=seed)
     wanted = user_ids if users is None else user_ids.join(users.select(user).distinct(), user, "left_semi")
     left = model.userFactors.select(F.col("id").alias("_uid"), "features").join(wanted, "_uid").select(user, "features")
     right = model.itemFactors.select(F.col("id").alias("_iid"), "features").join(item_ids, "_iid").select(item, "features")
