@@ -292,3 +292,42 @@ def test_open_lines_meet_all_partners_also_with_long_lines(spark, monkeypatch):
     rows += [(100 + i, " ".join(rng.sample(base[:40], 9))) for i in range(150)]
     got = {(r.doc_id, r.line_no): r.exact for r in lines.repeated_lines(frame(spark, rows)).collect()}
     assert got == plain_repeats(rows)
+
+
+def test_open_lines_fetch_only_lines_that_share_a_first_token_of_like_size():
+    import pyarrow as pa
+
+    steps = Sent(np.zeros(lines.CLASSES, np.uint8))
+    common = [f"w{i}" for i in range(30)]
+    rows = [(0, " ".join(common[:10])), (1, " ".join([*common[:9], "x"])), (2, " ".join(common[:4])), (3, " ".join(common))]
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([t for _, t in rows])], ["doc", "text"])
+
+    def marked(columns):
+        (out,) = lines._mark(iter([pa.RecordBatch.from_arrays(columns, [str(i) for i in range(len(columns))])]))
+        return Sent(np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in out.column(1)]))
+
+    asked = pa.Table.from_batches(lines._loose_postings(steps, 80)(iter([batch.slice(0, 1)]))).to_pylist()
+    first = [(r["token"], r["step"] + k) for r in asked if r["token"] is not None for k in (-1, 0, 1)]
+    wanted = marked([pa.array([r["members"] for r in asked if r["members"]], pa.binary())])
+    leads = marked([pa.array([t for t, _ in first], pa.int64()), pa.array([s for _, s in first], pa.int32())])
+    sent = pa.Table.from_batches(lines._loose_postings(steps, 80, wanted, leads)(iter([batch]))).to_pylist()
+    assert {r["doc"] for r in sent} in ({0}, {0, 1})  # not 2 and 3, of which all words are wanted but which are too short or too long
+    assert {r["doc"] for r in sent if r["members"]} == {r["doc"] for r in sent}
+
+
+def test_verified_sets_are_not_shuffled_again(spark):
+    from tillwork.llm.store import Held
+
+    docs = frame(spark, [(i, f"a b c d e{i % 3}\nf g h") for i in range(40)]).toDF("doc", "text")
+    pairs = spark.createDataFrame([(i, 0, 5, i - 3, 0) for i in range(3, 40)], "doc long, line int, size int, match_doc long, match_line int")
+    held, limit = Held(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sets = lines._line_sets(pairs, docs, held)
+        out = lines._verified(pairs, sets, 80)
+        assert out.filter("ok").count() == 37
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ENSURE_REQUIREMENTS") == 2  # of the pairs, which move to either side
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        held.release()

@@ -354,7 +354,7 @@ def _candidates(percent: int, tries: int):
             if len(j):
                 found.append((i, j))
                 alike = (bits[i] == bits[j]) & (more_bits[i] == more_bits[j]) & (size[i] == size[j])
-                taken[j] += np.where(alike, max(1, limit // 4), 1).astype(np.int16)  # an equal set most likely settles the line
+                taken[j] += np.where(alike, limit, 1).astype(np.int16)  # an equal set most likely settles the line
                 later = later[taken[later] < limit]
         if not found:
             none = np.zeros(0, np.int64)
@@ -376,29 +376,49 @@ def line_marks(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
     return (_spread(doc, line) >> U64(64 - MAP_BITS)).astype(np.int64)
 
 
+def only_lines(texts: pa.Array, numbers: pa.Array) -> pa.Array:
+    """Texts of which only the lines with these numbers are left; the others are empty."""
+    chosen = (set(n.as_py() or ()) for n in numbers)
+    return pa.array(["\n".join(x if k in own else "" for k, x in enumerate(t.as_py().split("\n"))) for t, own in zip(texts, chosen)], pa.string())
+
+
 #: A row for each of the first tokens of a line, without its set, and a row with the set of each line, without token.
-LOOSE = "token long, doc long, line int, size int, place int, bits long, more_bits long, members binary"
+LOOSE = "token long, step int, doc long, line int, size int, place int, bits long, more_bits long, members binary"
+
+
+def size_steps(size: np.ndarray, percent: int) -> np.ndarray:
+    """Steps so wide that sizes of similar sets are in the same or in neighbouring ones."""
+    return np.floor(np.log(size) / (np.log(100 / percent) or 1.0) + 1e-9).astype(np.int32)
 
 
-def _loose_postings(steps, percent: int, wanted=None):
-    """First tokens of lines, and the set of each line once; of lines that may match wanted words, and of such words, where a map is given."""
+def _loose_postings(steps, percent: int, wanted=None, leads=None):
+    """First tokens of lines, and the set of each line once.
+
+    Where maps are given, of lines that may match ``wanted`` words, and of tokens
+    that are in ``leads`` with the step of the line's size; without, of the lines
+    that a third column names.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = None if wanted is None else np.unpackbits(wanted.value).astype(bool)
+        marks, firsts = (None if m is None else np.unpackbits(m.value).astype(bool) for m in (wanted, leads))
         names = [c.split()[0] for c in LOOSE.split(", ")]
         for batch in batches:
+            if batch.num_columns > 2:
+                batch = pa.RecordBatch.from_arrays([batch.column(0), only_lines(batch.column(1), batch.column(2))], ["doc", "text"])
             for ids, texts in ((batch.column(0).to_numpy()[at : at + len(t)], t) for at, t in slices(batch.column(1), SLICE)):
                 lines = Lines(texts, steps.value, percent, marks)
                 if not len(lines.size):
                     continue
                 place, _, use = lines.prefix(percent)
+                step = size_steps(lines.size, percent)
                 if marks is not None:
-                    use &= marks[word_places(lines.token)]
+                    at = np.flatnonzero(use)
+                    use[at[~firsts[line_marks(lines.token[at].view(np.int64), np.repeat(step, lines.size)[at])]]] = False
                 own, bits = np.repeat(np.arange(len(lines.size)), lines.size)[use], lines.parity(mix(lines.token))
                 of_line = lambda i, **more: [more.get(c, pa.nulls(len(i), k)) for c, k in zip(names, (
-                    pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))]
+                    pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))]
                 where = lambda i: dict(doc=pa.array(ids[lines.text[i]], pa.int64()), line=pa.array(lines.line[i]), size=pa.array(lines.size[i]))
-                yield pa.RecordBatch.from_arrays(of_line(own, token=pa.array(lines.token[use].view(np.int64)), place=pa.array(place[use]),
+                yield pa.RecordBatch.from_arrays(of_line(own, token=pa.array(lines.token[use].view(np.int64)), step=pa.array(step[own]), place=pa.array(place[use]),
                                                          bits=pa.array(bits[0][own].view(np.int64)), more_bits=pa.array(bits[1][own].view(np.int64)), **where(own)), names)
                 once = distinct(own)
                 yield pa.RecordBatch.from_arrays(of_line(once, members=pa.array([lines.members(i) for i in once.tolist()], pa.binary()), **where(once)), names)
@@ -409,17 +429,18 @@ def _loose_postings(steps, percent: int, wanted=None):
 def _all_partners(open_: DataFrame, docs: DataFrame, steps, percent: int, held: Held) -> DataFrame:
     """Earlier similar lines of the lines (doc, line) in ``open_``, by a join on their first tokens.
 
-    Sizes are put in steps so wide that sizes of similar lines are in the same
-    or in neighbouring steps; tokens are joined step by step.
+    Tokens are joined by steps of sizes.  Other lines are sent only where a first
+    token of theirs is one of an open line of a neighbouring step, and sets only
+    of lines in pairs that pass the filters.
     """
     asked = docs.join(open_.groupBy("doc").agg(F.collect_list("line").alias("lines")), "doc")
-    asked = asked.select("doc", only_lines("text", "lines").alias("text")).mapInArrow(_loose_postings(steps, percent), LOOSE)
+    asked = asked.select("doc", "text", "lines").mapInArrow(_loose_postings(steps, percent), LOOSE)
     asked = spill(asked, "open-postings")
-    wanted = _map_of(asked.filter("token IS NULL").select("members"))
-    others = held.keep(docs.mapInArrow(_loose_postings(steps, percent, wanted), LOOSE))
-    step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent)))
+    step = F.col("step")
     left = asked.filter("token IS NOT NULL").withColumn("step", F.explode(F.array(step - 1, step, step + 1)))
-    right = others.filter("token IS NOT NULL").select("token", step.alias("step"), *[F.col(c).alias(f"m_{c}") for c in ("doc", "line", "size", "place", "bits", "more_bits")])
+    wanted, leads = _map_of(asked.filter("token IS NULL").select("members")), _map_of(left.select("token", "step"))
+    others = held.keep(docs.mapInArrow(_loose_postings(steps, percent, wanted, leads), LOOSE))
+    right = others.filter("token IS NOT NULL").select("token", "step", *[F.col(c).alias(f"m_{c}") for c in ("doc", "line", "size", "place", "bits", "more_bits")])
     share = F.ceil(percent * (F.col("size") + F.col("m_size")) / (100 + percent))
     fits = ((F.struct("m_doc", "m_line") < F.struct("doc", "line"))
             & (F.least(F.col("size") - F.col("place"), F.col("m_size") - F.col("m_place")) >= share)
@@ -427,7 +448,9 @@ def _all_partners(open_: DataFrame, docs: DataFrame, steps, percent: int, held:
                <= F.col("size") + F.col("m_size") - 2 * share))
     pairs = left.join(right, ["token", "step"]).filter(fits).select(
         "doc", "line", "size", F.col("m_doc").alias("match_doc"), F.col("m_line").alias("match_line")).distinct()
-    sets = asked.union(others).filter("token IS NULL").select("doc", "line", "members").dropDuplicates(["doc", "line"])
+    pairs = held.keep(pairs)
+    sets = asked.union(others).filter("token IS NULL").select("doc", "line", "members")
+    sets = sets.mapInArrow(_named(_map_of(_both(pairs))), SETS).dropDuplicates(["doc", "line"])
     return _verified(pairs, sets, percent).filter("ok").drop("ok")
 
 
@@ -451,6 +474,25 @@ def _either(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([segment.as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["segment", "marks"])
 
 
+SETS = "doc long, line int, members binary"
+
+
+def _both(pairs: DataFrame) -> DataFrame:
+    """The lines (doc, line) of either side of pairs."""
+    return pairs.select("doc", "line").union(pairs.select("match_doc", "match_line"))
+
+
+def _named(wanted):
+    """Rows of (doc, line, ...) of the lines that a map names."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = np.unpackbits(wanted.value).astype(bool)
+        for batch in batches:
+            yield batch.take(pa.array(np.flatnonzero(marks[line_marks(batch.column(0).to_numpy(), batch.column(1).to_numpy())])))
+
+    return choose
+
+
 #: The line that stands for its document in a map of lines.
 WHOLE = np.int32(-1)
 
@@ -477,10 +519,14 @@ def _sets(wanted):
 
 
 def _line_sets(pairs: DataFrame, docs: DataFrame, held: Held) -> DataFrame:
-    """(doc, line, members) of all lines in ``pairs`` (and a few more): a map of fixed size picks them in a scan of the texts."""
-    wanted = pairs.select("doc", "line").union(pairs.select("match_doc", "match_line"))
+    """(doc, line, members) of all lines in ``pairs`` (and a few more): a map of fixed size picks them in a scan of the texts.
+
+    They are kept in sorted hash partitions by line, so that no later join sends them again.
+    """
+    wanted = _both(pairs)
     wanted = _map_of(wanted.union(wanted.select("doc", F.lit(int(WHOLE))).distinct()))
-    return held.keep(docs.mapInArrow(_sets(wanted), "doc long, line int, members binary"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return held.keep(docs.mapInArrow(_sets(wanted), SETS).repartition(parts, "doc", "line").sortWithinPartitions("doc", "line"))
 
 
 def _map_of(keys: DataFrame):
@@ -558,13 +604,6 @@ def repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
     return out
 
 
-@F.arrow_udf(T.StringType())
-def only_lines(texts: pa.Array, numbers: pa.Array) -> pa.Array:
-    """Texts of which only the lines with these numbers are left; the others are empty."""
-    chosen = (set(n.as_py() or ()) for n in numbers)
-    return pa.array(["\n".join(x if k in own else "" for k, x in enumerate(t.as_py().split("\n"))) for t, own in zip(texts, chosen)], pa.string())
-
-
 @F.arrow_udf(T.StringType())
 def less_lines(texts: pa.Array, numbers: pa.Array) -> pa.Array:
     """Texts without the lines with these numbers."""
