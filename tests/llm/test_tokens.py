@@ -72,6 +72,19 @@ def test_very_long_pieces(byte_level):
     assert ids(text) == byte_level.encode_ordinary(text)
 
 
+def test_unknown_pieces_of_a_text_share_a_queue(monkeypatch, odd_texts, byte_level):
+    calls, merge = [], bpe.merge
+    monkeypatch.setattr(bpe, "merge", lambda pieces, ranks: calls.append(len(pieces)) or merge(pieces, ranks))
+    _, splitter, known = bpe.load(P.path(RANKS), P.PATTERN)
+    text = " ".join(f"zq{i}xv aaaa{'ab' * (i % 5)}é" for i in range(300)) + " ".join(t or "" for t in odd_texts)
+    for together in (1 << 13, 40):
+        monkeypatch.setattr(bpe, "TOGETHER", together)
+        store = bpe.Pieces(known.ranks, 100_000)
+        calls.clear()
+        assert np.frombuffer(bpe.pack(text, splitter, store), "<u4").tolist() == byte_level.encode_ordinary(text)
+        assert max(calls) > 3 and (together < 100 or max(calls) > 200)
+
+
 def test_full_stores_change_nothing(monkeypatch, byte_level, word_level):
     monkeypatch.setattr(bpe, "KEPT_PIECES", 3)
     monkeypatch.setattr(bpe, "LONG_TEXT", 5)
@@ -130,6 +143,18 @@ def test_decode_null_and_unknown(spark):
     assert sorted([r.decoded for r in bpe.decode(df, *where).collect()], key=repr) == sorted([None, bytearray()], key=repr)
 
 
+def test_ids_are_spelled_for_a_whole_batch():
+    import pyarrow as pa
+
+    vocabulary = pa.array([b"a", None, b"bc", b""], pa.large_binary())
+    packed = pa.array([np.array(x, "<u4").tobytes() if x is not None else None for x in ([], [2, 0], None, [3], [0, 0, 2])], pa.binary())
+    assert bpe.spelled(packed, vocabulary).to_pylist() == [b"", b"bca", None, b"", b"aabc"]
+    assert bpe.spelled(packed.slice(1, 3), vocabulary).to_pylist() == [b"bca", None, b""]
+    for unknown in (1, 4):
+        with pytest.raises(ValueError):
+            bpe.spelled(pa.array([np.array([0, unknown], "<u4").tobytes()], pa.binary()), vocabulary)
+
+
 def test_other_tokenizer_files_are_refused():
     with pytest.raises((ValueError, KeyError, TypeError)):
         token_counts.WordPieces(P.path("byte_bpe_50k.json"))

@@ -4,28 +4,33 @@ Every match of the split pattern is merged on its own.  Its pairs wait in one
 bucket per merge rank; a two-level bitmap says which buckets hold positions, and
 find-first-set names the lowest one.  Positions form a linked list; an entry
 whose pair has changed since is skipped.  A piece of n bytes costs O(n log n),
-whatever its length.
+whatever its length.  The unknown pieces of a text share a queue: no pair goes
+over the border of a piece, so each is merged as it would be alone.
 """
 
 from __future__ import annotations
 
 import base64
+import struct
 from functools import lru_cache
 from heapq import heappop, heappush
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import unused
-from .words import release
+from .words import release, text_buffer
 
 #: Encoded pieces that a worker keeps, at least the last half of them.
 KEPT_PIECES = 500_000
 #: Longer texts are split piece by piece, so that not all pieces are held at once.
 LONG_TEXT = 1 << 21
+#: Characters of the unknown pieces that are merged in one queue.
+TOGETHER = 1 << 13
 
 
 class RankQueue:
@@ -52,6 +57,20 @@ class RankQueue:
             self.low[block] = 1 << (rank & 255)
             self.high |= 1 << block
 
+    def fill(self, ranks: list[int | None]) -> None:
+        """Take a rank for each position, into an empty queue."""
+        buckets, low = self.buckets, self.low
+        for at, rank in enumerate(ranks):
+            if rank is not None:
+                if rank in buckets:
+                    buckets[rank].append(at)  # rising positions are a heap
+                else:
+                    buckets[rank] = [at]
+        for rank in buckets:
+            low[rank >> 8] = low.get(rank >> 8, 0) | 1 << (rank & 255)
+        for block in low:
+            self.high |= 1 << block
+
     def pop(self) -> tuple[int, list[int]]:
         """The lowest rank and its positions, in order."""
         high = self.high
@@ -66,22 +85,25 @@ class RankQueue:
             self.high = high & (high - 1)
         return rank, self.buckets.pop(rank)
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Token ids of one piece."""
+
+def merge(pieces: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
+    """Token ids of each of some pieces, none of them empty."""
     rank_of = ranks.get
-    whole = rank_of(piece)
-    if whole is not None:
-        return [whole]
-    n = len(piece)
+    whole = b"".join(pieces)
+    n = len(whole)
     after = list(range(1, n + 1))
-    before = list(range(-1, n - 1))
-    pair: list[int | None] = [rank_of(piece[i : i + 2]) for i in range(n - 1)]
-    pair.append(None)
+    before = list(range(-1, n))  # -1 where a piece begins, also behind the last one
+    pair: list[int | None] = [rank_of(whole[i : i + 2]) for i in range(n)]
+    starts, at = [], 0
+    for piece in pieces:
+        starts.append(at)
+        before[at] = -1
+        at += len(piece)
+        pair[at - 1] = None
+    before[n] = -1
     queue = RankQueue()
+    queue.fill(pair)
     push, pop = queue.push, queue.pop
-    for i, rank in enumerate(pair):
-        if rank is not None:
-            push(rank, i)
     while queue.high:
         rank, bucket = pop()
         while bucket:
@@ -92,16 +114,16 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
             end = after[i] = after[gone]
             pair[gone] = new = None
             lower = False
-            if end < n:
+            if before[end] >= 0:
                 before[end] = i
-                new = rank_of(piece[i : after[end]])
+                new = rank_of(whole[i : after[end]])
                 if new is not None:
                     push(new, i)
                     lower = new < rank
             pair[i] = new
             left = before[i]
             if left >= 0:
-                new = pair[left] = rank_of(piece[left:end])
+                new = pair[left] = rank_of(whole[left:end])
                 if new is not None:
                     push(new, left)
                     lower = lower or new < rank
@@ -109,10 +131,13 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
                 for i in bucket:
                     push(rank, i)
                 break
-    out, i = [], 0
-    while i < n:
-        out.append(ranks[piece[i : after[i]]])
-        i = after[i]
+    out = []
+    for i in starts:
+        ids = []
+        while not ids or before[i] >= 0:
+            ids.append(ranks[whole[i : after[i]]])
+            i = after[i]
+        out.append(ids)
     return out
 
 
@@ -132,14 +157,52 @@ class Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         out = self.older.get(piece)
         if out is None:
-            out = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
+            out = np.array(self.merged([piece])[0], "<u4").tobytes()
         if len(piece) < 64:
-            if 2 * len(self) >= (self.kept or KEPT_PIECES):
-                self.older = dict(self)
-                self.clear()
-            self[piece] = out
+            self.keep(piece, out)
         return out
 
+    def keep(self, piece: str, ids: bytes) -> None:
+        if 2 * len(self) >= (self.kept or KEPT_PIECES):
+            self.older = dict(self)
+            self.clear()
+        self[piece] = ids
+
+    def merged(self, some: list[str]) -> list[list[int]]:
+        """Ids of some pieces; the bytes of a piece may be a token already."""
+        own = [piece.encode() for piece in some]
+        known = [self.ranks.get(piece) for piece in own]
+        rest = iter(merge([piece for piece, rank in zip(own, known) if rank is None], self.ranks))
+        return [next(rest) if rank is None else [rank] for rank in known]
+
+    def learn(self, found: list[str]) -> None:
+        """Work out the short pieces that are not held, some ``TOGETHER`` bytes of them at a time."""
+        some, size = [], 0
+        for piece in set(found):
+            if piece in self or len(piece) >= 64:
+                continue
+            out = self.older.get(piece)
+            if out is not None:
+                self.keep(piece, out)
+                continue
+            some.append(piece)
+            size += len(piece)
+            if size >= TOGETHER:
+                self.learnt(some)
+                some, size = [], 0
+        if some:
+            self.learnt(some)
+
+    def learnt(self, some: list[str]) -> None:
+        for piece, ids in zip(some, self.merged(some)):
+            self.keep(piece, pack_ids(len(ids))(*ids))
+
+
+@lru_cache(256)
+def pack_ids(count: int):
+    """Writes so many ids as little-endian 32-bit numbers."""
+    return struct.Struct(f"<{count}I").pack
+
 
 @lru_cache(2)
 def load(ranks_path: str, pattern: str, kept: int | None = None):
@@ -151,13 +214,30 @@ def load(ranks_path: str, pattern: str, kept: int | None = None):
     vocabulary: list[bytes | None] = [None] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         vocabulary[rank] = token
+    vocabulary = pa.array(vocabulary, pa.large_binary())
     return vocabulary, regex.compile(pattern), Pieces(ranks, kept)
 
 
+def spelled(packed: pa.Array, vocabulary: pa.Array) -> pa.Array:
+    """The bytes that packed ids stand for, all texts at once; an unknown id is an error."""
+    data, at = text_buffer(packed)
+    try:
+        tokens = vocabulary.take(pa.array(np.frombuffer(data, "<u4")))
+    except IndexError as e:
+        raise ValueError(f"unknown token id: {e}") from e
+    if tokens.null_count:
+        raise ValueError("unknown token id")
+    joined, ends = text_buffer(tokens)
+    out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(packed), [None, pa.py_buffer(ends[at // 4]), pa.py_buffer(joined)]).cast(pa.binary())
+    return pc.if_else(packed.is_valid(), out, None) if packed.null_count else out
+
+
 def pack(text: str, splitter, pieces: Pieces) -> bytes:
     """The ids of one text, four bytes each."""
     if len(text) < LONG_TEXT:
-        return b"".join(map(pieces.__getitem__, splitter.findall(text)))
+        found = splitter.findall(text)
+        pieces.learn(found)
+        return b"".join(map(pieces.__getitem__, found))
     matches, out = splitter.finditer(text), []
     while part := b"".join(pieces[m.group()] for m in islice(matches, 100_000)):
         out.append(part)
@@ -187,10 +267,7 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", decod
 
     @F.arrow_udf("binary")
     def joined(packed: pa.Array) -> pa.Array:
-        vocabulary = load(ranks_path, pattern)[0]
-        token = vocabulary.__getitem__
-        return pa.array([None if (p := x.as_py()) is None else b"".join(map(token, np.frombuffer(p, "<u4").tolist()))
-                         for x in packed], pa.binary())
+        return spelled(packed, load(ranks_path, pattern)[0])
 
     return df.withColumn(decoded, joined(F.col(f"`{ids}`")))
 
@@ -201,17 +278,11 @@ def transcode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text",
 
     ``kept`` pieces are remembered by a worker, ``KEPT_PIECES`` by default.
     """
-    kind = pa.struct([("ids", pa.binary()), ("decoded", pa.binary())])
-
     @F.arrow_udf("ids binary, decoded binary")
     def both(texts: pa.Array) -> pa.Array:
         vocabulary, splitter, pieces = load(ranks_path, pattern, kept)
-        token, out = vocabulary.__getitem__, []
-        for t in texts:
-            packed = pack(t.as_py() or "", splitter, pieces)
-            out.append({"ids": packed, "decoded": b"".join(map(token, np.frombuffer(packed, "<u4").tolist()))})
-        done = pa.array(out, kind)
-        del out
+        packed = pa.array([pack(t.as_py() or "", splitter, pieces) for t in texts], pa.binary())
+        done = pa.StructArray.from_arrays([packed, spelled(packed, vocabulary)], ["ids", "decoded"])
         release()
         return done
 
