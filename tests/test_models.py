@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import values
 from tillwork.operators import attribution, bounded, cluster, factors, gram, metrics, models, neighbours, reco, search
+from tillwork.plans import reco_q
 
 D = dt.date
 
@@ -584,6 +585,23 @@ def test_models_are_compared_on_shared_pairs(tastes, monkeypatch):
         assert shared[name] == pytest.approx((sum(m["rmse"] for m in scores) / 2, sum(m["mae"] for m in scores) / 2))
 
 
+def test_query_compares_all_models_over_three_folds(spark, monkeypatch):
+    own = spark.createDataFrame([(u, f"b{i}", float(u * i % 5)) for u in range(40) for i in range(6)], "o_custkey int, p_brand string, rating double")
+    met = []
+
+    def constant(model, train, test, *args, **known):
+        met.append((model, train.count(), test.count(), train.join(test, ["o_custkey", "p_brand"]).count()))
+        return test.withColumn("prediction", F.lit(2.0))
+
+    monkeypatch.setattr(reco_q, "all_ratings", lambda spark, d: own)
+    monkeypatch.setattr(reco, "fit_predict", constant)
+    assert reco_q.reco_compare(spark, None).count() == len(reco.MODELS)
+    for model in reco.MODELS:
+        folds = [m[1:] for m in met if m[0] == model]
+        assert len(folds) == 3 and sum(test for _, test, _ in folds) == 240
+        assert all(train + test == 240 and test and not shared for train, test, shared in folds)
+
+
 def test_neighbour_scores_marks_bought(spark):
     long = spark.createDataFrame([(1, "a", 1.0), (2, "a", 1.0), (2, "b", 3.0)], "u int, i string, value double")
     near = spark.createDataFrame([(1, 1), (1, 2)], "u int, neighbour int")
