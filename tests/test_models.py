@@ -304,6 +304,18 @@ def test_blocks_of_a_cell_are_sent_once(spark):
         assert met.agg(F.max("best")).first()[0] == 5.0
 
 
+def test_squares_by_a_product_are_those_of_plain_differences():
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(300, 5)) + 1e3, rng.normal(size=(1100, 5)) + 1e3
+    y[:40], y[40:80], x[7, 2], y[900, 0], y[901, 1] = x[:40], x[:40] + 1e-7, np.nan, np.inf, 1e200
+    with np.errstate(all="ignore"):
+        plain = ((x[:, None] - y[None]) ** 2).sum(-1)
+    got = cluster.balls.squares(x, y)
+    assert np.array_equal(np.isnan(got), np.isnan(plain)) and np.allclose(got, plain, rtol=1e-10, atol=0, equal_nan=True)
+    assert all(got[i, i] == 0.0 for i in range(40) if i != 7)
+    assert cluster.balls.squares(x[:0], y).shape == (0, 1100) and cluster.balls.squares(x, y[:0]).shape == (300, 0)
+
+
 def test_squared_silhouette_single_member(spark):
     df = spark.createDataFrame([(1, [0.0], 0), (2, [1.0], 0), (3, [9.0], 1)], "id int, v array<double>, label int")
     got = {r["id"]: r["silhouette"] for r in cluster.silhouette_squared(df, "id", "v", "label").collect()}

@@ -26,6 +26,8 @@ from tillwork.session import attach_row, materialise
 BLOCK_ROWS = 1024
 #: Groups that points are cut into where that leaves enough in each, bytes of vectors of a group, and groups of a partition.
 GROUPS, GROUP_BYTES, PART_GROUPS = 24, 2 << 20, 16
+#: Points of either side whose distances are found and summed up while they are in the cache.
+TILE = 1_024
 
 
 # ---- profiles --------------------------------------------------------------
@@ -245,12 +247,13 @@ def silhouette_exact(df: DataFrame, key: str, vector: str, label: str, block_row
         sides = [np.unique(labels, return_inverse=True) for _, labels, _ in (left, right)]
         hot = [(at[:, None] == np.arange(len(kinds))).astype(float) for kinds, at in sides]
         sums = np.zeros((len(left[0]), len(sides[1][0]))), np.zeros((len(right[0]), len(sides[0][0])))
-        for i in range(0, len(right[0]), block_rows):
-            part = slice(i, i + block_rows)
-            d = balls.distances(left[2], right[2][part])
-            sums[0][:] += d @ hot[1][part]
-            if not same:
-                sums[1][part] = d.T @ hot[0]
+        for i in range(0, len(left[0]), TILE):
+            for j in range(0, len(right[0]), TILE):
+                rows, cols = slice(i, i + TILE), slice(j, j + TILE)
+                d = balls.distances(left[2][rows], right[2][cols])
+                sums[0][rows] += d @ hot[1][cols]
+                if not same:
+                    sums[1][cols] += d.T @ hot[0][rows]
         parts = []
         for (keys, _, _), (kinds, _), n, s in ((left, sides[1], hot[1], sums[0]), (right, sides[0], hot[0], sums[1])):
             parts.append(pd.DataFrame({"k": np.repeat(keys, len(kinds)), "c": np.tile(kinds, len(keys)), "s": s.ravel(),
