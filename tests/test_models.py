@@ -316,6 +316,14 @@ def test_squares_by_a_product_are_those_of_plain_differences():
     assert cluster.balls.squares(x[:0], y).shape == (0, 1100) and cluster.balls.squares(x, y[:0]).shape == (300, 0)
 
 
+def test_cells_are_enough_for_all_tasks():
+    assert cluster.balls._cell_groups(2_000, 2**17, 24) == 16  # by bytes
+    for count, tasks in ((80, 24), (10, 2)):
+        groups = cluster.balls._cell_groups(count, 2**10, tasks)
+        assert tasks <= groups * (groups + 1) // 2 and groups <= count
+    assert cluster.balls._cell_groups(1, 8, 24) == 1
+
+
 def test_squared_silhouette_single_member(spark):
     df = spark.createDataFrame([(1, [0.0], 0), (2, [1.0], 0), (3, [9.0], 1)], "id int, v array<double>, label int")
     got = {r["id"]: r["silhouette"] for r in cluster.silhouette_squared(df, "id", "v", "label").collect()}

@@ -274,28 +274,37 @@ def silhouette_exact(df: DataFrame, key: str, vector: str, label: str, block_row
     return stats.select(F.col("k").alias(key), F.col("_own").alias(label), F.coalesce(value, F.lit(0.0)).alias("silhouette"))
 
 
+def _by_label(side):
+    """Points of one group, by their labels."""
+    order = np.argsort(side[1], kind="stable")
+    return tuple(t[order] for t in side)
+
+
 def label_distances(df: DataFrame, key: str, vector: str, label: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Nearest, farthest and summed distance for every unordered pair of labels."""
     label_type = df.schema[label].dataType.simpleString()
 
     def fold(same: bool, left, right) -> pd.DataFrame:
         met: dict = {}
-        for i in range(0, len(left[1]), block_rows):
-            for j in range(i if same else 0, len(right[1]), block_rows):
-                ours, theirs = left[1][i : i + block_rows], right[1][j : j + block_rows]
-                d = balls.distances(left[2][i : i + block_rows], right[2][j : j + block_rows])
-                for c in np.unique(ours):
-                    for e in np.unique(theirs):
-                        part = d[np.ix_(ours == c, theirs == e)]
-                        if same and i == j:
-                            if c > e:
-                                continue
-                            if c == e:
-                                part = part[np.triu_indices(len(part), 1)]
-                        if part.size:
-                            pair = (c, e) if c <= e else (e, c)
-                            lo, hi, total, n = met.get(pair, (np.inf, -np.inf, 0.0, 0))
-                            met[pair] = min(lo, float(part.min())), max(hi, float(part.max())), total + float(part.sum()), n + int(part.size)
+        (_, ours, x), (_, theirs, y) = (_by_label(side) for side in (left, right))
+        for i in range(0, len(ours), block_rows):
+            for j in range(i if same else 0, len(theirs), block_rows):
+                rows, cols = slice(i, i + block_rows), slice(j, j + block_rows)
+                d = balls.distances(x[rows], y[cols])
+                (c, rs, rn), (e, cs, cn) = (np.unique(side, return_index=True, return_counts=True) for side in (ours[rows], theirs[cols]))
+                count = rn[:, None] * cn
+                off = np.tril_indices(len(d)) if same and i == j else None  # each point of a tile meets the later ones only
+                facts = []
+                for add, none in ((np.minimum, np.inf), (np.maximum, -np.inf), (np.add, 0.0)):
+                    if off is not None:
+                        d[off] = none
+                    facts.append(add.reduceat(add.reduceat(d, cs, axis=1), rs, axis=0))
+                if off is not None:
+                    count = np.triu(count, 1) + np.diag(rn * (rn - 1) // 2)
+                for r, k in zip(*np.nonzero(count)):
+                    pair = (c[r], e[k]) if c[r] <= e[k] else (e[k], c[r])
+                    lo, hi, total, n = met.get(pair, (np.inf, -np.inf, 0.0, 0))
+                    met[pair] = (min(lo, float(facts[0][r, k])), max(hi, float(facts[1][r, k])), total + float(facts[2][r, k]), n + int(count[r, k]))
         return pd.DataFrame([(*pair, *facts) for pair, facts in met.items()], columns=["c1", "c2", "nearest", "farthest", "total", "pairs"])
 
     schema = f"c1 {label_type}, c2 {label_type}, nearest double, farthest double, total double, pairs bigint"
