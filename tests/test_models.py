@@ -324,6 +324,18 @@ def test_cells_are_enough_for_all_tasks():
     assert cluster.balls._cell_groups(1, 8, 24) == 1
 
 
+def test_points_of_a_label_meet_in_a_product(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    v, lab = rng.normal(size=(400, 3)), np.array(["most"] * 380 + ["few"] * 19 + ["one"])
+    df = spark.createDataFrame([(x.tolist(), c) for x, c in zip(v, lab.tolist())], "v array<double>, c string")
+    monkeypatch.setattr(cluster.balls, "SUM_ROWS", 60)
+    sums = cluster.balls.sums_within(cluster.balls.blocks_of(df, "v", "c", 16))
+    assert "CartesianProduct" in sums._jdf.queryExecution().toString()
+    got = {r["c"]: (r["total"], r["size"]) for r in sums.collect()}
+    d = np.sqrt(((v[:, None] - v[None]) ** 2).sum(-1))
+    assert got == {c: (pytest.approx(d[lab == c][:, lab == c].sum() / 2), (lab == c).sum()) for c in set(lab.tolist())}
+
+
 def test_squared_silhouette_single_member(spark):
     df = spark.createDataFrame([(1, [0.0], 0), (2, [1.0], 0), (3, [9.0], 1)], "id int, v array<double>, label int")
     got = {r["id"]: r["silhouette"] for r in cluster.silhouette_squared(df, "id", "v", "label").collect()}
