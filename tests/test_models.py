@@ -583,6 +583,25 @@ def test_biased_factors_learn_a_planted_model(spark):
         factors.biased_factors(train.limit(0), "u", "i", "r")
 
 
+def test_factors_keep_one_turn_and_write_a_file_for_a_block(spark, monkeypatch):
+    train = spark.createDataFrame([(u, i, float(u * i % 5)) for u in range(60) for i in range(8)], "u int, i int, r double")
+    tables, plain = [], factors.written
+
+    def kept(*args):
+        alive = [t for t in tables if spark._jvm.java.io.File(t.inputFiles()[0].removeprefix("file:")).exists()]
+        out = plain(*args)
+        files = out.inputFiles()
+        rows = out.count()
+        assert rows == len(files) and len(alive) <= 2  # the cells and the state before
+        tables.append(out)
+        return out
+
+    monkeypatch.setattr(factors, "written", kept)
+    model = factors.biased_factors(train, "u", "i", "r", rank=2, epochs=2, blocks=3)
+    assert len(tables) == 8 and model[1].count() == 60 and model[2].count() == 8
+    assert not any(spark._jvm.java.io.File(t.inputFiles()[0].removeprefix("file:")).exists() for t in tables)
+
+
 def test_estimated_size_of_factors_does_not_grow_with_the_turns(spark):
     train = spark.createDataFrame([(u, i, float(u * i % 5)) for u in range(20) for i in range(8)], "u int, i int, r double")
     sizes = []
