@@ -505,6 +505,21 @@ def test_a_vector_is_sent_once_for_a_block_and_not_for_each_of_its_lists(spark):
     assert all(r["n"] == len(asked) and len(r["sizes"]) == 4 * len(r["names"]) for r in asked)
 
 
+def test_blocks_are_sorted_once_and_come_once_to_a_task(spark):
+    classes = spark.range(4_000).selectExpr("id AS c", "transform(sequence(0, 9), j -> id % 50 + j * 61) AS i")
+    classes = classes.selectExpr("c", "i", "array_repeat(1 / sqrt(10d), 10) AS x", "0.1d AS bound")
+    met = neighbours._classes_meet(classes, "bigint", 64)
+    rows = met.select("b", "n_2", "names", *neighbours.FLAT).collect()
+    tasks = {}
+    for r in rows:
+        tasks.setdefault(r["b"], []).append(r["n_2"])
+    assert all(0 < sum(n == 0 for n in met_by) < len(met_by) for met_by in tasks.values())
+    r = rows[0]
+    given, found = (neighbours.Lists(pa.array(r["names"]), *(bytes(r[c]) for c in flat)) for flat in (neighbours.FLAT, neighbours.FLAT[:3]))
+    assert len(r["items"]) == 4 * len(given.x) and (given.order == found.order).all() and (given.place[1:] >= given.place[:-1]).all()
+    assert (given.items == np.unique(given.item)).all() and given.count.sum() == len(given.item)
+
+
 @pytest.mark.parametrize("terms, sparse_cost", [(2**21, 40), (500, 40), (2**21, 10**9), (2**21, 0)])
 def test_blocks_find_the_nearest_in_every_way(monkeypatch, terms, sparse_cost):
     monkeypatch.setattr(neighbours, "TERMS", terms)
