@@ -668,6 +668,19 @@ def test_query_compares_all_models_over_three_folds(spark, monkeypatch):
         assert all(train + test == 240 and test and not shared for train, test, shared in folds)
 
 
+def test_compared_models_share_ratings_in_partitions_by_user(tastes, monkeypatch):
+    plans = []
+
+    def constant(model, train, test, *args, **known):
+        plans.append(train.groupBy("u").agg(F.avg("value")).join(test, "u")._jdf.queryExecution().executedPlan().toString())
+        return test.withColumn("prediction", F.lit(2.0))
+
+    monkeypatch.setattr(reco, "fit_predict", constant)
+    monkeypatch.setattr(reco.F, "broadcast", lambda df: df)
+    assert reco.compare_models(tastes[0], "u", "i", "value", ("svd",)).count() == 1
+    assert len(plans) == 3 and not any("Exchange hashpartitioning" in p for p in plans)
+
+
 def test_neighbour_scores_marks_bought(spark):
     long = spark.createDataFrame([(1, "a", 1.0), (2, "a", 1.0), (2, "b", 3.0)], "u int, i string, value double")
     near = spark.createDataFrame([(1, 1), (1, 2)], "u int, neighbour int")
